@@ -1,0 +1,356 @@
+"""Queries for pretokens, BPE, the id stream and the next-token model
+(SURVEY 2.5, 2.6, 2.9)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from textkiln.functions.bytelevel import SPECIAL_ID, SPECIAL_TOKEN
+from textkiln.operators import bpe as B
+from textkiln.operators import next_token as N
+from textkiln.operators import pretokens as P
+from textkiln.operators import token_stream as S
+from textkiln.plans.catalog import query
+from textkiln.sources.tables import load
+
+# Verify-sized parameters (FIXTURES.md): BPE vocabulary 257 + 64, windows
+# of 8 steps x 8 rows x 32 tokens, seed 42.  The reference defaults stay the
+# operator defaults (8000 entries, 64 x 128 windows, top-k 40, temperature 0.8).
+BPE_VOCAB = 257 + 64
+WIN_STEPS, WIN_BATCH, WIN_BLOCK, SEED = 8, 8, 32, 42
+GEN_STEPS = 8
+
+# ----------------------------------------------------------------- SQL side
+# Java (?U)\s is Unicode White_Space; RE2 \s is ASCII, so spell the class out.
+_WS = r"\t\n\x0b\x0c\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_SQL_PAT = (
+    r"''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^" + _WS + r"\p{L}\p{N}\x01]+|[" + _WS + "]+"
+)
+# RE2 has no look-ahead: mark the last blank of a run that precedes a
+# non-blank with chr(1) so that `\s+` stops before it (see SURVEY 7.4).
+_MARK = "regexp_replace({x}, '([" + _WS + "])([" + _WS + "][^" + _WS + "])', '\\1' || chr(1) || '\\2', 'g')"
+
+
+def _pretok(x: str) -> str:
+    return "regexp_extract_all(" + _MARK.replace("{x}", x) + ", '" + _SQL_PAT + "')"
+
+
+SQL_TOKS = f"""
+toks AS (
+  SELECT doc_id, CAST(unnest(range(len(l))) AS BIGINT) AS pos_in_doc, unnest(l) AS token
+  FROM (SELECT doc_id, {_pretok("text || chr(10) || chr(10)")} AS l FROM documents)
+),
+vocab AS (
+  SELECT token, CAST(count(*) AS BIGINT) AS cnt,
+         CAST(row_number() OVER (ORDER BY count(*) DESC, token) - 1 AS INTEGER) AS token_id
+  FROM toks GROUP BY token
+),
+ided AS (SELECT t.doc_id, t.pos_in_doc, t.token, v.token_id FROM toks t JOIN vocab v USING (token)),
+doc_n AS (SELECT doc_id, count(*) AS n FROM toks GROUP BY doc_id),
+doc_start AS (SELECT doc_id, CAST(sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS BIGINT) AS doc_start FROM doc_n),
+meta AS (SELECT CAST(sum(n) AS BIGINT) AS n_total, CAST((9 * sum(n)) // 10 AS BIGINT) AS split_at, (SELECT count(*) FROM vocab) AS v FROM doc_n),
+positions AS (
+  SELECT d.doc_start + i.pos_in_doc AS pos, i.doc_id, i.pos_in_doc, i.token_id,
+         CASE WHEN d.doc_start + i.pos_in_doc < (SELECT split_at FROM meta) THEN 'train' ELSE 'val' END AS split
+  FROM ided i JOIN doc_start d USING (doc_id)
+),
+pairs AS (
+  SELECT a.split, a.pos, a.token_id AS x, b.token_id AS y
+  FROM positions a JOIN positions b ON b.pos = a.pos + 1 AND a.split = b.split
+),
+counts AS (SELECT x, y, CAST(count(*) AS BIGINT) AS c FROM pairs WHERE split = 'train' GROUP BY x, y),
+topk AS (SELECT x, y, c FROM (SELECT *, rank() OVER (PARTITION BY x ORDER BY c DESC) AS r FROM counts) WHERE r <= 40),
+probs AS (
+  SELECT x, y, c, wt / sum(wt) OVER (PARTITION BY x) AS p
+  FROM (SELECT *, exp((ln(c) - ln(max(c) OVER (PARTITION BY x))) / 0.8) AS wt FROM topk)
+),
+cum AS (
+  SELECT *, coalesce(lag(hi) OVER (PARTITION BY x ORDER BY p DESC, y), 0.0) AS lo, max(hi) OVER (PARTITION BY x) AS tot
+  FROM (SELECT *, sum(p) OVER (PARTITION BY x ORDER BY p DESC, y ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi FROM probs)
+)"""
+
+
+def _uniform_sql(key: str, seed: int) -> str:
+    h = f"((({seed} * 40503 + 12345) * 31 + {key}) % {N.U_MOD})"
+    return f"(CAST(({h} * {N.U_MULT}) % {N.U_MOD} AS DOUBLE) / {N.U_MOD})"
+
+
+def _byte_sql(h: str, i: str) -> str:
+    d = "'0123456789ABCDEF'"
+    return f"((instr({d}, substr({h}, 2 * ({i}) + 1, 1)) - 1) * 16 + instr({d}, substr({h}, 2 * ({i}) + 2, 1)) - 1)"
+
+
+def _byte_id_sql(b: str) -> str:
+    return (f"CASE WHEN {b} BETWEEN 33 AND 126 THEN {b} - 32 WHEN {b} BETWEEN 161 AND 172 THEN {b} - 66 "
+            f"WHEN {b} BETWEEN 174 AND 255 THEN {b} - 67 WHEN {b} <= 32 THEN {b} + 189 "
+            f"WHEN {b} BETWEEN 127 AND 160 THEN {b} + 95 ELSE 256 END")
+
+
+SQL_LINE_COUNTS = f"""
+lines AS (
+  SELECT doc_id, unnest(list_transform(parts[1:len(parts) - 1], lambda s: s || chr(10))) AS line
+  FROM (SELECT doc_id, string_split(text || chr(10) || chr(10), chr(10)) AS parts FROM documents)
+),
+line_toks AS (SELECT unnest({_pretok("line")}) AS token FROM lines),
+line_counts AS (SELECT token, CAST(count(*) AS BIGINT) AS cnt FROM line_toks GROUP BY token)"""
+
+
+# ----------------------------------------------------------------- shared Spark state
+_CACHE: dict = {}
+
+
+def _docs(spark, sf_dir):
+    return load(spark, sf_dir, "documents", "doc_id", "text")
+
+
+def _pretoken(spark, sf_dir):
+    key = ("pretoken", id(spark), sf_dir)
+    if key not in _CACHE:
+        _CACHE[key] = S.pretoken_stream(_docs(spark, sf_dir))
+    return _CACHE[key]
+
+
+def _model(spark, sf_dir):
+    key = ("bpe", id(spark), sf_dir)
+    if key not in _CACHE:
+        _CACHE[key] = B.train_bpe(_docs(spark, sf_dir), vocab_size=BPE_VOCAB)
+    return _CACHE[key]
+
+
+def _bpe_stream(spark, sf_dir):
+    key = ("bpe_stream", id(spark), sf_dir)
+    if key not in _CACHE:
+        _CACHE[key] = S.bpe_stream(_model(spark, sf_dir), _docs(spark, sf_dir))
+    return _CACHE[key]
+
+
+def _cum(spark, sf_dir):
+    stream, _ = _pretoken(spark, sf_dir)
+    counts = N.bigram_counts(stream.pairs())
+    return N.cumulative(N.probabilities(N.top_k(counts, N.TOP_K, stream.vocab_size), N.TEMPERATURE))
+
+
+# ----------------------------------------------------------------- pretokens / BPE counting
+@query("pretoken_counts", f"""
+WITH {SQL_LINE_COUNTS}
+SELECT token, cnt FROM line_counts
+""")
+def pretoken_counts(spark, sf_dir):
+    """T1 + A6 in training (lines) mode."""
+    return P.pretoken_counts(P.line_pretokens(_docs(spark, sf_dir)))
+
+
+@query("bpe_pair_counts", f"""
+WITH {SQL_LINE_COUNTS},
+wp AS (SELECT cnt, hex(token) AS h, unnest(range(strlen(token) - 1)) AS i FROM line_counts WHERE strlen(token) >= 2),
+bp AS (SELECT cnt, {_byte_sql('h', 'i')} AS b1, {_byte_sql('h', 'i + 1')} AS b2 FROM wp)
+SELECT CAST({_byte_id_sql('b1')} AS INTEGER) AS left_id, CAST({_byte_id_sql('b2')} AS INTEGER) AS right_id,
+       CAST(sum(cnt) AS BIGINT) AS cnt
+FROM bp GROUP BY 1, 2 HAVING sum(cnt) >= 2
+""")
+def bpe_pair_counts(spark, sf_dir):
+    """A7 + F6: byte-pair counts of the first training round, weighted by word frequency."""
+    words = B.training_words(_docs(spark, sf_dir))
+    return P.split_pair(P.pair_counts(words)).select("left_id", "right_id", F.col("cnt").cast("long"))
+
+
+@query("bpe_train")
+def bpe_train(spark, sf_dir):
+    """A8 + L5: learned merges ``(rank, left_id, right_id, new_id, token)``."""
+    return _model(spark, sf_dir).merges_df(spark)
+
+
+@query("encode_documents")
+def encode_documents(spark, sf_dir):
+    """BPE ids of every framed document."""
+    enc = B.encode_documents(_model(spark, sf_dir), _docs(spark, sf_dir))
+    return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+@query("decode_roundtrip", """
+SELECT doc_id, text || chr(10) || chr(10) AS text FROM documents
+""")
+def decode_roundtrip(spark, sf_dir):
+    """T3 + J5: decode(encode(text + "\\n\\n")) for every document."""
+    m = _model(spark, sf_dir)
+    enc = B.encode_documents(m, _docs(spark, sf_dir))
+    return enc.select("doc_id", B.decode_ids(m, F.col("ids")).alias("text"))
+
+
+@query("corpus_meta")
+def corpus_meta(spark, sf_dir):
+    """S13 + A9 + T4: vocabulary size, special token and split sizes."""
+    stream = _bpe_stream(spark, sf_dir)
+    m = _model(spark, sf_dir)
+    row = [(m.vocab_size, SPECIAL_TOKEN, SPECIAL_ID, len(m.merges), stream.n_total, stream.split_at, stream.n_total - stream.split_at)]
+    return spark.createDataFrame(row, "vocab_size long, special_token string, special_id long, n_merges long, n_tokens long, n_train long, n_val long")
+
+
+@query("vocab_check")
+def vocab_check(spark, sf_dir):
+    """T5: the encoded data fits the tokenizer (raises on mismatch)."""
+    stream = _bpe_stream(spark, sf_dir)
+    m = _model(spark, sf_dir)
+    max_id = stream.tokens().agg(F.max("token_id")).first()[0]
+    B.check_vocabulary(m.vocab_size, stream.vocab_size, max_id)
+    return spark.createDataFrame([(m.vocab_size, stream.vocab_size, int(max_id), True)],
+                                 "model_vocab long, data_vocab long, max_id long, ok boolean")
+
+
+@query("bpe_chars_per_token")
+def bpe_chars_per_token(spark, sf_dir):
+    """P7 for the BPE stream."""
+    enc = B.encode_documents(_model(spark, sf_dir), _docs(spark, sf_dir)).select(F.size("ids").alias("n"))
+    chars = _docs(spark, sf_dir).select((F.length("text") + 2).alias("c"))
+    n_chars = chars.agg(F.sum("c")).first()[0]
+    tot = enc.agg(F.sum("n").cast("long").alias("n_tokens"))
+    return tot.select(F.lit(n_chars).cast("long").alias("n_chars"), "n_tokens",
+                      F.round(F.lit(n_chars) / F.greatest(F.col("n_tokens"), F.lit(1)), 6).alias("chars_per_token"))
+
+
+# ----------------------------------------------------------------- id stream (pretoken level)
+@query("token_id_lookup", f"""
+WITH {SQL_TOKS}
+SELECT doc_id, pos_in_doc, token, token_id FROM ided
+""")
+def token_id_lookup(spark, sf_dir):
+    """Every pretoken of every framed document with its vocabulary id."""
+    _, vocab = _pretoken(spark, sf_dir)
+    occ = P.doc_pretokens(_docs(spark, sf_dir))
+    ided = occ.join(S.sized_broadcast(vocab.select("token", F.col("token_id").cast("int"))), "token")
+    return ided.select("doc_id", F.col("pos_in_doc").cast("long"), "token", "token_id")
+
+
+@query("chars_per_token", f"""
+WITH {SQL_TOKS}
+SELECT (SELECT CAST(sum(length(text) + 2) AS BIGINT) FROM documents) AS n_chars,
+       n_total AS n_tokens,
+       round((SELECT sum(length(text) + 2) FROM documents) / greatest(n_total, 1), 6) AS chars_per_token
+FROM meta
+""")
+def chars_per_token(spark, sf_dir):
+    """P7 at pretoken level."""
+    stream, _ = _pretoken(spark, sf_dir)
+    n_chars = _docs(spark, sf_dir).agg(F.sum(F.length("text") + 2)).first()[0]
+    n = stream.n_total
+    return spark.createDataFrame([(int(n_chars), int(n), round(n_chars / max(n, 1), 6))],
+                                 "n_chars long, n_tokens long, chars_per_token double")
+
+
+@query("token_positions", f"""
+WITH {SQL_TOKS}
+SELECT pos, doc_id, pos_in_doc, token_id, split FROM positions
+""")
+def token_positions(spark, sf_dir):
+    """W4 + W5: global position and split of every token."""
+    stream, _ = _pretoken(spark, sf_dir)
+    return stream.tokens()
+
+
+@query("split_summary", f"""
+WITH {SQL_TOKS}
+SELECT split, CAST(count(*) AS BIGINT) AS n_tokens, min(pos) AS first_pos, max(pos) AS last_pos
+FROM positions GROUP BY split
+""")
+def split_summary(spark, sf_dir):
+    """W5 + S12: contiguous 90/10 split sizes."""
+    stream, _ = _pretoken(spark, sf_dir)
+    return stream.split_summary()
+
+
+@query("next_token_pairs", f"""
+WITH {SQL_TOKS}
+SELECT split, pos, x, y FROM pairs
+""")
+def next_token_pairs(spark, sf_dir):
+    """input/target pairs shifted by one inside each split."""
+    stream, _ = _pretoken(spark, sf_dir)
+    return stream.pairs()
+
+
+@query("training_windows", f"""
+WITH {SQL_TOKS},
+specs AS (SELECT 'train' AS split, 0 AS base, split_at AS n FROM meta
+          UNION ALL SELECT 'val', split_at, n_total - split_at FROM meta),
+w AS (SELECT split, CAST(k // {WIN_BATCH} AS BIGINT) AS step, CAST(k % {WIN_BATCH} AS BIGINT) AS b,
+             CAST((k * {S.HASH_MULT} + {SEED}) % (n - {WIN_BLOCK}) AS BIGINT) AS start, base
+      FROM specs, range({WIN_STEPS * WIN_BATCH}) r(k))
+SELECT w.split, w.step, w.b, w.start,
+       string_agg(CAST(p.token_id AS VARCHAR), ' ' ORDER BY p.pos) FILTER (WHERE p.pos < w.base + w.start + {WIN_BLOCK}) AS x,
+       string_agg(CAST(p.token_id AS VARCHAR), ' ' ORDER BY p.pos) FILTER (WHERE p.pos > w.base + w.start) AS y
+FROM w JOIN positions p ON p.pos BETWEEN w.base + w.start AND w.base + w.start + {WIN_BLOCK}
+GROUP BY w.split, w.step, w.b, w.start
+""")
+def training_windows(spark, sf_dir):
+    """W6 + J7: seeded random windows, ``y`` = ``x`` shifted by one."""
+    stream, _ = _pretoken(spark, sf_dir)
+    w = stream.windows(WIN_STEPS, WIN_BATCH, WIN_BLOCK, SEED)
+    return w.select("split", "step", "b", "start",
+                    F.array_join(F.col("x").cast("array<string>"), " ").alias("x"),
+                    F.array_join(F.col("y").cast("array<string>"), " ").alias("y"))
+
+
+# ----------------------------------------------------------------- next-token model
+@query("split_loss", f"""
+WITH {SQL_TOKS},
+g AS (SELECT split, x, y, count(*) AS m FROM pairs GROUP BY split, x, y),
+tr AS (SELECT x, y, m AS c FROM g WHERE split = 'train'),
+cx AS (SELECT x, sum(c) AS cx FROM tr GROUP BY x)
+SELECT g.split, CAST(sum(m) AS BIGINT) AS n_pairs,
+       round(sum(-ln((coalesce(tr.c, 0) + 1) / (coalesce(cx.cx, 0) + (SELECT v FROM meta))) * m) / sum(m), 6) AS loss
+FROM g LEFT JOIN tr USING (x, y) LEFT JOIN cx USING (x)
+GROUP BY g.split
+""")
+def split_loss(spark, sf_dir):
+    """A10: mean next-token loss per split under the train-count model."""
+    stream, _ = _pretoken(spark, sf_dir)
+    return N.split_loss(stream.pairs(), stream.vocab_size)
+
+
+@query("next_token_topk", f"""
+WITH {SQL_TOKS}
+SELECT x, y, c FROM topk
+""")
+def next_token_topk(spark, sf_dir):
+    """Top-40 successors per context, ties at the 40th kept."""
+    stream, _ = _pretoken(spark, sf_dir)
+    return N.top_k(N.bigram_counts(stream.pairs()), N.TOP_K, stream.vocab_size)
+
+
+@query("next_token_probs", f"""
+WITH {SQL_TOKS}
+SELECT x, y, c, round(p, 9) AS p FROM probs
+""")
+def next_token_probs(spark, sf_dir):
+    """Temperature 0.8 softmax over the kept successors."""
+    stream, _ = _pretoken(spark, sf_dir)
+    probs = N.probabilities(N.top_k(N.bigram_counts(stream.pairs()), N.TOP_K, stream.vocab_size), N.TEMPERATURE)
+    return probs.select("x", "y", "c", F.round("p", 9).alias("p"))
+
+
+@query("sample_next_token", f"""
+WITH {SQL_TOKS}
+SELECT x, y FROM cum
+WHERE lo <= {_uniform_sql('x', SEED)} * tot AND {_uniform_sql('x', SEED)} * tot < hi
+""")
+def sample_next_token(spark, sf_dir):
+    """One seeded draw per context."""
+    return N.sample(_cum(spark, sf_dir), SEED)
+
+
+@query("generate_batch")
+def generate_batch(spark, sf_dir):
+    """Continue every user turn of ``conversations`` by a few tokens."""
+    stream, vocab = _pretoken(spark, sf_dir)
+    conv = load(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").where(F.col("role") == "user")
+    prompts_tok = conv.select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("pid"),
+        F.posexplode(P.pretokenize(F.col("text"))).alias("i", "token"),
+    )
+    v = S.sized_broadcast(vocab.select("token", F.col("token_id").cast("int")))
+    prompts = prompts_tok.join(v, "token").groupBy("pid").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("i", "token_id"))), lambda s: s["token_id"]).alias("ids")
+    )
+    out = N.generate(prompts, _cum(spark, sf_dir), GEN_STEPS, SEED)
+    return out.select("pid", F.size("ids").cast("long").alias("n_prompt"),
+                      F.array_join(F.col("new_ids").cast("array<string>"), " ").alias("new_ids"))
