@@ -51,16 +51,19 @@ def byte_id_expr(b: Column) -> Column:
     return expr.otherwise(rank + n_printable + 1).cast("int")
 
 
+def utf8_byte_values(word: Column) -> Column:
+    """``array<int>`` of the UTF-8 bytes of ``word`` (JVM-side: the bytes read
+    back as ISO-8859-1 give one character per byte, whose code point is the
+    byte value)."""
+    latin1 = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
+    return F.transform(F.sequence(F.lit(1), F.length(latin1)), lambda i: F.ascii(latin1.substr(i, F.lit(1))))
+
+
 def utf8_byte_ids(word: Column) -> Column:
-    """``array<int>`` of byte ids of the UTF-8 encoding of ``word`` (JVM-side:
-    ``hex`` gives the UTF-8 bytes, two hex digits each)."""
-    h = F.hex(word)
-    n = F.octet_length(word)
-    return F.when(n == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(
-            F.sequence(F.lit(0), n - 1),
-            lambda i: byte_id_expr(F.conv(h.substr(i * 2 + 1, F.lit(2)), 16, 10).cast("int")),
-        )
+    """``array<int>`` of byte ids of the UTF-8 encoding of ``word``; each byte
+    is computed once, then mapped by the alphabet rule."""
+    return F.when(F.octet_length(word) == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(utf8_byte_values(word), byte_id_expr)
     )
 
 

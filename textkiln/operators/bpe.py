@@ -53,6 +53,7 @@ from textkiln.operators.pretokens import (
     MIN_FREQUENCY,
     PAIR_SHIFT,
     line_pretokens,
+    multi_symbol_words,
     pair_counts,
     pair_keys,
     pretoken_counts,
@@ -166,8 +167,9 @@ def choose_merges(head: list[tuple[int, int, int]], budget: int) -> list[tuple[i
 
 
 def training_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Word table of the training corpus (lines mode)."""
-    return word_table(pretoken_counts(line_pretokens(docs, text_col)))
+    """Word table of the training corpus (lines mode), words of two or more
+    bytes only (a single byte never takes part in a pair)."""
+    return multi_symbol_words(pretoken_counts(line_pretokens(docs, text_col)))
 
 
 def train_bpe(
@@ -180,7 +182,7 @@ def train_bpe(
 ) -> BpeModel:
     """Learn merges until ``vocab_size`` entries or the best pair is rarer
     than ``min_frequency``."""
-    words = training_words(docs, text_col).where(F.size("syms") >= 2).select("freq", "syms")
+    words = training_words(docs, text_col).select("freq", "syms")
     words = cut_lineage(words)
     words_cached = False
     release = None  # cached table of the previous round, dropped once the next one is materialised
@@ -260,22 +262,62 @@ def _encoder(ranks: dict[tuple[int, int], tuple[int, int]]):
     return encode_word
 
 
+def _encode_batch(batch, encode_word):
+    """One Arrow batch ``(key, segs list<list<string>>)`` -> ``(key, ids)``.
+
+    Distinct words of the batch go through ``encode_word`` (cached across
+    batches); occurrences are gathered with numpy.  Documents that contain the
+    special token (more than one segment) take the plain loop."""
+    import itertools
+
+    import numpy as np
+    import pyarrow.compute as pc
+
+    keys, segs = batch.column(0), batch.column(1)
+    seg_counts = pc.fill_null(pc.list_value_length(segs), 0).to_numpy(zero_copy_only=False)
+    if len(seg_counts) and seg_counts.max() > 1:
+        out = []
+        for doc in segs.to_pylist():
+            ids: list[int] = []
+            for j, seg in enumerate(doc or []):
+                if j:
+                    ids.append(SPECIAL_ID)
+                for w in seg:
+                    ids.extend(encode_word(w))
+            out.append(ids)
+        return pa.RecordBatch.from_arrays([keys, pa.array(out, pa.list_(pa.int32()))], names=[batch.schema.names[0], "ids"])
+    inner = segs.flatten()
+    word_counts = pc.fill_null(pc.list_value_length(inner), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    words = inner.flatten()
+    if len(words):
+        d = pc.dictionary_encode(words)
+        enc = [encode_word(w) for w in d.dictionary.to_pylist()]
+        idx = d.indices.to_numpy(zero_copy_only=False)
+        ulen = np.fromiter((len(e) for e in enc), dtype=np.int64, count=len(enc))
+        uflat = np.fromiter(itertools.chain.from_iterable(enc), dtype=np.int32, count=int(ulen.sum()))
+        ustart = np.cumsum(ulen) - ulen
+        occ_len = ulen[idx]
+        occ_start = ustart[idx]
+        out_start = np.cumsum(occ_len) - occ_len
+        flat = uflat[np.arange(int(occ_len.sum())) - np.repeat(out_start - occ_start, occ_len)]
+    else:
+        occ_len = np.zeros(0, dtype=np.int64)
+        flat = np.zeros(0, dtype=np.int32)
+    cum = np.concatenate([[0], np.cumsum(occ_len)])
+    seg_end = np.cumsum(word_counts)
+    seg_tok = cum[seg_end] - cum[seg_end - word_counts]
+    doc_tok = np.zeros(len(seg_counts), dtype=np.int64)
+    doc_tok[seg_counts == 1] = seg_tok
+    offsets = np.concatenate([[0], np.cumsum(doc_tok)]).astype(np.int32)
+    ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+    return pa.RecordBatch.from_arrays([keys, ids], names=[batch.schema.names[0], "ids"])
+
+
 def _encode_batches_fn(bc_ranks):
     def run(batches):
         encode_word = _encoder(bc_ranks.value)
         for batch in batches:
-            keys = batch.column(0)
-            segs = batch.column(1).to_pylist()
-            out = []
-            for doc in segs:
-                ids: list[int] = []
-                for j, seg in enumerate(doc or []):
-                    if j:
-                        ids.append(SPECIAL_ID)
-                    for w in seg:
-                        ids.extend(encode_word(w))
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([keys, pa.array(out, pa.list_(pa.int32()))], names=[batch.schema.names[0], "ids"])
+            yield _encode_batch(batch, encode_word)
 
     return run
 
@@ -299,11 +341,13 @@ def encode_documents(model: BpeModel, docs: DataFrame, key: str = "doc_id", text
 
 
 # ----------------------------------------------------------------- decoding
-def _id_map(model: BpeModel) -> Column:
-    """Literal ``map<int,string>`` of byte-level tokens; special ids map to ''."""
+def _id_array(model: BpeModel) -> Column:
+    """Literal ``array<string>`` of byte-level tokens indexed by id (ids are
+    dense from 0); the special id maps to ''.  An array lookup is O(1), a map
+    lookup would scan the keys."""
     tok = model.tokens()
     tok[SPECIAL_ID] = ""
-    return F.from_json(F.lit(json.dumps({str(k): v for k, v in tok.items()})), "map<string,string>")
+    return F.from_json(F.lit(json.dumps([tok[i] for i in range(model.vocab_size)])), "array<string>")
 
 
 def _bytelevel_to_utf8(s: Column) -> Column:
@@ -317,8 +361,8 @@ def _bytelevel_to_utf8(s: Column) -> Column:
 
 def decode_ids(model: BpeModel, ids: Column) -> Column:
     """Ids -> text; special tokens dropped (default decode)."""
-    m = _id_map(model)
-    toks = F.transform(ids, lambda i: F.coalesce(F.element_at(m, i.cast("string")), F.lit("")))
+    arr = _id_array(model)
+    toks = F.transform(ids, lambda i: F.coalesce(F.try_element_at(arr, i + 1), F.lit("")))
     return _bytelevel_to_utf8(F.array_join(toks, ""))
 
 

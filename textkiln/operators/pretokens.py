@@ -69,9 +69,20 @@ def pair_keys(syms: Column) -> Column:
     )
 
 
+def multi_symbol_words(counts: DataFrame) -> DataFrame:
+    """Word table of the pretokens that can hold a pair (two or more bytes).
+
+    The filter is on ``octet_length`` of the grouping key on purpose: Catalyst
+    pushes it below the aggregate, and a filter on ``size(syms)`` would be
+    pushed too, computing byte ids for every occurrence instead of every
+    distinct word."""
+    return word_table(counts.where(F.octet_length("token") >= 2))
+
+
 def pair_counts(words: DataFrame, min_frequency: int = MIN_FREQUENCY) -> DataFrame:
-    """A7 + F6: ``(pair, cnt)`` weighted by word frequency, ``cnt >= min_frequency``."""
-    multi = words.where(F.size("syms") >= 2)
+    """A7 + F6: ``(pair, cnt)`` weighted by word frequency, ``cnt >= min_frequency``.
+    ``words`` must hold only words of two or more symbols."""
+    multi = words
     pairs = multi.select("freq", F.explode(pair_keys(F.col("syms"))).alias("pair"))
     counts = pairs.groupBy("pair").agg(F.sum("freq").alias("cnt"))
     return counts.where(F.col("cnt") >= min_frequency)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkiln.functions.text import py_nonblank, py_splitlines, py_strip
+from textkiln.functions.text import PY_SPACE, py_nonblank, py_splitlines, py_strip
 from textkiln.operators.positions import row_index
 
 
@@ -33,11 +33,10 @@ def text_lines(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
 def seed_items(lines: DataFrame, order: list[str]) -> DataFrame:
     """Apply the seed rule to ``lines(<order cols>, line)`` and number the
     survivors 1-based in ``order`` without a single-partition window."""
-    items = (
-        lines.withColumn("item", py_strip("line"))
-        .where(py_nonblank("item") & ~F.col("item").startswith("#"))
-        .drop("line")
-    )
+    # Tested on the raw line (same truth value as on the stripped item), so
+    # the strip regex runs once, on survivors only, after the filter.
+    comment = F.col("line").rlike(f"^{PY_SPACE}*#")
+    items = lines.where(py_nonblank("line") & ~comment).withColumn("item", py_strip("line")).drop("line")
     numbered = row_index(items, order, out="seed_pos")
     return numbered.withColumn("seed_pos", F.col("seed_pos") + 1)
 
