@@ -60,7 +60,7 @@ def pretoken_vocab(docs: DataFrame, key: str = "doc_id", text_col: str = "text")
 
 @dataclass
 class IdStream:
-    docs: DataFrame  # (doc_id, n, doc_start, ids array<int>) -- checkpointed
+    docs: DataFrame  # (doc_id, n, doc_start, ids array<int>) -- from checkpointed parts
     n_total: int
     vocab_size: int
 
@@ -157,22 +157,66 @@ class IdStream:
 
 
 def _assemble(docs_ids: DataFrame, vocab_size: int) -> IdStream:
-    narrow = docs_ids.select("doc_id", F.size("ids").cast("long").alias("n"))
+    """Materialise the per-document id arrays once (reliable checkpoint), then
+    add ``doc_start`` from the narrow ``(doc_id, n)`` prefix sum.  The offsets
+    side is broadcast only when its row count proves it small."""
+    ids = cut_lineage(docs_ids.select("doc_id", "ids"))
+    narrow = ids.select("doc_id", F.size("ids").cast("long").alias("n"))
     offs = ordered_offsets(narrow, ["doc_id"], "n", out="doc_start")
     n_total = offs.agg(F.sum("n")).first()[0] or 0
-    table = docs_ids.join(sized_broadcast(offs.select("doc_id", "n", "doc_start")), "doc_id")
-    return IdStream(cut_lineage(table.select("doc_id", "n", "doc_start", "ids")), int(n_total), vocab_size)
+    table = ids.join(sized_broadcast(offs.select("doc_id", "n", "doc_start")), "doc_id")
+    return IdStream(table.select("doc_id", "n", "doc_start", "ids"), int(n_total), vocab_size)
+
+
+def _lookup_fn(bc_tokens):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        vocab = pa.array(bc_tokens.value, pa.string())
+        for batch in batches:
+            keys, toks = batch.column(0), batch.column(1)
+            lens = pc.fill_null(pc.list_value_length(toks), 0).to_numpy(zero_copy_only=False)
+            idx = pc.index_in(toks.flatten(), value_set=vocab).cast(pa.int32())
+            offsets = pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32), pa.int32())
+            yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(offsets, idx)], names=["doc_id", "ids"])
+
+    return run
+
+
+def pretoken_ids(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text",
+                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``(doc_id, ids array<int>)``: pretokens replaced by vocabulary ids.
+
+    A vocabulary proven small by its row count is shipped to the tasks and
+    looked up per partition with Arrow (no shuffle).  A larger one is joined
+    at token level (Spark picks sort-merge; AQE splits a hot token) and the
+    ids are regrouped per document."""
+    from pyspark.sql import types as T
+
+    from textkiln.functions.text import frame_document
+    from textkiln.operators.pretokens import pretokenize
+
+    n_vocab = vocab.count()
+    if n_vocab <= max_broadcast_rows:
+        tokens = [r["token"] for r in vocab.orderBy("token_id").select("token").collect()]
+        bc = docs.sparkSession.sparkContext.broadcast(tokens)
+        staged = docs.select(F.col(key).alias("doc_id"), pretokenize(frame_document(text_col)).alias("toks"))
+        schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+        return staged.mapInArrow(_lookup_fn(bc), schema)
+    occ = doc_pretokens(docs, key, text_col)
+    ided = occ.join(vocab.select("token", F.col("token_id").cast("int")), "token")
+    return ided.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos_in_doc", "token_id"))).alias("t")).select(
+        F.col(key).alias("doc_id"), F.transform("t", lambda s: s["token_id"]).alias("ids")
+    )
 
 
 def pretoken_stream(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> tuple[IdStream, DataFrame]:
     """J4 at pretoken level: every pretoken of ``text + "\\n\\n"`` replaced by its
     vocabulary id; returns the stream and the vocabulary."""
     vocab = cut_lineage(pretoken_vocab(docs, key, text_col))
-    occ = doc_pretokens(docs, key, text_col)
-    ided = occ.join(sized_broadcast(vocab.select("token", F.col("token_id").cast("int"))), "token")
-    per_doc = ided.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos_in_doc", "token_id"))).alias("t")).select(
-        F.col(key).alias("doc_id"), F.transform("t", lambda s: s["token_id"]).alias("ids")
-    )
+    per_doc = pretoken_ids(docs, vocab, key, text_col)
     return _assemble(per_doc, vocab.count()), vocab
 
 
