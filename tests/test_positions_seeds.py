@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from textkiln.operators.positions import ordered_offsets, row_index
+from textkiln.operators.positions import group_offsets, ordered_offsets, row_index
 from textkiln.sources.seeds import EmptyInputError, read_seed_file, require_nonempty, seed_items
 
 
@@ -13,6 +13,24 @@ def test_offsets_equal_unpartitioned_window(spark):
     assert got.join(ref.select("id", "ref"), "id").where("off != ref").count() == 0
 
 
+def test_group_offsets_with_a_hot_group(spark):
+    # Group "hot" holds a third of the rows; it must spread over partitions
+    # and still give the per-group running sum of a partitioned window.
+    df = spark.range(0, 9000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 17).cast("string"))).alias("g"),
+        (F.col("id") * 5 % 11).alias("w"),
+    )
+    got = group_offsets(df, ["g"], [F.col("id").desc()], "w", "off", num_partitions=6)
+    w = Window.partitionBy("g").orderBy(F.col("id").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ref = df.withColumn("ref", F.coalesce(F.sum("w").over(w), F.lit(0)))
+    assert got.count() == 9000
+    assert got.join(ref.select("id", "ref"), "id").where("off != ref").count() == 0
+    ranks = group_offsets(df, ["g"], ["id"], out="r", num_partitions=6)
+    hot = ranks.where("g = 'hot'").orderBy("id").select("r").collect()
+    assert [r["r"] for r in hot] == list(range(3000))
+
+
 def test_row_index_descending_keys(spark):
     df = spark.createDataFrame([("b", 2), ("a", 2), ("c", 5), ("d", 1)], "t string, c long")
     got = {r["t"]: r["i"] for r in row_index(df, [F.col("c").desc(), F.col("t").asc()], "i").collect()}

@@ -19,8 +19,9 @@ per level is bounded by ``cap`` and is broadcast into the member join.
 Paging (W3): a category's pages are read while the articles collected so far
 are fewer than ``limit``; articles are then truncated to ``limit`` and
 subcategories on unread pages are lost.  Computed on the page table (members
-pre-aggregated per page, 1/page_size of the rows) and a within-page rank, so
-no window runs over all members of a (possibly huge) category.
+pre-aggregated per page, 1/page_size of the rows) with a range-partitioned
+running sum, and a within-page rank, so no task holds all members or pages
+of a (possibly huge) category.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textkiln.functions.text import CATEGORY_PREFIX
-from textkiln.operators.positions import row_index
+from textkiln.operators.positions import group_offsets, row_index
 from textkiln.session import cut_lineage
 from textkiln.sources.landed import NS_ARTICLE, NS_CATEGORY, PAGE_SIZE
 
@@ -63,8 +64,9 @@ def read_members(members: DataFrame, limit: int = MAX_PAGES_PER_CATEGORY, page_s
     m = classify_members(members, namespaces).withColumn("page_no", F.floor(F.col("pos") / page_size).cast("long"))
     art = (F.col("kind") == "article").cast("long")
     pages = m.groupBy("cat", "page_no").agg(F.sum(art).alias("n_art"))
-    before = F.sum("n_art").over(Window.partitionBy("cat").orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1))
-    pages = pages.withColumn("art_before", F.coalesce(before, F.lit(0)))
+    # Articles on earlier pages of the category; a hot category's pages are
+    # spread over range partitions instead of one window task.
+    pages = group_offsets(pages, ["cat"], ["page_no"], "n_art", out="art_before")
     read = pages.where(F.col("art_before") < limit).select("cat", "page_no", "art_before")
     on_read = m.join(read, ["cat", "page_no"])
     # Rank of an article inside its page: groups are bounded by page_size.

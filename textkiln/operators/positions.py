@@ -30,11 +30,20 @@ from pyspark.sql import types as T
 
 from textkiln.session import cut_lineage
 
+# Above this many rows a lookup side is shuffled instead of broadcast.
+BROADCAST_MAX_ROWS = 2_000_000
+
 _PID = "_tk_pid"
 _LOCAL = "_tk_local"
 _W = "_tk_w"
 
 
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when a count proves it small; else leave the join
+    to Spark (sort-merge with AQE skew splitting)."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def _local_cumsum(batches):
     pid = TaskContext.get().partitionId()
     running = 0
@@ -89,3 +98,29 @@ def ordered_offsets(
 def row_index(df: DataFrame, order: list[Column | str], out: str = "row_idx", num_partitions: int | None = None) -> DataFrame:
     """0-based global row number in ``order``."""
     return ordered_offsets(df, order, None, out, num_partitions)
+
+
+def group_offsets(
+    df: DataFrame,
+    group: list[str],
+    order: list[Column | str],
+    weight: Column | str | None = None,
+    out: str = "offset",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Running sum of ``weight`` over the rows strictly before this one inside
+    its ``group`` (0-based rank when ``weight`` is None).
+
+    A window partitioned by the group sorts a whole group in one task, so one
+    hot group holding a third of the rows is one task.  Here the rows are
+    numbered globally in ``(group, order)`` over balanced range partitions
+    (a hot group spans many of them), and each group's start -- the smallest
+    global offset in it, one row per group after a partial aggregate -- is
+    subtracted.  Group keys must be non-null."""
+    glob = ordered_offsets(df, [*group, *order], weight, "_tk_goff", num_partitions)
+    starts = glob.groupBy(*group).agg(F.min("_tk_goff").alias("_tk_gstart"))
+    return (
+        glob.join(sized_broadcast(starts), group)
+        .withColumn(out, F.col("_tk_goff") - F.col("_tk_gstart"))
+        .drop("_tk_goff", "_tk_gstart")
+    )

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textkiln.operators.positions import ordered_offsets, row_index
+from textkiln.operators.positions import BROADCAST_MAX_ROWS, ordered_offsets, row_index, sized_broadcast
 from textkiln.operators.pretokens import doc_pretokens, pretoken_counts
 from textkiln.session import cut_lineage
 
@@ -38,20 +38,11 @@ TRAIN_NUMERATOR, TRAIN_DENOMINATOR = 9, 10
 # Knuth's multiplicative hash constant for deterministic window starts.
 HASH_MULT = 2654435761
 
-# Above this many rows a lookup side is shuffled instead of broadcast.
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 class BlockTooLongError(ValueError):
     """A split must hold more than ``block`` tokens."""
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; else leave the join
-    to Spark (sort-merge with AQE skew splitting)."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def pretoken_vocab(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(token, cnt, token_id)``; id = rank by ``(cnt desc, token)`` from 0."""
     counts = pretoken_counts(doc_pretokens(docs, key, text_col))

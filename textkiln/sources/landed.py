@@ -13,11 +13,12 @@ arrival order inside a category: title descending, so articles come first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textkiln.functions.text import CATEGORY_PREFIX
+from textkiln.operators.positions import group_offsets, sized_broadcast
 from textkiln.sources.tables import load
 
 # Fixed values (API contract): namespaces of articles and subcategories.
@@ -78,11 +79,10 @@ def category_members(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(pfx, "n_name").alias("cat"), F.lit(NS_ARTICLE).alias("ns"), F.col("c_name").alias("title")
     )
     edges = subcats.unionByName(region_articles).unionByName(nation_articles)
-    # Arrival order inside a category.  The window is per category; a hot
-    # category is one sort task (members of one category are ordered by
-    # definition of the API).
-    w = Window.partitionBy("cat").orderBy(F.col("title").desc())
-    return edges.withColumn("pos", F.row_number().over(w) - 1)
+    # Arrival order inside a category.  A nation category holds all customers
+    # of that nation, so one category can hold a large share of the rows: the
+    # rank is taken over balanced range partitions, not a per-category window.
+    return group_offsets(edges, ["cat"], [F.col("title").desc()], out="pos")
 
 
 def member_responses(members: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -93,7 +93,7 @@ def member_responses(members: DataFrame, page_size: int = PAGE_SIZE) -> DataFram
         F.sort_array(F.collect_list(F.struct("pos", "ns", "title"))).alias("m"),
     )
     last = pages.groupBy("cat").agg(F.max("page_no").alias("last_page"))
-    pages = pages.join(last, "cat")
+    pages = pages.join(sized_broadcast(last), "cat")
     body = F.to_json(F.struct(
         F.struct(F.transform("m", lambda x: F.struct(x["ns"].alias("ns"), x["title"].alias("title")))
                  .alias("categorymembers")).alias("query"),
