@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textkiln.operators.positions import BROADCAST_MAX_ROWS, sized_broadcast
 from textkiln.session import cut_lineage
 
 # Reference generation defaults.
@@ -49,6 +50,10 @@ def split_loss(pairs: DataFrame, vocab_size: int) -> DataFrame:
     grouped = pairs.groupBy("split", "x", "y").agg(F.count(F.lit(1)).alias("m"))
     train = grouped.where(F.col("split") == "train").select("x", "y", F.col("m").alias("c"))
     ctx = train.groupBy("x").agg(F.sum("c").alias("cx"))
+    # One row per context, so at most ``vocab_size`` rows: broadcast under the
+    # bound, else a shuffle join (AQE splits a hot context).
+    if vocab_size <= BROADCAST_MAX_ROWS:
+        ctx = F.broadcast(ctx)
     scored = grouped.join(train, ["x", "y"], "left").join(ctx, "x", "left")
     c = F.coalesce(F.col("c"), F.lit(0))
     cx = F.coalesce(F.col("cx"), F.lit(0))
@@ -101,12 +106,15 @@ def generate(
     ``(pid, ids, new_ids)``.  Each step joins the current context (last token)
     to its candidates and keeps the drawn row; a context with no observed
     successor stops.  Lineage is cut every few steps with reliable checkpoints.
+    The candidate table (kept successors per context) is broadcast when its
+    row count proves it small, so a hot context among the prompts costs no
+    shuffle; otherwise the join shuffles on the context.
     """
     state = prompts.select(
         "pid", "ids", F.array().cast("array<int>").alias("new_ids"),
         F.try_element_at("ids", F.lit(-1)).alias("ctx"), (F.size("ids") > 0).alias("live"),
     )
-    cand = cut_lineage(cum.select("x", "y", "lo", "hi", "tot"))
+    cand = sized_broadcast(cut_lineage(cum.select("x", "y", "lo", "hi", "tot")))
     for step in range(max_new_tokens):
         # One left join per step: the range condition keeps exactly the drawn
         # candidate (or none for a finished prompt).

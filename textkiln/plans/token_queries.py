@@ -338,7 +338,38 @@ def sample_next_token(spark, sf_dir):
     return N.sample(_cum(spark, sf_dir), SEED)
 
 
-@query("generate_batch")
+def _step_uniform_sql(seed: int) -> str:
+    """``seeded_uniform(pid, step, ctx)`` over the recursive state ``g``."""
+    h = f"({seed} * 40503 + 12345)"
+    for k in ("g.pid", "g.step", "g.ctx"):
+        h = f"(({h} * 31 + {k}) % {N.U_MOD})"
+    return f"(CAST(({h} * {N.U_MULT}) % {N.U_MOD} AS DOUBLE) / {N.U_MOD})"
+
+
+@query("generate_batch", f"""
+WITH RECURSIVE {SQL_TOKS},
+ptoks AS (
+  SELECT pid, CAST(unnest(range(len(l))) AS BIGINT) AS i, unnest(l) AS token
+  FROM (SELECT CAST(conv_id AS BIGINT) * 1000 + turn AS pid, {_pretok("text")} AS l
+        FROM conversations WHERE role = 'user')
+),
+prompts AS (
+  SELECT p.pid, CAST(count(*) AS BIGINT) AS n_prompt, arg_max(v.token_id, p.i) AS ctx
+  FROM ptoks p JOIN vocab v USING (token) GROUP BY p.pid
+),
+gen(pid, step, ctx, new_ids) AS (
+  SELECT pid, 0, ctx, '' FROM prompts
+  UNION ALL
+  SELECT g.pid, g.step + 1, c.y,
+         CASE WHEN g.new_ids = '' THEN CAST(c.y AS VARCHAR) ELSE g.new_ids || ' ' || CAST(c.y AS VARCHAR) END
+  FROM gen g JOIN cum c
+    ON c.x = g.ctx AND c.lo <= {_step_uniform_sql(SEED)} * c.tot AND {_step_uniform_sql(SEED)} * c.tot < c.hi
+  WHERE g.step < {GEN_STEPS}
+)
+SELECT p.pid, p.n_prompt, arg_max(g.new_ids, g.step) AS new_ids
+FROM prompts p JOIN gen g USING (pid)
+GROUP BY p.pid, p.n_prompt
+""")
 def generate_batch(spark, sf_dir):
     """Continue every user turn of ``conversations`` by a few tokens."""
     stream, vocab = _pretoken(spark, sf_dir)
