@@ -46,20 +46,32 @@ def bigram_counts(pairs: DataFrame) -> DataFrame:
 
 
 def split_loss(pairs: DataFrame, vocab_size: int) -> DataFrame:
-    """A10: ``(split, n_pairs, loss)`` with add-one smoothing over ``V``."""
-    grouped = pairs.groupBy("split", "x", "y").agg(F.count(F.lit(1)).alias("m"))
-    train = grouped.where(F.col("split") == "train").select("x", "y", F.col("m").alias("c"))
-    ctx = train.groupBy("x").agg(F.sum("c").alias("cx"))
-    # One row per context, so at most ``vocab_size`` rows: broadcast under the
-    # bound, else a shuffle join (AQE splits a hot context).
+    """A10: ``(split, n_pairs, loss)`` with add-one smoothing over ``V``.
+
+    One aggregate per ``(x, y)`` counts both splits (``c`` train, ``m_val``
+    val), so no self-join on ``(x, y)`` is needed; the per-context train total
+    has one row per context (at most ``vocab_size`` rows): broadcast under the
+    bound, else a shuffle join (AQE splits a hot context)."""
+    is_train = F.col("split") == "train"
+    g = pairs.groupBy("x", "y").agg(
+        F.count_if(is_train).alias("c"), F.count_if(~is_train).alias("m_val"),
+    )
+    ctx = g.groupBy("x").agg(F.sum("c").alias("cx"))
     if vocab_size <= BROADCAST_MAX_ROWS:
         ctx = F.broadcast(ctx)
-    scored = grouped.join(train, ["x", "y"], "left").join(ctx, "x", "left")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    cx = F.coalesce(F.col("cx"), F.lit(0))
-    nll = -F.log((c + 1) / (cx + F.lit(vocab_size)))
-    out = scored.groupBy("split").agg(F.sum("m").alias("n_pairs"), F.sum(nll * F.col("m")).alias("tot"))
-    return out.select("split", "n_pairs", F.round(F.col("tot") / F.col("n_pairs"), 6).alias("loss"))
+    scored = g.join(ctx, "x")
+    nll = -F.log((F.col("c") + 1) / (F.col("cx") + F.lit(vocab_size)))
+    t = scored.agg(
+        F.sum("c").alias("n_train"), F.sum(nll * F.col("c")).alias("tot_train"),
+        F.sum("m_val").alias("n_val"), F.sum(nll * F.col("m_val")).alias("tot_val"),
+    )
+    rows = t.select(F.explode(F.array(
+        F.struct(F.lit("train").alias("split"), F.col("n_train").alias("n_pairs"), F.col("tot_train").alias("tot")),
+        F.struct(F.lit("val").alias("split"), F.col("n_val").alias("n_pairs"), F.col("tot_val").alias("tot")),
+    )).alias("r")).select("r.*")
+    return rows.where(F.col("n_pairs") > 0).select(
+        "split", "n_pairs", F.round(F.col("tot") / F.col("n_pairs"), 6).alias("loss")
+    )
 
 
 def top_k(counts: DataFrame, k: int = TOP_K, vocab_size: int | None = None) -> DataFrame:

@@ -149,11 +149,14 @@ class IdStream:
 
 def _assemble(docs_ids: DataFrame, vocab_size: int) -> IdStream:
     """Materialise the per-document id arrays once (reliable checkpoint), then
-    add ``doc_start`` from the narrow ``(doc_id, n)`` prefix sum.  The offsets
-    side is broadcast only when its row count proves it small."""
+    add ``doc_start`` from the narrow ``(doc_id, n)`` prefix sum, also
+    materialised.  The offsets side is broadcast only when its row count proves
+    it small."""
     ids = cut_lineage(docs_ids.select("doc_id", "ids"))
     narrow = ids.select("doc_id", F.size("ids").cast("long").alias("n"))
-    offs = ordered_offsets(narrow, ["doc_id"], "n", out="doc_start")
+    # The offsets are narrow (one row per document) and every downstream
+    # operator reads them, so they are materialised once.
+    offs = cut_lineage(ordered_offsets(narrow, ["doc_id"], "n", out="doc_start").select("doc_id", "n", "doc_start"))
     n_total = offs.agg(F.sum("n")).first()[0] or 0
     table = ids.join(sized_broadcast(offs.select("doc_id", "n", "doc_start")), "doc_id")
     return IdStream(table.select("doc_id", "n", "doc_start", "ids"), int(n_total), vocab_size)
