@@ -154,7 +154,55 @@ def bpe_pair_counts(spark, sf_dir):
     return P.split_pair(P.pair_counts(words)).select("left_id", "right_id", F.col("cnt").cast("long"))
 
 
-@query("bpe_train")
+def _byte_char_sql(b: str) -> str:
+    """Code point of the byte-level character that stands for byte ``b``."""
+    return (f"CASE WHEN {b} BETWEEN 33 AND 126 OR {b} BETWEEN 161 AND 172 OR {b} BETWEEN 174 AND 255 THEN {b} "
+            f"WHEN {b} <= 32 THEN {b} + 256 WHEN {b} BETWEEN 127 AND 160 THEN {b} + 162 ELSE 323 END")
+
+
+# One merge per recursion step (the sequential definition).  A word is a
+# string of symbols ``<id:hex>``; DuckDB's left-to-right ``replace`` of
+# ``<l:hl><r:hr>`` by ``<new:hlhr>`` is the greedy merge, and the hex bytes
+# give the learned token's text.
+_SQL_BPE_TRAIN = f"""
+WITH RECURSIVE {SQL_LINE_COUNTS},
+w0 AS (
+  SELECT cnt AS freq,
+         array_to_string(list_transform(range(strlen(token)), lambda i:
+           '<' || CAST({_byte_id_sql(_byte_sql('h', 'i'))} AS VARCHAR) || ':' || substr(h, 2 * i + 1, 2) || '>'), '') AS syms
+  FROM (SELECT cnt, token, hex(token) AS h FROM line_counts WHERE strlen(token) >= 2)
+),
+bpe(it, freq, syms, ml, mr, mh) AS (
+  SELECT 0, freq, syms, NULL::INTEGER, NULL::INTEGER, NULL::VARCHAR FROM w0
+  UNION ALL
+  SELECT b.it + 1, b.freq,
+         replace(b.syms, '<' || x.best.l || ':' || x.best.lh || '><' || x.best.r || ':' || x.best.rh || '>',
+                 '<' || CAST(257 + b.it AS VARCHAR) || ':' || x.best.lh || x.best.rh || '>'),
+         x.best.l, x.best.r, x.best.lh || x.best.rh
+  FROM bpe b, (
+    SELECT (
+      SELECT {{'l': l, 'r': r, 'lh': lh, 'rh': rh, 'c': c}}
+      FROM (
+        SELECT CAST(split_part(p.a, ':', 1) AS INTEGER) AS l, CAST(split_part(p.b, ':', 1) AS INTEGER) AS r,
+               split_part(p.a, ':', 2) AS lh, split_part(p.b, ':', 2) AS rh, sum(freq) AS c
+        FROM (
+          SELECT freq, unnest(list_transform(range(1, len(t)), lambda i: {{'a': t[i], 'b': t[i + 1]}})) AS p
+          FROM (SELECT freq, string_split(substr(syms, 2, strlen(syms) - 2), '><') AS t FROM bpe)
+        )
+        GROUP BY 1, 2, 3, 4
+      )
+      ORDER BY c DESC, l, r LIMIT 1
+    ) AS best
+  ) x
+  WHERE b.it < {BPE_VOCAB - 257} AND x.best.c >= 2
+)
+SELECT DISTINCT CAST(it - 1 AS INTEGER) AS rank, ml AS left_id, mr AS right_id, CAST(256 + it AS INTEGER) AS new_id,
+       array_to_string(list_transform(range(strlen(mh) // 2), lambda i: chr(CAST({_byte_char_sql(_byte_sql('mh', 'i'))} AS INTEGER))), '') AS token
+FROM bpe WHERE it >= 1
+"""
+
+
+@query("bpe_train", _SQL_BPE_TRAIN)
 def bpe_train(spark, sf_dir):
     """A8 + L5: learned merges ``(rank, left_id, right_id, new_id, token)``."""
     return _model(spark, sf_dir).merges_df(spark)
