@@ -160,27 +160,30 @@ def _byte_char_sql(b: str) -> str:
             f"WHEN {b} <= 32 THEN {b} + 256 WHEN {b} BETWEEN 127 AND 160 THEN {b} + 162 ELSE 323 END")
 
 
-# One merge per recursion step (the sequential definition).  A word is a
-# string of symbols ``<id:hex>``; DuckDB's left-to-right ``replace`` of
+def _symbols_sql(tok: str, h: str) -> str:
+    """A word as a string of symbols ``<byte id:hex>``, one per UTF-8 byte."""
+    return (f"array_to_string(list_transform(range(strlen({tok})), lambda i: "
+            f"'<' || CAST({_byte_id_sql(_byte_sql(h, 'i'))} AS VARCHAR) || ':' || substr({h}, 2 * i + 1, 2) || '>'), '')")
+
+
+# Training, one merge per recursion step (the sequential definition).  A word
+# is a string of symbols ``<id:hex>``; DuckDB's left-to-right ``replace`` of
 # ``<l:hl><r:hr>`` by ``<new:hlhr>`` is the greedy merge, and the hex bytes
-# give the learned token's text.
-_SQL_BPE_TRAIN = f"""
-WITH RECURSIVE {SQL_LINE_COUNTS},
+# give the learned token's text.  ``merges`` keeps pattern and replacement.
+_SQL_BPE_MERGES = f"""{SQL_LINE_COUNTS},
 w0 AS (
-  SELECT cnt AS freq,
-         array_to_string(list_transform(range(strlen(token)), lambda i:
-           '<' || CAST({_byte_id_sql(_byte_sql('h', 'i'))} AS VARCHAR) || ':' || substr(h, 2 * i + 1, 2) || '>'), '') AS syms
+  SELECT cnt AS freq, {_symbols_sql('token', 'h')} AS syms
   FROM (SELECT cnt, token, hex(token) AS h FROM line_counts WHERE strlen(token) >= 2)
 ),
-bpe(it, freq, syms, ml, mr, mh) AS (
-  SELECT 0, freq, syms, NULL::INTEGER, NULL::INTEGER, NULL::VARCHAR FROM w0
+bpe(it, freq, syms, ml, mr, mh, mpat, mrep) AS (
+  SELECT 0, freq, syms, NULL::INTEGER, NULL::INTEGER, NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR FROM w0
   UNION ALL
-  SELECT b.it + 1, b.freq,
-         replace(b.syms, '<' || x.best.l || ':' || x.best.lh || '><' || x.best.r || ':' || x.best.rh || '>',
-                 '<' || CAST(257 + b.it AS VARCHAR) || ':' || x.best.lh || x.best.rh || '>'),
-         x.best.l, x.best.r, x.best.lh || x.best.rh
+  SELECT b.it + 1, b.freq, replace(b.syms, x.pat, x.rep), x.best.l, x.best.r, x.best.lh || x.best.rh, x.pat, x.rep
   FROM bpe b, (
-    SELECT (
+    SELECT best,
+           '<' || best.l || ':' || best.lh || '><' || best.r || ':' || best.rh || '>' AS pat,
+           '<' || CAST(257 + (SELECT max(it) FROM bpe) AS VARCHAR) || ':' || best.lh || best.rh || '>' AS rep
+    FROM (SELECT (
       SELECT {{'l': l, 'r': r, 'lh': lh, 'rh': rh, 'c': c}}
       FROM (
         SELECT CAST(split_part(p.a, ':', 1) AS INTEGER) AS l, CAST(split_part(p.b, ':', 1) AS INTEGER) AS r,
@@ -192,15 +195,53 @@ bpe(it, freq, syms, ml, mr, mh) AS (
         GROUP BY 1, 2, 3, 4
       )
       ORDER BY c DESC, l, r LIMIT 1
-    ) AS best
+    ) AS best)
   ) x
   WHERE b.it < {BPE_VOCAB - 257} AND x.best.c >= 2
-)
-SELECT DISTINCT CAST(it - 1 AS INTEGER) AS rank, ml AS left_id, mr AS right_id, CAST(256 + it AS INTEGER) AS new_id,
+),
+merges AS (
+  SELECT DISTINCT CAST(it - 1 AS INTEGER) AS rank, ml AS left_id, mr AS right_id, CAST(256 + it AS INTEGER) AS new_id,
+         mh, mpat, mrep
+  FROM bpe WHERE it >= 1
+)"""
+
+_SQL_BPE_TRAIN = f"""
+WITH RECURSIVE {_SQL_BPE_MERGES}
+SELECT rank, left_id, right_id, new_id,
        array_to_string(list_transform(range(strlen(mh) // 2), lambda i: chr(CAST({_byte_char_sql(_byte_sql('mh', 'i'))} AS INTEGER))), '') AS token
-FROM bpe WHERE it >= 1
+FROM merges
 """
 
+# Encoding: framed documents split on the special token (id 0 between the
+# parts), pretokenized in document mode; each distinct word gets the merges
+# applied in rank order (equal to merging the lowest-ranked pair first).
+_SQL_BPE_ENC = f"""{_SQL_BPE_MERGES},
+segs AS (
+  SELECT doc_id, unnest(range(len(parts))) AS si, unnest(parts) AS seg
+  FROM (SELECT doc_id, string_split(text || chr(10) || chr(10), '{SPECIAL_TOKEN}') AS parts FROM documents)
+),
+dtoks AS (
+  SELECT doc_id, si, unnest(range(len(l))) AS ti, unnest(l) AS token FROM (SELECT doc_id, si, {_pretok('seg')} AS l FROM segs)
+),
+enc(k, token, syms) AS (
+  SELECT 0, token, {_symbols_sql('token', 'hex(token)')} FROM (SELECT DISTINCT token FROM dtoks)
+  UNION ALL
+  SELECT e.k + 1, e.token, replace(e.syms, m.mpat, m.mrep) FROM enc e JOIN merges m ON m.rank = e.k
+),
+word_ids AS (
+  SELECT token, list_transform(string_split(substr(syms, 2, strlen(syms) - 2), '><'),
+                               lambda x: CAST(split_part(x, ':', 1) AS INTEGER)) AS wids
+  FROM enc WHERE k = (SELECT count(*) FROM merges)
+),
+pieces AS (
+  SELECT d.doc_id, d.si, d.ti, w.wids FROM dtoks d JOIN word_ids w USING (token)
+  UNION ALL
+  SELECT doc_id, si, -1, [{SPECIAL_ID}] FROM segs WHERE si > 0
+),
+encoded AS (
+  SELECT doc_id, flatten(list(wids ORDER BY si, ti)) AS ids FROM pieces GROUP BY doc_id
+)"""
+
 
 @query("bpe_train", _SQL_BPE_TRAIN)
 def bpe_train(spark, sf_dir):
@@ -208,7 +249,10 @@ def bpe_train(spark, sf_dir):
     return _model(spark, sf_dir).merges_df(spark)
 
 
-@query("encode_documents")
+@query("encode_documents", f"""
+WITH RECURSIVE {_SQL_BPE_ENC}
+SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, ids FROM encoded
+""")
 def encode_documents(spark, sf_dir):
     """BPE ids of every framed document."""
     enc = B.encode_documents(_model(spark, sf_dir), _docs(spark, sf_dir))
@@ -225,7 +269,14 @@ def decode_roundtrip(spark, sf_dir):
     return enc.select("doc_id", B.decode_ids(m, F.col("ids")).alias("text"))
 
 
-@query("corpus_meta")
+@query("corpus_meta", f"""
+WITH RECURSIVE {_SQL_BPE_ENC},
+tot AS (SELECT CAST(sum(len(ids)) AS BIGINT) AS n FROM encoded),
+nm AS (SELECT CAST(count(*) AS BIGINT) AS k FROM merges)
+SELECT CAST(257 + k AS BIGINT) AS vocab_size, '{SPECIAL_TOKEN}' AS special_token, CAST({SPECIAL_ID} AS BIGINT) AS special_id,
+       k AS n_merges, n AS n_tokens, CAST((9 * n) // 10 AS BIGINT) AS n_train, CAST(n - (9 * n) // 10 AS BIGINT) AS n_val
+FROM tot, nm
+""")
 def corpus_meta(spark, sf_dir):
     """S13 + A9 + T4: vocabulary size, special token and split sizes."""
     stream = _bpe_stream(spark, sf_dir)
@@ -234,7 +285,12 @@ def corpus_meta(spark, sf_dir):
     return spark.createDataFrame(row, "vocab_size long, special_token string, special_id long, n_merges long, n_tokens long, n_train long, n_val long")
 
 
-@query("vocab_check")
+@query("vocab_check", f"""
+WITH RECURSIVE {_SQL_BPE_ENC},
+nm AS (SELECT CAST(257 + count(*) AS BIGINT) AS v FROM merges),
+mx AS (SELECT CAST(max(list_max(ids)) AS BIGINT) AS max_id FROM encoded)
+SELECT v AS model_vocab, v AS data_vocab, max_id, max_id < v AS ok FROM nm, mx
+""")
 def vocab_check(spark, sf_dir):
     """T5: the encoded data fits the tokenizer (raises on mismatch)."""
     stream = _bpe_stream(spark, sf_dir)
@@ -245,7 +301,12 @@ def vocab_check(spark, sf_dir):
                                  "model_vocab long, data_vocab long, max_id long, ok boolean")
 
 
-@query("bpe_chars_per_token")
+@query("bpe_chars_per_token", f"""
+WITH RECURSIVE {_SQL_BPE_ENC},
+tot AS (SELECT CAST(sum(len(ids)) AS BIGINT) AS n FROM encoded),
+ch AS (SELECT CAST(sum(length(text) + 2) AS BIGINT) AS c FROM documents)
+SELECT c AS n_chars, n AS n_tokens, round(c / greatest(n, 1), 6) AS chars_per_token FROM tot, ch
+""")
 def bpe_chars_per_token(spark, sf_dir):
     """P7 for the BPE stream."""
     enc = B.encode_documents(_model(spark, sf_dir), _docs(spark, sf_dir)).select(F.size("ids").alias("n"))
