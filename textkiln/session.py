@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     # Arrow batches for the two Python helpers (HTML, BPE encode) stay small
     # because a row can hold a whole web page.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    # ... and bounded in bytes, so a batch of large pages stays a few MB.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
     "spark.ui.enabled": "false",
 }
 
