@@ -58,3 +58,23 @@ def test_empty_guard(spark):
     with pytest.raises(EmptyInputError):
         require_nonempty(spark.createDataFrame([], "x int"), "seed list")
     assert require_nonempty(spark.range(1), "x").count() == 1
+
+
+def test_seed_file_missing_or_without_items(spark, tmp_path):
+    with pytest.raises(EmptyInputError):
+        read_seed_file(spark, str(tmp_path / "absent.txt"))
+    p = tmp_path / "only_comments.txt"
+    p.write_text("# a\n\n   \n  # b\n", encoding="utf-8")
+    with pytest.raises(EmptyInputError):
+        read_seed_file(spark, str(p))
+
+
+def test_empty_corpus_stops_training_and_stream(spark):
+    from textkiln.operators import bpe as B
+    from textkiln.operators import token_stream as S
+
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    with pytest.raises(EmptyInputError):
+        B.train_bpe(empty, vocab_size=260)
+    with pytest.raises(EmptyInputError):
+        S.pretoken_stream(empty)

@@ -62,6 +62,7 @@ from textkiln.operators.pretokens import (
 )
 from textkiln.functions.text import frame_document
 from textkiln.session import cut_lineage
+from textkiln.sources.seeds import require_nonempty
 
 # Reference training parameters.
 VOCAB_SIZE = 8000
@@ -182,6 +183,7 @@ def train_bpe(
 ) -> BpeModel:
     """Learn merges until ``vocab_size`` entries or the best pair is rarer
     than ``min_frequency``."""
+    require_nonempty(docs, "training corpus")  # S3
     words = training_words(docs, text_col).select("freq", "syms")
     words = cut_lineage(words)
     words_cached = False

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from textkiln.functions.text import CATEGORY_PREFIX
 from textkiln.operators.positions import group_offsets, row_index
 from textkiln.session import cut_lineage
+from textkiln.sources.seeds import require_nonempty
 from textkiln.sources.landed import NS_ARTICLE, NS_CATEGORY, PAGE_SIZE
 
 # Reference crawl limits.
@@ -109,6 +110,7 @@ def walk(
 ) -> Walk:
     """Level-wise walk from ``seeds(seed_pos, cat)``."""
     spark = seeds.sparkSession
+    require_nonempty(seeds, "category seed list")  # S3
     cands = seeds.select("cat", F.lit(0).cast("long").alias("o1"), F.col("seed_pos").cast("long").alias("o2"))
     visited = None
     reads = []

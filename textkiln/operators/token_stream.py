@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from textkiln.operators.positions import BROADCAST_MAX_ROWS, ordered_offsets, row_index, sized_broadcast
 from textkiln.operators.pretokens import doc_pretokens, pretoken_counts
 from textkiln.session import cut_lineage
+from textkiln.sources.seeds import require_nonempty
 
 # Reference sampling shape and split fraction (train = first 9/10).
 BLOCK_SIZE = 128
@@ -209,6 +210,7 @@ def pretoken_ids(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_co
 def pretoken_stream(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> tuple[IdStream, DataFrame]:
     """J4 at pretoken level: every pretoken of ``text + "\\n\\n"`` replaced by its
     vocabulary id; returns the stream and the vocabulary."""
+    require_nonempty(docs, "corpus")  # S3
     vocab = cut_lineage(pretoken_vocab(docs, key, text_col))
     per_doc = pretoken_ids(docs, vocab, key, text_col)
     return _assemble(per_doc, vocab.count()), vocab
@@ -217,5 +219,6 @@ def pretoken_stream(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
 def bpe_stream(model, docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> IdStream:
     from textkiln.operators.bpe import encode_documents
 
+    require_nonempty(docs, "corpus")  # S3
     enc = encode_documents(model, docs, key, text_col).withColumnRenamed(key, "doc_id")
     return _assemble(enc, model.vocab_size)

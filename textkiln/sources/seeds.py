@@ -47,11 +47,18 @@ def read_seed_file(spark: SparkSession, path: str) -> DataFrame:
     ``spark.read.text`` keeps each file's lines in split order, so
     ``(file, monotonically_increasing_id)`` is file order.  It splits lines on
     ``\\n``, ``\\r\\n`` and ``\\r`` only (Python's splitlines knows more breaks).
+    S3: a missing path or a list without items stops with ``EmptyInputError``.
     """
-    lines = spark.read.text(path).select(
+    from pyspark.errors import AnalysisException
+
+    try:
+        raw = spark.read.text(path)
+    except AnalysisException as exc:
+        raise EmptyInputError(f"seed list {path} is missing") from exc
+    lines = raw.select(
         F.input_file_name().alias("file"),
         F.monotonically_increasing_id().alias("line_no"),
         F.col("value").alias("line"),
     )
     out = seed_items(lines, ["file", "line_no"])
-    return out.select("seed_pos", "item")
+    return require_nonempty(out.select("seed_pos", "item"), f"seed list {path}")
