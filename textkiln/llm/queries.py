@@ -6,9 +6,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textkiln.llm import decontaminate, mixing, quality, toxicity
+from textkiln.llm import decontaminate, html_extract, mixing, quality, topk_search, toxicity, url_filter
 from textkiln.llm.common import doc_remainder, table
+from textkiln.llm.page_labels import labelled_pages
+from textkiln.llm.url_labels import labelled_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +67,27 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality").filter(doc_remainder("doc_id", 5) != 0))
     return toxicity.judged(quality.score(docs, model), 5, 0).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op8_url_filter")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"), url_filter.fit(labelled_urls(spark)))
+
+
+@query("op9_topk", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+@query("op10_extract")
+def op10_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"), html_extract.fit(labelled_pages()))
