@@ -95,7 +95,7 @@ def _forest(pages: list) -> tuple[np.ndarray, np.ndarray]:
     return x, parent
 
 
-def fit(pages: list[str], steps: int = 600, rate: float = 0.1, penalty: float = 0.001) -> Model:
+def fit(pages: list[str], steps: int = 400, rate: float = 0.1, penalty: float = 0.001) -> Model:
     """Maximum likelihood with an L2 penalty on labelled pages, whose elements
     carry ``data-label="content"`` or ``"other"``; a label holds for everything
     below, and what has none is ``other``."""

@@ -119,10 +119,13 @@ def _combined(inside: list[str], pages: int = 140, seed: int = 5) -> list[str]:
             lambda: f"<section><h3>{words}</h3><p>{rng.choice(_LONG)}</p></section>", lambda: f"<table><tr><th>{words}</th><td>3.2</td></tr></table>",
         ])()
 
+    inside = [*inside, *(part.replace(">", ' data-label="other">', 1) for part in (
+        f'<aside class="related"><p>{_LONG[1]} {_LONG[3]}</p></aside>', f"<aside><p>{_LONG[5]}</p></aside>", f'<div class="promo">{_LONG[0]}</div>',
+        f'<div class="ad-slot"><p>{_LONG[4]} {_LONG[2]}</p></div>', f"<footer><p>{_LONG[1]}</p></footer>", f"<form><p>{_LONG[2]}</p></form>"))]
     out = []
     for _ in range(pages):
         body = f"<h1>{' '.join(rng.choice(_LONG).split()[: rng.randint(1, 12)])}</h1>" + "".join(
-            rng.choice(inside) if rng.random() < 0.12 else block() for _ in range(rng.randint(1, 9)))
+            rng.choice(inside) if rng.random() < 0.25 else block() for _ in range(rng.randint(1, 9)))
         text = rng.choice([
             f'<article data-label="content">{body}</article>', f'<article data-label="content">{body}</article>', f'<main data-label="content"><article>{body}</article></main>',
             f'<main data-label="content"><article>{body}</article>{rng.choice(inside)}{rng.choice(inside)}</main>',
