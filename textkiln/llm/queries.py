@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkiln.llm import decontaminate, html_extract, mixing, quality, substring_dedup, topk_search, toxicity, url_filter
+from textkiln.llm import decontaminate, html_extract, mixing, quality, substring_dedup, suffix_dedup, topk_search, toxicity, url_filter
 from textkiln.llm.common import doc_remainder, table
 from textkiln.llm.page_labels import labelled_pages
 from textkiln.llm.url_labels import labelled_urls
@@ -32,6 +32,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op3_decontaminate", r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
