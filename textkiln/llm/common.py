@@ -46,6 +46,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Tables:
+    """Written tables of one job, by name; dropped ones free their space at
+    once, when later tables have taken over what they held."""
+
+    def __init__(self, spark: SparkSession, job: str):
+        self.spark, self.job, self.paths = spark, job, {}
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        path = self.paths[name] = scratch_path(self.spark, f"{self.job}-{name}")
+        with _shuffle_cleanup(self.spark):
+            df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of an Arrow batch whose ``column`` holds about ``most_bytes`` at
     most, one row at least: Python objects made of a part stay small even

@@ -37,6 +37,7 @@ further columns never clash.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textkiln.llm.common import slices, utf8_parts, written
+from textkiln.llm.common import Tables, slices, utf8_parts
 
 DEPTH = 100
 GRAM = 32
@@ -202,34 +203,44 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """``doc_id, at, size``: bytes that are covered by windows which a document
     of a smaller id holds too."""
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).dropna()
+    tables = Tables(docs.sparkSession, "suffix")
+    spans = []
+
+    def found(rows: DataFrame) -> None:
+        spans.append(tables.write(f"spans-{len(spans)}", rows))
+
     # Pass 1: grams of two documents or more.
     grams = _groups(narrow.mapInArrow(_rows(False), T.StructType(_longs("h", "doc_id"))), "h")
-    grams = written(grams.filter("first < last").select("h"), "suffix-grams")
+    grams = tables.write("grams", grams.filter("first < last").select("h"))
     rows = narrow.mapInArrow(_rows(True), T.StructType(_longs("h", "stretch", "doc_id", "place")))
-    rows = written(rows.join(grams, "h"), "suffix-rows")
+    rows = tables.write("rows", rows.join(grams, "h"))
     # Pass 2: equal stretches.
-    stretches = written(rows.groupBy("h", "stretch").agg(F.min("doc_id").alias("first")), "suffix-stretches")
+    stretches = tables.write("stretches", rows.groupBy("h", "stretch").agg(F.min("doc_id").alias("first")))
     known = rows.join(stretches, ["h", "stretch"])
     size = F.col("place").bitwiseAND(255) + (DEPTH - 1)
-    spans = [known.filter("doc_id > first").select("doc_id", F.shiftright("place", 16).alias("at"), size.alias("size"))]
-    several = written(stretches.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "suffix-several")
-    one = written(known.filter("doc_id = first").join(several, "h").select("doc_id", "h", "place"), "suffix-open")
+    found(known.filter("doc_id > first").select("doc_id", F.shiftright("place", 16).alias("at"), size.alias("size")))
+    several = tables.write("several", stretches.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"))
+    one = tables.write("open", known.filter("doc_id = first").join(several, "h").select("doc_id", "h", "place"))
+    tables.drop("grams", "rows", "stretches", "several")
     # Pass 3: blocks of the stretches that differ.
     by_doc = one.groupBy("doc_id").agg(F.collect_list(F.struct("h", "place")).alias("rows"))
     fields = T.StructType([*_longs("h", "block", "core", "whole", "doc_id", "at"), T.StructField("windows", T.ArrayType(T.LongType()))])
-    blocks = written(narrow.join(by_doc, "doc_id").select("doc_id", "text", "rows").mapInArrow(_blocks, fields), "suffix-blocks")
+    blocks = tables.write("blocks", narrow.join(by_doc, "doc_id").select("doc_id", "text", "rows").mapInArrow(_blocks, fields))
     number = F.expr("block div 4096")
-    cores = written(_groups(blocks.withColumn("ob", number), "h", "ob", "core").filter("first < last").select("h", "ob", "core"), "suffix-cores")
-    blocks = written(blocks.withColumn("ob", number).join(cores, ["h", "ob", "core"]).drop("ob", "core"), "suffix-alive")
-    wholes = written(blocks.groupBy("h", "block", "whole").agg(F.min("doc_id").alias("first")), "suffix-wholes")
-    known = blocks.join(wholes, ["h", "block", "whole"])
-    spans.append(known.filter("doc_id > first").select("doc_id", "at", (F.size("windows") + (DEPTH - 1)).cast("long").alias("size")))
+    cores = tables.write("cores", _groups(blocks.withColumn("ob", number), "h", "ob", "core").filter("first < last").select("h", "ob", "core"))
+    alive = tables.write("alive", blocks.withColumn("ob", number).join(cores, ["h", "ob", "core"]).drop("ob", "core"))
+    tables.drop("open", "blocks", "cores")
+    wholes = tables.write("wholes", alive.groupBy("h", "block", "whole").agg(F.min("doc_id").alias("first")))
+    known = alive.join(wholes, ["h", "block", "whole"])
+    found(known.filter("doc_id > first").select("doc_id", "at", (F.size("windows") + (DEPTH - 1)).cast("long").alias("size")))
     # Pass 4: single suffixes.
-    single = known.filter("doc_id = first").select("h", "doc_id", "at", F.expr("block div 4096").alias("ob"), F.posexplode("windows").alias("i", "w"))
-    single = written(single.select("h", "w", "doc_id", (F.col("at") + F.col("i")).alias("at")), "suffix-single")
-    windows = written(_groups(single, "h", "w").filter("first < last").select("h", "w", "first"), "suffix-windows")
-    spans.append(single.join(windows, ["h", "w"]).filter("doc_id > first").select("doc_id", "at", F.lit(DEPTH).cast("long").alias("size")))
-    return spans[0].unionByName(spans[1]).unionByName(spans[2])
+    single = known.filter("doc_id = first").select("h", "doc_id", "at", F.posexplode("windows").alias("i", "w"))
+    single = tables.write("single", single.select("h", "w", "doc_id", (F.col("at") + F.col("i")).alias("at")))
+    tables.drop("alive", "wholes")
+    windows = tables.write("windows", _groups(single, "h", "w").filter("first < last").select("h", "w", "first"))
+    found(single.join(windows, ["h", "w"]).filter("doc_id > first").select("doc_id", "at", F.lit(DEPTH).cast("long").alias("size")))
+    tables.drop("single", "windows")
+    return reduce(DataFrame.unionByName, spans)
 
 
 def _inside(texts: list[bytes]) -> dict[int, np.ndarray]:
