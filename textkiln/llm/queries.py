@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkiln.llm import decontaminate, html_extract, mixing, quality, substring_dedup, suffix_dedup, topk_search, toxicity, url_filter
+from textkiln.llm import decontaminate, html_extract, jaccard_join, mixing, quality, substring_dedup, suffix_dedup, topk_search, toxicity, url_filter
 from textkiln.llm.common import doc_remainder, table
 from textkiln.llm.page_labels import labelled_pages
 from textkiln.llm.url_labels import labelled_urls
@@ -79,6 +79,30 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(quality.score(docs, model), 5, 0).select("doc_id", "held_out", "score", "predicted")
 
 
+@query("op7_jaccard_join", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(ws) - 3, 1) + 1), lambda i: array_to_string(list_slice(ws, i, i + 3), ' '))) AS g
+  FROM w WHERE len(ws) > 0),
+n AS (SELECT w.doc_id, coalesce(len(g), 0) AS n FROM w LEFT JOIN s USING (doc_id)),
+classes AS (SELECT min(doc_id) AS rep, list_sort(g) AS g, len(g) AS n FROM s GROUP BY 2, 3),
+members AS (SELECT s.doc_id, c.rep FROM s JOIN classes c ON list_sort(s.g) = c.g),
+t AS (SELECT rep, n, unnest(g) AS h FROM classes),
+links AS (
+  SELECT a.rep AS x, b.rep AS y FROM t a JOIN t b ON a.h = b.h AND a.rep < b.rep
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(a, b) AS (SELECT rep, rep FROM classes UNION SELECT r.a, e.y FROM reach r JOIN edges e ON r.b = e.x),
+label AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, coalesce(label.c, n.doc_id) AS component_id
+FROM n LEFT JOIN members USING (doc_id) LEFT JOIN label ON members.rep = label.a
+""")
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op8_url_filter")
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"), url_filter.fit(labelled_urls(spark)))
