@@ -142,8 +142,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with all its columns, each row as often as the mix takes it.
 
-    Keyed by ``doc_id``; the texts are joined with the narrow copy numbers."""
+    Keyed by ``doc_id``; the texts are joined with the narrow copy numbers.
+    Rows that repeat an id (or have none) get the largest number of them.  The
+    column ``copy``, from 1, replaces one of that name."""
     key = options.get("doc_id", "doc_id")
     n = mix(docs, **options).select(F.col("doc_id").alias("_mix_id"), F.col("copies").alias("_mix_n")).filter("_mix_n > 0")
     n = n.groupBy("_mix_id").agg(F.max("_mix_n").alias("_mix_n"))
-    return docs.join(n, F.col(key) == F.col("_mix_id")).withColumn("copy", F.explode(F.sequence(F.lit(1), "_mix_n"))).drop("_mix_id", "_mix_n")
+    return docs.join(n, docs[key].eqNullSafe(F.col("_mix_id"))).withColumn("copy", F.explode(F.sequence(F.lit(1), "_mix_n"))).drop("_mix_id", "_mix_n")
