@@ -53,6 +53,14 @@ https://malware-kit.example.com/exe/1
 http://crypto-doubler.example.net/invest/
 https://get-rich.example.com/fast/cash
 http://mlm-income.example.org/join/now
+http://casinobonus.example.com/en/3
+https://freebets.example.org/es/2/
+http://pillshop.example.net/en/14.html
+https://www.pornclips.example.com/fr/8
+http://spamlinks.example.net/de/5
+https://m.adstracker.example.com/en/12#top
+http://betting.example.net/en/9?page=2
+https://blog.slotswin.example.org/de/30/
 """
 
 PASSED = """
@@ -116,6 +124,21 @@ http://alphabet.example.net/es/18
 https://m.freedom.example.com/en/press/7
 http://essex-county.example.org/en/parish/4
 https://farmers.example.net/de/market/10
+https://green-meadow.example.net/en/11
+http://old-town.example.com/en/27.html
+https://north-shore.example.org/fr/9/
+http://www.silver-lake.example.net/en/5#top
+https://blog.paper-boat.example.com/de/18?page=2
+http://m.stone-bridge.example.net/es/33
+https://little-theatre.example.com/en/6?utm_source=feed
+http://high-school.example.org/en/71/
+https://long-walk.example.net/en/40
+http://www.apple-orchard.example.com/fr/13.html
+https://red-kite.example.org/de/22
+http://open-library.example.net/en/19
+https://blog.tea-house.example.net/en/8
+http://winter-sports.example.com/de/17/
+https://early-music.example.net/es/26
 http://blog.anderson.example.com/en/101
 https://www.northern.example.com/fr/138.html
 http://m.thornton.example.com/de/175/
