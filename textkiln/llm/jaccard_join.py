@@ -38,7 +38,6 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -346,6 +345,8 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: st
     named = sets.filter("doc_id IS NOT NULL AND n > 0")
     classes = tables.write("classes", named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")))
     reps = tables.write("reps", named.join(classes, ["d1", "d2"]).filter("doc_id = rep").select("doc_id", "n", "zone", "sketch"))
+    sets = tables.write("digests", sets.select("doc_id", "n", "d1", "d2"))
+    tables.drop("sets")
 
     # Document frequencies in the zones, and each document's prefix.
     zones = reps.select("doc_id", "n", F.posexplode("zone").alias("pos", "t"))
@@ -358,7 +359,8 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: st
     frequent = tables.write("frequent", df.filter(F.col("df") > RARE))
     ordered = grams.join(frequent, "t", "left").groupBy("doc_id", "n", "own").agg(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t")).alias("grams"))
     long_rows = tables.write("long", ordered.mapInArrow(_long_prefixes(percent), rows))
-    tables.drop("frequencies", "frequent")
+    reps = tables.write("sketches", reps.select("doc_id", "n", "sketch"))
+    tables.drop("frequencies", "frequent", "reps")
     every = prefixes.filter("l > 0").unionByName(long_rows)
 
     # Buckets: a row for each document and prefix n-gram, with the bucket's size.
