@@ -86,11 +86,20 @@ def test_trailing_blanks_depend_on_context(spark):
     assert list(enc[0]) == tk.encode("foo  \n").ids and list(enc[1]) == tk.encode("foo  \nbar").ids
 
 
-def test_special_token_encode_and_decode(spark):
+def test_special_token_is_text_of_a_reloaded_tokenizer(spark, tmp_path):
+    """A tokenizer loaded from its two files registers nothing as special."""
+    from tokenizers import ByteLevelBPETokenizer
+
     m = ours(spark, ["ab ab ab"], 300)
-    df = spark.createDataFrame([(0, "a<|endoftext|>b")], "k long, t string")
+    (tmp_path / "vocab.json").write_text(m.vocab_json(), encoding="utf-8")
+    (tmp_path / "merges.txt").write_text(m.merges_txt(), encoding="utf-8")
+    lib = ByteLevelBPETokenizer(str(tmp_path / "vocab.json"), str(tmp_path / "merges.txt"))
+    text = "a<|endoftext|>b ab"
+    df = spark.createDataFrame([(0, text)], "k long, t string")
     row = B.encode_texts(m, df, "k", F.col("t"), frame=False).select("ids", B.decode_ids(m, F.col("ids")).alias("d")).first()
-    assert 0 in row["ids"] and row["d"] == "ab"
+    assert list(row["ids"]) == lib.encode(text).ids and 0 not in row["ids"] and row["d"] == text
+    zero = df.select(B.decode_ids(m, F.array(F.lit(0))).alias("d")).first()["d"]
+    assert zero == lib.decode([0], skip_special_tokens=True) == "<|endoftext|>"
 
 
 def test_sf0001_parity_with_library(spark):
@@ -124,6 +133,18 @@ def test_vocabulary_check():
         B.check_vocabulary(300, 300, 300)
 
 
+def test_byte_ids_of_a_long_run_are_linear(spark):
+    import time
+
+    from textkiln.functions.bytelevel import BYTE_ID, utf8_byte_ids
+
+    df = spark.createDataFrame([("a" * 1_000_000,), ("é\x00ß",), ("",)], "w string")
+    began = time.time()
+    rows = df.select("w", utf8_byte_ids(F.col("w")).alias("ids")).collect()
+    assert time.time() - began < 30
+    assert all(list(r["ids"]) == [BYTE_ID[b] for b in r["w"].encode()] for r in rows)
+
+
 def test_bytelevel_roundtrip():
     from textkiln.functions.bytelevel import from_bytelevel
 

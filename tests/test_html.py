@@ -53,3 +53,7 @@ def test_page_text_matches_python(spark):
     for p in pages[:60]:
         expect = "\n".join(t for _, t in extract_blocks(p["html"]) if len(t) >= 40)
         assert got[p["page_id"]] == expect
+
+
+def test_cdata_is_text():
+    assert extract_blocks("<p>a<![CDATA[b]]>c</p>") == [("p", "a b c")]

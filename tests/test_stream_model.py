@@ -76,3 +76,10 @@ def test_generate_appends_sampled_tokens(spark):
 def test_loss_is_positive_and_val_higher(spark, stream):
     rows = {r["split"]: r for r in N.split_loss(stream.pairs(), stream.vocab_size).collect()}
     assert 0 < rows["train"]["loss"] < rows["val"]["loss"]
+
+
+def test_documents_without_text_keep_their_row(spark):
+    docs = spark.createDataFrame([(1, "one two one"), (2, None), (3, "")], "doc_id long, text string")
+    vocab = S.pretoken_vocab(docs)
+    ids = {r["doc_id"]: list(r["ids"]) for r in S.pretoken_ids(docs, vocab).collect()}
+    assert set(ids) == {1, 2, 3} and ids[2] == [] and len(ids[1]) == 4 and len(ids[3]) == 1

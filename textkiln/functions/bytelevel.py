@@ -56,7 +56,7 @@ def utf8_byte_values(word: Column) -> Column:
     back as ISO-8859-1 give one character per byte, whose code point is the
     byte value)."""
     latin1 = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
-    return F.transform(F.sequence(F.lit(1), F.length(latin1)), lambda i: F.ascii(latin1.substr(i, F.lit(1))))
+    return F.transform(F.split(latin1, ""), F.ascii)  # one pass; a substring for each byte would be quadratic
 
 
 def utf8_byte_ids(word: Column) -> Column:

@@ -73,6 +73,9 @@ class _BlockCollector(HTMLParser):
 
     def unknown_decl(self, data: str) -> None:
         self._flush()
+        if data.startswith("CDATA["):  # a text node of its own
+            self.pending.append(data[6:])
+            self._flush()
 
     # elements ---------------------------------------------------------------
     def _push(self, tag: str) -> None:

@@ -19,15 +19,14 @@ Training (``train_bpe``)
     one-merge-at-a-time training.
 
 Encoding (``encode_documents``)
-    Per document, never per line: ``text + "\\n\\n"`` split on the special
-    token, pretokenized JVM-side, then merges by rank in an Arrow-batched
+    Per document, never per line: ``text + "\\n\\n"`` pretokenized JVM-side, then merges by rank in an Arrow-batched
     Python pass with a per-task word cache.  No shuffle and no join, so a hot
     word costs a cache hit.  The merge table is broadcast; its size is bounded
     by the vocabulary size.
 
 Decoding (``decode_ids``)
     JVM-side: ids -> byte-level strings through a literal id map (bounded by
-    the vocabulary size), special ids dropped, bytes -> UTF-8 with invalid
+    the vocabulary size), bytes -> UTF-8 with invalid
     sequences replaced.
 """
 
@@ -331,7 +330,8 @@ def encode_texts(model: BpeModel, df: DataFrame, key: str, text: Column, frame:
     ranks = {(l, r): (k, n) for k, (l, r, n) in enumerate(model.merges)}
     bc = spark.sparkContext.broadcast(ranks)
     body = frame_document(text) if frame else text
-    segs = F.transform(F.split(body, r"<\|endoftext\|>", -1), lambda s: pretokenize(s))
+    # A tokenizer loaded from its two files registers no special token: its text is ordinary.
+    segs = F.when(body.isNotNull(), F.array(pretokenize(body)))
     staged = df.select(F.col(key), segs.alias("segs"))
     key_type = df.schema[key].dataType
     schema = T.StructType([T.StructField(key, key_type), T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -345,10 +345,9 @@ def encode_documents(model: BpeModel, docs: DataFrame, key: str = "doc_id", text
 # ----------------------------------------------------------------- decoding
 def _id_array(model: BpeModel) -> Column:
     """Literal ``array<string>`` of byte-level tokens indexed by id (ids are
-    dense from 0); the special id maps to ''.  An array lookup is O(1), a map
-    lookup would scan the keys."""
+    dense from 0).  An array lookup is O(1), a map lookup would scan the keys."""
     tok = model.tokens()
-    tok[SPECIAL_ID] = ""
+    tok[SPECIAL_ID] = SPECIAL_TOKEN
     return F.from_json(F.lit(json.dumps([tok[i] for i in range(model.vocab_size)])), "array<string>")
 
 
@@ -362,7 +361,7 @@ def _bytelevel_to_utf8(s: Column) -> Column:
 
 
 def decode_ids(model: BpeModel, ids: Column) -> Column:
-    """Ids -> text; special tokens dropped (default decode)."""
+    """Ids -> text; id 0 is the text of the special token."""
     arr = _id_array(model)
     toks = F.transform(ids, lambda i: F.coalesce(F.try_element_at(arr, i + 1), F.lit("")))
     return _bytelevel_to_utf8(F.array_join(toks, ""))

@@ -62,7 +62,9 @@ def read_members(members: DataFrame, limit: int = MAX_PAGES_PER_CATEGORY, page_s
                  namespaces: list[int] = NAMESPACES_NEWER) -> DataFrame:
     """W3 + L2 over ``members(cat, ns, title, pos)``: members on read pages,
     with ``kind`` and ``kept`` (article within ``limit``, or subcategory)."""
-    m = classify_members(members, namespaces).withColumn("page_no", F.floor(F.col("pos") / page_size).cast("long"))
+    # Response pages hold requested namespaces only: ranks are taken after the filter.
+    m = group_offsets(classify_members(members, namespaces), ["cat"], ["pos"], out="_rank")
+    m = m.withColumn("page_no", F.floor(F.col("_rank") / page_size).cast("long")).drop("_rank")
     art = (F.col("kind") == "article").cast("long")
     pages = m.groupBy("cat", "page_no").agg(F.sum(art).alias("n_art"))
     # Articles on earlier pages of the category; a hot category's pages are
@@ -107,6 +109,7 @@ def walk(
     page_size: int = PAGE_SIZE,
     max_depth: int = MAX_DEPTH,
     cap: int = MAX_CATEGORIES_TOTAL,
+    namespaces: list[int] = NAMESPACES_NEWER,
 ) -> Walk:
     """Level-wise walk from ``seeds(seed_pos, cat)``."""
     spark = seeds.sparkSession
@@ -137,7 +140,7 @@ def walk(
         # Members of this level's categories; the level has at most `cap`
         # rows, so it is broadcast into the member scan.
         mine = members.join(F.broadcast(level.select("cat", "visit_pos")), "cat")
-        read = cut_lineage(read_members(mine, limit, page_size))
+        read = cut_lineage(read_members(mine, limit, page_size, namespaces))
         reads.append(read.drop("visit_pos"))
         if depth < max_depth:
             cands = read.where(F.col("kind") == "subcategory").select(

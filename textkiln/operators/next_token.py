@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textkiln.operators.positions import BROADCAST_MAX_ROWS, sized_broadcast
 from textkiln.session import cut_lineage
 
 # Reference generation defaults.
@@ -50,15 +49,12 @@ def split_loss(pairs: DataFrame, vocab_size: int) -> DataFrame:
 
     One aggregate per ``(x, y)`` counts both splits (``c`` train, ``m_val``
     val), so no self-join on ``(x, y)`` is needed; the per-context train total
-    has one row per context (at most ``vocab_size`` rows): broadcast under the
-    bound, else a shuffle join (AQE splits a hot context)."""
+    has one row per context and joins back as its size allows."""
     is_train = F.col("split") == "train"
     g = pairs.groupBy("x", "y").agg(
         F.count_if(is_train).alias("c"), F.count_if(~is_train).alias("m_val"),
     )
     ctx = g.groupBy("x").agg(F.sum("c").alias("cx"))
-    if vocab_size <= BROADCAST_MAX_ROWS:
-        ctx = F.broadcast(ctx)
     scored = g.join(ctx, "x")
     nll = -F.log((F.col("c") + 1) / (F.col("cx") + F.lit(vocab_size)))
     t = scored.agg(
@@ -118,15 +114,14 @@ def generate(
     ``(pid, ids, new_ids)``.  Each step joins the current context (last token)
     to its candidates and keeps the drawn row; a context with no observed
     successor stops.  Lineage is cut every few steps with reliable checkpoints.
-    The candidate table (kept successors per context) is broadcast when its
-    row count proves it small, so a hot context among the prompts costs no
-    shuffle; otherwise the join shuffles on the context.
+    The join with the candidate table (kept successors per context) is left
+    to its size at run time.
     """
     state = prompts.select(
         "pid", "ids", F.array().cast("array<int>").alias("new_ids"),
         F.try_element_at("ids", F.lit(-1)).alias("ctx"), (F.size("ids") > 0).alias("live"),
     )
-    cand = sized_broadcast(cut_lineage(cum.select("x", "y", "lo", "hi", "tot")))
+    cand = cut_lineage(cum.select("x", "y", "lo", "hi", "tot"))
     for step in range(max_new_tokens):
         # One left join per step: the range condition keeps exactly the drawn
         # candidate (or none for a finished prompt).

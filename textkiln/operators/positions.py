@@ -30,20 +30,11 @@ from pyspark.sql import types as T
 
 from textkiln.session import cut_lineage
 
-# Above this many rows a lookup side is shuffled instead of broadcast.
-BROADCAST_MAX_ROWS = 2_000_000
-
 _PID = "_tk_pid"
 _LOCAL = "_tk_local"
 _W = "_tk_w"
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; else leave the join
-    to Spark (sort-merge with AQE skew splitting)."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def _local_cumsum(batches):
     pid = TaskContext.get().partitionId()
     running = 0
@@ -120,7 +111,7 @@ def group_offsets(
     glob = ordered_offsets(df, [*group, *order], weight, "_tk_goff", num_partitions)
     starts = glob.groupBy(*group).agg(F.min("_tk_goff").alias("_tk_gstart"))
     return (
-        glob.join(sized_broadcast(starts), group)
+        glob.join(starts, group)
         .withColumn(out, F.col("_tk_goff") - F.col("_tk_gstart"))
         .drop("_tk_goff", "_tk_gstart")
     )

@@ -11,10 +11,9 @@ tables whose size is bounded by parameters:
 * next-token pairs (J6): pairs inside a document come from its array; the one
   pair crossing into the next document is a document-level equi-join on
   ``doc_start + n = doc_start``;
-* training windows (W6/J7): the window starts are a table of
-  ``steps * batch`` rows (bounded by parameters, so it is broadcast); each
-  window is joined to the documents it overlaps by an equi-join on a chunk
-  number and sliced out of their arrays, so no token-level shuffle happens.
+* training windows (W6/J7): each window is joined to the documents it
+  overlaps by an equi-join on a chunk number over the narrow offsets, and
+  sliced out of their arrays, so no token-level shuffle happens.
 
 Two id sources: pretoken ids (vocabulary ranked by ``(count desc, token)``,
 checkable in SQL) and BPE ids (``bpe.encode_documents``).
@@ -27,8 +26,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textkiln.operators.positions import BROADCAST_MAX_ROWS, ordered_offsets, row_index, sized_broadcast
-from textkiln.operators.pretokens import doc_pretokens, pretoken_counts
+from textkiln.operators.positions import ordered_offsets, row_index
+from textkiln.functions.text import frame_document
+from textkiln.operators.pretokens import doc_pretokens, pretoken_counts, pretokenize
 from textkiln.session import cut_lineage
 from textkiln.sources.seeds import require_nonempty
 
@@ -52,7 +52,8 @@ def pretoken_vocab(docs: DataFrame, key: str = "doc_id", text_col: str = "text")
 
 @dataclass
 class IdStream:
-    docs: DataFrame  # (doc_id, n, doc_start, ids array<int>) -- from checkpointed parts
+    docs: DataFrame  # (doc_id, n, doc_start, ids array<int>), checkpointed
+    offsets: DataFrame  # (doc_id, n, doc_start, first_id, last_id), checkpointed and narrow
     n_total: int
     vocab_size: int
 
@@ -72,9 +73,11 @@ class IdStream:
 
     # ---------------------------------------------------------------- W5
     def split_summary(self) -> DataFrame:
-        return self.tokens().groupBy("split").agg(
-            F.count(F.lit(1)).alias("n_tokens"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos")
-        )
+        n = self.offsets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        at = F.lit(self.split_at).cast("long")
+        parts = [(F.lit("train"), at, F.lit(0).cast("long")), (F.lit("val"), F.col("n") - at, at)]
+        rows = F.array(*[F.struct(name.alias("split"), size.alias("n_tokens"), first.alias("first_pos"), (first + size - 1).alias("last_pos")) for name, size, first in parts])
+        return n.select(F.explode(rows).alias("r")).select("r.*").where("n_tokens > 0")
 
     # ---------------------------------------------------------------- J6
     def pairs(self) -> DataFrame:
@@ -84,12 +87,9 @@ class IdStream:
             F.posexplode(F.transform(F.sequence(F.lit(1), F.col("n").cast("int") - 1),
                                      lambda i: F.struct(F.element_at("ids", i).alias("x"), F.element_at("ids", i + 1).alias("y")))).alias("i", "p"),
         ).select((F.col("doc_start") + F.col("i")).alias("pos"), F.col("p.x").alias("x"), F.col("p.y").alias("y"))
-        ends = self.docs.where(F.col("n") >= 1).select(
-            (F.col("doc_start") + F.col("n")).alias("next_start"),
-            (F.col("doc_start") + F.col("n") - 1).alias("pos"),
-            F.try_element_at("ids", F.lit(-1)).alias("x"),
-        )
-        starts = self.docs.where(F.col("n") >= 1).select(F.col("doc_start").alias("next_start"), F.element_at("ids", 1).alias("y"))
+        held = self.offsets.where(F.col("n") >= 1)
+        ends = held.select((F.col("doc_start") + F.col("n")).alias("next_start"), (F.col("doc_start") + F.col("n") - 1).alias("pos"), F.col("last_id").alias("x"))
+        starts = held.select(F.col("doc_start").alias("next_start"), F.col("first_id").alias("y"))
         boundary = ends.join(starts, "next_start").select("pos", "x", "y")
         both = inner.unionByName(boundary)
         same_split = (F.col("pos") + 1 < self.split_at) | (F.col("pos") >= self.split_at)
@@ -120,17 +120,15 @@ class IdStream:
         # positions: a window touches chunk g0 div K and the next one.
         k = block + 1
         wchunks = starts.select("*", F.explode(F.array(F.floor(F.col("g0") / k), F.floor(F.col("g0") / k) + 1)).alias("chunk"))
-        dchunks = self.docs.where(F.col("n") >= 1).select(
+        dchunks = self.offsets.where(F.col("n") >= 1).select(
             "doc_start", "n",
             F.explode(F.sequence(F.floor(F.col("doc_start") / k), F.floor((F.col("doc_start") + F.col("n") - 1) / k))).alias("chunk"),
         )
-        # steps*batch*2 window-chunk rows: bounded by parameters, broadcast.
-        hits = dchunks.join(F.broadcast(wchunks), "chunk").where(
+        hits = dchunks.join(wchunks, "chunk").where(
             (F.col("doc_start") <= F.col("g0") + block) & (F.col("doc_start") + F.col("n") > F.col("g0"))
         ).select("doc_start", "split", "step", "b", "start", "g0").dropDuplicates(["split", "step", "b", "doc_start"])
-        # Each window overlaps at most block+1 documents: hits are bounded too,
-        # so only the overlapped documents' arrays are read and sliced.
-        hit = self.docs.join(F.broadcast(hits), "doc_start")
+        # Each window overlaps at most block+1 documents.
+        hit = self.docs.where(F.col("n") >= 1).drop("doc_id").join(hits, "doc_start")
         lo = F.greatest(F.col("g0"), F.col("doc_start"))
         hi = F.least(F.col("g0") + block, F.col("doc_start") + F.col("n") - 1)
         piece = hit.select(
@@ -149,62 +147,27 @@ class IdStream:
 
 
 def _assemble(docs_ids: DataFrame, vocab_size: int) -> IdStream:
-    """Materialise the per-document id arrays once (reliable checkpoint), then
-    add ``doc_start`` from the narrow ``(doc_id, n)`` prefix sum, also
-    materialised.  The offsets side is broadcast only when its row count proves
-    it small."""
+    """Materialise the per-document id arrays once (reliable checkpoint), the
+    narrow offsets from the ``(doc_id, n)`` prefix sum, and the arrays with
+    their ``doc_start``, so that no later use joins them again."""
     ids = cut_lineage(docs_ids.select("doc_id", "ids"))
-    narrow = ids.select("doc_id", F.size("ids").cast("long").alias("n"))
-    # The offsets are narrow (one row per document) and every downstream
-    # operator reads them, so they are materialised once.
-    offs = cut_lineage(ordered_offsets(narrow, ["doc_id"], "n", out="doc_start").select("doc_id", "n", "doc_start"))
+    narrow = ids.select("doc_id", F.size("ids").cast("long").alias("n"), F.try_element_at("ids", F.lit(1)).alias("first_id"), F.try_element_at("ids", F.lit(-1)).alias("last_id"))
+    offs = cut_lineage(ordered_offsets(narrow, ["doc_id"], "n", out="doc_start").select("doc_id", "n", "doc_start", "first_id", "last_id"))
     n_total = offs.agg(F.sum("n")).first()[0] or 0
-    table = ids.join(sized_broadcast(offs.select("doc_id", "n", "doc_start")), "doc_id")
-    return IdStream(table.select("doc_id", "n", "doc_start", "ids"), int(n_total), vocab_size)
-
-
-def _lookup_fn(bc_tokens):
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        vocab = pa.array(bc_tokens.value, pa.string())
-        for batch in batches:
-            keys, toks = batch.column(0), batch.column(1)
-            lens = pc.fill_null(pc.list_value_length(toks), 0).to_numpy(zero_copy_only=False)
-            idx = pc.index_in(toks.flatten(), value_set=vocab).cast(pa.int32())
-            offsets = pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32), pa.int32())
-            yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(offsets, idx)], names=["doc_id", "ids"])
-
-    return run
+    table = cut_lineage(ids.join(offs.select("doc_id", "n", "doc_start"), "doc_id").select("doc_id", "n", "doc_start", "ids"))
+    return IdStream(table, offs, int(n_total), vocab_size)
 
 
-def pretoken_ids(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text",
-                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def pretoken_ids(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, ids array<int>)``: pretokens replaced by vocabulary ids.
 
-    A vocabulary proven small by its row count is shipped to the tasks and
-    looked up per partition with Arrow (no shuffle).  A larger one is joined
-    at token level (Spark picks sort-merge; AQE splits a hot token) and the
-    ids are regrouped per document."""
-    from pyspark.sql import types as T
-
-    from textkiln.functions.text import frame_document
-    from textkiln.operators.pretokens import pretokenize
-
-    n_vocab = vocab.count()
-    if n_vocab <= max_broadcast_rows:
-        tokens = [r["token"] for r in vocab.orderBy("token_id").select("token").collect()]
-        bc = docs.sparkSession.sparkContext.broadcast(tokens)
-        staged = docs.select(F.col(key).alias("doc_id"), pretokenize(frame_document(text_col)).alias("toks"))
-        schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-        return staged.mapInArrow(_lookup_fn(bc), schema)
-    occ = doc_pretokens(docs, key, text_col)
-    ided = occ.join(vocab.select("token", F.col("token_id").cast("int")), "token")
-    return ided.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos_in_doc", "token_id"))).alias("t")).select(
-        F.col(key).alias("doc_id"), F.transform("t", lambda s: s["token_id"]).alias("ids")
-    )
+    One distributed join of the occurrences with the vocabulary (a hot token's
+    partition is split by adaptive execution), regrouped per document.  Every
+    document stays: without text or pretokens its ids are empty."""
+    occ = docs.select(F.col(key).alias("doc_id"), F.posexplode_outer(pretokenize(frame_document(text_col))).alias("pos_in_doc", "token"))
+    ided = occ.join(vocab.select("token", F.col("token_id").cast("int").alias("token_id")), "token", "left")
+    held = F.when(F.col("token_id").isNotNull(), F.struct("pos_in_doc", "token_id"))
+    return ided.groupBy("doc_id").agg(F.sort_array(F.collect_list(held)).alias("t")).select("doc_id", F.transform("t", lambda s: s["token_id"]).alias("ids"))
 
 
 def pretoken_stream(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> tuple[IdStream, DataFrame]:

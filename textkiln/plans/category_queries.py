@@ -22,21 +22,28 @@ edges AS (
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
   UNION ALL
   SELECT 'Kategorie:' || n_name, 0, c_name FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL
+  SELECT DISTINCT 'Kategorie:' || r_name, 14, 'Kategorie:' || n_name || ' ' || CAST(c_custkey // 500 AS VARCHAR)
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  UNION ALL
+  SELECT 'Kategorie:' || n_name || ' ' || CAST(c_custkey // 500 AS VARCHAR), 0, c_name FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL
+  SELECT 'Kategorie:' || n_name, 6, 'Datei:' || c_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 7 = 0
 ),
 members AS (
-  SELECT cat, ns, title, CAST(row_number() OVER (PARTITION BY cat ORDER BY title DESC) - 1 AS BIGINT) AS pos FROM edges
+  SELECT cat, ns, title, CAST(row_number() OVER (PARTITION BY cat ORDER BY md5(title)) - 1 AS BIGINT) AS pos FROM edges
 ),
 seeds AS (SELECT CAST(r_regionkey + 1 AS BIGINT) AS seed_pos, 'Kategorie:' || r_name AS cat FROM region)"""
 
 
-def _read_sql(name: str, level: str, limit: int, page: int) -> str:
+def _read_sql(name: str, level: str, limit: int, page: int, namespaces: str = "0, 14") -> str:
     """CTEs ``{name}_pm``, ``{name}_pg``, ``{name}`` = members of ``level`` on read pages."""
     art = "CASE WHEN kind = 'article' THEN 1 ELSE 0 END"
     return f"""
 {name}_pm AS (
-  SELECT m.cat, m.ns, m.title, m.pos, l.visit_pos, CAST(m.pos // {page} AS BIGINT) AS page_no,
+  SELECT m.cat, m.ns, m.title, m.pos, l.visit_pos, CAST((row_number() OVER (PARTITION BY m.cat ORDER BY m.pos) - 1) // {page} AS BIGINT) AS page_no,
          CASE WHEN starts_with(m.title, 'Kategorie:') THEN 'subcategory' ELSE 'article' END AS kind
-  FROM members m JOIN {level} l USING (cat) WHERE m.ns IN (0, 14)
+  FROM members m JOIN {level} l USING (cat) WHERE m.ns IN ({namespaces})
 ),
 {name}_pg AS (
   SELECT cat, page_no,
@@ -50,14 +57,14 @@ def _read_sql(name: str, level: str, limit: int, page: int) -> str:
 )"""
 
 
-def walk_sql(limit: int, page_size: int, max_depth: int, cap: int) -> str:
+def walk_sql(limit: int, page_size: int, max_depth: int, cap: int, namespaces: str = "0, 14") -> str:
     """CTEs ending in ``visited(cat, depth, visit_pos)`` and ``rd(...)``; depth <= 1."""
     parts = [MEMBERS_SQL, f"""
 l0 AS (
   SELECT cat, 0 AS depth, CAST(row_number() OVER (ORDER BY o) AS BIGINT) AS visit_pos
   FROM (SELECT cat, min(seed_pos) AS o FROM seeds GROUP BY cat)
   QUALIFY row_number() OVER (ORDER BY o) <= {cap}
-)""", _read_sql("rd0", "l0", limit, page_size)]
+)""", _read_sql("rd0", "l0", limit, page_size, namespaces)]
     if max_depth >= 1:
         parts.append(f"""
 f1 AS (
@@ -71,7 +78,7 @@ l1 AS (
   SELECT cat, 1 AS depth, CAST((SELECT count(*) FROM l0) + row_number() OVER (ORDER BY o1, o2) AS BIGINT) AS visit_pos
   FROM f1 QUALIFY row_number() OVER (ORDER BY o1, o2) <= {cap} - (SELECT count(*) FROM l0)
 )""")
-        parts.append(_read_sql("rd1", "l1", limit, page_size))
+        parts.append(_read_sql("rd1", "l1", limit, page_size, namespaces))
         parts.append("""
 visited AS (SELECT * FROM l0 UNION ALL SELECT * FROM l1),
 rd AS (SELECT * FROM rd0 UNION ALL SELECT * FROM rd1)""")
@@ -86,7 +93,7 @@ _WALK_CACHE: dict = {}
 
 
 def _walk(spark, sf_dir, params):
-    key = (id(spark), sf_dir, tuple(sorted(params.items())))
+    key = (spark.sparkContext.applicationId, sf_dir, repr(sorted(params.items())))
     if key not in _WALK_CACHE:
         seeds = landed.category_seeds(spark, sf_dir)
         members = landed.category_members(spark, sf_dir)
@@ -168,22 +175,26 @@ def member_counts(spark, sf_dir):
     return _walk(spark, sf_dir, CAPPED).member_counts()
 
 
-def _titles_sql(params):
-    return f"""
-WITH {walk_sql(**params)},
-t AS (SELECT DISTINCT title FROM rd WHERE kept AND kind = 'article'),
+_TITLES_SQL = f"""
+WITH {MEMBERS_SQL},
+t AS (SELECT DISTINCT title FROM members WHERE ns IN (0, 14) AND NOT starts_with(title, 'Kategorie:')),
 numbered AS (SELECT CAST(row_number() OVER (ORDER BY title) - 1 AS BIGINT) AS title_pos, title FROM t)"""
 
 
-@query("distinct_titles", _titles_sql(REF) + """
+def _article_titles(spark, sf_dir):
+    """Every classified article member; the crawl limits belong to the walk."""
+    return K.classify_members(landed.category_members(spark, sf_dir)).where(F.col("kind") == "article").select("cat", "title")
+
+
+@query("distinct_titles", _TITLES_SQL + """
 SELECT title_pos, title FROM numbered
 """)
 def distinct_titles(spark, sf_dir):
-    """A1 + U1 + L1: distinct titles of the walk in code-point order."""
-    return K.distinct_titles(_walk(spark, sf_dir, REF).titles())
+    """A1 + U1 + L1: distinct article titles of all categories in code-point order."""
+    return K.distinct_titles(_article_titles(spark, sf_dir))
 
 
-@query("title_batches", _titles_sql(REF) + f"""
+@query("title_batches", _TITLES_SQL + f"""
 SELECT CAST(title_pos // {K.BATCH_SIZE} AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n_titles,
        string_agg(title, '|' ORDER BY title_pos) AS titles,
        '[' || CAST(least((title_pos // {K.BATCH_SIZE} + 1) * {K.BATCH_SIZE}, (SELECT count(*) FROM numbered)) AS VARCHAR)
@@ -192,4 +203,20 @@ FROM numbered GROUP BY title_pos // {K.BATCH_SIZE}
 """)
 def title_batches(spark, sf_dir):
     """W2 + P9 + P10: batches of 20 sorted titles with progress labels."""
-    return K.title_batches(K.distinct_titles(_walk(spark, sf_dir, REF).titles()))
+    return K.title_batches(K.distinct_titles(_article_titles(spark, sf_dir)))
+
+
+OLDER = dict(REF, max_depth=0)
+
+
+@query("older_collector_titles", f"""
+WITH {walk_sql(**OLDER, namespaces="0")}
+SELECT DISTINCT cat, title FROM rd WHERE kept AND kind = 'article'
+""")
+def older_collector_titles(spark, sf_dir):
+    """F4 + W3 + L2 of the older collector: articles only, no subcategories."""
+    return _walk(spark, sf_dir, dict(OLDER, namespaces=K.NAMESPACES_OLDER)).titles().distinct()
+
+
+def clear_caches() -> None:
+    _WALK_CACHE.clear()

@@ -10,7 +10,7 @@ from textkiln.operators import html_text as H
 from textkiln.plans.catalog import query
 from textkiln.plans.sql_text import DOC_LINES, EXTRACT_ROWS, nonblank, ref_cut, strip
 from textkiln.sources import landed
-from textkiln.sources.seeds import seed_items, text_lines
+from textkiln.sources.seeds import text_seed_items
 from textkiln.sources.tables import load
 
 
@@ -27,6 +27,14 @@ def page_blocks(spark, sf_dir):
     return out.select("page_id", F.col("block_pos").cast("long"), "tag", "text", F.col("n_chars").cast("long"), "kept")
 
 
+@query("page_quarantine", """
+SELECT page_id, 'ValueError: page has no html' AS error FROM pages WHERE html IS NULL
+""")
+def page_quarantine(spark, sf_dir):
+    """The pages that page_text leaves out, with the reason."""
+    return H.page_quarantine(load(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 @query("min_paragraph_filter", f"""
 WITH {DOC_LINES}
 SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, line, CAST(length(line) AS BIGINT) AS n_chars
@@ -46,8 +54,7 @@ FROM s WHERE {nonblank('item')} AND NOT starts_with(item, '#')
 """)
 def seed_lines(spark, sf_dir):
     """S1/S2/F1/W1 over the lines of ``documents`` read as one long seed list."""
-    lines = text_lines(load(spark, sf_dir, "documents", "doc_id", "text"), "doc_id")
-    return seed_items(lines, ["doc_id", "line_no"]).select("seed_pos", "item")
+    return text_seed_items(load(spark, sf_dir, "documents", "doc_id", "text"), "doc_id")
 
 
 @query("corpus_frame", """

@@ -55,8 +55,8 @@ positions AS (
   FROM ided i JOIN doc_start d USING (doc_id)
 ),
 pairs AS (
-  SELECT a.split, a.pos, a.token_id AS x, b.token_id AS y
-  FROM positions a JOIN positions b ON b.pos = a.pos + 1 AND a.split = b.split
+  SELECT split, pos, x, y
+  FROM (SELECT split, pos, token_id AS x, lead(token_id) OVER (PARTITION BY split ORDER BY pos) AS y FROM positions) WHERE y IS NOT NULL
 ),
 counts AS (SELECT x, y, CAST(count(*) AS BIGINT) AS c FROM pairs WHERE split = 'train' GROUP BY x, y),
 topk AS (SELECT x, y, c FROM (SELECT *, rank() OVER (PARTITION BY x ORDER BY c DESC) AS r FROM counts) WHERE r <= 40),
@@ -104,21 +104,21 @@ def _docs(spark, sf_dir):
 
 
 def _pretoken(spark, sf_dir):
-    key = ("pretoken", id(spark), sf_dir)
+    key = ("pretoken", spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
         _CACHE[key] = S.pretoken_stream(_docs(spark, sf_dir))
     return _CACHE[key]
 
 
 def _model(spark, sf_dir):
-    key = ("bpe", id(spark), sf_dir)
+    key = ("bpe", spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
         _CACHE[key] = B.train_bpe(_docs(spark, sf_dir), vocab_size=BPE_VOCAB)
     return _CACHE[key]
 
 
 def _bpe_stream(spark, sf_dir):
-    key = ("bpe_stream", id(spark), sf_dir)
+    key = ("bpe_stream", spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
         _CACHE[key] = S.bpe_stream(_model(spark, sf_dir), _docs(spark, sf_dir))
     return _CACHE[key]
@@ -212,13 +212,11 @@ SELECT rank, left_id, right_id, new_id,
 FROM merges
 """
 
-# Encoding: framed documents split on the special token (id 0 between the
-# parts), pretokenized in document mode; each distinct word gets the merges
+# Encoding: framed documents pretokenized in document mode; each distinct word gets the merges
 # applied in rank order (equal to merging the lowest-ranked pair first).
 _SQL_BPE_ENC = f"""{_SQL_BPE_MERGES},
 segs AS (
-  SELECT doc_id, unnest(range(len(parts))) AS si, unnest(parts) AS seg
-  FROM (SELECT doc_id, string_split(text || chr(10) || chr(10), '{SPECIAL_TOKEN}') AS parts FROM documents)
+  SELECT doc_id, 0 AS si, text || chr(10) || chr(10) AS seg FROM documents
 ),
 dtoks AS (
   SELECT doc_id, si, unnest(range(len(l))) AS ti, unnest(l) AS token FROM (SELECT doc_id, si, {_pretok('seg')} AS l FROM segs)
@@ -235,8 +233,6 @@ word_ids AS (
 ),
 pieces AS (
   SELECT d.doc_id, d.si, d.ti, w.wids FROM dtoks d JOIN word_ids w USING (token)
-  UNION ALL
-  SELECT doc_id, si, -1, [{SPECIAL_ID}] FROM segs WHERE si > 0
 ),
 encoded AS (
   SELECT doc_id, flatten(list(wids ORDER BY si, ti)) AS ids FROM pieces GROUP BY doc_id
@@ -295,7 +291,7 @@ def vocab_check(spark, sf_dir):
     """T5: the encoded data fits the tokenizer (raises on mismatch)."""
     stream = _bpe_stream(spark, sf_dir)
     m = _model(spark, sf_dir)
-    max_id = stream.tokens().agg(F.max("token_id")).first()[0]
+    max_id = stream.docs.agg(F.max(F.array_max("ids"))).first()[0]
     B.check_vocabulary(m.vocab_size, stream.vocab_size, max_id)
     return spark.createDataFrame([(m.vocab_size, stream.vocab_size, int(max_id), True)],
                                  "model_vocab long, data_vocab long, max_id long, ok boolean")
@@ -309,7 +305,7 @@ SELECT c AS n_chars, n AS n_tokens, round(c / greatest(n, 1), 6) AS chars_per_to
 """)
 def bpe_chars_per_token(spark, sf_dir):
     """P7 for the BPE stream."""
-    enc = B.encode_documents(_model(spark, sf_dir), _docs(spark, sf_dir)).select(F.size("ids").alias("n"))
+    enc = _bpe_stream(spark, sf_dir).offsets
     chars = _docs(spark, sf_dir).select((F.length("text") + 2).alias("c"))
     n_chars = chars.agg(F.sum("c")).first()[0]
     tot = enc.agg(F.sum("n").cast("long").alias("n_tokens"))
@@ -326,7 +322,7 @@ def token_id_lookup(spark, sf_dir):
     """Every pretoken of every framed document with its vocabulary id."""
     _, vocab = _pretoken(spark, sf_dir)
     occ = P.doc_pretokens(_docs(spark, sf_dir))
-    ided = occ.join(S.sized_broadcast(vocab.select("token", F.col("token_id").cast("int"))), "token")
+    ided = occ.join(vocab.select("token", F.col("token_id").cast("int").alias("token_id")), "token")
     return ided.select("doc_id", F.col("pos_in_doc").cast("long"), "token", "token_id")
 
 
@@ -460,11 +456,12 @@ WITH RECURSIVE {SQL_TOKS},
 ptoks AS (
   SELECT pid, CAST(unnest(range(len(l))) AS BIGINT) AS i, unnest(l) AS token
   FROM (SELECT CAST(conv_id AS BIGINT) * 1000 + turn AS pid, {_pretok("text")} AS l
-        FROM conversations WHERE role = 'user')
+        FROM conversations)
 ),
+turns AS (SELECT CAST(conv_id AS BIGINT) * 1000 + turn AS pid FROM conversations),
 prompts AS (
-  SELECT p.pid, CAST(count(*) AS BIGINT) AS n_prompt, arg_max(v.token_id, p.i) AS ctx
-  FROM ptoks p JOIN vocab v USING (token) GROUP BY p.pid
+  SELECT t.pid, CAST(count(p.i) AS BIGINT) AS n_prompt, coalesce(arg_max(coalesce(v.token_id, -1), p.i), -1) AS ctx
+  FROM turns t LEFT JOIN ptoks p USING (pid) LEFT JOIN vocab v USING (token) GROUP BY t.pid
 ),
 gen(pid, step, ctx, new_ids) AS (
   SELECT pid, 0, ctx, '' FROM prompts
@@ -480,17 +477,24 @@ FROM prompts p JOIN gen g USING (pid)
 GROUP BY p.pid, p.n_prompt
 """)
 def generate_batch(spark, sf_dir):
-    """Continue every user turn of ``conversations`` by a few tokens."""
+    """Continue every turn of ``conversations`` by a few tokens; a
+    pretoken that the corpus does not have is id -1 and has no successor."""
     stream, vocab = _pretoken(spark, sf_dir)
-    conv = load(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").where(F.col("role") == "user")
+    conv = load(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     prompts_tok = conv.select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("pid"),
-        F.posexplode(P.pretokenize(F.col("text"))).alias("i", "token"),
+        F.posexplode_outer(P.pretokenize(F.col("text"))).alias("i", "token"),
     )
-    v = S.sized_broadcast(vocab.select("token", F.col("token_id").cast("int")))
-    prompts = prompts_tok.join(v, "token").groupBy("pid").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("i", "token_id"))), lambda s: s["token_id"]).alias("ids")
+    v = vocab.select("token", F.col("token_id").cast("int").alias("token_id"))
+    held = F.when(F.col("i").isNotNull(), F.struct("i", F.coalesce("token_id", F.lit(-1)).alias("token_id")))
+    prompts = prompts_tok.join(v, "token", "left").groupBy("pid").agg(
+        F.transform(F.sort_array(F.collect_list(held)), lambda s: s["token_id"]).alias("ids")
     )
     out = N.generate(prompts, _cum(spark, sf_dir), GEN_STEPS, SEED)
     return out.select("pid", F.size("ids").cast("long").alias("n_prompt"),
                       F.array_join(F.col("new_ids").cast("array<string>"), " ").alias("new_ids"))
+
+
+def clear_caches() -> None:
+    """Forget what queries share, so that each is timed with all its work."""
+    _CACHE.clear()

@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     # ... and bounded in bytes, so a batch of large pages stays a few MB.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    # Checkpoints that nothing refers to any more are deleted.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

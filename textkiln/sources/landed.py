@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textkiln.functions.text import CATEGORY_PREFIX
-from textkiln.operators.positions import group_offsets, sized_broadcast
+from textkiln.operators.positions import group_offsets
 from textkiln.sources.tables import load
 
 # Fixed values (API contract): namespaces of articles and subcategories.
@@ -78,11 +78,22 @@ def category_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation_articles = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.concat(pfx, "n_name").alias("cat"), F.lit(NS_ARTICLE).alias("ns"), F.col("c_name").alias("title")
     )
+    # Categories whose number grows with the customers, and file pages (namespace 6).
+    customers = load(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    group = F.concat(pfx, "n_name", F.lit(" "), F.expr("c_custkey div 500").cast("string"))
+    groups = customers.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.concat(pfx, "r_name").alias("cat"), F.lit(NS_CATEGORY).alias("ns"), group.alias("title")
+    ).distinct()
+    group_articles = customers.select(group.alias("cat"), F.lit(NS_ARTICLE).alias("ns"), F.col("c_name").alias("title"))
+    files = customers.where(F.col("c_custkey") % 7 == 0).select(
+        F.concat(pfx, "n_name").alias("cat"), F.lit(6).alias("ns"), F.concat(F.lit("Datei:"), "c_name").alias("title")
+    )
     edges = subcats.unionByName(region_articles).unionByName(nation_articles)
+    edges = edges.unionByName(groups).unionByName(group_articles).unionByName(files)
     # Arrival order inside a category.  A nation category holds all customers
     # of that nation, so one category can hold a large share of the rows: the
     # rank is taken over balanced range partitions, not a per-category window.
-    return group_offsets(edges, ["cat"], [F.col("title").desc()], out="pos")
+    return group_offsets(edges.withColumn("_order", F.md5("title")), ["cat"], [F.col("_order")], out="pos").drop("_order")
 
 
 def member_responses(members: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -93,7 +104,7 @@ def member_responses(members: DataFrame, page_size: int = PAGE_SIZE) -> DataFram
         F.sort_array(F.collect_list(F.struct("pos", "ns", "title"))).alias("m"),
     )
     last = pages.groupBy("cat").agg(F.max("page_no").alias("last_page"))
-    pages = pages.join(sized_broadcast(last), "cat")
+    pages = pages.join(last, "cat")
     body = F.to_json(F.struct(
         F.struct(F.transform("m", lambda x: F.struct(x["ns"].alias("ns"), x["title"].alias("title")))
                  .alias("categorymembers")).alias("query"),

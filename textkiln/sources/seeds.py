@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textkiln.functions.text import PY_SPACE, py_nonblank, py_splitlines, py_strip
-from textkiln.operators.positions import row_index
+from textkiln.operators.positions import ordered_offsets, row_index
 
 
 class EmptyInputError(ValueError):
@@ -41,6 +41,19 @@ def seed_items(lines: DataFrame, order: list[str]) -> DataFrame:
     return numbered.withColumn("seed_pos", F.col("seed_pos") + 1)
 
 
+def text_seed_items(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """``(seed_pos, item)`` over the lines of all texts, in ``key`` order (a
+    unique key): the seed rule as an array expression, a prefix sum over the
+    narrow ``(key, n)`` table, and the place inside the text.  No item text is
+    sorted or range partitioned."""
+    lines = F.filter(py_splitlines(text_col), lambda s: py_nonblank(s) & ~s.rlike(f"^{PY_SPACE}*#"))
+    items = texts.select(F.col(key).alias("_key"), F.transform(lines, py_strip).alias("_items"))
+    narrow = items.select("_key", F.coalesce(F.size("_items"), F.lit(0)).alias("_n")).where("_n > 0")
+    starts = ordered_offsets(narrow, ["_key"], "_n", out="_start").select("_key", "_start")
+    return items.join(starts, "_key").select("_start", F.posexplode("_items").alias("_i", "item")).select(
+        (F.col("_start") + F.col("_i") + 1).alias("seed_pos"), "item")
+
+
 def read_seed_file(spark: SparkSession, path: str) -> DataFrame:
     """Read a seed file (or folder of them) -> ``(seed_pos, item)``.
 
