@@ -152,6 +152,29 @@ def apply_merges(syms: Column, accepted: list[tuple[int, int, int]]) -> Column:
     return F.when(touched, folded).otherwise(syms)
 
 
+def merge_step(syms: Column, accepted: list[tuple[int, int, int]]) -> list[Column]:
+    """``merged``: the symbols after the merges, and ``old``: those before them
+    where a merge applied, else null.  (An output named like the input would be
+    taken for it inside the second column's lambda.)"""
+    keys = [F.lit(l * PAIR_SHIFT + r).cast("long") for l, r, _ in accepted]
+    touched = F.arrays_overlap(pair_keys(syms), F.array(*keys))
+    return [apply_merges(syms, accepted).alias("merged"), F.when(touched, syms).alias("old")]
+
+
+def pair_changes(stepped: DataFrame) -> DataFrame:
+    """Rows ``(pair, cnt)``: what the touched words add to (new symbols) and take
+    from (old symbols) the pair counts."""
+    none = F.array().cast("array<struct<pair:bigint,cnt:bigint>>")
+
+    def signed(syms: str, sign: int) -> Column:
+        found = F.transform(pair_keys(F.col(syms)), lambda k: F.struct(k.alias("pair"), (F.col("freq") * sign).alias("cnt")))
+        return F.when(F.size(syms) >= 2, found).otherwise(none)
+
+    touched = stepped.where(F.col("old").isNotNull())
+    both = touched.select(F.explode(F.concat(signed("merged", 1), signed("old", -1))).alias("d"))
+    return both.select("d.pair", "d.cnt")
+
+
 def choose_merges(head: list[tuple[int, int, int]], budget: int) -> list[tuple[int, int]]:
     """The exact multi-merge rule over the ordered head ``(left, right, cnt)``."""
     used: set[int] = set()
@@ -183,10 +206,9 @@ def train_bpe(
     """Learn merges until ``vocab_size`` entries or the best pair is rarer
     than ``min_frequency``."""
     require_nonempty(docs, "training corpus")  # S3
-    words = training_words(docs, text_col).select("freq", "syms")
-    words = cut_lineage(words)
-    words_cached = False
-    release = None  # cached table of the previous round, dropped once the next one is materialised
+    words = cut_lineage(training_words(docs, text_col).select("freq", "syms"))
+    pairs = cut_lineage(pair_counts(words, 1))
+    held: list[DataFrame] = []  # cached tables of the rounds since the last checkpoint
     merges: list[tuple[int, int, int]] = []
     rounds = 0
     while True:
@@ -194,14 +216,11 @@ def train_bpe(
         if budget <= 0:
             break
         head = (
-            pair_counts(words, min_frequency)
+            pairs.where(F.col("cnt") >= min_frequency)
             .orderBy(F.col("cnt").desc(), F.col("pair").asc())
             .limit(head_rows)
             .collect()
         )
-        if release is not None:
-            release.unpersist()
-            release = None
         if not head:
             break
         triples = [(int(r["pair"]) >> 32, int(r["pair"]) & (PAIR_SHIFT - 1), int(r["cnt"])) for r in head]
@@ -210,22 +229,24 @@ def train_bpe(
             accepted.append((l, r, FIRST_MERGE_ID + len(merges)))
             merges.append(accepted[-1])
         rounds += 1
-        nxt = words.select("freq", apply_merges(F.col("syms"), accepted).alias("syms")).where(F.size("syms") >= 2)
+        if len(merges) >= vocab_size - FIRST_MERGE_ID:
+            break
+        # Read twice: for the changed pair counts and as the next word table.
+        stepped = words.select("freq", *merge_step(F.col("syms"), accepted)).persist()
+        change = pair_changes(stepped)
+        pairs = pairs.unionByName(change).groupBy("pair").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") > 0)
+        words = stepped.where(F.size("merged") >= 2).select("freq", F.col("merged").alias("syms"))
         if rounds % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
-            if words_cached:
-                words.unpersist()
-            words_cached = False
+            pairs, words = cut_lineage(pairs), cut_lineage(words)
+            stepped.unpersist()
+            for t in held:
+                t.unpersist()
+            held = []
         else:
-            nxt = nxt.persist()
-            if words_cached:
-                release = words
-            words_cached = True
-        words = nxt
-    if words_cached:
-        words.unpersist()
-    if release is not None:
-        release.unpersist()
+            pairs = pairs.persist()
+            held += [stepped, pairs]
+    for t in held:
+        t.unpersist()
     return BpeModel(merges, rounds)
 
 

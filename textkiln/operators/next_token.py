@@ -11,8 +11,8 @@ mean of ``-ln p`` over every consecutive pair of a split.
 
 Only observed successors are candidates for generation, so no operator emits
 all ``V x V`` pairs.  Every aggregation is a partial + final hash aggregate;
-the per-context windows are bounded by the number of distinct successors and
-``rank() <= k`` lets Catalyst apply a group limit before the shuffle.
+``rank() <= k`` lets Catalyst apply a group limit before the shuffle, and what
+follows works on classes of equal counts, of which a context keeps at most k.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textkiln.operators.positions import group_offsets
 from textkiln.session import cut_lineage
 
 # Reference generation defaults.
@@ -80,21 +81,37 @@ def top_k(counts: DataFrame, k: int = TOP_K, vocab_size: int | None = None) -> D
 
 def probabilities(kept: DataFrame, temperature: float = TEMPERATURE) -> DataFrame:
     """``p = softmax(logit / T)`` over the kept successors, with
-    ``logit = ln(c / c(x))`` (shift by the context maximum for stability)."""
+    ``logit = ln(c / c(x))`` (shift by the context maximum for stability).
+
+    Successors with equal counts share one probability, and top-k leaves at
+    most ``k`` different counts per context, however many successors tie: the
+    window holds at most ``k`` rows a context."""
+    classes = kept.groupBy("x", "c").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("x")
     scaled = (F.log(F.col("c")) - F.log(F.max("c").over(w))) / F.lit(temperature)
-    weighted = kept.withColumn("wt", F.exp(scaled))
-    return weighted.withColumn("p", F.col("wt") / F.sum("wt").over(w)).drop("wt")
+    weighted = classes.withColumn("wt", F.exp(scaled))
+    shares = weighted.select("x", "c", (F.col("wt") / F.sum(F.col("n") * F.col("wt")).over(w)).alias("p"))
+    return kept.join(shares, ["x", "c"])
 
 
 def cumulative(probs: DataFrame) -> DataFrame:
     """Adds ``lo``/``hi`` cumulative bounds in order ``(p desc, y)`` and the
-    context total ``tot``; a draw ``u`` picks the row with ``lo <= u*tot < hi``."""
-    w = Window.partitionBy("x").orderBy(F.col("p").desc(), F.col("y").asc())
-    hi = F.sum("p").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = probs.withColumn("hi", hi)
-    out = out.withColumn("lo", F.coalesce(F.lag("hi").over(w), F.lit(0.0)))
-    return out.withColumn("tot", F.max("hi").over(Window.partitionBy("x")))
+    context total ``tot``; a draw ``u`` picks the row with ``lo <= u*tot < hi``.
+
+    The window again runs over classes of equal ``p``; the rank of ``y`` inside
+    its class comes from balanced range partitions, so a context whose many
+    successors tie is not one task."""
+    mass = F.col("n") * F.col("p")
+    w = Window.partitionBy("x").orderBy(F.col("p").desc())
+    classes = probs.groupBy("x", "p").agg(F.count(F.lit(1)).alias("n"))
+    classes = classes.withColumn("below", F.coalesce(F.sum(mass).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    classes = classes.withColumn("tot", F.max(F.col("below") + mass).over(Window.partitionBy("x")))
+    ranked = group_offsets(probs, ["x", "p"], ["y"], out="i").join(classes, ["x", "p"])
+    return ranked.select(
+        *probs.columns, "tot",
+        (F.col("below") + F.col("i") * F.col("p")).alias("lo"),
+        (F.col("below") + (F.col("i") + 1) * F.col("p")).alias("hi"),
+    )
 
 
 def sample(cum: DataFrame, seed: int = 0) -> DataFrame:
