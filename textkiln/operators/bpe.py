@@ -152,13 +152,11 @@ def apply_merges(syms: Column, accepted: list[tuple[int, int, int]]) -> Column:
     return F.when(touched, folded).otherwise(syms)
 
 
-def merge_step(syms: Column, accepted: list[tuple[int, int, int]]) -> list[Column]:
-    """``merged``: the symbols after the merges, and ``old``: those before them
-    where a merge applied, else null.  (An output named like the input would be
-    taken for it inside the second column's lambda.)"""
-    keys = [F.lit(l * PAIR_SHIFT + r).cast("long") for l, r, _ in accepted]
-    touched = F.arrays_overlap(pair_keys(syms), F.array(*keys))
-    return [apply_merges(syms, accepted).alias("merged"), F.when(touched, syms).alias("old")]
+def merge_step(words: DataFrame, accepted: list[tuple[int, int, int]]) -> DataFrame:
+    """``(freq, merged, old)``: the symbols after the merges, and those before
+    them where a merge applied (it always shortens the word), else null."""
+    both = words.select("freq", "syms", apply_merges(F.col("syms"), accepted).alias("merged"))
+    return both.select("freq", "merged", F.when(F.size("merged") < F.size("syms"), F.col("syms")).alias("old"))
 
 
 def pair_changes(stepped: DataFrame) -> DataFrame:
@@ -232,7 +230,7 @@ def train_bpe(
         if len(merges) >= vocab_size - FIRST_MERGE_ID:
             break
         # Read twice: for the changed pair counts and as the next word table.
-        stepped = words.select("freq", *merge_step(F.col("syms"), accepted)).persist()
+        stepped = merge_step(words, accepted).persist()
         change = pair_changes(stepped)
         pairs = pairs.unionByName(change).groupBy("pair").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") > 0)
         words = stepped.where(F.size("merged") >= 2).select("freq", F.col("merged").alias("syms"))
