@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from textkiln.operators import html_text as H
 from textkiln.sources.tables import load
-from textkiln.streaming.append import append_pages
+from textkiln.streaming.append import append_pages, read_sink
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as E  # noqa: E402
@@ -19,7 +19,7 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark):
     base = tempfile.mkdtemp(prefix="textkiln-stream-")
     sink, ckpt = f"{base}/sink", f"{base}/ckpt"
     append_pages(spark, SF001, sink, ckpt, file_glob="pages.parquet")
-    first = spark.read.parquet(sink)
+    first = read_sink(spark, sink)
     n = first.count()
     batch = H.page_text(load(spark, SF001, "pages"))
     assert n == batch.count() == 50
@@ -28,6 +28,17 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark):
     assert spark.read.parquet(sink).count() == n
 
 
+def test_stream_keeps_failed_pages_in_quarantine(spark, tmp_path):
+    land, sink, ckpt = (str(tmp_path / x) for x in ("land", "sink", "ckpt"))
+    pages = load(spark, SF001, "pages").limit(3)
+    lost = pages.limit(1).withColumn("page_id", F.lit(-1).cast(pages.schema["page_id"].dataType)).withColumn("html", F.lit(None).cast("string"))
+    pages.unionByName(lost).write.parquet(land)
+    append_pages(spark, land, sink, ckpt)
+    assert read_sink(spark, sink).count() == 3
+    kept = read_sink(spark, sink, "quarantine").collect()
+    assert [r["page_id"] for r in kept] == [-1] and kept[0]["error"] and kept[0]["text"] is None
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 1

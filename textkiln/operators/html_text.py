@@ -81,16 +81,26 @@ def page_blocks(pages: DataFrame) -> DataFrame:
     )
 
 
-def page_text(pages: DataFrame, min_len: int = MIN_PARAGRAPH_LEN) -> DataFrame:
-    """Main text per page: ``(page_id, url, text, n_blocks, n_chars)``."""
-    parsed = parse_pages(pages).where(F.col("error").isNull())
-    out = parsed.select(
+def page_results(pages: DataFrame, min_len: int = MIN_PARAGRAPH_LEN) -> DataFrame:
+    """Every page, failed ones with their ``error`` and no text, in one pass:
+    ``(page_id, url, text, n_blocks, n_chars, error, status)``; ``status`` is
+    ``ok`` or ``quarantine``."""
+    parsed = parse_pages(pages)
+    ok = F.col("error").isNull()
+    return parsed.select(
         "page_id",
         "url",
-        kept_text(F.col("blocks"), min_len).alias("text"),
-        F.size(F.filter("blocks", lambda b: F.length(b["text"]) >= min_len)).alias("n_blocks"),
+        F.when(ok, kept_text(F.col("blocks"), min_len)).alias("text"),
+        F.when(ok, F.size(F.filter("blocks", lambda b: F.length(b["text"]) >= min_len))).alias("n_blocks"),
+        "error",
+        F.when(ok, "ok").otherwise("quarantine").alias("status"),
     ).withColumn("n_chars", F.length("text"))
-    return out
+
+
+def page_text(pages: DataFrame, min_len: int = MIN_PARAGRAPH_LEN) -> DataFrame:
+    """Main text per page: ``(page_id, url, text, n_blocks, n_chars)``."""
+    good = page_results(pages, min_len).where(F.col("status") == "ok")
+    return good.select("page_id", "url", "text", "n_blocks", "n_chars")
 
 
 def page_quarantine(pages: DataFrame) -> DataFrame:

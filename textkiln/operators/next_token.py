@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textkiln.operators.positions import group_offsets
-from textkiln.session import cut_lineage
+from textkiln.session import cut_lineage, scratch_path
 
 # Reference generation defaults.
 TEMPERATURE = 0.8
@@ -125,20 +125,23 @@ def generate(
     cum: DataFrame,
     max_new_tokens: int = MAX_NEW_TOKENS,
     seed: int = 0,
-    checkpoint_every: int = 4,
+    checkpoint_every: int = 10,
 ) -> DataFrame:
     """W10 for all prompts at once: ``prompts(pid, ids array<int>)`` ->
     ``(pid, ids, new_ids)``.  Each step joins the current context (last token)
     to its candidates and keeps the drawn row; a context with no observed
     successor stops.  Lineage is cut every few steps with reliable checkpoints.
-    The join with the candidate table (kept successors per context) is left
-    to its size at run time.
+    The candidate table (kept successors per context) is written once and read
+    back, so Spark knows its size and picks the join by it.
     """
     state = prompts.select(
         "pid", "ids", F.array().cast("array<int>").alias("new_ids"),
         F.try_element_at("ids", F.lit(-1)).alias("ctx"), (F.size("ids") > 0).alias("live"),
     )
-    cand = cut_lineage(cum.select("x", "y", "lo", "hi", "tot"))
+    spark = prompts.sparkSession
+    path = scratch_path(spark, "candidates")
+    cum.select("x", "y", "lo", "hi", "tot").write.parquet(path)
+    cand = spark.read.parquet(path)
     for step in range(max_new_tokens):
         # One left join per step: the range condition keeps exactly the drawn
         # candidate (or none for a finished prompt).

@@ -202,10 +202,10 @@ def corpus_append_stream(spark, sf_dir):
     """ST1: page texts appended by an available-now stream over the landing
     folder; run twice with one checkpoint, the second run adds nothing."""
     from textkiln.session import scratch_path
-    from textkiln.streaming.append import append_pages
+    from textkiln.streaming.append import append_pages, read_sink
 
     base = scratch_path(spark, "append")
     sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
     append_pages(spark, sf_dir, sink, ckpt, file_glob="pages.parquet")
     append_pages(spark, sf_dir, sink, ckpt, file_glob="pages.parquet")
-    return spark.read.parquet(sink).select("page_id", "url", "text", F.col("n_blocks").cast("long"), F.col("n_chars").cast("long"))
+    return read_sink(spark, sink).select("page_id", "url", "text", F.col("n_blocks").cast("long"), F.col("n_chars").cast("long"))

@@ -11,14 +11,17 @@ from textkiln.operators import next_token as N
 from textkiln.operators import pretokens as P
 from textkiln.operators import token_stream as S
 from textkiln.plans.catalog import query
+from textkiln.session import scratch_path
+from textkiln.sources.sinks import load_meta, load_tokenizer_files, save_meta, save_tokenizer
 from textkiln.sources.tables import load
 
-# Verify-sized parameters (FIXTURES.md): BPE vocabulary 257 + 64, windows
-# of 8 steps x 8 rows x 32 tokens, seed 42.  The reference defaults stay the
-# operator defaults (8000 entries, 64 x 128 windows, top-k 40, temperature 0.8).
+# Parameters of the registered queries (FIXTURES.md): windows of 64 rows x 128
+# tokens, 200 generation steps, top-k 40 and temperature 0.8 are the operator
+# defaults; 8 window steps and a BPE vocabulary of 257 + 64 (default 8000) are
+# what the SQL side can follow.
 BPE_VOCAB = 257 + 64
-WIN_STEPS, WIN_BATCH, WIN_BLOCK, SEED = 8, 8, 32, 42
-GEN_STEPS = 8
+WIN_STEPS, WIN_BATCH, WIN_BLOCK, SEED = 8, 64, 128, 42
+GEN_STEPS = N.MAX_NEW_TOKENS
 
 # ----------------------------------------------------------------- SQL side
 # Java (?U)\s is Unicode White_Space; RE2 \s is ASCII, so spell the class out.
@@ -117,10 +120,21 @@ def _model(spark, sf_dir):
     return _CACHE[key]
 
 
+def _reloaded(spark, sf_dir):
+    """The trained tokenizer saved and loaded from its two files, with the
+    metadata saved beside the encoded data: what encoding and its check use."""
+    key = ("reloaded", spark.sparkContext.applicationId, sf_dir)
+    if key not in _CACHE:
+        path = scratch_path(spark, "tokenizer")
+        save_tokenizer(spark, _model(spark, sf_dir), path)
+        _CACHE[key] = path, load_tokenizer_files(spark, path)
+    return _CACHE[key]
+
+
 def _bpe_stream(spark, sf_dir):
     key = ("bpe_stream", spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
-        _CACHE[key] = S.bpe_stream(_model(spark, sf_dir), _docs(spark, sf_dir))
+        _CACHE[key] = S.bpe_stream(_reloaded(spark, sf_dir)[1], _docs(spark, sf_dir))
     return _CACHE[key]
 
 
@@ -214,9 +228,11 @@ FROM merges
 
 # Encoding: framed documents pretokenized in document mode; each distinct word gets the merges
 # applied in rank order (equal to merging the lowest-ranked pair first).
-_SQL_BPE_ENC = f"""{_SQL_BPE_MERGES},
+def _bpe_enc_sql(more: str = "") -> str:
+    """CTEs ending in ``encoded(doc_id, ids)``; ``more`` adds texts to the documents."""
+    return f"""{_SQL_BPE_MERGES},
 segs AS (
-  SELECT doc_id, 0 AS si, text || chr(10) || chr(10) AS seg FROM documents
+  SELECT doc_id, 0 AS si, text || chr(10) || chr(10) AS seg FROM documents{more}
 ),
 dtoks AS (
   SELECT doc_id, si, unnest(range(len(l))) AS ti, unnest(l) AS token FROM (SELECT doc_id, si, {_pretok('seg')} AS l FROM segs)
@@ -239,6 +255,9 @@ encoded AS (
 )"""
 
 
+_SQL_BPE_ENC = _bpe_enc_sql()
+
+
 @query("bpe_train", _SQL_BPE_TRAIN)
 def bpe_train(spark, sf_dir):
     """A8 + L5: learned merges ``(rank, left_id, right_id, new_id, token)``."""
@@ -251,7 +270,7 @@ SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, ids FROM encoded
 """)
 def encode_documents(spark, sf_dir):
     """BPE ids of every framed document."""
-    enc = B.encode_documents(_model(spark, sf_dir), _docs(spark, sf_dir))
+    enc = B.encode_documents(_reloaded(spark, sf_dir)[1], _docs(spark, sf_dir))
     return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
@@ -260,7 +279,7 @@ SELECT doc_id, text || chr(10) || chr(10) AS text FROM documents
 """)
 def decode_roundtrip(spark, sf_dir):
     """T3 + J5: decode(encode(text + "\\n\\n")) for every document."""
-    m = _model(spark, sf_dir)
+    m = _reloaded(spark, sf_dir)[1]
     enc = B.encode_documents(m, _docs(spark, sf_dir))
     return enc.select("doc_id", B.decode_ids(m, F.col("ids")).alias("text"))
 
@@ -288,12 +307,16 @@ mx AS (SELECT CAST(max(list_max(ids)) AS BIGINT) AS max_id FROM encoded)
 SELECT v AS model_vocab, v AS data_vocab, max_id, max_id < v AS ok FROM nm, mx
 """)
 def vocab_check(spark, sf_dir):
-    """T5: the encoded data fits the tokenizer (raises on mismatch)."""
+    """T5: the saved metadata of the encoded data against the tokenizer loaded
+    from its files (raises on mismatch)."""
     stream = _bpe_stream(spark, sf_dir)
-    m = _model(spark, sf_dir)
-    max_id = stream.docs.agg(F.max(F.array_max("ids"))).first()[0]
-    B.check_vocabulary(m.vocab_size, stream.vocab_size, max_id)
-    return spark.createDataFrame([(m.vocab_size, stream.vocab_size, int(max_id), True)],
+    path, m = _reloaded(spark, sf_dir)
+    found = stream.docs.agg(F.max(F.array_max("ids"))).first()[0]
+    save_meta(spark, f"{path}/meta", stream.vocab_size, max_id=found)
+    meta = load_meta(spark, f"{path}/meta")
+    B.check_vocabulary(m.vocab_size, meta["vocab_size"], meta["max_id"])
+    fits = meta["vocab_size"] == m.vocab_size and meta["max_id"] < m.vocab_size
+    return spark.createDataFrame([(m.vocab_size, meta["vocab_size"], meta["max_id"], fits)],
                                  "model_vocab long, data_vocab long, max_id long, ok boolean")
 
 
@@ -451,48 +474,73 @@ def _step_uniform_sql(seed: int) -> str:
     return f"(CAST(({h} * {N.U_MULT}) % {N.U_MOD} AS DOUBLE) / {N.U_MOD})"
 
 
-@query("generate_batch", f"""
-WITH RECURSIVE {SQL_TOKS},
-ptoks AS (
-  SELECT pid, CAST(unnest(range(len(l))) AS BIGINT) AS i, unnest(l) AS token
-  FROM (SELECT CAST(conv_id AS BIGINT) * 1000 + turn AS pid, {_pretok("text")} AS l
-        FROM conversations)
+# Prompts are encoded with the corpus under negative keys; ``bcum`` is ``cum`` over BPE ids.
+_PROMPT_KEY = "-1 - (CAST(conv_id AS BIGINT) * 1000 + turn)"
+_SQL_GENERATE = f"""
+WITH RECURSIVE {_bpe_enc_sql(f" UNION ALL SELECT {_PROMPT_KEY}, 0, text FROM conversations")},
+prompts AS MATERIALIZED (
+  SELECT -1 - t.k AS pid, CAST(coalesce(len(e.ids), 0) AS BIGINT) AS n_prompt, coalesce(e.ids[-1], -1) AS ctx
+  FROM (SELECT {_PROMPT_KEY} AS k FROM conversations) t LEFT JOIN encoded e ON e.doc_id = t.k
 ),
-turns AS (SELECT CAST(conv_id AS BIGINT) * 1000 + turn AS pid FROM conversations),
-prompts AS (
-  SELECT t.pid, CAST(count(p.i) AS BIGINT) AS n_prompt, coalesce(arg_max(coalesce(v.token_id, -1), p.i), -1) AS ctx
-  FROM turns t LEFT JOIN ptoks p USING (pid) LEFT JOIN vocab v USING (token) GROUP BY t.pid
+btoks AS (
+  SELECT id, row_number() OVER (ORDER BY doc_id, i) - 1 AS pos, count(*) OVER () AS n
+  FROM (SELECT doc_id, unnest(range(len(ids))) AS i, unnest(ids) AS id FROM encoded WHERE doc_id >= 0)
 ),
-gen(pid, step, ctx, new_ids) AS (
-  SELECT pid, 0, ctx, '' FROM prompts
+btrain AS (SELECT id AS x, lead(id) OVER (ORDER BY pos) AS y FROM btoks WHERE pos < (9 * n) // 10),
+bcounts AS (SELECT x, y, CAST(count(*) AS BIGINT) AS c FROM btrain WHERE y IS NOT NULL GROUP BY x, y),
+btopk AS (SELECT x, y, c FROM (SELECT *, rank() OVER (PARTITION BY x ORDER BY c DESC) AS r FROM bcounts) WHERE r <= {N.TOP_K}),
+bprobs AS (
+  SELECT x, y, wt / sum(wt) OVER (PARTITION BY x) AS p
+  FROM (SELECT *, exp((ln(c) - ln(max(c) OVER (PARTITION BY x))) / {N.TEMPERATURE}) AS wt FROM btopk)
+),
+bcum AS MATERIALIZED (
+  SELECT *, coalesce(lag(hi) OVER (PARTITION BY x ORDER BY p DESC, y), 0.0) AS lo, max(hi) OVER (PARTITION BY x) AS tot
+  FROM (SELECT *, sum(p) OVER (PARTITION BY x ORDER BY p DESC, y ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi FROM bprobs)
+),
+gen(pid, step, ctx) AS (
+  SELECT pid, 0, ctx FROM prompts
   UNION ALL
-  SELECT g.pid, g.step + 1, c.y,
-         CASE WHEN g.new_ids = '' THEN CAST(c.y AS VARCHAR) ELSE g.new_ids || ' ' || CAST(c.y AS VARCHAR) END
-  FROM gen g JOIN cum c
+  SELECT g.pid, g.step + 1, c.y
+  FROM gen g JOIN bcum c
     ON c.x = g.ctx AND c.lo <= {_step_uniform_sql(SEED)} * c.tot AND {_step_uniform_sql(SEED)} * c.tot < c.hi
   WHERE g.step < {GEN_STEPS}
 )
-SELECT p.pid, p.n_prompt, arg_max(g.new_ids, g.step) AS new_ids
+SELECT p.pid, p.n_prompt,
+       coalesce(string_agg(CAST(g.ctx AS VARCHAR), ' ' ORDER BY g.step) FILTER (WHERE g.step > 0), '') AS new_ids
 FROM prompts p JOIN gen g USING (pid)
 GROUP BY p.pid, p.n_prompt
-""")
+"""
+
+
+def _generated(spark, sf_dir):
+    """``(pid, ids, new_ids)``: every turn of ``conversations`` encoded with the
+    trained tokenizer (no text is unseen to it) and continued."""
+    key = ("generated", spark.sparkContext.applicationId, sf_dir)
+    if key not in _CACHE:
+        stream = _bpe_stream(spark, sf_dir)
+        kept = N.top_k(N.bigram_counts(stream.pairs()), N.TOP_K, stream.vocab_size)
+        cum = N.cumulative(N.probabilities(kept, N.TEMPERATURE))
+        conv = load(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+        turns = conv.select((F.col("conv_id").cast("long") * 1000 + F.col("turn")).alias("pid"), "text")
+        prompts = B.encode_texts(_reloaded(spark, sf_dir)[1], turns, "pid", F.col("text"), frame=False)
+        _CACHE[key] = N.generate(prompts, cum, GEN_STEPS, SEED)
+    return _CACHE[key]
+
+
+@query("generate_batch", _SQL_GENERATE)
 def generate_batch(spark, sf_dir):
-    """Continue every turn of ``conversations`` by a few tokens; a
-    pretoken that the corpus does not have is id -1 and has no successor."""
-    stream, vocab = _pretoken(spark, sf_dir)
-    conv = load(spark, sf_dir, "conversations", "conv_id", "turn", "text")
-    prompts_tok = conv.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("pid"),
-        F.posexplode_outer(P.pretokenize(F.col("text"))).alias("i", "token"),
-    )
-    v = vocab.select("token", F.col("token_id").cast("int").alias("token_id"))
-    held = F.when(F.col("i").isNotNull(), F.struct("i", F.coalesce("token_id", F.lit(-1)).alias("token_id")))
-    prompts = prompts_tok.join(v, "token", "left").groupBy("pid").agg(
-        F.transform(F.sort_array(F.collect_list(held)), lambda s: s["token_id"]).alias("ids")
-    )
-    out = N.generate(prompts, _cum(spark, sf_dir), GEN_STEPS, SEED)
-    return out.select("pid", F.size("ids").cast("long").alias("n_prompt"),
-                      F.array_join(F.col("new_ids").cast("array<string>"), " ").alias("new_ids"))
+    """Every turn of ``conversations`` continued by 200 BPE tokens."""
+    return _generated(spark, sf_dir).select(
+        "pid", F.size("ids").cast("long").alias("n_prompt"),
+        F.array_join(F.col("new_ids").cast("array<string>"), " ").alias("new_ids"))
+
+
+@query("generate_text")
+def generate_text(spark, sf_dir):
+    """W10 + J5: prompt and continuation decoded to text (bytes that are no
+    UTF-8 become U+FFFD, which SQL has no function for)."""
+    out = _generated(spark, sf_dir)
+    return out.select("pid", B.decode_ids(_reloaded(spark, sf_dir)[1], F.concat("ids", "new_ids")).alias("text"))
 
 
 def clear_caches() -> None:

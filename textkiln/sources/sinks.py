@@ -30,6 +30,13 @@ def load_tokenizer(spark: SparkSession, path: str) -> BpeModel:
     return BpeModel([(r["left_id"], r["right_id"], r["new_id"]) for r in rows])
 
 
+def load_tokenizer_files(spark: SparkSession, path: str) -> BpeModel:
+    """S11 read back from the two file forms (both bounded by the vocabulary size)."""
+    vocab = spark.read.text(f"{path}/vocab.json", wholetext=True).first()["value"]
+    merges = spark.read.text(f"{path}/merges.txt", wholetext=True).first()["value"]
+    return BpeModel.from_files(vocab, merges)
+
+
 def save_token_splits(tokens: DataFrame, path: str) -> None:
     """One table partitioned by ``split`` (train / val)."""
     tokens.write.mode("overwrite").partitionBy("split").parquet(path)

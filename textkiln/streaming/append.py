@@ -3,6 +3,9 @@
 A stateless Structured Streaming query: file source over the landing folder
 (explicit schema; ``pathGlobFilter`` selects the page files), the same page
 extraction as the batch path, and a parquet append sink with a checkpoint.
+The sink is partitioned by ``status``: one pass writes texts to ``status=ok``
+and failed pages, with their error, to ``status=quarantine``, both exactly
+once by the sink's own log.
 ``trigger(availableNow=True)`` processes what has landed and stops, so a
 scheduler can run it like a batch job; a rerun with the same checkpoint only
 picks up new files (the reference appends duplicates on every rerun).
@@ -11,6 +14,7 @@ picks up new files (the reference appends duplicates on every rerun).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textkiln.operators import html_text as H
 from textkiln.sources.tables import SCHEMAS
@@ -22,7 +26,12 @@ def page_text_stream(spark: SparkSession, landing_dir: str, file_glob: str = "*.
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     pages = reader.parquet(landing_dir)
-    return H.page_text(pages)
+    return H.page_results(pages)
+
+
+def read_sink(spark: SparkSession, sink_dir: str, status: str = "ok") -> DataFrame:
+    """The appended rows of one status; the other folder is pruned."""
+    return spark.read.parquet(sink_dir).where(F.col("status") == status)
 
 
 def append_pages(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoint_dir: str,
@@ -32,6 +41,7 @@ def append_pages(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoin
     q = (
         stream.writeStream.format("parquet")
         .outputMode("append")
+        .partitionBy("status")
         .option("path", sink_dir)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
