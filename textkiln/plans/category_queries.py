@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textkiln.operators import categories as K
+from textkiln.operators import collector as C
+from textkiln.operators.corpus import write_corpus
 from textkiln.plans.catalog import query
+from textkiln.plans.sql_text import EXTRACT_ROWS, nonblank, ref_cut
+from textkiln.session import scratch_path
 from textkiln.sources import landed
 
 # Reference crawl limits, and a paged/capped variant that exercises the
@@ -57,9 +61,9 @@ def _read_sql(name: str, level: str, limit: int, page: int, namespaces: str = "0
 )"""
 
 
-def walk_sql(limit: int, page_size: int, max_depth: int, cap: int, namespaces: str = "0, 14") -> str:
+def walk_sql(limit: int, page_size: int, max_depth: int, cap: int, namespaces: str = "0, 14", graph: str = MEMBERS_SQL) -> str:
     """CTEs ending in ``visited(cat, depth, visit_pos)`` and ``rd(...)``; depth <= 1."""
-    parts = [MEMBERS_SQL, f"""
+    parts = [graph, f"""
 l0 AS (
   SELECT cat, 0 AS depth, CAST(row_number() OVER (ORDER BY o) AS BIGINT) AS visit_pos
   FROM (SELECT cat, min(seed_pos) AS o FROM seeds GROUP BY cat)
@@ -218,5 +222,63 @@ def older_collector_titles(spark, sf_dir):
     return _walk(spark, sf_dir, dict(OLDER, namespaces=K.NAMESPACES_OLDER)).titles().distinct()
 
 
+# The graph over the sources of documents; its titles are those of the landed extracts.
+SOURCE_GRAPH_SQL = """
+edges AS (
+  SELECT DISTINCT cat, ns, title FROM (
+    SELECT 'Kategorie:' || source AS cat, 14 AS ns, 'Kategorie:' || source || ' ' || lang AS title FROM documents
+    UNION ALL
+    SELECT 'Kategorie:' || source || ' ' || lang, 0, 'Doc ' || CAST(doc_id // 2 AS VARCHAR) FROM documents
+    UNION ALL
+    SELECT 'Kategorie:' || source, 0, 'Doc ' || CAST(doc_id // 2 AS VARCHAR) FROM documents WHERE doc_id % 5 = 0
+  ) WHERE cat IS NOT NULL AND title IS NOT NULL
+),
+members AS (
+  SELECT cat, ns, title, CAST(row_number() OVER (PARTITION BY cat ORDER BY md5(title)) - 1 AS BIGINT) AS pos FROM edges
+),
+seeds AS (
+  SELECT CAST(row_number() OVER (ORDER BY cat) AS BIGINT) AS seed_pos, cat
+  FROM (SELECT DISTINCT 'Kategorie:' || source AS cat FROM documents WHERE source IS NOT NULL)
+)"""
+
+
+def _collect_sql(titles: str, text: str, keep: str) -> str:
+    return f"""{EXTRACT_ROWS},
+usable AS (SELECT arrival_pos, title, {text} AS text FROM extract_rows),
+texts AS (SELECT title, arg_max(text, arrival_pos) AS text FROM usable WHERE {keep} GROUP BY title),
+asked AS (
+  SELECT title, CAST(row_number() OVER (ORDER BY title) - 1 AS BIGINT) AS title_pos
+  FROM (SELECT DISTINCT title FROM {titles} WHERE kept AND kind = 'article')
+)
+SELECT title_pos, CAST(title_pos // {K.BATCH_SIZE} AS BIGINT) AS batch, title, text, text || chr(10) || chr(10) AS framed
+FROM asked JOIN texts USING (title)
+"""
+
+
+def _collected(spark, sf_dir, collect, **limits):
+    """A fresh corpus that one collector appended to."""
+    extracts = landed.parse_extract_responses(landed.extract_responses(spark, sf_dir))
+    found = collect(landed.source_seeds(spark, sf_dir), landed.source_members(spark, sf_dir), extracts, **limits)
+    path = scratch_path(spark, "collected")
+    write_corpus(found, path)
+    return spark.read.parquet(path)
+
+
+@query("collect_newer", f"WITH {walk_sql(**REF, graph=SOURCE_GRAPH_SQL)}," + _collect_sql("rd", ref_cut("extract"), nonblank("text")))
+def collect_newer(spark, sf_dir):
+    """The newer collector end to end with its own crawl limits: walk, distinct
+    titles, batches, extracts, cut, non-blank, framed append."""
+    return _collected(spark, sf_dir, C.collect_newer, **REF)
+
+
+@query("collect_older", f"""
+WITH {SOURCE_GRAPH_SQL},
+chosen AS (SELECT DISTINCT cat, CAST(0 AS BIGINT) AS visit_pos FROM seeds),
+{_read_sql("rd", "chosen", K.MAX_PAGES_PER_CATEGORY, landed.PAGE_SIZE, "0")},""" + _collect_sql("rd", "extract", "text <> ''"))
+def collect_older(spark, sf_dir):
+    """The older collector end to end: articles of the seed categories, whole texts."""
+    return _collected(spark, sf_dir, C.collect_older)
+
+
 def clear_caches() -> None:
     _WALK_CACHE.clear()

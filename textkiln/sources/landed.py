@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textkiln.functions.text import CATEGORY_PREFIX
-from textkiln.operators.positions import group_offsets
+from textkiln.operators.positions import group_offsets, row_index
 from textkiln.sources.tables import load
 
 # Fixed values (API contract): namespaces of articles and subcategories.
@@ -96,6 +96,28 @@ def category_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_offsets(edges.withColumn("_order", F.md5("title")), ["cat"], [F.col("_order")], out="pos").drop("_order")
 
 
+def source_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(seed_pos, cat)``: one seed category per source of ``documents``."""
+    cats = load(spark, sf_dir, "documents", "source").select(F.concat(F.lit(CATEGORY_PREFIX), "source").alias("cat"))
+    ranked = row_index(cats.where(F.col("cat").isNotNull()).distinct(), ["cat"], out="i")
+    return ranked.select((F.col("i") + 1).alias("seed_pos"), "cat")
+
+
+def source_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(cat, ns, title, pos)``: a source holds the titles of every fifth
+    document and one subcategory per language, which holds all its titles."""
+    docs = load(spark, sf_dir, "documents", "doc_id", "source", "lang")
+    cat = F.concat(F.lit(CATEGORY_PREFIX), "source")
+    sub = F.concat(cat, F.lit(" "), F.col("lang"))
+    article = extract_title(F.col("doc_id"))
+    edges = docs.select(F.explode(F.array(
+        F.struct(cat.alias("cat"), F.lit(NS_CATEGORY).alias("ns"), sub.alias("title")),
+        F.struct(sub.alias("cat"), F.lit(NS_ARTICLE).alias("ns"), article.alias("title")),
+        F.struct(F.when(F.col("doc_id") % 5 == 0, cat).alias("cat"), F.lit(NS_ARTICLE).alias("ns"), article.alias("title")),
+    )).alias("e")).select("e.*").where("cat IS NOT NULL AND title IS NOT NULL").distinct()
+    return group_offsets(edges.withColumn("_order", F.md5("title")), ["cat"], [F.col("_order")], out="pos").drop("_order")
+
+
 def member_responses(members: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """``(cat, page_no, body)``: landed JSON pages of a category, with a
     ``continue.cmcontinue`` token on every page but the last."""
