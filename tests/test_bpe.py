@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from textkiln.functions.bytelevel import BYTE_CHAR, BYTE_ID, to_bytelevel
 from textkiln.operators import bpe as B
+from textkiln.plans import token_queries as Q
+from textkiln.plans.catalog import QUERIES, SMALL_ORACLES
 from textkiln.sources.tables import load
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -151,3 +153,46 @@ def test_bytelevel_roundtrip():
     s = "Grüße 😀 \x00\x7f\xad"
     assert from_bytelevel(to_bytelevel(s)) == s.encode("utf-8")
     assert all(c.isprintable() for c in to_bytelevel(s))
+
+
+def test_registered_vocabulary_of_8000_matches_library(spark):
+    """The registered queries train 8000 entries: merges, ids and figures as the library's."""
+    rows = load(spark, SF001, "documents", "doc_id", "text").collect()
+    Q.clear_caches()
+    tk, lib = lib_train([r["text"] for r in sorted(rows)], 8000)
+    merges = QUERIES["bpe_train"](spark, SF001).orderBy("rank").collect()
+    text = {i: t for t, i in tk.get_vocab().items()}
+    assert [f"{text[m.left_id]} {text[m.right_id]}" for m in merges] == lib and len(lib) == 8000 - 257
+    assert [m.token for m in merges] == [text[m.new_id] for m in merges]
+    want = {r["doc_id"]: tk.encode(r["text"] + "\n\n").ids for r in rows}
+    assert {r.doc_id: list(r.ids) for r in QUERIES["encode_documents"](spark, SF001).collect()} == want
+    n = sum(map(len, want.values()))
+    meta = QUERIES["corpus_meta"](spark, SF001).first()
+    assert (meta.vocab_size, meta.n_merges, meta.n_tokens, meta.n_train) == (8000, 8000 - 257, n, 9 * n // 10)
+    assert {r.doc_id: r.text for r in QUERIES["decode_roundtrip"](spark, SF001).collect()} == {r["doc_id"]: r["text"] + "\n\n" for r in rows}
+    Q.clear_caches()
+
+
+@pytest.mark.parametrize("limits", [dict(head_rows=3), dict(head_rows=64, max_symbols=200), dict(max_symbols=1)])
+def test_short_heads_and_few_segments_change_nothing(spark, limits):
+    texts = ["the then there aaa aaaa aaaaa baab abab ababab the other thing\n über überall"] * 3 + ["ab xy", "xy ab aab xxy"]
+    _, lib = lib_train(texts, 275)
+    assert B.train_bpe(docs_of(spark, texts), 275, **limits).merges_txt().splitlines()[1:] == lib
+
+
+# Not generate_batch, whose 200 steps take minutes.
+@pytest.mark.parametrize("name", sorted(set(SMALL_ORACLES) - {"generate_batch"}))
+def test_small_vocabulary_matches_sql(spark, monkeypatch, name):
+    import duckdb
+
+    monkeypatch.setattr(Q, "TRAIN_VOCAB", Q.BPE_VOCAB)
+    Q.clear_caches()
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
+    found = QUERIES[name](spark, SF001)
+    want = con.execute(SMALL_ORACLES[name])
+    assert found.columns == [c[0] for c in want.description]
+    plain = lambda rows: sorted((tuple(list(v) if isinstance(v, (list, tuple)) else v for v in r) for r in rows), key=repr)
+    assert plain(found.collect()) == plain(want.fetchall())
+    Q.clear_caches()

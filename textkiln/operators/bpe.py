@@ -1,22 +1,22 @@
 """Byte-level BPE as Spark jobs.
 
 Training (``train_bpe``)
-    The heavy part is Spark: corpus lines -> pretokens -> ``groupBy`` counts
-    -> the word table ``(word, freq, syms)``.  Each round counts adjacent
-    pairs (partial/final hash aggregate), brings only the ordered *head* of the
-    pair table to the driver (``limit`` of a few hundred rows), accepts a run of
-    merges that gives exactly the sequential result, and applies them to the
-    word table JVM-side with a higher-order ``aggregate``.  Words reduced to
-    one symbol leave the working set.  Lineage is cut with reliable
-    checkpoints every few rounds.
-
-    Exact multi-merge rule: walk the ordered pairs (count desc, then smallest
-    ``(left, right)``); accept until the first pair that shares a symbol with
-    an accepted one (stop there), and stop right after accepting ``(a, a)``.
-    Accepted counts cannot drop and every pair created by a merge ranks below
-    all accepted pairs (its count is bounded by a pair that shares a symbol;
-    ties resolve by id and new ids are the largest), so the sequence equals
-    one-merge-at-a-time training.
+    Corpus lines -> pretokens -> ``groupBy`` counts -> the word table
+    ``(syms, freq)``.  Each round counts adjacent pairs (partial/final hash
+    aggregate) and brings the ordered head of the pair table to the driver.
+    Words are split wherever a pair is not in the head; equal segments are
+    summed by Spark, and the driver learns merges one at a time from the
+    segments, whose size is bounded (``MAX_SYMBOLS``; a shorter head gives
+    less).  The merges are then applied to the word table in an Arrow pass.
+    Words reduced to one symbol leave the working set.
+
+    This equals one-merge-at-a-time training: pairs are ordered by count
+    descending, then by smallest ``(left, right)``.  A pair behind the head
+    cannot gain occurrences, and a pair that a merge creates across it has no
+    larger count and a larger key, so it ranks behind the head's last pair,
+    too.  A round ends when the best pair ranks behind that pair.  Merges
+    inside a span that no merge crosses depend on its bytes alone, so no text
+    is learned twice and every merge has a new id.
 
 Encoding (``encode_documents``)
     Per document, never per line: ``text + "\\n\\n"`` pretokenized JVM-side, then merges by rank in an Arrow-batched
@@ -32,9 +32,12 @@ Decoding (``decode_ids``)
 
 from __future__ import annotations
 
+import heapq
 import json
+from collections import defaultdict
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,7 +57,6 @@ from textkiln.operators.pretokens import (
     line_pretokens,
     multi_symbol_words,
     pair_counts,
-    pair_keys,
     pretoken_counts,
     pretokenize,
     word_table,
@@ -129,62 +131,131 @@ class BpeModel:
 
 
 # ----------------------------------------------------------------- training
-def _merge_map(accepted: list[tuple[int, int, int]]) -> Column:
-    args = []
-    for l, r, n in accepted:
-        args += [F.lit(l * PAIR_SHIFT + r).cast("long"), F.lit(n).cast("int")]
-    return F.create_map(*args)
+# Symbols of the distinct segments that the driver learns from in a round.
+MAX_SYMBOLS = 1_000_000
+HEAD_ROWS = 16384
 
 
-def apply_merges(syms: Column, accepted: list[tuple[int, int, int]]) -> Column:
-    """Apply merges that share no symbol, greedily left to right, in one fold."""
-    m = _merge_map(accepted)
+def _flat(syms) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of a list column, each row's start, and for each symbol whether
+    the next one belongs to the same row."""
+    flat = syms.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = syms.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    inner = np.ones(len(flat), bool)
+    inner[ends[sizes > 0] - 1] = False
+    return flat, ends - sizes, inner
 
-    def step(acc, s):
-        last = F.try_element_at(acc, F.lit(-1))
-        hit = F.try_element_at(m, last.cast("long") * PAIR_SHIFT + s.cast("long"))
-        return F.when(hit.isNotNull(), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(hit))).otherwise(
-            F.array_append(acc, s)
-        )
 
-    touched = F.exists(pair_keys(syms), lambda k: F.map_contains_key(m, k))
-    folded = F.aggregate(syms, F.array().cast("array<int>"), step)
-    return F.when(touched, folded).otherwise(syms)
+def _segments(head: np.ndarray):
+    """Segments of two or more symbols whose adjacent pairs are all in the head."""
 
+    def run(batches):
+        for batch in batches:
+            flat, starts, inner = _flat(batch.column(0))
+            if not len(flat):
+                continue
+            keys = flat[:-1] * PAIR_SHIFT + flat[1:]
+            at = np.minimum(np.searchsorted(head, keys), len(head) - 1)
+            joined = inner[:-1] & (head[at] == keys)
+            begins = np.flatnonzero(np.concatenate([[True], ~joined]))
+            ends = np.append(begins[1:], len(flat))
+            rows = np.searchsorted(starts, begins, side="right") - 1
+            long = ends - begins >= 2
+            begins, ends, rows = begins[long], ends[long], rows[long]
+            sizes = ends - begins
+            offsets = np.concatenate([[0], np.cumsum(sizes)])
+            values = flat[np.arange(offsets[-1]) + np.repeat(begins - offsets[:-1], sizes)]
+            segs = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([segs, batch.column(1).take(pa.array(rows))], names=["syms", "freq"])
 
-def merge_step(words: DataFrame, accepted: list[tuple[int, int, int]]) -> DataFrame:
-    """``(freq, merged, old)``: the symbols after the merges, and those before
-    them where a merge applied (it always shortens the word), else null."""
-    both = words.select("freq", "syms", apply_merges(F.col("syms"), accepted).alias("merged"))
-    return both.select("freq", "merged", F.when(F.size("merged") < F.size("syms"), F.col("syms")).alias("old"))
+    return run
 
 
-def pair_changes(stepped: DataFrame) -> DataFrame:
-    """Rows ``(pair, cnt)``: what the touched words add to (new symbols) and take
-    from (old symbols) the pair counts."""
-    none = F.array().cast("array<struct<pair:bigint,cnt:bigint>>")
+def _merged(syms: list[int], left: int, right: int, new: int) -> list[int]:
+    out, i, n = [], 0, len(syms)
+    while i < n:
+        if syms[i] == left and i + 1 < n and syms[i + 1] == right:
+            out.append(new)
+            i += 2
+        else:
+            out.append(syms[i])
+            i += 1
+    return out
 
-    def signed(syms: str, sign: int) -> Column:
-        found = F.transform(pair_keys(F.col(syms)), lambda k: F.struct(k.alias("pair"), (F.col("freq") * sign).alias("cnt")))
-        return F.when(F.size(syms) >= 2, found).otherwise(none)
 
-    touched = stepped.where(F.col("old").isNotNull())
-    both = touched.select(F.explode(F.concat(signed("merged", 1), signed("old", -1))).alias("d"))
-    return both.select("d.pair", "d.cnt")
+def learn_merges(segments, last: tuple[int, int], budget: int, first_id: int) -> list[tuple[int, int, int]]:
+    """At most ``budget`` merges in sequential order, while the best pair does
+    not rank behind ``last`` (``(-count, pair)``)."""
+    words, freqs = segments
+    counts: dict[int, int] = defaultdict(int)
+    where: dict[int, set[int]] = defaultdict(set)
+    for w, (syms, freq) in enumerate(zip(words, freqs, strict=True)):
+        for l, r in zip(syms, syms[1:], strict=False):
+            counts[l * PAIR_SHIFT + r] += freq
+            where[l * PAIR_SHIFT + r].add(w)
+    heap = [(-c, p) for p, c in counts.items()]
+    heapq.heapify(heap)
+    merges: list[tuple[int, int, int]] = []
+    while heap and len(merges) < budget:
+        best = heapq.heappop(heap)
+        count, pair = -best[0], best[1]
+        now = counts.get(pair, 0)
+        if now != count:
+            if now > 0:
+                heapq.heappush(heap, (-now, pair))
+            continue
+        if best > last:
+            break
+        left, right = pair // PAIR_SHIFT, pair % PAIR_SHIFT
+        new = first_id + len(merges)
+        merges.append((left, right, new))
+        gained = set()
+        for w in where.pop(pair):
+            old, freq = words[w], freqs[w]
+            now_syms = _merged(old, left, right, new)
+            if len(now_syms) == len(old):
+                continue
+            words[w] = now_syms
+            for l, r in zip(old, old[1:], strict=False):
+                counts[l * PAIR_SHIFT + r] -= freq
+            for l, r in zip(now_syms, now_syms[1:], strict=False):
+                key = l * PAIR_SHIFT + r
+                counts[key] += freq
+                if l == new or r == new:
+                    where[key].add(w)
+                    gained.add(key)
+        counts.pop(pair, None)
+        for key in gained:
+            heapq.heappush(heap, (-counts[key], key))
+    return merges
+
+
+def _apply(merges: list[tuple[int, int, int]]):
+    """The word table after the merges: each makes a new symbol, so taking the
+    lowest rank first is the sequential order."""
+    ranks = {(l, r): (k, n) for k, (l, r, n) in enumerate(merges)}
+    keys = np.sort(np.array([l * PAIR_SHIFT + r for l, r, _ in merges], np.int64))
 
+    def run(batches):
+        for batch in batches:
+            flat, starts, inner = _flat(batch.column(0))
+            if not len(flat):
+                continue
+            pairs = flat[:-1] * PAIR_SHIFT + flat[1:]
+            at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
+            hits = np.flatnonzero(inner[:-1] & (keys[at] == pairs))
+            touched = set(np.unique(np.searchsorted(starts, hits, side="right") - 1).tolist())
+            out, freqs = [], []
+            for i, (syms, freq) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                if i in touched:
+                    syms = _lowest_first(syms, ranks)
+                if len(syms) >= 2:
+                    out.append(syms)
+                    freqs.append(freq)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32())), pa.array(freqs, pa.int64())], names=["syms", "freq"])
 
-def choose_merges(head: list[tuple[int, int, int]], budget: int) -> list[tuple[int, int]]:
-    """The exact multi-merge rule over the ordered head ``(left, right, cnt)``."""
-    used: set[int] = set()
-    out: list[tuple[int, int]] = []
-    for l, r, _ in head:
-        if len(out) >= budget or l in used or r in used:
-            break
-        out.append((l, r))
-        used.update((l, r))
-        if l == r:
-            break
-    return out
+    return run
 
 
 def training_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -197,58 +268,57 @@ def train_bpe(
     docs: DataFrame,
     vocab_size: int = VOCAB_SIZE,
     min_frequency: int = MIN_FREQUENCY,
-    head_rows: int = 256,
-    checkpoint_every: int = 6,
+    head_rows: int = HEAD_ROWS,
+    max_symbols: int = MAX_SYMBOLS,
     text_col: str = "text",
 ) -> BpeModel:
     """Learn merges until ``vocab_size`` entries or the best pair is rarer
     than ``min_frequency``."""
     require_nonempty(docs, "training corpus")  # S3
-    words = cut_lineage(training_words(docs, text_col).select("freq", "syms"))
-    pairs = cut_lineage(pair_counts(words, 1))
-    held: list[DataFrame] = []  # cached tables of the rounds since the last checkpoint
-    merges: list[tuple[int, int, int]] = []
-    rounds = 0
-    while True:
-        budget = vocab_size - FIRST_MERGE_ID - len(merges)
-        if budget <= 0:
-            break
-        head = (
-            pairs.where(F.col("cnt") >= min_frequency)
-            .orderBy(F.col("cnt").desc(), F.col("pair").asc())
-            .limit(head_rows)
-            .collect()
-        )
+    model = BpeModel([])
+    words = cut_lineage(training_words(docs, text_col).select("syms", F.col("freq").cast("long").alias("freq")))
+    size = head_rows
+    while model.vocab_size < vocab_size:
+        head = pair_counts(words, min_frequency).orderBy(F.col("cnt").desc(), F.col("pair").asc()).limit(head_rows).collect()
         if not head:
             break
-        triples = [(int(r["pair"]) >> 32, int(r["pair"]) & (PAIR_SHIFT - 1), int(r["cnt"])) for r in head]
-        accepted = []
-        for l, r in choose_merges(triples, budget):
-            accepted.append((l, r, FIRST_MERGE_ID + len(merges)))
-            merges.append(accepted[-1])
-        rounds += 1
-        if len(merges) >= vocab_size - FIRST_MERGE_ID:
-            break
-        # Read twice: for the changed pair counts and as the next word table.
-        stepped = merge_step(words, accepted).persist()
-        change = pair_changes(stepped)
-        pairs = pairs.unionByName(change).groupBy("pair").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") > 0)
-        words = stepped.where(F.size("merged") >= 2).select("freq", F.col("merged").alias("syms"))
-        if rounds % checkpoint_every == 0:
-            pairs, words = cut_lineage(pairs), cut_lineage(words)
-            stepped.unpersist()
-            for t in held:
-                t.unpersist()
-            held = []
-        else:
-            pairs = pairs.persist()
-            held += [stepped, pairs]
-    for t in held:
-        t.unpersist()
-    return BpeModel(merges, rounds)
+        while True:
+            taken = head[:size]
+            known = np.sort(np.array([r["pair"] for r in taken], np.int64))
+            found = words.mapInArrow(_segments(known), words.schema).groupBy("syms").agg(F.sum("freq").alias("freq")).persist()
+            symbols = found.agg(F.sum(F.size("syms"))).first()[0]
+            if symbols <= max_symbols or len(taken) == 1:
+                break
+            found.unpersist()
+            size = max(1, len(taken) // 2)
+        table = found.toArrow()
+        found.unpersist()
+        last = (-int(taken[-1]["cnt"]), int(taken[-1]["pair"]))
+        learned = learn_merges((table["syms"].to_pylist(), table["freq"].to_pylist()), last, vocab_size - model.vocab_size, model.vocab_size)
+        model.merges += learned
+        model.rounds += 1
+        if symbols < max_symbols // 4:
+            size = min(head_rows, size * 2)
+        if model.vocab_size < vocab_size:
+            words = cut_lineage(words.mapInArrow(_apply(learned), words.schema))
+    return model
 
 
 # ----------------------------------------------------------------- encoding
+def _lowest_first(syms: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+    """Apply the merge of the lowest rank everywhere until none is left."""
+    while len(syms) > 1:
+        best = None
+        for i in range(len(syms) - 1):
+            r = ranks.get((syms[i], syms[i + 1]))
+            if r is not None and (best is None or r[0] < best[0]):
+                best = (r[0], r[1], syms[i], syms[i + 1])
+        if best is None:
+            break
+        syms = _merged(syms, best[2], best[3], best[1])
+    return syms
+
+
 def _encoder(ranks: dict[tuple[int, int], tuple[int, int]]):
     cache: dict[str, list[int]] = {}
 
@@ -256,25 +326,7 @@ def _encoder(ranks: dict[tuple[int, int], tuple[int, int]]):
         hit = cache.get(word)
         if hit is not None:
             return hit
-        syms = [BYTE_ID[b] for b in word.encode("utf-8")]
-        while len(syms) > 1:
-            best = None
-            for i in range(len(syms) - 1):
-                r = ranks.get((syms[i], syms[i + 1]))
-                if r is not None and (best is None or r[0] < best[0]):
-                    best = (r[0], r[1], syms[i], syms[i + 1])
-            if best is None:
-                break
-            _, new, a, b = best
-            out, i = [], 0
-            while i < len(syms):
-                if i + 1 < len(syms) and syms[i] == a and syms[i + 1] == b:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(syms[i])
-                    i += 1
-            syms = out
+        syms = _lowest_first([BYTE_ID[b] for b in word.encode("utf-8")], ranks)
         if len(cache) < 200_000:
             cache[word] = syms
         return syms

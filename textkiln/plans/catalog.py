@@ -16,15 +16,19 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
+# SQL that follows a query at small parameters only; pytest compares the two there.
+SMALL_ORACLES: dict[str, str] = {}
 
 
-def query(name: str, oracle: str | None = None):
+def query(name: str, oracle: str | None = None, small: str | None = None):
     def register(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if oracle is not None:
             ORACLES[name] = oracle.strip()
+        if small is not None:
+            SMALL_ORACLES[name] = small.strip()
         return fn
 
     return register

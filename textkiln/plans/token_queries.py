@@ -17,9 +17,10 @@ from textkiln.sources.tables import load
 
 # Parameters of the registered queries (FIXTURES.md): windows of 64 rows x 128
 # tokens, 200 generation steps, top-k 40 and temperature 0.8 are the operator
-# defaults; 8 window steps and a BPE vocabulary of 257 + 64 (default 8000) are
-# what the SQL side can follow.
+# defaults; 8 window steps are what the SQL side can follow.  Queries train
+# TRAIN_VOCAB entries; the SQL of a query's ``small`` follows BPE_VOCAB.
 BPE_VOCAB = 257 + 64
+TRAIN_VOCAB = B.VOCAB_SIZE
 WIN_STEPS, WIN_BATCH, WIN_BLOCK, SEED = 8, 64, 128, 42
 GEN_STEPS = N.MAX_NEW_TOKENS
 
@@ -116,7 +117,7 @@ def _pretoken(spark, sf_dir):
 def _model(spark, sf_dir):
     key = ("bpe", spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
-        _CACHE[key] = B.train_bpe(_docs(spark, sf_dir), vocab_size=BPE_VOCAB)
+        _CACHE[key] = B.train_bpe(_docs(spark, sf_dir), vocab_size=TRAIN_VOCAB)
     return _CACHE[key]
 
 
@@ -258,13 +259,13 @@ encoded AS (
 _SQL_BPE_ENC = _bpe_enc_sql()
 
 
-@query("bpe_train", _SQL_BPE_TRAIN)
+@query("bpe_train", small=_SQL_BPE_TRAIN)
 def bpe_train(spark, sf_dir):
     """A8 + L5: learned merges ``(rank, left_id, right_id, new_id, token)``."""
     return _model(spark, sf_dir).merges_df(spark)
 
 
-@query("encode_documents", f"""
+@query("encode_documents", small=f"""
 WITH RECURSIVE {_SQL_BPE_ENC}
 SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, ids FROM encoded
 """)
@@ -284,7 +285,7 @@ def decode_roundtrip(spark, sf_dir):
     return enc.select("doc_id", B.decode_ids(m, F.col("ids")).alias("text"))
 
 
-@query("corpus_meta", f"""
+@query("corpus_meta", small=f"""
 WITH RECURSIVE {_SQL_BPE_ENC},
 tot AS (SELECT CAST(sum(len(ids)) AS BIGINT) AS n FROM encoded),
 nm AS (SELECT CAST(count(*) AS BIGINT) AS k FROM merges)
@@ -300,7 +301,7 @@ def corpus_meta(spark, sf_dir):
     return spark.createDataFrame(row, "vocab_size long, special_token string, special_id long, n_merges long, n_tokens long, n_train long, n_val long")
 
 
-@query("vocab_check", f"""
+@query("vocab_check", small=f"""
 WITH RECURSIVE {_SQL_BPE_ENC},
 nm AS (SELECT CAST(257 + count(*) AS BIGINT) AS v FROM merges),
 mx AS (SELECT CAST(max(list_max(ids)) AS BIGINT) AS max_id FROM encoded)
@@ -320,7 +321,7 @@ def vocab_check(spark, sf_dir):
                                  "model_vocab long, data_vocab long, max_id long, ok boolean")
 
 
-@query("bpe_chars_per_token", f"""
+@query("bpe_chars_per_token", small=f"""
 WITH RECURSIVE {_SQL_BPE_ENC},
 tot AS (SELECT CAST(sum(len(ids)) AS BIGINT) AS n FROM encoded),
 ch AS (SELECT CAST(sum(length(text) + 2) AS BIGINT) AS c FROM documents)
@@ -527,7 +528,7 @@ def _generated(spark, sf_dir):
     return _CACHE[key]
 
 
-@query("generate_batch", _SQL_GENERATE)
+@query("generate_batch", small=_SQL_GENERATE)
 def generate_batch(spark, sf_dir):
     """Every turn of ``conversations`` continued by 200 BPE tokens."""
     return _generated(spark, sf_dir).select(
