@@ -86,6 +86,27 @@ def test_substring_dedup_equals_brute_force(docs):
     assert next(r for r in rows if r.doc_id == 60).text is None
 
 
+def test_substring_dedup_removes_short_copies_and_passages(spark):
+    """Planted copies, found by plain string search: whole short texts, and passages of 300 characters."""
+    short = ["Thtion.", "Edstou reinan ed for.", "a", "日本", "fifty-nine bytes of text that are a document of their own"]
+    rows = [(10 * i + k, t) for i, t in enumerate(short) for k in range(3)]
+    rng = random.Random(5)
+    planted = {}
+    for k, letters in enumerate(("abcdefghijklmnopqrstuvwxyz     ", "абвгдежзиклмнопрстуфхцчшщыэюя     ", "日本語文字列重複除去検索言葉一二三四五六七八九十百千")):
+        word = lambda n: "".join(rng.choice(letters) for _ in range(n))  # noqa: B023, E731
+        for i in range(200):
+            at = 10_000 * (k + 1) + 2 * i
+            planted[at + 1] = word(300)
+            rows += [(at, word(80) + planted[at + 1] + word(80)), (at + 1, word(90) + planted[at + 1] + word(90))]
+    left = {r.doc_id: r.text for r in substring_dedup.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert all(left[10 * i] == t and left[10 * i + 1] == left[10 * i + 2] == "" for i, t in enumerate(short))
+    texts = dict(rows)
+    assert all(left[i] == texts[i] for i in texts if i >= 10_000 and i not in planted)
+    for k in range(1, 4):
+        whole = [i for i, p in planted.items() if i // 10_000 == k and p in left[i]]
+        assert len(whole) <= 2, (k, len(whole))
+
+
 def test_substring_dedup_keeps_columns(docs, none):
     clash = docs.withColumnsRenamed({"lang": "n_bytes", "n_chars": "spans"})
     assert substring_dedup.dedup(clash).columns == clash.columns

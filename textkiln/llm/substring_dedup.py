@@ -5,7 +5,8 @@ about ``MIN_CHUNK + 2 ** CUT_BITS`` bytes.  A cut depends on the last 32 bytes
 alone, so an insertion shifts the cuts next to it only.  Chunks are
 deduplicated by a 128-bit digest: a chunk that an earlier document holds (a
 smaller id), or that the same document holds earlier, is repeated, and runs of
-adjacent repeated chunks of ``min_run`` bytes or more are cut out.
+adjacent repeated chunks of ``min_run`` bytes or more are cut out, as is a text
+of any length that is repeated as a whole.
 
 1. Each document's distinct digests are counted over all documents (partial
    aggregates: a passage in a third of all documents is a row for each task).
@@ -38,7 +39,7 @@ from textkiln.llm.common import slices, utf8_parts, written
 MIN_CHUNK = 16
 MAX_CHUNK = 256
 CUT_BITS = 5  # one position in 2**5 may be a cut
-MIN_RUN = 64  # bytes of adjacent repeated chunks that are worth a cut
+MIN_RUN = MIN_CHUNK  # every repeated chunk is cut, but for a shorter rest at a text's end
 
 _WINDOW = 32
 _GEAR = np.random.default_rng(20240229).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -59,7 +60,10 @@ def _cut_candidates(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         shifted = h.copy()
         shifted[width:] += h[:-width] << np.uint32(width)
         h, width = shifted, width * 2
-    allowed = (h >> np.uint32(32 - CUT_BITS)) == 0
+    # Cuts are made between characters alone: a longer one allows more, so the rate by bytes is that of ASCII.
+    at = np.arange(len(data))
+    width = np.minimum(at - np.maximum.accumulate(np.where((data & 0xC0) != 0x80, at, 0)) + 1, 4).astype(np.uint32)
+    allowed = h < width << np.uint32(32 - CUT_BITS)
     allowed[:-1] &= (data[1:] & 0xC0) != 0x80  # the next byte begins a character
     return starts, np.flatnonzero(allowed) + 1
 
@@ -129,7 +133,7 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def _runs(text: bytes, ends: list[int], known: set[int], min_run: int) -> list[tuple[int, int]]:
-    """Byte ranges to cut: adjacent repeated chunks of ``min_run`` bytes in sum."""
+    """Byte ranges to cut: adjacent repeated chunks of ``min_run`` bytes in sum, or the whole text."""
     seen: set[bytes] = set()
     runs: list[tuple[int, int]] = []
     begin, at = None, 0
@@ -143,7 +147,7 @@ def _runs(text: bytes, ends: list[int], known: set[int], min_run: int) -> list[t
         at = end
     if begin is not None:
         runs.append((begin, at))
-    return [r for r in runs if r[1] - r[0] >= min_run]
+    return [r for r in runs if r[1] - r[0] >= min_run or r == (0, len(text))]
 
 
 def _cutter(text_at: int, min_run: int):
