@@ -21,6 +21,10 @@ PY_NONSPACE = f"[^{PY_SPACE_CHARS}]"
 # Line boundaries of Python's str.splitlines().
 PY_LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
 
+# The same two classes apart: breaks end a line, the other blanks lie inside one.
+_BREAK_CHARS = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
+_INNER_BLANKS = r"\t\x1f \x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}"
+
 # Section headings after which only references follow.
 REFERENCE_HEADINGS = [
     "Einzelnachweise", "Weblinks", "Siehe auch", "Literatur",
@@ -32,9 +36,9 @@ CATEGORY_PREFIX = "Kategorie:"
 
 
 def py_strip(col: Column | str) -> Column:
-    """``str.strip()``."""
+    """``str.strip()``; a run of blanks inside the text is passed once."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c, f"^{PY_SPACE}+|{PY_SPACE}+$", "")
+    return F.regexp_replace(c, f"^{PY_SPACE}++|(?<!{PY_SPACE}){PY_SPACE}++$", "")
 
 
 def py_nonblank(col: Column | str) -> Column:
@@ -50,6 +54,15 @@ def py_splitlines(col: Column | str) -> Column:
     return F.split(c, PY_LINE_BREAK, -1)
 
 
+def seed_item_array(col: Column | str) -> Column:
+    """The seed rule over all lines of a text in one pass: its non-blank lines
+    that do not begin with ``#``, stripped, in order."""
+    c = F.col(col) if isinstance(col, str) else col
+    first = f"(?:^|(?<=[{_BREAK_CHARS}]))[{_INNER_BLANKS}]*+"
+    item = f"([^#{PY_SPACE_CHARS}](?:[^{_BREAK_CHARS}]*{PY_NONSPACE})?+)"
+    return F.regexp_extract_all(c, F.lit(first + item), F.lit(1))
+
+
 def reference_cut_pattern(headings: list[str] | None = None) -> str:
     """Pattern matching from the first reference heading line to the end."""
     names = "|".join(headings or REFERENCE_HEADINGS)

@@ -223,9 +223,6 @@ def older_collector_titles(spark, sf_dir):
 
 
 # The graph over the sources of documents; its titles are those of the landed extracts.
-# This SQL lists every fifth document under its source itself; collect_newer follows it,
-# collect_older reads the graph with all documents (pytest compares both graphs).
-SQL_EVERY = 5
 SOURCE_GRAPH_SQL = """
 edges AS (
   SELECT DISTINCT cat, ns, title FROM (
@@ -233,7 +230,7 @@ edges AS (
     UNION ALL
     SELECT 'Kategorie:' || source || ' ' || lang, 0, 'Doc ' || CAST(doc_id // 2 AS VARCHAR) FROM documents
     UNION ALL
-    SELECT 'Kategorie:' || source, 0, 'Doc ' || CAST(doc_id // 2 AS VARCHAR) FROM documents WHERE doc_id % 5 = 0
+    SELECT 'Kategorie:' || source, 0, 'Doc ' || CAST(doc_id // 2 AS VARCHAR) FROM documents
   ) WHERE cat IS NOT NULL AND title IS NOT NULL
 ),
 members AS (
@@ -258,10 +255,10 @@ FROM asked JOIN texts USING (title)
 """
 
 
-def _collected(spark, sf_dir, collect, every=1, **limits):
+def _collected(spark, sf_dir, collect, **limits):
     """A fresh corpus that one collector appended to."""
     extracts = landed.parse_extract_responses(landed.extract_responses(spark, sf_dir))
-    found = collect(landed.source_seeds(spark, sf_dir), landed.source_members(spark, sf_dir, every), extracts, **limits)
+    found = collect(landed.source_seeds(spark, sf_dir), landed.source_members(spark, sf_dir), extracts, **limits)
     path = scratch_path(spark, "collected")
     write_corpus(found, path)
     return spark.read.parquet(path)
@@ -271,10 +268,10 @@ def _collected(spark, sf_dir, collect, every=1, **limits):
 def collect_newer(spark, sf_dir):
     """The newer collector end to end with its own crawl limits: walk, distinct
     titles, batches, extracts, cut, non-blank, framed append."""
-    return _collected(spark, sf_dir, C.collect_newer, SQL_EVERY, **REF)
+    return _collected(spark, sf_dir, C.collect_newer, **REF)
 
 
-@query("collect_older", small=f"""
+@query("collect_older", f"""
 WITH {SOURCE_GRAPH_SQL},
 chosen AS (SELECT DISTINCT cat, CAST(0 AS BIGINT) AS visit_pos FROM seeds),
 {_read_sql("rd", "chosen", K.MAX_PAGES_PER_CATEGORY, landed.PAGE_SIZE, "0")},""" + _collect_sql("rd", "extract", "text <> ''"))

@@ -69,6 +69,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table in the shared checkpoint area: later uses read
+    the columns they need, and Spark knows its size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for materialised intermediate tables inside the shared checkpoint area."""
     import uuid

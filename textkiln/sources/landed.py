@@ -103,18 +103,17 @@ def source_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select((F.col("i") + 1).alias("seed_pos"), "cat")
 
 
-def source_members(spark: SparkSession, sf_dir: str, every: int = 1) -> DataFrame:
+def source_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(cat, ns, title, pos)``: a source holds the titles of its documents
-    (of those whose id ``every`` divides) and one subcategory per language, which
-    holds all titles of that language."""
+    and one subcategory per language, which holds all titles of that language."""
     docs = load(spark, sf_dir, "documents", "doc_id", "source", "lang")
     cat = F.concat(F.lit(CATEGORY_PREFIX), "source")
     sub = F.concat(cat, F.lit(" "), F.col("lang"))
     article = extract_title(F.col("doc_id"))
     edges = docs.select(F.explode(F.array(
-        F.struct(F.when(F.col("doc_id") % every == 0, cat).alias("cat"), F.lit(NS_CATEGORY).alias("ns"), sub.alias("title")),
+        F.struct(cat.alias("cat"), F.lit(NS_CATEGORY).alias("ns"), sub.alias("title")),
         F.struct(sub.alias("cat"), F.lit(NS_ARTICLE).alias("ns"), article.alias("title")),
-        F.struct(F.when(F.col("doc_id") % every == 0, cat).alias("cat"), F.lit(NS_ARTICLE).alias("ns"), article.alias("title")),
+        F.struct(cat.alias("cat"), F.lit(NS_ARTICLE).alias("ns"), article.alias("title")),
     )).alias("e")).select("e.*").where("cat IS NOT NULL AND title IS NOT NULL").distinct()
     return group_offsets(edges.withColumn("_order", F.md5("title")), ["cat"], [F.col("_order")], out="pos").drop("_order")
 

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkiln.functions.text import PY_SPACE, py_nonblank, py_splitlines, py_strip
+from textkiln.functions.text import PY_SPACE, py_nonblank, py_splitlines, py_strip, seed_item_array
 from textkiln.operators.positions import ordered_offsets, row_index
+from textkiln.session import materialised
 
 
 class EmptyInputError(ValueError):
@@ -43,24 +44,24 @@ def seed_items(lines: DataFrame, order: list[str]) -> DataFrame:
 
 def text_seed_items(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``(seed_pos, item)`` over the lines of all texts, in ``key`` order (a
-    unique key): the seed rule as an array expression, a prefix sum over the
-    narrow ``(key, n)`` table, and the place inside the text.  No item text is
-    sorted or range partitioned."""
-    lines = F.filter(py_splitlines(text_col), lambda s: py_nonblank(s) & ~s.rlike(f"^{PY_SPACE}*#"))
-    items = texts.select(F.col(key).alias("_key"), F.transform(lines, py_strip).alias("_items"))
-    narrow = items.select("_key", F.coalesce(F.size("_items"), F.lit(0)).alias("_n")).where("_n > 0")
-    starts = ordered_offsets(narrow, ["_key"], "_n", out="_start").select("_key", "_start")
+    unique key): the seed rule as one pattern, a prefix sum over the narrow
+    ``(key, n)`` columns of the written items, and the place inside the text.
+    No item text is sorted or range partitioned."""
+    items = texts.select(F.col(key).alias("_key"), seed_item_array(text_col).alias("_items")).where("size(_items) > 0")
+    items = materialised(items.select("_key", F.size("_items").alias("_n"), "_items"), "seed-items")
+    starts = ordered_offsets(items.select("_key", "_n"), ["_key"], "_n", out="_start").select("_key", "_start")
     return items.join(starts, "_key").select("_start", F.posexplode("_items").alias("_i", "item")).select(
         (F.col("_start") + F.col("_i") + 1).alias("seed_pos"), "item")
 
 
 def read_seed_file(spark: SparkSession, path: str) -> DataFrame:
-    """Read a seed file (or folder of them) -> ``(seed_pos, item)``.
+    """Read a seed file (or folder of them, in path order) -> ``(seed_pos, item)``.
 
-    ``spark.read.text`` keeps each file's lines in split order, so
-    ``(file, monotonically_increasing_id)`` is file order.  It splits lines on
-    ``\\n``, ``\\r\\n`` and ``\\r`` only (Python's splitlines knows more breaks).
-    S3: a missing path or a list without items stops with ``EmptyInputError``.
+    ``spark.read.text`` breaks lines at ``\\n``, ``\\r\\n`` and ``\\r``; the other
+    breaks of ``str.splitlines()`` are found inside each of its lines, so the
+    file form agrees with the table form.  The order is (file, split, line,
+    place in the line).  S3: a missing path or a list without items stops with
+    ``EmptyInputError``.
     """
     from pyspark.errors import AnalysisException
 
@@ -69,9 +70,11 @@ def read_seed_file(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as exc:
         raise EmptyInputError(f"seed list {path} is missing") from exc
     lines = raw.select(
-        F.input_file_name().alias("file"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("line_no"),
-        F.col("value").alias("line"),
+        seed_item_array("value").alias("items"),
     )
-    out = seed_items(lines, ["file", "line_no"])
-    return require_nonempty(out.select("seed_pos", "item"), f"seed list {path}")
+    items = lines.select("file", "split", "line_no", F.posexplode("items").alias("part", "item"))
+    numbered = row_index(items, ["file", "split", "line_no", "part"], out="seed_pos")
+    return require_nonempty(numbered.select((F.col("seed_pos") + 1).alias("seed_pos"), "item"), f"seed list {path}")
