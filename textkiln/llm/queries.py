@@ -8,10 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkiln.llm import decontaminate, html_extract, jaccard_join, mixing, quality, substring_dedup, suffix_dedup, topk_search, toxicity, url_filter
+from textkiln.llm import (decontaminate, fill_middle, html_extract, jaccard_join, mixing, quality, spelling, substring_dedup, suffix_dedup, token_output,
+                          topk_search, toxicity, url_filter)
 from textkiln.llm.common import doc_remainder, table
 from textkiln.llm.page_labels import labelled_pages
 from textkiln.llm.url_labels import labelled_urls
+from textkiln.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +127,87 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_extract")
 def op10_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"), html_extract.fit(labelled_pages()))
+
+
+@query("op11_fill_middle", r"""
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+         sha256('1:' || CAST(doc_id AS VARCHAR)) AS s
+  FROM documents),
+h AS (
+  SELECT *, CAST(len(w) AS BIGINT) AS n, CAST('0x' || substr(s, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(s, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(s, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(s, 25, 8) AS BIGINT) AS h4
+  FROM u),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h),
+p AS (
+  SELECT doc_id, n, form, text, array_to_string(list_slice(w, 1, a), '') AS pre, array_to_string(list_slice(w, a + 1, b), '') AS mid,
+         array_to_string(list_slice(w, b + 1, n), '') AS suf
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+""")
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.report(table(spark, sf_dir, "documents", "doc_id", "text")).drop("n_lines")
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op12_token_output")
+def op12_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-ids")
+    token_output.write(table(spark, sf_dir, "documents", "doc_id", "text"), path, _tokenizer())
+    return token_output.report(token_output.read(spark, path))
+
+
+# Near words in SQL: words that agree but for one replaced character share the
+# rest at the same place; a word is the rest of its longer neighbour.  The crc32
+# goes over half bytes with a table of 16 values.
+@query("op13_spelling", r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(16), lambda i: list_reduce([i, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)),
+own AS (SELECT run, count(*) AS n, hex(CAST(doc_id AS VARCHAR) || ':' || run) AS x FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce([4294967295] || list_transform(range(1, strlen(x) + 1),
+           lambda i: CAST(instr('0123456789ABCDEF', substr(x, CASE WHEN i % 2 = 1 THEN i + 1 ELSE i - 1 END, 1)) - 1 AS BIGINT)),
+           lambda c, d: xor(t[1 + (xor(c, d) & 15)], c >> 4))) AS h
+  FROM own, crc_table),
+kept AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM kept WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT c.word, w.word, w.n FROM cut c JOIN w ON c.rest = w.word
+  UNION
+  SELECT w.word, c.word, c.n FROM cut c JOIN w ON c.rest = w.word),
+best AS (
+  SELECT word, n_near, other, other_n
+  FROM (SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS rk FROM near) WHERE rk = 1),
+judged AS (
+  SELECT w.word, CASE WHEN other_n >= 5 * w.n THEN other END AS form, w.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+         CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+  FROM w LEFT JOIN best USING (word)),
+path(word, cur, step) AS (
+  SELECT word, word, 0 FROM judged UNION ALL SELECT p.word, j.form, p.step + 1 FROM path p JOIN judged j ON j.word = p.cur WHERE j.form IS NOT NULL),
+ends AS (SELECT word, arg_max(cur, step) AS root FROM path GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN ends USING (word)
+""")
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents", "doc_id", "text"))
