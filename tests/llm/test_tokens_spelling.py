@@ -232,21 +232,25 @@ def test_variants_like_brute_force(spark, monkeypatch, limits):
     assert found == want and len(want) > 300 and any(w[1] for w in want) and any(w[2] not in (w[0], w[1]) for w in want)
 
 
-def test_grams_outside_an_edit_stay():
-    """Of any ``affected + 1`` grams one is in every word at distance one."""
+def test_near_words_share_the_key_of_their_place():
     rng = random.Random(8)
-    for _ in range(400):
+    for _ in range(3000):
         w = "".join(rng.choices("ab", k=rng.randint(6, 12)))
-        frequent = {"".join(rng.choices("ab" + spelling._FIRST + spelling._LAST, k=rng.randint(2, 5))): 1 for _ in range(rng.randint(0, 150))}
-        grams = spelling.decompose(w, frequent)
-        bound = spelling.affected([e for e, _ in grams], len(w))
-        assert bound < len(grams)
+        frequent = frozenset("".join(rng.choices("ab" + spelling._FIRST + spelling._LAST, k=rng.randint(2, 5))) for _ in range(rng.randint(0, 150)))
+        keys = spelling._keys(w, frequent, True)
         i = rng.randint(0, len(w) - 1)
-        same = w[:i] + rng.choice("abc") + w[i + 1 :]
-        more = w[:i] + rng.choice("abc") + w[i:]
-        assert len(set(grams) - set(spelling.decompose(same, frequent))) <= bound
-        there = set(spelling.decompose(more, frequent))
-        assert sum((e, g) not in there and (e + 1, g) not in there for e, g in grams) <= bound
+        assert keys[i] == spelling._keys(w[:i] + rng.choice("abc") + w[i + 1 :], frequent, False)[i]
+        i = rng.randint(0, len(w))
+        assert keys[len(w) + i] == spelling._keys(w[:i] + rng.choice("abc") + w[i:], frequent, False)[i]
+
+
+def test_dictionary_is_bounded(spark, monkeypatch):
+    from textkiln.llm.common import Tables
+
+    monkeypatch.setattr(spelling, "MAX_DICTIONARY", 30)
+    words = spark.createDataFrame([("".join(random.Random(i).choices("abcd", k=8)),) for i in range(300)], "word string")
+    held = spelling.gram_dictionary(words, Tables(spark, "test"))
+    assert 10 < len(held) <= 30
 
 
 def test_variants_of_nothing(spark):

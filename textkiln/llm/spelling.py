@@ -4,26 +4,25 @@ Two words are near if they differ by exactly one inserted, deleted or replaced
 character.  Near words are found through grams of ``MIN_GRAM`` to ``MAX_GRAM`` characters:
 
 1. Dictionary.  Words are padded by ``MAX_GRAM - 1`` marks at either end.  A
-   gram is *frequent* if more than ``bound`` places in words hold it;
-   the dictionary keeps the frequent grams, all others are pruned.  ``bound`` grows with the words, so that at
-   most ``MAX_DICTIONARY`` grams can be frequent; this is what is broadcast.
-2. Decomposition.  At each place the gram is extended while it is frequent and
-   shorter than ``MAX_GRAM``; a gram inside an earlier one is left out, so the
-   grams of a word have ascending, distinct ends.
-3. Affected grams.  Whether a gram ends at some place, and which, depends on the
-   last ``MAX_GRAM`` characters up to there alone: on them a gram begins, is
-   extended, and may lie inside another.  One edit at a character can
-   thus change the grams only that end on it or on the next ``MAX_GRAM - 1``
-   characters.  The most of a word's grams in such a stretch is its bound
-   ``a``; all others stand in every near word, too, with the same end (or the
-   next one, behind an insertion).  With ``MIN_GRAM + length >= MAX_GRAM + 2``
-   the first or the last gram is always outside, so ``a`` is below the number of grams.
-4. List merging.  Of any ``a + 1`` grams of a word one is thus in the list of
-   grams of each near word: the lists of its ``a + 1`` rarest
-   grams are merged, the long lists are never read.  A list is of
-   words of one length that hold a gram at one end; a word looks
-   for partners of its own length, and of one character more.
-5. Every candidate is verified by its edit distance in the same stage, before anything is shuffled again.
+   gram is *frequent* if more than ``bound`` places in words hold it; the
+   dictionary keeps the frequent grams, all others are pruned.  ``bound`` is
+   the least with at most ``MAX_DICTIONARY`` frequent grams, which are broadcast.
+2. Decomposition.  At each place of a word the gram is extended while it is
+   frequent and shorter than ``MAX_GRAM``.
+3. Affected grams.  A gram depends on its own characters alone.  So an edit at
+   some place affects those grams that begin on or before it and reach it; the
+   grams that end before it and those that begin behind it stand in the near
+   word, too.  This gives the bounds of the affected grams for every place of a word.
+4. List merging.  The list of a gram holds the words that have it at that end.  A
+   near word that differs at some place is in the lists of all grams that an edit there does
+   not affect; so for each place these lists are intersected, among words of
+   the same length, and of one character more, where the grams behind the
+   place keep their distance from the word's end.  The join's key is a
+   digest of the grams before and of those behind.
+5. Every candidate is verified in the same stage: what stands before and behind
+   the place must be equal.  A replaced character has one place, and an
+   inserted one counts at the first character of a run of equal ones, so each
+   pair is found once and needs no further shuffle.
 
 Only words that occur ``min_count`` times take part, so everything after
 the count works on the vocabulary, not on the texts.
@@ -37,7 +36,7 @@ no words.
 
 from __future__ import annotations
 
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +52,7 @@ MIN_COUNT = 5
 TIMES = 5  # a form occurs this many times as often as its variant
 
 MIN_GRAM, MAX_GRAM = 2, 5
-LEAST_BOUND = 16
+LEAST_BOUND = 4
 MAX_DICTIONARY = 250_000
 _FIRST, _LAST = "\x02", "\x03"
 
@@ -88,93 +87,100 @@ def _padded(word: Column) -> Column:
     return F.concat(F.lit(_FIRST * (MAX_GRAM - 1)), word, F.lit(_LAST * (MAX_GRAM - 1)))
 
 
-def gram_dictionary(words: DataFrame) -> tuple[dict[str, int], int]:
-    """Frequent grams with their numbers of places, and the bound they are above."""
-    places = words.agg(F.sum(F.length("word") + 2 * (MAX_GRAM - 1))).first()[0] or 0
+def gram_dictionary(words: DataFrame, tables: Tables) -> frozenset[str]:
+    """The frequent grams of all words."""
     sizes = range(MIN_GRAM, MAX_GRAM + 1)
-    bound = max(LEAST_BOUND, len(sizes) * places // MAX_DICTIONARY)
     padded = words.select(_padded(F.col("word")).alias("w"))
-    grams = F.flatten(F.array(*[
-        F.transform(F.sequence(F.lit(1), F.length("w") - k + 1), lambda p, k=k: F.substring("w", p, F.lit(k))) for k in sizes]))
-    asked = padded.select(F.explode(grams).alias("g"))
-    frequent = asked.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") > bound)
-    return {r["g"]: r["n"] for r in frequent.collect()}, bound
+    at = [F.transform(F.sequence(F.lit(1), F.length("w") - k + 1), lambda p, k=k: F.substring("w", p, F.lit(k))) for k in sizes]
+    counted = padded.select(F.explode(F.flatten(F.array(*at))).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
+    counted = tables.write("grams", counted.filter(F.col("n") > LEAST_BOUND))
+    # Above ``safe`` there cannot be too many; up to it a count of counts, one row each.
+    safe = (counted.agg(F.sum("n")).first()[0] or 0) // MAX_DICTIONARY + 1
+    held, bound = 0, LEAST_BOUND
+    for r in sorted(counted.groupBy(F.least("n", F.lit(safe + 1)).alias("n")).agg(F.count("*").alias("grams")).collect(), reverse=True):
+        held += r["grams"]
+        if held > MAX_DICTIONARY:
+            bound = r["n"]
+            break
+    found = [r["g"] for r in counted.filter(F.col("n") > bound).select("g").collect()]
+    tables.drop("grams")
+    return frozenset(found)
+
+
+def padded(word: str) -> str:
+    return _FIRST * (MAX_GRAM - 1) + word + _LAST * (MAX_GRAM - 1)
 
 
-def decompose(word: str, frequent: dict[str, int]) -> list[tuple[int, str]]:
-    """(end, gram) of a word in its padded form, by ascending end."""
-    s = _FIRST * (MAX_GRAM - 1) + word + _LAST * (MAX_GRAM - 1)
-    out, last = [], -1
+def decompose(s: str, frequent: frozenset[str]) -> list[int]:
+    """For each place of a padded word the exclusive end of its gram."""
+    out = []
     for p in range(len(s) - MAX_GRAM + 1):
         e = p + MIN_GRAM
         while e - p < MAX_GRAM and s[p:e] in frequent:
             e += 1
-        if e - 1 > last:
-            last = e - 1
-            out.append((last, s[p:e]))
+        out.append(e)
     return out
 
 
-def affected(ends: list[int], length: int) -> int:
-    """The most of a word's grams that one edit can change: those that end in
-    one stretch of ``MAX_GRAM`` characters that begins on the word or right behind it."""
-    first, most, lo, hi = MAX_GRAM - 1, 0, 0, 0
-    for i in range(first, first + length + 1):
-        while lo < len(ends) and ends[lo] < i:
-            lo += 1
-        while hi < len(ends) and ends[hi] < i + MAX_GRAM:
-            hi += 1
-        most = max(most, hi - lo)
-    return most
-
-
-_KEYED = T.StructType([T.StructField("key", T.LongType()), T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
-
-
-def _key(length: int, end: int, gram: str) -> int:
-    return xxhash.xxh3_64_intdigest(f"{length}:{end}:{gram}") - (1 << 63)
-
-
-def _index_keys(word: str, frequent: dict[str, int]) -> list[int]:
-    return [_key(len(word), e, g) for e, g in decompose(word, frequent)]
-
+_PROBES = T.StructType([T.StructField("key", T.LongType()), T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
+_INDEX = T.StructType([*_PROBES.fields, T.StructField("at", T.IntegerType())])
+
+
+def _keys(word: str, frequent: frozenset[str], further: bool) -> list[int]:
+    """A key for each character of a word, among the words of its length, and if
+    ``further`` for each gap, among the words of one character more: the
+    grams that an edit there does not affect, those before by their place and
+    those behind by their distance from the word's end."""
+    digest = xxhash.xxh3_64_intdigest
+    s, n, first = padded(word), len(word), MAX_GRAM - 1
+    ends = decompose(s, frequent)
+    sorted_ends = sorted((e, p) for p, e in enumerate(ends))
+    before = list(accumulate(sorted_ends, lambda h, ep: digest(f"{h}:{ep[1]}:{s[ep[1] : ep[0]]}"), initial=0))
+    behind = list(accumulate(reversed(range(len(ends))), lambda h, p: digest(f"{h}:{n - p}:{s[p : ends[p]]}"), initial=0))
+    out = []
+    for more in range(1 + further):
+        lo = 0
+        for i in range(first, first + n + more):
+            while lo < len(ends) and sorted_ends[lo][0] <= i:
+                lo += 1
+            out.append(digest(f"{n + more}:{i}:{before[lo]}:{behind[max(0, len(ends) - i - 1 + more)]}") - (1 << 63))
+    return out
 
-def _probe_keys(word: str, frequent: dict[str, int]) -> list[int]:
-    """The lists to merge: of the rarest grams, among words of the same length
-    and of one character more (where a gram may end one further)."""
-    grams = decompose(word, frequent)
-    n = len(word)
-    # A pruned gram is rare; of frequent ones the count tells; ties go to the middle of the word.
-    middle = (grams[0][0] + grams[-1][0]) / 2
-    rarest = sorted(grams, key=lambda eg: (frequent.get(eg[1], 0), abs(eg[0] - middle)))[: affected([e for e, _ in grams], n) + 1]
-    return [k for e, g in rarest for k in (_key(n, e, g), _key(n + 1, e, g), _key(n + 1, e + 1, g))]
 
+def _keyed(dictionary, index: bool):
+    """Rows of the index, with the place of each key, or of the words that look for partners."""
 
-def _keyed(frequent, keys_of):
     def run(batches):
-        grams = frequent.value
+        grams = dictionary.value
         for whole in batches:
             for batch in (whole.slice(i, 2048) for i in range(0, len(whole), 2048)):
-                keys = [keys_of(w, grams) for w in batch.column(0).to_pylist()]
-                rows = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+                keys = [_keys(w, grams, not index) for w in batch.column(0).to_pylist()]
+                counts = np.array([len(k) for k in keys], np.int64)
+                rows = np.repeat(np.arange(len(keys)), counts)
                 flat = pa.array(np.fromiter(chain.from_iterable(keys), np.int64, len(rows)))
-                yield pa.RecordBatch.from_arrays([flat, batch.column(0).take(rows), batch.column(1).take(rows)], names=["key", "word", "n"])
+                columns = [flat, batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows))]
+                if index:
+                    columns.append(pa.array((np.arange(len(rows)) - (np.cumsum(counts) - counts)[rows]).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "word", "n", "at"][: len(columns)])
 
     return run
 
 
 def near_pairs(words: DataFrame, tables: Tables) -> DataFrame:
     """``a, an, b, bn``: every unordered pair of near words once, with their counts."""
-    frequent, _ = gram_dictionary(words)
-    grams = words.sparkSession.sparkContext.broadcast(frequent)
+    grams = words.sparkSession.sparkContext.broadcast(gram_dictionary(words, tables))
     narrow = words.select("word", "n")
-    index = tables.write("index", narrow.mapInArrow(_keyed(grams, _index_keys), _KEYED))
-    probes = tables.write("probes", narrow.mapInArrow(_keyed(grams, _probe_keys), _KEYED))
-    met = probes.select("key", F.col("word").alias("a"), F.col("n").alias("an")).join(index.select("key", F.col("word").alias("b"), F.col("n").alias("bn")), "key")
+    index = tables.write("index", narrow.mapInArrow(_keyed(grams, index=True), _INDEX))
+    probes = tables.write("probes", narrow.mapInArrow(_keyed(grams, index=False), _PROBES))
+    met = probes.select("key", F.col("word").alias("a"), F.col("n").alias("an")).join(index.select("key", F.col("word").alias("b"), F.col("n").alias("bn"), "at"), "key")
+    at = F.col("at")
+    long, short = F.length("b"), F.length("a")
+    before = F.substring("a", F.lit(1), at) == F.substring("b", F.lit(1), at)
     # A pair of equal lengths is met from either side; the smaller word's is enough.
-    fresh = (F.length("a") < F.length("b")) | (F.col("a") < F.col("b"))
-    found = met.filter(fresh & (F.levenshtein("a", "b", 1) == 1)).select("a", "an", "b", "bn").dropDuplicates(["a", "b"])
-    pairs = tables.write("pairs", found)
+    replaced = (short == long) & (F.col("a") < F.col("b")) & (F.substring("a", at + 2, short) == F.substring("b", at + 2, long))
+    one = lambda p: F.substring("b", p, F.lit(1))
+    inserted = (short + 1 == long) & ((at == 0) | (one(at) != one(at + 1))) & (F.substring("a", at + 1, short) == F.substring("b", at + 2, long))
+    pairs = tables.write("pairs", met.filter((replaced | inserted) & before).select("a", "an", "b", "bn"))
     tables.drop("index", "probes")
     return pairs
 
@@ -197,8 +203,6 @@ def roots(forms: DataFrame, tables: Tables) -> DataFrame:
 def variants(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT,
              times: int = TIMES) -> DataFrame:
     """Per word ``word, form, root, n, n_near, form_n``."""
-    if min_length + MIN_GRAM < MAX_GRAM + 2:
-        raise ValueError(f"words of {min_length} characters have too few grams of up to {MAX_GRAM}")
     if times < 2:
         raise ValueError("a form must be more frequent than its variant")
     tables = Tables(docs.sparkSession, "spelling")
