@@ -5,7 +5,8 @@ rows a random forest of shallow trees is grown, every path from a root to a
 node becomes a conjunctive rule over statistics, a logistic model with an L1
 penalty keeps few rules, and the kept rules compile back into one Spark column
 expression, so scoring is a single pass inside the JVM without any join or
-model object.
+model object.  Training rows are dealt and ordered by id, so a repeated fit
+finds the same model.
 
 Edge cases: null counts as the empty text, whose statistics are zeros; texts of
 any length are read whole; rows without an id are scored, and are not held out;
@@ -58,7 +59,7 @@ def statistics(text: Column) -> dict[str, Column]:
         "stops": share(F.translate(t, ".,;:", "")),
         "lines": share(F.translate(t, "\n", "")),
         "spaces": share(F.regexp_replace(t, r"\s+", "")),
-        "repeats": share(F.regexp_replace(t, r"(?<!\S)(\S+)(?:\s+\1(?!\S))+", "$1")),
+        "repeats": share(F.regexp_replace(t, r"(?<!\S)(\S+)(?:\s+\1(?!\S))++", "$1")),
     }
 
 
@@ -123,7 +124,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     marked = bounded_sample(marked, "_id", max_rows)
     columns = statistics(F.col("text"))
     names = list(columns)
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(marked, "_id").select("label", *[c.alias(k) for k, c in columns.items()]).repartition(4).persist()
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(marked, "_id").select("_id", "label", *[c.alias(k) for k, c in columns.items()])
+    # Trees sample by partition and place, so both follow the ids alone.
+    rows = rows.repartition(4, "_id").sortWithinPartitions("_id", *names).persist()
     try:
         n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
         good, bad = n.get(1.0, 0), n.get(0.0, 0)
