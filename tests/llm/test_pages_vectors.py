@@ -156,3 +156,13 @@ def test_pipeline_stages(spark):
     assert docs.groupBy("doc_id").count().filter("count > 2").count() == 0
     again = corpus_pipeline.run(spark, sf)
     assert sorted(map(str, again.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_letters_that_change_length_and_pictures_inside_words():
+    from textkiln.llm import html_tree
+
+    for pad in (1, 40_000):
+        page = "<p>" + "İ" * 120 * pad + "</p><SCRIPT>x</Script><p>next paragraph stays</p><style>y</STYLE><p>foo<img>bar</p>"
+        texts = [t for _, t in html_tree.parse(page)[1]]
+        assert texts[1:] == ["next paragraph stays", "foobar"]
+    assert [t for _, t in html_tree.parse("<b>" * 100_000 + "x" + "</i>" * 100_000 + "</b>" * 100_000)[1]] == ["x"]

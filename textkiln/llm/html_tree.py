@@ -12,6 +12,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 BLOCKS = frozenset("""html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre figure figcaption table
 caption thead tbody tfoot tr td th nav aside header footer form fieldset address details summary dialog hr center menu hgroup search legend""".split())
@@ -77,6 +78,7 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
     nodes = [Node("html", -1, (False,) * len(CUES), None)]
     segments: list[tuple[int, str]] = []
     open_: list[tuple[str, int]] = [("html", 0)]  # open elements with their block node
+    opened: Counter[str] = Counter()
     held: list[str] = []
     owner, skipping, links = 0, 0, 0
 
@@ -92,6 +94,7 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
         """End the elements from position ``at`` on."""
         nonlocal owner, skipping, links
         for tag, _ in open_[at:]:
+            opened[tag] -= 1
             skipping -= tag in SKIPPED
             links -= tag == "a"
         if any(tag in BLOCKS for tag, _ in open_[at:]):
@@ -122,6 +125,8 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
         if not tag:
             continue
         if ending:
+            if not opened[tag]:
+                continue
             for i in range(len(open_) - 1, 0, -1):
                 if open_[i][0] == tag:
                     close(i)
@@ -129,12 +134,12 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
                 if tag not in BLOCKS and open_[i][0] in BLOCKS:
                     break  # an inline end tag does not end a block
             continue
-        if tag in ("br", "hr", "img"):
+        if tag in ("br", "hr"):
             held.append(" ")
         if tag in VOID and tag != "hr":
             continue
         if tag in RAW:
-            flush_at = page.lower().find(f"</{tag}", at) if end - at < 65536 else _find_end(page, tag, at)
+            flush_at = _find_end(page, tag, at)
             at = end if flush_at < 0 else flush_at
             if at < end:
                 at = page.find(">", at) + 1 or end
@@ -165,6 +170,7 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
             nodes.append(Node(tag, owner, cues, label))
             owner = len(nodes) - 1
         open_.append((tag, owner))
+        opened[tag] += 1
         skipping += tag in SKIPPED
         links += tag == "a"
     flush()
