@@ -355,3 +355,21 @@ def test_sketches_never_lose_a_link():
         shared = len(np.intersect1d(a, b))
         if 100 * shared >= 85 * (len(a) + len(b) - shared):
             assert jaccard_join.may_link(jaccard_join.sketch(a), jaccard_join.sketch(b), len(a), len(b))
+
+
+def test_quality_of_long_repeats_and_repeated_fits(spark):
+    """Long runs of one word, as documents and as labelled rows, with every statistic in use."""
+    rows = [(i, ("a " * 200_000 if i % 2 else "b" * 300_000) if i < 4 else prose(i, 20) + (" !! $$ spam spam spam" * 5 if i % 2 else ""), i % 2) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality.fit(docs, docs.select("doc_id", "quality"))
+    again = quality.fit(docs.repartition(7), docs.select("doc_id", "quality").repartition(5))
+    assert model.rules and (model.rules, model.bias) == (again.rules, again.bias)
+    every = [quality.Rule(((name, True, 0.5),)) for name in quality.statistics(quality.F.lit(""))]
+    assert quality.score(docs, quality.Model([(r, 0.1) for r in every], 0.0)).count() == 60
+
+
+def test_substring_dedup_keeps_clashing_columns(spark):
+    row = prose(5, 80)
+    docs = spark.createDataFrame([(1, row, 7, 8, 9, 3), (2, row, 70, 80, 90, 30)], "doc_id long, text string, _at int, _of int, _spans int, at int")
+    out = sorted(map(tuple, substring_dedup.dedup(docs).collect()))
+    assert out == [(1, row, 7, 8, 9, 3), (2, "", 70, 80, 90, 30)] and substring_dedup.dedup(docs).columns == docs.columns

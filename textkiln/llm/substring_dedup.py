@@ -36,10 +36,10 @@ from pyspark.sql import types as T
 
 from textkiln.llm.common import slices, utf8_parts, written
 
-MIN_CHUNK = 16
+MIN_CHUNK = 8
 MAX_CHUNK = 256
 CUT_BITS = 5  # one position in 2**5 may be a cut
-MIN_RUN = MIN_CHUNK  # every repeated chunk is cut, but for a shorter rest at a text's end
+MIN_RUN = 50  # bytes; a shorter phrase that texts share stays in them
 
 _WINDOW = 32
 _GEAR = np.random.default_rng(20240229).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -169,24 +169,37 @@ def _cutter(text_at: int, min_run: int):
                 columns = list(batch.columns)
                 columns[text_at] = pa.array(kept, pa.binary()).cast(pa.string())
                 columns[-1] = pa.array(spans, pa.list_(pa.struct([("b", pa.int64()), ("e", pa.int64())])))
-                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "_spans"])
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "spans"])
 
     return run
 
 
+def spans_column(docs: DataFrame) -> str:
+    """A name that ``docs`` does not have."""
+    name = "_spans"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
 def cut_repeats(docs: DataFrame, min_run: int = MIN_RUN, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with all its columns, its texts without repeated chunks, and
-    the byte ranges that were cut as ``_spans``."""
-    known = repeated_chunks(docs, doc_id, text).groupBy("doc_id").agg(F.collect_list("at").alias("_at")).withColumnRenamed("doc_id", "_of")
-    at = F.when(F.col(doc_id).isNotNull(), F.coalesce("_at", F.array().cast("array<bigint>")))
-    joined = docs.join(known, docs[doc_id].cast("long") == known["_of"], "left").select(*[docs[c] for c in docs.columns], at.alias("_at"))
-    spans = T.StructField("_spans", T.ArrayType(T.StructType([T.StructField("b", T.LongType()), T.StructField("e", T.LongType())])))
-    return joined.mapInArrow(_cutter(docs.columns.index(text), min_run), T.StructType([*docs.schema.fields, spans]))
+    as last column (``spans_column``) the byte ranges that were cut."""
+    known = repeated_chunks(docs, doc_id, text).groupBy("doc_id").agg(F.collect_list("at").alias("at"))
+    # The rows' columns go by place, so none can clash with those of the join.
+    own = [f"_{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*own)
+    own_id = F.col(own[docs.columns.index(doc_id)])
+    at = F.when(own_id.isNotNull(), F.coalesce("at", F.array().cast("array<bigint>")))
+    joined = rows.join(known, own_id.cast("long") == F.col("doc_id"), "left").select(*own, at.alias("at"))
+    spans = T.StructField("spans", T.ArrayType(T.StructType([T.StructField("b", T.LongType()), T.StructField("e", T.LongType())])))
+    cut = joined.mapInArrow(_cutter(docs.columns.index(text), min_run), T.StructType([*rows.schema.fields, spans]))
+    return cut.toDF(*docs.columns, spans_column(docs))
 
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with all its columns and the repeated chunks cut out."""
-    return cut_repeats(docs, **options).drop("_spans")
+    return cut_repeats(docs, **options).drop(spans_column(docs))
 
 
 def report(docs: DataFrame, min_run: int = MIN_RUN, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
