@@ -38,7 +38,7 @@ def cut_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     cut = substring_dedup.cut_repeats(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        cut = cut.withColumn("n_chars", F.when(F.size(substring_dedup.spans_column(docs)) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return cut.select(*docs.columns)
 
 
