@@ -196,3 +196,39 @@ def test_small_vocabulary_matches_sql(spark, monkeypatch, name):
     plain = lambda rows: sorted((tuple(list(v) if isinstance(v, (list, tuple)) else v for v in r) for r in rows), key=repr)
     assert plain(found.collect()) == plain(want.fetchall())
     Q.clear_caches()
+
+
+def test_line_pattern_equals_reading_by_lines(spark):
+    import random
+
+    from textkiln.operators import pretokens as P
+
+    rnd = random.Random(2)
+    texts = ["", "\n", " \n x  \n\n  y", "it's 12  a\t\n", *("".join(rnd.choices("ab1.' \t\n\x0b\x85\xa0é", k=rnd.randint(0, 40))) for _ in range(400))]
+    df = docs_of(spark, texts)
+    lines = F.transform(F.slice(F.split(F.concat("text", F.lit("\n\n")), "\n", -1), 1, F.size(F.split(F.concat("text", F.lit("\n\n")), "\n", -1)) - 1), lambda s: F.concat(s, F.lit("\n")))
+    want = df.select(F.explode(F.flatten(F.transform(lines, P.pretokenize))).alias("token"))
+    got = P.line_pretokens(df)
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+
+
+def test_long_words_merge_like_the_library(spark):
+    """One unbroken run of a million letters: encoded in seconds, the same ids."""
+    import random
+    import time
+
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choices(["abra", "cad", "ab", "xyz", "aaa"], k=30)) for _ in range(60)]
+    m = ours(spark, texts, 330)
+    tk, lib = lib_train(texts, 330)
+    assert m.merges_txt().splitlines()[1:] == lib
+    ranks = {(l, r): (k, n) for k, (l, r, n) in enumerate(m.merges)}
+    for size in (1, 47, 49, 200, 3000):
+        word = "".join(rnd.choices("abcxyzrd", k=size))
+        syms = [BYTE_ID[b] for b in word.encode()]
+        assert B._queued(syms, ranks) == tk.encode(word).ids == B._lowest_first(syms, ranks)
+    long = "".join(rnd.choices(["abra", "cad", "ab", "xyz", "aaa"], k=330_000))
+    began = time.time()
+    row = B.encode_texts(m, spark.createDataFrame([(0, long)], "k long, t string"), "k", F.col("t"), frame=False).first()
+    assert time.time() - began < 60
+    assert list(row["ids"]) == tk.encode(long).ids

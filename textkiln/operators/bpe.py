@@ -2,13 +2,18 @@
 
 Training (``train_bpe``)
     Corpus lines -> pretokens -> ``groupBy`` counts -> the word table
-    ``(syms, freq)``.  Each round counts adjacent pairs (partial/final hash
-    aggregate) and brings the ordered head of the pair table to the driver.
+    ``(syms, freq)`` and the pair table ``(pair, cnt)``, both kept as written
+    tables across rounds.  Each round brings the ordered head of the pair table
+    to the driver.
     Words are split wherever a pair is not in the head; equal segments are
     summed by Spark, and the driver learns merges one at a time from the
     segments, whose size is bounded (``MAX_SYMBOLS``; a shorter head gives
-    less).  The merges are then applied to the word table in an Arrow pass.
-    Words reduced to one symbol leave the working set.
+    less).  An Arrow pass then applies the merges to the words that hold a
+    learned pair, passes all others on as they are, and emits the touched words' old
+    pairs with a negative and their new ones with a positive sign; the pair
+    table is summed with these deltas and never counted again.
+    Words reduced to one symbol leave the working set, and so do pairs rarer than the minimum:
+    only pairs with a new symbol can gain.
 
     This equals one-merge-at-a-time training: pairs are ordered by count
     descending, then by smallest ``(left, right)``.  A pair behind the head
@@ -62,7 +67,7 @@ from textkiln.operators.pretokens import (
     word_table,
 )
 from textkiln.functions.text import frame_document
-from textkiln.session import cut_lineage
+from textkiln.session import materialised
 from textkiln.sources.seeds import require_nonempty
 
 # Reference training parameters.
@@ -134,6 +139,7 @@ class BpeModel:
 # Symbols of the distinct segments that the driver learns from in a round.
 MAX_SYMBOLS = 1_000_000
 HEAD_ROWS = 16384
+FIRST_ROWS = 64  # of the first round, where nearly all words hold every pair of the head
 
 
 def _flat(syms) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,9 +237,39 @@ def learn_merges(segments, last: tuple[int, int], budget: int, first_id: int) ->
     return merges
 
 
+WORD, DELTA = 0, 1
+_APPLIED = T.StructType([
+    T.StructField("kind", T.IntegerType()),
+    T.StructField("syms", T.ArrayType(T.IntegerType())),
+    T.StructField("pair", T.LongType()),
+    T.StructField("freq", T.LongType()),
+])
+
+
+def _pair_sums(syms: pa.ListArray, freqs: np.ndarray, sign: int) -> tuple[np.ndarray, np.ndarray]:
+    """Adjacent pairs of the words and their signed frequencies, one entry for each place."""
+    flat, starts, inner = _flat(syms)
+    if not len(flat):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.flatnonzero(inner[:-1])
+    rows = np.searchsorted(starts, at, side="right") - 1
+    return flat[at] * PAIR_SHIFT + flat[at + 1], sign * freqs[rows]
+
+
+def _rows(kind: int, syms: pa.Array | None, pairs: np.ndarray | None, freqs) -> pa.RecordBatch:
+    n = len(freqs)
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.full(n, kind, np.int32)),
+        pa.nulls(n, pa.list_(pa.int32())) if syms is None else syms,
+        pa.nulls(n, pa.int64()) if pairs is None else pa.array(pairs),
+        pa.array(freqs, pa.int64()),
+    ], names=_APPLIED.names)
+
+
 def _apply(merges: list[tuple[int, int, int]]):
-    """The word table after the merges: each makes a new symbol, so taking the
-    lowest rank first is the sequential order."""
+    """The word table after the merges and the changes of pair counts.  Each
+    merge makes a new symbol, so taking the lowest rank first is the
+    sequential order.  Words that hold no learned pair pass as they are."""
     ranks = {(l, r): (k, n) for k, (l, r, n) in enumerate(merges)}
     keys = np.sort(np.array([l * PAIR_SHIFT + r for l, r, _ in merges], np.int64))
 
@@ -245,15 +281,23 @@ def _apply(merges: list[tuple[int, int, int]]):
             pairs = flat[:-1] * PAIR_SHIFT + flat[1:]
             at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
             hits = np.flatnonzero(inner[:-1] & (keys[at] == pairs))
-            touched = set(np.unique(np.searchsorted(starts, hits, side="right") - 1).tolist())
-            out, freqs = [], []
-            for i, (syms, freq) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                if i in touched:
-                    syms = _lowest_first(syms, ranks)
-                if len(syms) >= 2:
-                    out.append(syms)
-                    freqs.append(freq)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32())), pa.array(freqs, pa.int64())], names=["syms", "freq"])
+            held = np.zeros(len(batch), bool)
+            held[np.searchsorted(starts, hits, side="right") - 1] = True
+            same = batch.filter(pa.array(~held))
+            if len(same):
+                yield _rows(WORD, same.column(0), None, same.column(1))
+            touched = batch.filter(pa.array(held))
+            if not len(touched):
+                continue
+            freqs = touched.column(1).to_numpy(zero_copy_only=False)
+            merged = pa.array([_lowest_first(syms, ranks) for syms in touched.column(0).to_pylist()], pa.list_(pa.int32()))
+            changed = [_pair_sums(touched.column(0), freqs, -1), _pair_sums(merged, freqs, 1)]
+            found, which = np.unique(np.concatenate([c[0] for c in changed]), return_inverse=True)
+            sums = np.zeros(len(found), np.int64)
+            np.add.at(sums, which, np.concatenate([c[1] for c in changed]))
+            yield _rows(DELTA, None, found[sums != 0], sums[sums != 0])
+            long = pa.array(merged.value_lengths().to_numpy(zero_copy_only=False) >= 2)
+            yield _rows(WORD, merged.filter(long), None, touched.column(1).filter(long))
 
     return run
 
@@ -276,10 +320,11 @@ def train_bpe(
     than ``min_frequency``."""
     require_nonempty(docs, "training corpus")  # S3
     model = BpeModel([])
-    words = cut_lineage(training_words(docs, text_col).select("syms", F.col("freq").cast("long").alias("freq")))
-    size = head_rows
+    words = materialised(training_words(docs, text_col).select("syms", F.col("freq").cast("long").alias("freq")), "bpe-words")
+    counts = materialised(pair_counts(words, min_frequency).select("pair", F.col("cnt").cast("long").alias("cnt")), "bpe-pairs")
+    size = min(head_rows, FIRST_ROWS)
     while model.vocab_size < vocab_size:
-        head = pair_counts(words, min_frequency).orderBy(F.col("cnt").desc(), F.col("pair").asc()).limit(head_rows).collect()
+        head = counts.orderBy(F.col("cnt").desc(), F.col("pair").asc()).limit(size).collect()
         if not head:
             break
         while True:
@@ -290,23 +335,35 @@ def train_bpe(
             if symbols <= max_symbols or len(taken) == 1:
                 break
             found.unpersist()
-            size = max(1, len(taken) // 2)
+            size = max(1, len(taken) // 4)
         table = found.toArrow()
         found.unpersist()
         last = (-int(taken[-1]["cnt"]), int(taken[-1]["pair"]))
         learned = learn_merges((table["syms"].to_pylist(), table["freq"].to_pylist()), last, vocab_size - model.vocab_size, model.vocab_size)
         model.merges += learned
         model.rounds += 1
-        if symbols < max_symbols // 4:
+        # A longer head where there is room: fewer rounds, each a pass over the words.
+        if symbols * 16 < max_symbols:
+            size = min(head_rows, size * 8)
+        elif symbols * 4 < max_symbols:
             size = min(head_rows, size * 2)
         if model.vocab_size < vocab_size:
-            words = cut_lineage(words.mapInArrow(_apply(learned), words.schema))
+            applied = materialised(words.mapInArrow(_apply(learned), _APPLIED), "bpe-applied")
+            words = applied.where(F.col("kind") == WORD).select("syms", "freq")
+            deltas = applied.where(F.col("kind") == DELTA).select("pair", F.col("freq").alias("cnt"))
+            counts = materialised(counts.unionByName(deltas).groupBy("pair").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") >= min_frequency), "bpe-pairs")
     return model
 
 
 # ----------------------------------------------------------------- encoding
+# Longer words are merged with a queue; a scan for each rank is faster on short ones.
+SHORT_WORD = 48
+
+
 def _lowest_first(syms: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
     """Apply the merge of the lowest rank everywhere until none is left."""
+    if len(syms) > SHORT_WORD:
+        return _queued(syms, ranks)
     while len(syms) > 1:
         best = None
         for i in range(len(syms) - 1):
@@ -319,6 +376,35 @@ def _lowest_first(syms: list[int], ranks: dict[tuple[int, int], tuple[int, int]]
     return syms
 
 
+def _queued(syms: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+    """The same over a linked list of symbols and a queue of (rank, place).  A
+    new symbol's pairs rank behind the merge that made it, so the queue yields
+    the places of one rank from left to right."""
+    syms = list(syms)
+    n = len(syms)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    queue = [(r[0], i) for i, pair in enumerate(zip(syms, syms[1:], strict=False)) if (r := ranks.get(pair)) is not None]
+    heapq.heapify(queue)
+    while queue:
+        rank, i = heapq.heappop(queue)
+        j = after[i]
+        if syms[i] < 0 or j >= n:
+            continue
+        found = ranks.get((syms[i], syms[j]))
+        if found is None or found[0] != rank:
+            continue
+        syms[i], syms[j] = found[1], -1
+        after[i] = k = after[j]
+        if k < n:
+            before[k] = i
+            if (r := ranks.get((syms[i], syms[k]))) is not None:
+                heapq.heappush(queue, (r[0], i))
+        h = before[i]
+        if h >= 0 and (r := ranks.get((syms[h], syms[i]))) is not None:
+            heapq.heappush(queue, (r[0], h))
+    return [s for s in syms if s >= 0]
+
+
 def _encoder(ranks: dict[tuple[int, int], tuple[int, int]]):
     cache: dict[str, list[int]] = {}
 

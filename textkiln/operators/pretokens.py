@@ -21,6 +21,10 @@ from textkiln.functions.text import frame_document
 # Fixed value: the byte-level pre-tokenizer pattern (Java regex, Unicode classes).
 PRETOKEN_PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# The same for a text read line by line: a run of blanks ends with its line, as
+# the line's end ends the sequence there.
+LINE_PATTERN = PRETOKEN_PATTERN.removesuffix(r"\s+(?!\S)|\s+") + r"[^\S\n]*+\n|[^\S\n]+(?!\S)|[^\S\n]+"
+
 # Fixed value: a pair seen fewer times is never merged.
 MIN_FREQUENCY = 2
 
@@ -32,16 +36,10 @@ def pretokenize(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PRETOKEN_PATTERN), F.lit(0))
 
 
-def corpus_lines(text: Column) -> Column:
-    """Lines of the framed document with their ``\\n`` kept (file reading)."""
-    parts = F.split(frame_document(text), "\n", -1)
-    return F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda l: F.concat(l, F.lit("\n")))
-
-
 def line_pretokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(token)`` rows for training: pretokens of every corpus line."""
-    per_line = F.transform(corpus_lines(F.col(text_col)), lambda l: pretokenize(l))
-    return docs.select(F.explode(F.flatten(per_line)).alias("token"))
+    """``(token)`` rows for training: pretokens of every corpus line, found in
+    one pass over the framed document."""
+    return docs.select(F.explode(F.regexp_extract_all(frame_document(text_col), F.lit(LINE_PATTERN), F.lit(0))).alias("token"))
 
 
 def doc_pretokens(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
