@@ -69,8 +69,82 @@ def test_generate_appends_sampled_tokens(spark):
     counts = spark.createDataFrame([(1, 2, 5), (2, 3, 5), (3, 1, 5)], "x int, y int, c long")
     cum = N.cumulative(N.probabilities(N.top_k(counts, 40), 0.8))
     prompts = spark.createDataFrame([(7, [1]), (8, [2, 3]), (9, [4])], "pid long, ids array<int>")
-    out = {r["pid"]: list(r["new_ids"]) for r in N.generate(prompts, cum, 5, seed=1, checkpoint_every=2).collect()}
-    assert out[7] == [2, 3, 1, 2, 3] and out[8] == [1, 2, 3, 1, 2] and out[9] == []
+    for most in (N.MAX_BROADCAST, 0):
+        found = N.generate(prompts, cum, 5, seed=1, checkpoint_every=2, max_broadcast=most)
+        out = {r["pid"]: list(r["new_ids"]) for r in found.collect()}
+        assert out[7] == [2, 3, 1, 2, 3] and out[8] == [1, 2, 3, 1, 2] and out[9] == []
+
+
+def _plain_walk(pid, ids, bounds, steps, seed):
+    """The draw by its definition: the row whose bounds hold the target."""
+    new, ctx = [], ids[-1] if ids else None
+    for step in range(steps):
+        if ctx not in bounds:
+            break
+        h = seed * 40503 + 12345
+        for k in (pid, step, ctx):
+            h = (h * 31 + k) % N.U_MOD
+        u = ((h * N.U_MULT) % N.U_MOD) / N.U_MOD
+        ctx = next(y for lo, hi, tot, y in bounds[ctx] if lo <= u * tot < hi)
+        new.append(ctx)
+    return new
+
+
+def test_generate_like_a_plain_walk(spark):
+    rows = [(x, y, (x * 7 + y * y) % 6) for x in range(30) for y in range(40)]
+    counts = spark.createDataFrame([r for r in rows if r[2] and r[0] != 17], "x int, y int, c long")
+    cum = N.cumulative(N.probabilities(N.top_k(counts, 9), 0.8))
+    bounds = {}
+    for r in cum.collect():
+        bounds.setdefault(r.x, []).append((r.lo, r.hi, r.tot, r.y))
+    prompts = [(i, [(i * 3) % 30] * (i % 4)) for i in range(200)] + [(900, None)]
+    df = spark.createDataFrame(prompts, "pid long, ids array<int>")
+    want = {p: _plain_walk(p, ids, bounds, 12, 3) for p, ids in prompts}
+    for most in (N.MAX_BROADCAST, 0):
+        assert {r.pid: list(r.new_ids) for r in N.generate(df, cum, 12, 3, 4, most).collect()} == want
+    assert {len(w) for w in want.values()} >= {0, 12}
+
+
+def test_registered_generation_like_a_plain_walk(spark):
+    """generate_batch with its 8,000 entries and 200 steps on sf0.001."""
+    from textkiln.plans import token_queries as Q
+    from textkiln.plans.catalog import QUERIES
+
+    Q.clear_caches()
+    found = {r.pid: (r.n_prompt, r.new_ids) for r in QUERIES["generate_batch"](spark, SF001).collect()}
+    model = Q._reloaded(spark, SF001)[1]
+    pairs = Q._bpe_stream(spark, SF001).pairs()
+    counts, bounds = {}, {}
+    for r in pairs.where("split = 'train'").collect():
+        own = counts.setdefault(r.x, {})
+        own[r.y] = own.get(r.y, 0) + 1
+    for x, own in counts.items():
+        limit = sorted(own.values(), reverse=True)[: N.TOP_K][-1]
+        top = max(own.values())
+        weight = {y: (c / top) ** (1 / N.TEMPERATURE) for y, c in own.items() if c >= limit}
+        total, at, bounds[x] = sum(weight.values()), 0.0, []
+        for y in sorted(weight, key=lambda y: (-own[y], y)):
+            bounds[x].append((at, at + weight[y] / total, y))
+            at += weight[y] / total
+    conv = load(spark, SF001, "conversations", "conv_id", "turn", "text").select((F.col("conv_id") * 1000 + F.col("turn")).alias("pid"), "text")
+    prompts = {r.pid: list(r.ids) for r in Q.B.encode_texts(model, conv, "pid", F.col("text"), frame=False).collect()}
+    assert set(prompts) == set(found)
+    steps = 0
+    for pid, ids in prompts.items():
+        new = [int(t) for t in found[pid][1].split()]
+        assert found[pid][0] == len(ids)
+        ctx = ids[-1] if ids else None
+        for step, token in enumerate(new):
+            h = Q.SEED * 40503 + 12345
+            for k in (pid, step, ctx):
+                h = (h * 31 + k) % N.U_MOD
+            u = ((h * N.U_MULT) % N.U_MOD) / N.U_MOD
+            lo, hi = next((lo, hi) for lo, hi, y in bounds[ctx] if y == token)
+            assert lo - 1e-9 <= u < hi + 1e-9
+            ctx, steps = token, steps + 1
+        assert len(new) == N.MAX_NEW_TOKENS or ctx not in bounds
+    assert steps > 1000
+    Q.clear_caches()
 
 
 def test_loss_is_positive_and_val_higher(spark, stream):

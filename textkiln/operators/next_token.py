@@ -11,22 +11,27 @@ mean of ``-ln p`` over every consecutive pair of a split.
 
 Only observed successors are candidates for generation, so no operator emits
 all ``V x V`` pairs.  Every aggregation is a partial + final hash aggregate;
-``rank() <= k`` lets Catalyst apply a group limit before the shuffle, and what
-follows works on classes of equal counts, of which a context keeps at most k.
+Top-k ranks a context's distinct counts, and what follows works on classes of
+equal counts, of which a context keeps at most k.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textkiln.operators.positions import group_offsets
-from textkiln.session import cut_lineage, scratch_path
+from textkiln.session import cut_lineage, materialised
 
 # Reference generation defaults.
 TEMPERATURE = 0.8
 TOP_K = 40
 MAX_NEW_TOKENS = 200
+# Successors of all contexts that generation sends to the tasks (12 bytes each).
+MAX_BROADCAST = 4_000_000
 # Integer hash for seeded uniforms in [0, 1), repeatable in any SQL engine.
 U_MOD = 1000003
 U_MULT = 2654435761
@@ -75,8 +80,13 @@ def top_k(counts: DataFrame, k: int = TOP_K, vocab_size: int | None = None) -> D
     """Per context keep successors whose score is within the top ``k``
     values, ties at the k-th value kept (``rank``, not ``row_number``)."""
     kk = min(k, vocab_size) if vocab_size else k
-    w = Window.partitionBy("x").orderBy(F.col("c").desc())
-    return counts.withColumn("rnk", F.rank().over(w)).where(F.col("rnk") <= kk).drop("rnk")
+    # Ranked are a context's distinct counts, not its rows: however many
+    # successors tie, a rank needs only how many rows lie above a count.
+    w = Window.partitionBy("x").orderBy(F.col("c").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    levels = counts.groupBy("x", "c").agg(F.count(F.lit(1)).alias("n"))
+    kept = levels.withColumn("above", F.coalesce(F.sum("n").over(w), F.lit(0))).where(F.col("above") < kk)
+    least = kept.groupBy("x").agg(F.min("c").alias("least"))
+    return counts.join(least, "x").where(F.col("c") >= F.col("least")).select(*counts.columns)
 
 
 def probabilities(kept: DataFrame, temperature: float = TEMPERATURE) -> DataFrame:
@@ -120,40 +130,94 @@ def sample(cum: DataFrame, seed: int = 0) -> DataFrame:
     return cum.where((F.col("lo") <= target) & (target < F.col("hi"))).select("x", "y")
 
 
+def candidates(cum: DataFrame) -> DataFrame:
+    """One row per context: ``(x, ys, his)``, its successors in draw order with
+    their upper bounds.  A context has at most as many as the vocabulary."""
+    drawn = F.sort_array(F.collect_list(F.struct("hi", "y")))
+    return cum.groupBy("x").agg(drawn.alias("d")).select("x", F.col("d.y").alias("ys"), F.col("d.hi").alias("his"))
+
+
+def _uniforms(seed: int, *keys: np.ndarray) -> np.ndarray:
+    """``seeded_uniform`` over arrays."""
+    h = np.int64(seed * 40503 + 12345)
+    for k in keys:
+        h = np.fmod(h * 31 + k.astype(np.int64), U_MOD)
+    return np.fmod(h * U_MULT, U_MOD) / U_MOD
+
+
+def _walk(model: tuple[np.ndarray, ...], pids: np.ndarray, ctx: np.ndarray, live: np.ndarray, steps: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens drawn after each context, and how many: all prompts of a batch
+    take a step at once, each by binary search in its context's bounds."""
+    xs, starts, ys, his = model
+    out, count = np.zeros((len(pids), steps), np.int32), np.zeros(len(pids), np.int64)
+    ctx, active = ctx.astype(np.int64), np.flatnonzero(live)
+    for step in range(steps):
+        at = np.minimum(np.searchsorted(xs, ctx[active]), max(len(xs) - 1, 0))
+        known = xs[at] == ctx[active] if len(xs) else np.zeros(len(active), bool)
+        active, at = active[known], at[known]
+        if not len(active):
+            break
+        low, end = starts[at], starts[at + 1]
+        target = _uniforms(seed, pids[active], np.int64(step), ctx[active]) * his[end - 1]
+        high = end - 1  # the last bound is above every target
+        while (low < high).any():
+            mid = (low + high) // 2
+            above = his[mid] > target
+            low, high = np.where(above | (low >= high), low, mid + 1), np.where(above, mid, high)
+        ctx[active] = out[active, step] = ys[low]
+        count[active] += 1
+    return out, count
+
+
+def _walker(model, steps: int, seed: int):
+    def run(batches):
+        for whole in batches:
+            for batch in (whole.slice(i, 4096) for i in range(0, len(whole), 4096)):
+                held = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3)]
+                out, count = _walk(model.value, held[0], held[1], held[2], steps, seed)
+                flat = out[np.arange(steps) < count[:, None]]
+                offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+                new = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), new], names=["pid", "ids", "new_ids"])
+
+    return run
+
+
 def generate(
     prompts: DataFrame,
     cum: DataFrame,
     max_new_tokens: int = MAX_NEW_TOKENS,
     seed: int = 0,
     checkpoint_every: int = 10,
+    max_broadcast: int = MAX_BROADCAST,
 ) -> DataFrame:
     """W10 for all prompts at once: ``prompts(pid, ids array<int>)`` ->
-    ``(pid, ids, new_ids)``.  Each step joins the current context (last token)
-    to its candidates and keeps the drawn row; a context with no observed
-    successor stops.  Lineage is cut every few steps with reliable checkpoints.
-    The candidate table (kept successors per context) is written once and read
-    back, so Spark knows its size and picks the join by it.
-    """
-    state = prompts.select(
-        "pid", "ids", F.array().cast("array<int>").alias("new_ids"),
-        F.try_element_at("ids", F.lit(-1)).alias("ctx"), (F.size("ids") > 0).alias("live"),
-    )
+    ``(pid, ids, new_ids)``; a context with no observed successor stops.
+
+    The model is one row per context (``candidates``), written once.  With at most
+    ``max_broadcast`` successors in all it is sent to the tasks, and a prompt takes all its
+    steps in one pass.  A larger one stays a table: each step joins every prompt to its
+    context's row, and lineage is cut every few steps with reliable checkpoints."""
     spark = prompts.sparkSession
-    path = scratch_path(spark, "candidates")
-    cum.select("x", "y", "lo", "hi", "tot").write.parquet(path)
-    cand = spark.read.parquet(path)
+    table = materialised(candidates(cum), "candidates")
+    last = F.coalesce(F.try_element_at("ids", F.lit(-1)), F.lit(-1))
+    state = prompts.select("pid", "ids", last.cast("long").alias("ctx"), F.coalesce(F.size("ids") > 0, F.lit(False)).alias("live"))
+    size = table.agg(F.sum(F.size("ys"))).first()[0] or 0
+    if size <= max_broadcast:
+        rows = table.orderBy("x").toArrow().combine_chunks()
+        ys, his = (rows[c].combine_chunks() for c in ("ys", "his"))
+        starts = np.concatenate([[0], np.cumsum(ys.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        model = rows["x"].to_numpy().astype(np.int64), starts, ys.flatten().to_numpy(), his.flatten().to_numpy()
+        schema = T.StructType([prompts.schema["pid"], prompts.schema["ids"], T.StructField("new_ids", T.ArrayType(T.IntegerType()))])
+        return state.mapInArrow(_walker(spark.sparkContext.broadcast(model), max_new_tokens, seed), schema)
+    state = state.withColumn("new_ids", F.array().cast("array<int>"))
     for step in range(max_new_tokens):
-        # One left join per step: the range condition keeps exactly the drawn
-        # candidate (or none for a finished prompt).
-        target = seeded_uniform(F.col("pid"), F.lit(step), F.col("ctx"), seed=seed) * F.col("tot")
-        cond = (state["ctx"] == cand["x"]) & state["live"] & (F.col("lo") <= target) & (target < F.col("hi"))
-        nxt = F.col("y").cast("int")
-        state = state.join(cand, cond, "left").select(
-            "pid", "ids",
-            F.when(nxt.isNotNull(), F.array_append("new_ids", nxt)).otherwise(F.col("new_ids")).alias("new_ids"),
-            F.coalesce(nxt, F.col("ctx")).alias("ctx"),
-            (F.col("live") & nxt.isNotNull()).alias("live"),
-        )
+        target = seeded_uniform(F.col("pid"), F.lit(step), F.col("ctx"), seed=seed) * F.element_at("his", -1)
+        drawn = F.element_at("ys", F.size(F.filter("his", lambda h: h <= target)) + 1).cast("int")
+        joined = state.join(table, (state["ctx"] == table["x"]) & state["live"], "left").withColumn("_y", F.when(F.col("x").isNotNull(), drawn))
+        state = joined.select(
+            "pid", "ids", F.coalesce(F.col("_y").cast("long"), "ctx").alias("ctx"), (F.col("live") & F.col("_y").isNotNull()).alias("live"),
+            F.when(F.col("_y").isNotNull(), F.array_append("new_ids", F.col("_y"))).otherwise(F.col("new_ids")).alias("new_ids"))
         if (step + 1) % checkpoint_every == 0:
             state = cut_lineage(state)
     return state.select("pid", "ids", "new_ids")
