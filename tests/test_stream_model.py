@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,6 +36,8 @@ def test_windows_shift_by_one(spark, stream):
     toks = [r["token_id"] for r in stream.tokens().orderBy("pos").collect()]
     w = stream.windows(steps=3, batch=4, block=16, seed=7).collect()
     assert len(w) == 2 * 12
+    small = stream.windows(steps=3, batch=4, block=16, seed=7, chunk_size=5)
+    assert sorted(map(repr, small.collect())) == sorted(map(repr, w))
     for r in w:
         base = 0 if r["split"] == "train" else stream.split_at
         n = stream.split_at if r["split"] == "train" else stream.n_total - stream.split_at
@@ -42,6 +46,14 @@ def test_windows_shift_by_one(spark, stream):
         assert list(r["x"]) == toks[g:g + 16] and list(r["y"]) == toks[g + 1:g + 17]
 
 
+def test_chunks_are_the_stream_and_few_are_read(spark, stream):
+    toks = [r["token_id"] for r in stream.tokens().orderBy("pos").collect()]
+    store = {r["chunk"]: list(r["ids"]) for r in stream.chunks(100).collect()}
+    assert store == {c: toks[100 * c : 100 * c + 100] for c in range(-(-len(toks) // 100))}
+    plan = stream.windows(steps=1, batch=1, block=16)._jdf.queryExecution().toString()
+    assert re.search(r"PushedFilters: \[[^\n]*In\(chunk, \[", plan)
+
+
 def test_block_too_long(spark, stream):
     with pytest.raises(S.BlockTooLongError):
         stream.windows(steps=1, batch=1, block=stream.n_total, seed=0)

@@ -11,9 +11,9 @@ tables whose size is bounded by parameters:
 * next-token pairs (J6): pairs inside a document come from its array; the one
   pair crossing into the next document is a document-level equi-join on
   ``doc_start + n = doc_start``;
-* training windows (W6/J7): each window is joined to the documents it
-  overlaps by an equi-join on a chunk number over the narrow offsets, and
-  sliced out of their arrays, so no token-level shuffle happens.
+* training windows (W6/J7): the stream is stored once as blocks of
+  ``CHUNK_SIZE`` tokens in order of position; a window is an equi-join on
+  the few block numbers it touches, and its parts are sliced out of the blocks.
 
 Two id sources: pretoken ids (vocabulary ranked by ``(count desc, token)``,
 checkable in SQL) and BPE ids (``bpe.encode_documents``).
@@ -21,7 +21,7 @@ checkable in SQL) and BPE ids (``bpe.encode_documents``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,13 +29,16 @@ from pyspark.sql import functions as F
 from textkiln.operators.positions import ordered_offsets, row_index
 from textkiln.functions.text import frame_document
 from textkiln.operators.pretokens import doc_pretokens, pretoken_counts, pretokenize
-from textkiln.session import cut_lineage
+from textkiln.session import cut_lineage, materialised
 from textkiln.sources.seeds import require_nonempty
 
 # Reference sampling shape and split fraction (train = first 9/10).
 BLOCK_SIZE = 128
 BATCH_SIZE = 64
 TRAIN_NUMERATOR, TRAIN_DENOMINATOR = 9, 10
+# Tokens of a stored block, and chunk numbers that a filter may list.
+CHUNK_SIZE = 256
+MAX_LISTED = 10_000
 # Knuth's multiplicative hash constant for deterministic window starts.
 HASH_MULT = 2654435761
 
@@ -56,6 +59,7 @@ class IdStream:
     offsets: DataFrame  # (doc_id, n, doc_start, first_id, last_id), checkpointed and narrow
     n_total: int
     vocab_size: int
+    _chunks: dict[int, DataFrame] = field(default_factory=dict)
 
     @property
     def split_at(self) -> int:
@@ -96,7 +100,25 @@ class IdStream:
         return both.where(same_split).select(self.split_of(F.col("pos")).alias("split"), "pos", "x", "y")
 
     # ---------------------------------------------------------------- W6 / J7
-    def windows(self, steps: int, batch: int = BATCH_SIZE, block: int = BLOCK_SIZE, seed: int = 0) -> DataFrame:
+    def chunks(self, size: int = CHUNK_SIZE) -> DataFrame:
+        """The stream as ``(chunk, ids)``, blocks of ``size`` tokens by
+        position, written once in order of their numbers so that readers of a few blocks skip row groups."""
+        if size not in self._chunks:
+            first, last = F.floor(F.col("doc_start") / size).cast("long"), F.floor((F.col("doc_start") + F.col("n") - 1) / size).cast("long")
+
+            def part(c):
+                lo = F.greatest(c * size, F.col("doc_start")) - F.col("doc_start")
+                hi = F.least((c + 1) * size, F.col("doc_start") + F.col("n")) - F.col("doc_start")
+                return F.struct(c.alias("chunk"), F.col("doc_start"), F.slice("ids", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("part"))
+
+            parts = self.docs.where(F.col("n") >= 1).select(F.explode(F.transform(F.sequence(first, last), part)).alias("p")).select("p.*")
+            # A chunk has at most ``size`` parts and tokens.
+            whole = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("doc_start", "part"))), lambda s: s["part"]))
+            blocks = parts.groupBy("chunk").agg(whole.alias("ids"))
+            self._chunks[size] = materialised(blocks.repartitionByRange("chunk").sortWithinPartitions("chunk"), "token-chunks")
+        return self._chunks[size]
+
+    def windows(self, steps: int, batch: int = BATCH_SIZE, block: int = BLOCK_SIZE, seed: int = 0, chunk_size: int = CHUNK_SIZE) -> DataFrame:
         """``(split, step, b, start, x, y)`` with ``x = tokens[start, start+block)``
         and ``y`` shifted by one, per split; ``start`` is uniform-like in
         ``[0, n_split - block)`` from an integer hash of ``(step, b, seed)``."""
@@ -116,28 +138,20 @@ class IdStream:
             ((F.col("k") * F.lit(HASH_MULT) + F.lit(seed)) % (F.col("n") - F.lit(block))).alias("start"),
             "base",
         ).withColumn("g0", F.col("base") + F.col("start"))
-        # A window covers global positions [g0, g0 + block]; chunks of `block+1`
-        # positions: a window touches chunk g0 div K and the next one.
-        k = block + 1
-        wchunks = starts.select("*", F.explode(F.array(F.floor(F.col("g0") / k), F.floor(F.col("g0") / k) + 1)).alias("chunk"))
-        dchunks = self.offsets.where(F.col("n") >= 1).select(
-            "doc_start", "n",
-            F.explode(F.sequence(F.floor(F.col("doc_start") / k), F.floor((F.col("doc_start") + F.col("n") - 1) / k))).alias("chunk"),
-        )
-        hits = dchunks.join(wchunks, "chunk").where(
-            (F.col("doc_start") <= F.col("g0") + block) & (F.col("doc_start") + F.col("n") > F.col("g0"))
-        ).select("doc_start", "split", "step", "b", "start", "g0").dropDuplicates(["split", "step", "b", "doc_start"])
-        # Each window overlaps at most block+1 documents.
-        hit = self.docs.where(F.col("n") >= 1).drop("doc_id").join(hits, "doc_start")
-        lo = F.greatest(F.col("g0"), F.col("doc_start"))
-        hi = F.least(F.col("g0") + block, F.col("doc_start") + F.col("n") - 1)
-        piece = hit.select(
-            "split", "step", "b", "start", "doc_start",
-            F.slice("ids", (lo - F.col("doc_start") + 1).cast("int"), (hi - lo + 1).cast("int")).alias("part"),
-        )
+        # A window covers global positions [g0, g0 + block], which lie in a few chunks.
+        k = F.lit(chunk_size)
+        chunk_of = lambda pos: F.floor(pos / k).cast("long")
+        need = starts.select("split", "step", "b", "start", "g0", F.explode(F.sequence(chunk_of(F.col("g0")), chunk_of(F.col("g0") + block))).alias("chunk"))
+        store = self.chunks(chunk_size)
+        if 2 * steps * batch * (2 + block // chunk_size) <= MAX_LISTED:
+            # Few enough to name: the files' statistics leave out what no window needs.
+            store = store.where(F.col("chunk").isin([r["chunk"] for r in need.select("chunk").distinct().collect()]))
+        lo = F.greatest(F.col("g0") - F.col("chunk") * k, F.lit(0))
+        hi = F.least(F.col("g0") + block - F.col("chunk") * k, k - 1)
+        piece = need.join(store, "chunk").select("split", "step", "b", "start", "chunk", F.slice("ids", (lo + 1).cast("int"), (hi - lo + 1).cast("int")).alias("part"))
         # A window spans block+1 tokens, so each group is bounded by the block size.
         grouped = piece.groupBy("split", "step", "b", "start").agg(
-            F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("doc_start", "part"))), lambda s: s["part"])).alias("seq")
+            F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "part"))), lambda s: s["part"])).alias("seq")
         )
         return grouped.select(
             "split", "step", "b", "start",
