@@ -133,3 +133,26 @@ def test_older_collector_reads_every_source(spark):
     want = {t: texts[t] for t in asked if t in texts}
     got = {r.title: r.text for r in QUERIES["collect_older"](spark, SF01).collect()}
     assert got == want and len(by_cat) == 20 and len(got) > 200
+
+
+def test_continuations_are_followed_and_broken_ones_kept_apart(spark):
+    import json
+    import random
+
+    def body(title, following):
+        return json.dumps({"query": {"categorymembers": [{"ns": 0, "title": title}]}, **({"continue": {"cmcontinue": following}} if following else {})})
+
+    rows = [("long", f"t{i}" if i else None, body(f"p{i}", f"t{i + 1}" if i < 99 else None)) for i in range(100)]
+    rows += [("one", None, body("only", None)), ("one", None, body("only", None))]
+    rows += [("ring", None, body("a", None)), ("ring", "x", body("b", "y")), ("ring", "y", body("c", "z")), ("ring", "z", body("d", "x"))]
+    rows += [("broken", None, body("a", "x")), ("broken", "x", body("b", "gone")), ("broken", "u", body("c", "v")), ("broken", "v", body("d", None))]
+    rows += [("bad", None, body("a", "x")), ("bad", "x", body("b", "y")[:20]), ("bad", "y", body("c", None)), ("none", None, None)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "cat string, token string, body string")
+    found = landed.follow_continuations(df).collect()
+    good = sorted((r.cat, r.page_no, json.loads(r.body)["query"]["categorymembers"][0]["title"]) for r in found if r.error is None)
+    assert good == sorted([("bad", 0, "a"), ("broken", 0, "a"), ("broken", 1, "b"), ("one", 0, "only"), ("ring", 0, "a"), *(("long", i, f"p{i}") for i in range(100))])
+    assert sorted((r.cat, r.error) for r in found if r.error) == sorted([
+        ("bad", "malformed response"), ("bad", "broken chain"), ("broken", "broken chain"), ("broken", "broken chain"), ("none", "malformed response"),
+        *[("ring", "ring of continuations")] * 3])
+    assert landed.follow_continuations(df.limit(0)).count() == 0

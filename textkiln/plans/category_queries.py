@@ -135,6 +135,17 @@ def api_members_parse(spark, sf_dir):
     return landed.parse_member_responses(responses)
 
 
+@query("continuation_chain", f"""
+WITH {MEMBERS_SQL}
+SELECT cat, CAST(pos // {K.BATCH_SIZE} AS INTEGER) AS page_no, CAST(pos % {K.BATCH_SIZE} AS INTEGER) AS member_pos, ns, title FROM members
+""")
+def continuation_chain(spark, sf_dir):
+    """S5 + W3: responses in pages of 20 without numbers, put in order along their continuation tokens."""
+    landed_pages = landed.member_responses(landed.category_members(spark, sf_dir), K.BATCH_SIZE)
+    ordered = landed.follow_continuations(landed.requested_responses(landed_pages))
+    return landed.parse_member_responses(ordered.where("error IS NULL")).select("cat", "page_no", "member_pos", "ns", "title")
+
+
 @query("paged_members", f"""
 WITH {MEMBERS_SQL},
 everyone AS (SELECT DISTINCT cat, CAST(0 AS BIGINT) AS visit_pos FROM members),

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from textkiln.functions.text import CATEGORY_PREFIX
 from textkiln.operators.positions import group_offsets, row_index
+from textkiln.session import materialised
 from textkiln.sources.tables import load
 
 # Fixed values (API contract): namespaces of articles and subcategories.
@@ -149,6 +150,51 @@ def parse_member_responses(responses: DataFrame) -> DataFrame:
     ).select("cat", "page_no", "member_pos", F.col("m.ns").alias("ns"), F.col("m.title").alias("title"), "cmcontinue")
 
 
+def requested_responses(responses: DataFrame) -> DataFrame:
+    """``(cat, token, body)``: the same responses as a crawler lands them, with
+    the continuation token each was asked for (null: the first) and no number."""
+    token = F.when(F.col("page_no") > 0, F.format_string("page|%s|%d", F.col("cat"), F.col("page_no")))
+    return responses.select("cat", token.alias("token"), "body")
+
+
+def follow_continuations(responses: DataFrame) -> DataFrame:
+    """``(cat, page_no, body, error)`` of responses ``(cat, token, body)``.
+
+    A response's place is its distance from the first one along the tokens
+    that the responses name as their continuation: list ranking by pointer
+    doubling, so a chain of n pages takes about log2(n) joins, however long the
+    chains of single categories are.  Kept as quarantine rows (``error`` set,
+    no ``page_no``) are responses whose body does not parse, those that no
+    chain from a first response reaches, and rings.  A malformed body ends its
+    chain.  Of responses that answer one request the first body in
+    order counts; categories must be non-null."""
+    bad = F.try_parse_json("body").isNull()
+    nodes = responses.groupBy("cat", "token").agg(F.min("body").alias("body")).withColumn("bad", bad)
+    nodes = nodes.withColumn("next", F.when(~F.col("bad"), F.from_json("body", MEMBERS_RESPONSE_SCHEMA)["continue"]["cmcontinue"]))
+    nodes = materialised(nodes, "responses")
+    # Who names a token; two responses that name one are no chain, the smaller counts.  "" stands for the first response.
+    key = F.coalesce("token", F.lit(""))
+    named = nodes.where("next IS NOT NULL").groupBy("cat", F.col("next").alias("token")).agg(F.min(key).alias("prev"))
+    links = nodes.select("cat", key.alias("token")).join(named, ["cat", "token"], "left")
+    at = links.select("cat", "token", F.when(F.col("token") != "", F.col("prev")).alias("ptr"), F.when(F.col("token") != "", 1).otherwise(0).cast("long").alias("hops"))
+    at = materialised(at, "chain-0")
+    n_longest = at.groupBy("cat").count().agg(F.max("count")).first()[0] or 0
+    for i in range(1, int(n_longest).bit_length() + 1):
+        ahead = at.select("cat", F.col("token").alias("ptr"), F.col("ptr").alias("_ptr"), F.col("hops").alias("_hops"))
+        open_ = F.col("ptr").isNotNull() & (F.col("ptr") != "")
+        step = at.join(ahead, ["cat", "ptr"], "left").select(
+            "cat", "token", F.when(open_, F.col("_ptr")).otherwise(F.col("ptr")).alias("ptr"),
+            (F.col("hops") + F.when(open_, F.coalesce("_hops", F.lit(0))).otherwise(F.lit(0))).alias("hops"), open_.alias("moved"))
+        step = materialised(step, f"chain-{i}")
+        at = step.select("cat", "token", "ptr", "hops")
+        if step.where("moved").isEmpty():
+            break
+    reached = (F.col("_t") == "") | (F.col("ptr") == "")
+    placed = nodes.withColumn("_t", key).join(at.withColumnRenamed("token", "_t"), ["cat", "_t"])
+    error = F.when(F.col("bad"), F.lit("malformed response")).when(reached, F.lit(None)).when(F.col("ptr").isNull(), F.lit("broken chain")).otherwise(F.lit("ring of continuations"))
+    return placed.withColumn("error", error).select("cat", F.when(F.col("error").isNull(), F.col("hops").cast("int")).alias("page_no"), "body", "error")
+
+
 # ------------------------------------------------------------------------ extracts
 def extract_title(doc_id: Column) -> Column:
     """Titles repeat: two documents share one title (last arrival wins)."""
