@@ -132,7 +132,7 @@ def test_registered(spark):
     import __spark_entry__ as entry
 
     names = list(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
 
 
