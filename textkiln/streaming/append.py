@@ -34,10 +34,28 @@ def read_sink(spark: SparkSession, sink_dir: str, status: str = "ok") -> DataFra
     return spark.read.parquet(sink_dir).where(F.col("status") == status)
 
 
+def committed_batches(spark: SparkSession, checkpoint_dir: str) -> int:
+    """Micro-batches committed so far with this checkpoint.  Spark keeps the
+    newest commits only, so the highest batch id counts, not the files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir}/commits")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return 0
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return max((int(n) + 1 for n in names if n.isdigit()), default=0)
+
+
 def append_pages(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoint_dir: str,
-                 file_glob: str = "*.parquet") -> int:
-    """Run one available-now pass; returns the number of micro-batches run."""
-    stream = page_text_stream(spark, landing_dir, file_glob)
+                 file_glob: str = "*.parquet", max_files_per_trigger: int | None = None) -> int:
+    """Run one available-now pass over what has landed, ``max_files_per_trigger``
+    files a micro-batch; returns the number of micro-batches it committed.
+
+    A pass that fails raises; the next one with the same checkpoint repeats the
+    batch it failed in, with the same files.  Rows of a batch that had reached
+    the sink but not the checkpoint's commit are not written again: the sink's
+    log names the batches it holds, and ``read_sink`` reads only files in it."""
+    before = committed_batches(spark, checkpoint_dir)
+    stream = page_text_stream(spark, landing_dir, file_glob, max_files_per_trigger)
     q = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -50,4 +68,4 @@ def append_pages(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoin
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return len(q.recentProgress)
+    return committed_batches(spark, checkpoint_dir) - before
