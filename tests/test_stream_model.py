@@ -1,4 +1,6 @@
+import math
 import re
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,6 +56,30 @@ def test_chunks_are_the_stream_and_few_are_read(spark, stream):
     assert re.search(r"PushedFilters: \[[^\n]*In\(chunk, \[", plan)
 
 
+@pytest.mark.parametrize("chunk_size", [2, 7, 256])
+def test_sampled_loss_against_every_window(spark, stream, chunk_size):
+    pairs = {r["pos"]: (r["split"], r["x"], r["y"]) for r in stream.pairs().collect()}
+    c, cx = Counter(), Counter()
+    for split, x, y in pairs.values():
+        if split == "train":
+            c[x, y] += 1
+            cx[x] += 1
+    loss = {p: -math.log((c[x, y] + 1) / (cx[x] + stream.vocab_size)) for p, (_, x, y) in pairs.items()}
+    sums = defaultdict(list)
+    for r in stream.window_starts(6, 4, 16, 5).collect():
+        sums[r["split"], r["step"] // 3 * 250].append(sum(loss[p] for p in range(r["g0"], r["g0"] + 16)) / 16)
+    got = N.sampled_loss(stream, 2, iters=3, batch=4, block=16, seed=5, chunk_size=chunk_size).collect()
+    assert {(r["split"], r["step"]) for r in got} == set(sums) and len(got) == 4
+    for r in got:
+        want = sums[r["split"], r["step"]]
+        assert r["n_windows"] == len(want) == 12 and abs(r["loss"] - sum(want) / len(want)) < 2e-6
+
+
+def test_sampled_loss_needs_a_long_split(spark, stream):
+    with pytest.raises(S.BlockTooLongError):
+        N.sampled_loss(stream, 1, block=stream.n_total)
+
+
 def test_block_too_long(spark, stream):
     with pytest.raises(S.BlockTooLongError):
         stream.windows(steps=1, batch=1, block=stream.n_total, seed=0)

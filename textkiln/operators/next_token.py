@@ -7,7 +7,8 @@ generation with the context cropped to the model's window (one token for a
 bigram model).  It does not claim the network's quality.
 
 Loss (A10): ``p(y|x) = (c(x,y) + 1) / (c(x) + V)`` from train counts; the
-mean of ``-ln p`` over every consecutive pair of a split.
+mean of ``-ln p`` over every consecutive pair of a split (``split_loss``) or
+over sampled windows at each evaluation step (``sampled_loss``).
 
 Only observed successors are candidates for generation, so no operator emits
 all ``V x V`` pairs.  Every aggregation is a partial + final hash aggregate;
@@ -23,7 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textkiln.operators.positions import group_offsets
+from textkiln.operators.positions import group_offsets, ordered_offsets
+from textkiln.operators.token_stream import BATCH_SIZE, BLOCK_SIZE, CHUNK_SIZE
 from textkiln.session import cut_lineage, materialised
 
 # Reference generation defaults.
@@ -35,6 +37,11 @@ MAX_BROADCAST = 4_000_000
 # Integer hash for seeded uniforms in [0, 1), repeatable in any SQL engine.
 U_MOD = 1000003
 U_MULT = 2654435761
+# Batches of an evaluation and steps between two of them.
+EVAL_ITERS = 50
+EVAL_INTERVAL = 250
+# Losses are summed in whole units of this part of a nat.
+LOSS_UNIT = 1_000_000
 
 
 def seeded_uniform(*keys: Column, seed: int = 0) -> Column:
@@ -76,6 +83,46 @@ def split_loss(pairs: DataFrame, vocab_size: int) -> DataFrame:
     )
 
 
+def position_losses(pairs: DataFrame, vocab_size: int) -> DataFrame:
+    """``(pos, nll)`` of every pair under the train counts with add-one
+    smoothing, in whole millionths of a nat: sums over any range are exact, so
+    they do not depend on the order of adding."""
+    g = pairs.groupBy("x", "y").agg(F.count_if(F.col("split") == "train").alias("c"))
+    ctx = g.groupBy("x").agg(F.sum("c").alias("cx"))
+    nll = F.round(-F.log((F.col("c") + 1) / (F.col("cx") + F.lit(vocab_size))) * LOSS_UNIT).cast("long")
+    scored = g.join(ctx, "x").select("x", "y", nll.alias("nll"))
+    return pairs.select("pos", "x", "y").join(scored, ["x", "y"]).select("pos", "nll")
+
+
+def sampled_loss(stream, evals: int, iters: int = EVAL_ITERS, interval: int = EVAL_INTERVAL, batch: int = BATCH_SIZE,
+                 block: int = BLOCK_SIZE, seed: int = 0, chunk_size: int = CHUNK_SIZE) -> DataFrame:
+    """A10: ``(split, step, n_windows, loss)``, the mean loss over ``iters`` batches
+    of sampled windows per split at each of ``evals`` evaluation steps.
+
+    Losses are kept as running sums: per chunk of positions the sum before it
+    and the running sums inside (``chunk_size`` values).  A window's loss is the
+    difference of two of them, so each window meets two chunks whatever its length.
+    ``chunk_size`` is at least 2 (the last train position starts no pair)."""
+    if chunk_size < 2:
+        raise ValueError("chunk_size must be at least 2")
+    k = F.lit(chunk_size)
+    held = position_losses(stream.pairs(), stream.vocab_size).groupBy(F.floor(F.col("pos") / k).cast("long").alias("chunk")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "nll"))).alias("at"), F.sum("nll").alias("total"))
+    sums = ordered_offsets(held, ["chunk"], "total", out="before")
+    starts = stream.window_starts(evals * iters, batch, block, seed).select(
+        "split", (F.floor(F.col("step") / iters) * interval).cast("long").alias("step"), "b", "g0")
+    ends = starts.select("split", "step", F.explode(F.array(
+        F.struct(F.col("g0").alias("upto"), F.lit(-1).alias("sign")),
+        F.struct((F.col("g0") + block).alias("upto"), F.lit(1).alias("sign")),
+    )).alias("e")).select("split", "step", "e.*")
+    # The last position of a pair below ``upto`` names the chunk; before the first one the sum is 0.
+    need = ends.withColumn("chunk", F.floor((F.col("upto") - 1) / k).cast("long"))
+    inside = F.aggregate("at", F.lit(0).cast("long"), lambda s, p: s + F.when(p["pos"] < F.col("upto"), p["nll"]).otherwise(0))
+    met = need.join(sums, "chunk", "left").withColumn("part", F.coalesce(F.col("before") + inside, F.lit(0)) * F.col("sign"))
+    total = met.groupBy("split", "step").agg(F.sum("part").alias("units"), F.count_if(F.col("sign") == 1).alias("n_windows"))
+    return total.select("split", "step", "n_windows", F.round(F.col("units") / (F.col("n_windows") * block * LOSS_UNIT), 6).alias("loss"))
+
+
 def top_k(counts: DataFrame, k: int = TOP_K, vocab_size: int | None = None) -> DataFrame:
     """Per context keep successors whose score is within the top ``k``
     values, ties at the k-th value kept (``rank``, not ``row_number``)."""

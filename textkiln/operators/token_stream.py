@@ -118,10 +118,10 @@ class IdStream:
             self._chunks[size] = materialised(blocks.repartitionByRange("chunk").sortWithinPartitions("chunk"), "token-chunks")
         return self._chunks[size]
 
-    def windows(self, steps: int, batch: int = BATCH_SIZE, block: int = BLOCK_SIZE, seed: int = 0, chunk_size: int = CHUNK_SIZE) -> DataFrame:
-        """``(split, step, b, start, x, y)`` with ``x = tokens[start, start+block)``
-        and ``y`` shifted by one, per split; ``start`` is uniform-like in
-        ``[0, n_split - block)`` from an integer hash of ``(step, b, seed)``."""
+    def window_starts(self, steps: int, batch: int = BATCH_SIZE, block: int = BLOCK_SIZE, seed: int = 0) -> DataFrame:
+        """``(split, step, b, start, g0)``: ``batch`` windows a step and split, at
+        ``start`` inside the split and ``g0`` in the stream; ``start`` is uniform-like
+        in ``[0, n_split - block)`` from an integer hash of ``(step, b, seed)``."""
         spark = self.docs.sparkSession
         sizes = {"train": (0, self.split_at), "val": (self.split_at, self.n_total - self.split_at)}
         for name, (_, n) in sizes.items():
@@ -131,13 +131,19 @@ class IdStream:
             [(name, base, n) for name, (base, n) in sizes.items()], "split string, base long, n long"
         )
         idx = F.explode(F.sequence(F.lit(0), F.lit(steps * batch - 1))).alias("k")
-        starts = specs.select("split", "base", "n", idx).select(
+        start = (F.col("k") * F.lit(HASH_MULT) + F.lit(seed)) % (F.col("n") - F.lit(block))
+        return specs.select("split", "base", "n", idx).select(
             "split",
             (F.col("k") / batch).cast("long").alias("step"),
             (F.col("k") % batch).cast("long").alias("b"),
-            ((F.col("k") * F.lit(HASH_MULT) + F.lit(seed)) % (F.col("n") - F.lit(block))).alias("start"),
-            "base",
-        ).withColumn("g0", F.col("base") + F.col("start"))
+            start.alias("start"),
+            (F.col("base") + start).alias("g0"),
+        )
+
+    def windows(self, steps: int, batch: int = BATCH_SIZE, block: int = BLOCK_SIZE, seed: int = 0, chunk_size: int = CHUNK_SIZE) -> DataFrame:
+        """``(split, step, b, start, x, y)`` with ``x = tokens[start, start+block)``
+        and ``y`` shifted by one, per split, at ``window_starts``."""
+        starts = self.window_starts(steps, batch, block, seed)
         # A window covers global positions [g0, g0 + block], which lie in a few chunks.
         k = F.lit(chunk_size)
         chunk_of = lambda pos: F.floor(pos / k).cast("long")

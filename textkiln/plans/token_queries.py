@@ -23,6 +23,8 @@ BPE_VOCAB = 257 + 64
 TRAIN_VOCAB = B.VOCAB_SIZE
 WIN_STEPS, WIN_BATCH, WIN_BLOCK, SEED = 3000, 64, 128, 42
 GEN_STEPS = N.MAX_NEW_TOKENS
+# Evaluations at steps 0, 250, ... of a training run, and the seed of their windows.
+EVALS, EVAL_SEED = WIN_STEPS // N.EVAL_INTERVAL + 1, 43
 
 # ----------------------------------------------------------------- SQL side
 # Java (?U)\s is Unicode White_Space; RE2 \s is ASCII, so spell the class out.
@@ -438,6 +440,30 @@ def split_loss(spark, sf_dir):
     return N.split_loss(stream.pairs(), stream.vocab_size)
 
 
+@query("sampled_loss", f"""
+WITH {SQL_TOKS},
+specs AS (SELECT 'train' AS split, 0 AS base, split_at AS n FROM meta
+          UNION ALL SELECT 'val', split_at, n_total - split_at FROM meta),
+w AS (SELECT split, CAST(k // {N.EVAL_ITERS * WIN_BATCH} * {N.EVAL_INTERVAL} AS BIGINT) AS step,
+             CAST(base + (k * {S.HASH_MULT} + {EVAL_SEED}) % (n - {WIN_BLOCK}) AS BIGINT) AS g0
+      FROM specs, range({EVALS * N.EVAL_ITERS * WIN_BATCH}) r(k)),
+g AS (SELECT x, y, count(*) FILTER (WHERE split = 'train') AS c FROM pairs GROUP BY x, y),
+cx AS (SELECT x, sum(c) AS cx FROM g GROUP BY x),
+l AS (SELECT pos, CAST(round(-ln((c + 1) / (cx + (SELECT v FROM meta))) * {N.LOSS_UNIT}) AS BIGINT) AS nll
+      FROM pairs JOIN g USING (x, y) JOIN cx USING (x)),
+run AS (SELECT pos, sum(coalesce(nll, 0)) OVER (ORDER BY pos) - coalesce(nll, 0) AS below
+        FROM (SELECT pos FROM positions) LEFT JOIN l USING (pos))
+SELECT split, step, CAST(count(*) AS BIGINT) AS n_windows,
+       round(CAST(sum(b.below - a.below) AS DOUBLE) / (count(*) * {WIN_BLOCK * N.LOSS_UNIT}), 6) AS loss
+FROM w JOIN run a ON a.pos = w.g0 JOIN run b ON b.pos = w.g0 + {WIN_BLOCK}
+GROUP BY split, step
+""")
+def sampled_loss(spark, sf_dir):
+    """A10: mean loss over sampled windows per split at every evaluation step."""
+    stream, _ = _pretoken(spark, sf_dir)
+    return N.sampled_loss(stream, EVALS, seed=EVAL_SEED)
+
+
 @query("next_token_topk", f"""
 WITH {SQL_TOKS}
 SELECT x, y, c FROM topk
