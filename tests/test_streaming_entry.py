@@ -52,7 +52,7 @@ def test_every_oracle_has_a_query():
 FAST = ["min_paragraph_filter", "corpus_frame", "strip_references", "api_extracts_parse", "nonempty_docs",
         "last_extract_per_title", "title_extract_join", "corpus_union", "corpus_stats", "member_kinds",
         "category_walk", "title_batches", "split_summary", "training_windows", "split_loss", "sample_next_token",
-        "seed_lines", "collect_newer", "collect_older"]
+        "seed_lines", "collect_newer", "collect_older", "sampled_loss", "corpus_store", "page_store"]
 
 
 def _norm(v):

@@ -197,6 +197,48 @@ def corpus_stats(spark, sf_dir):
     return C.corpus_stats(load(spark, sf_dir, "documents", "text"))
 
 
+@query("corpus_store", """
+SELECT CAST(v AS BIGINT) AS version, v = 2 AS fresh, CAST(count(text) AS BIGINT) AS written,
+       CAST(count(*) FILTER (WHERE text = '') AS BIGINT) AS empty,
+       CAST(count(*) FILTER (WHERE text IS NULL) AS BIGINT) AS quarantined,
+       CAST(coalesce(sum(length(text) + 2), 0) AS BIGINT) AS n_chars,
+       CAST(coalesce(sum(strlen(text) + 2), 0) AS BIGINT) AS n_bytes,
+       CAST(CASE WHEN v = 2 THEN count(text) ELSE 0 END AS BIGINT) AS n_read
+FROM documents, range(1, 3) r(v) GROUP BY v
+""")
+def corpus_store(spark, sf_dir):
+    """All documents appended, then built afresh; the counters of
+    both writes, and what a reader finds of each (nothing of the first)."""
+    from textkiln.session import scratch_path
+    from textkiln.sources import corpus_store as R
+
+    path = scratch_path(spark, "corpus")
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    R.write_corpus(docs, path)
+    R.write_corpus(docs, path, fresh=True)
+    n = R.read_corpus(spark, path).count()
+    return R.commits(spark, path).select(
+        "version", "fresh", *R.COUNTERS, F.when(F.col("fresh"), F.lit(n)).otherwise(0).cast("long").alias("n_read"))
+
+
+@query("page_store", """
+SELECT CASE WHEN lost THEN 'quarantine' ELSE 'ok' END AS status, CAST(count(*) AS BIGINT) AS n_counted, CAST(count(*) AS BIGINT) AS n_read
+FROM (SELECT html IS NULL OR page_id % 50 = 17 AS lost FROM pages) GROUP BY lost
+""")
+def page_store(spark, sf_dir):
+    """Page texts written with the failed pages (every 50th body was
+    lost on the way) beside them; per status the counter of the writing pass
+    and the rows a reader finds."""
+    from textkiln.session import scratch_path
+    from textkiln.sources import corpus_store as R
+
+    path = scratch_path(spark, "pages")
+    got = R.write_results(H.page_results(landed.lost_bodies(load(spark, sf_dir, "pages", "page_id", "url", "html"))), path)
+    counted = F.when(F.col("status") == "ok", F.lit(got["written"])).otherwise(F.lit(got["quarantined"]))
+    rows = R.read_corpus(spark, path).select("status").unionAll(R.read_corpus(spark, path, "quarantine").select("status"))
+    return rows.groupBy("status").agg(F.count(F.lit(1)).alias("n_read")).select("status", counted.cast("long").alias("n_counted"), "n_read")
+
+
 @query("corpus_append_stream")
 def corpus_append_stream(spark, sf_dir):
     """ST1: page texts appended by an available-now stream over the landing
