@@ -184,6 +184,16 @@ def test_decontaminate_equals_brute_force(spark, docs, none, block_words):
     assert not decontaminate.report(docs, bench.limit(0)).filter("contaminated").count()
 
 
+def test_decontaminate_string_item_ids(spark):
+    docs = spark.createDataFrame([(1, "red green blue"), (2, "red"), (3, "blue")], "doc_id long, text string")
+    bench = spark.createDataFrame([("b-10", "green"), ("b-9", "red"), ("ü", "GREEN"), (None, "blue")], "item_id string, text string")
+    for block_words in (1, 1000):
+        got = {r.doc_id: r for r in decontaminate.report(docs, bench, block_words=block_words).collect()}
+        ids = {1: "b-10,b-9,ü", 2: "b-9", 3: ""}
+        assert {i: r.items_sha256 for i, r in got.items()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in ids.items()}
+        assert {i: (r.n_hit, r.n_items, r.contaminated) for i, r in got.items()} == {1: (2, 3, True), 2: (1, 1, True), 3: (0, 0, False)}
+
+
 # --- 4 ---------------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ the text with A-Z lower-cased, so letters and digits of any script.
 
 Edge cases: a null or empty text, or one without words, has ``n_words`` 0 and
 no hit; null ids are kept as they are; an item without words, id or text has no
-window; repeated items and rows count once each as themselves; an empty
+window; item ids may be of any type and are listed as strings; repeated items and rows count once each as themselves; an empty
 benchmark leaves all documents clean; only the named columns are read, so
 further columns never clash.
 """
@@ -43,7 +43,7 @@ _SCHEMA = T.StructType([
     T.StructField("text", T.StringType()),
     T.StructField("n_words", T.LongType()),
     T.StructField("spans", _SPANS),
-    T.StructField("items", T.ArrayType(T.LongType())),
+    T.StructField("items", T.ArrayType(T.StringType())),
 ])
 
 
@@ -54,9 +54,9 @@ def words(text: bytes) -> list[bytes]:
 class _Block:
     """Hash set of one block's windows, by window length."""
 
-    def __init__(self, items: list[tuple[int, bytes]], n: int):
+    def __init__(self, items: list[tuple[str, bytes]], n: int):
         self.vocabulary: dict[bytes, int] = {}
-        self.windows: dict[int, dict[tuple, list[int]]] = {}
+        self.windows: dict[int, dict[tuple, list[str]]] = {}
         for item, text in items:
             ws = words(text)
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in ws]
@@ -138,7 +138,7 @@ def _scan(block: _Block, first: bool, last: bool):
                     batch.column(0), *([] if last else [batch.column(1)]),
                     pa.array((np.diff(bounds) - 1).astype(np.int64)),
                     pa.array([_united(spans.get(d, ())) for d in n], _SPAN_TYPE),
-                    pa.array([sorted(items.get(d, ())) for d in n], pa.list_(pa.int64())),
+                    pa.array([sorted(items.get(d, ())) for d in n], pa.list_(pa.string())),
                 ], names=["doc_id", *([] if last else ["text"]), "n_words", "spans", "items"])
 
     return scan
@@ -146,7 +146,7 @@ def _scan(block: _Block, first: bool, last: bool):
 
 def _blocks(benchmark: DataFrame, n: int, item_id: str, item_text: str, block_words: int):
     """The benchmark's hash sets, each of a bounded size, one after another."""
-    items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).dropna()
+    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).dropna()
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-total // (6 * block_words)))
     for b in range(blocks):
@@ -157,7 +157,7 @@ def _blocks(benchmark: DataFrame, n: int, item_id: str, item_text: str, block_wo
 def hit_spans(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, doc_id: str = "doc_id", text: str = "text",
               item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per document: ``doc_id, n_words, spans`` (word ranges covered by
-    benchmark windows, disjoint, in order) and ``items`` (distinct ids)."""
+    benchmark windows, disjoint, in order) and ``items`` (distinct ids as strings)."""
     out = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     for block, first, last in _blocks(benchmark, n, item_id, item_text, block_words):
         out = out.mapInArrow(_scan(block, first, last), T.StructType([f for f in _SCHEMA if not (last and f.name == "text")]))
@@ -167,7 +167,7 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, doc_id: str
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """One row per document: word count, hit words, items and the verdict."""
     hit = hit_spans(docs, benchmark, **options)
-    ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    ids = F.array_sort("items")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["e"] - s["b"])
     return hit.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
