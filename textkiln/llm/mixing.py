@@ -17,8 +17,9 @@ tends to be a small one and the source's total misses its target by little.
 The coins are hashes of ``(seed, level, ids)``: reruns agree.
 
 Edge cases: a null text or one without words has size 0 and takes 0; null is a
-source of its own, the last one; repeated rows are rounded each for itself (the
-tie between equal rows does not matter, as they are equal); a source without
+source of its own, the last one; rows alike in id, source and size (repeated or
+null ids) are one class in the tree, whose copies are rounded as a whole and
+then dealt to its rows as evenly as whole numbers allow; a source without
 words has target 0; an empty table gives an empty result; only the named
 columns are read.  The table of sources (a row each) is one window task.
 """
@@ -80,7 +81,7 @@ def _fold(seed: int, level: int) -> Column:
     """Pivotal rounding of the array ``leaf``: struct(done array, rest)."""
 
     def done(x, up):
-        return F.struct(x["key"].alias("key"), x["doc_id"].alias("doc_id"), x["size"].alias("size"), x["p"].alias("p"), up.alias("up"))
+        return F.struct(*[x[c].alias(c) for c in ("key", "doc_id", "size", "base", "same", "p")], up.alias("up"))
 
     def step(acc, x):
         r = acc["rest"]
@@ -103,6 +104,17 @@ def _fold(seed: int, level: int) -> Column:
     return F.aggregate(F.slice("leaf", 2, F.greatest(F.size("leaf") - 1, F.lit(0))), F.struct(none.alias("done"), first.alias("rest")), step)
 
 
+def _spread(classes: DataFrame, largest: int, piece: int = 4096) -> DataFrame:
+    """A row for each of the ``same`` rows of a class, its ``copies`` dealt as
+    evenly as whole numbers allow.  Large classes are dealt in pieces."""
+    pieces = classes.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("same") - 1, F.lit(piece).cast("long"))))
+    if largest > 256 * piece:
+        pieces = pieces.repartition("doc_id", "source", "size", "_at")
+    each = pieces.withColumn("_i", F.explode(F.sequence("_at", F.least(F.col("_at") + (piece - 1), F.col("same") - 1))))
+    q = F.floor(F.col("copies") / F.col("same"))
+    return each.withColumn("copies", q + (F.col("_i") < F.col("copies") - q * F.col("same")).cast("long")).drop("_at", "_i", "same")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS,
         leaf: int = LEAF, seed: int = 17, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target,
@@ -110,32 +122,34 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     narrow = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(text).alias("size")), "mix-sizes")
     targets = source_targets(narrow, weights, share, max_repeats)
     copies = F.col("target") / F.col("source_size")
-    rows = narrow.join(targets, narrow["source"].eqNullSafe(targets["source"])).drop(targets["source"]).select(
-        "doc_id", "source", "size", "source_size", "target", "source_rows",
-        F.when(F.col("source_size") > 0, copies).otherwise(0.0).alias("c"))
+    # Rows alike in id, source and size (null ids, say) are one class, whose copies are rounded together.
+    alike = narrow.groupBy("doc_id", "source", "size").agg(F.count("*").alias("same"))
+    rows = alike.join(targets, alike["source"].eqNullSafe(targets["source"])).drop(targets["source"]).select(
+        "doc_id", "source", "size", "source_size", "target", "source_rows", "same",
+        F.when(F.col("source_size") > 0, copies * F.col("same")).otherwise(0.0).alias("c"))
     rows = rows.withColumn("base", F.floor("c")).withColumn("p", F.col("c") - F.floor("c"))
     rows = written(rows, "mix-rows")
-    final = ["doc_id", "source", "size", "source_size", "target"]
+    final = ["doc_id", "source", "size", "source_size", "target", "same"]
     certain = (F.col("size") == 0) | (F.col("p") <= 0)
     out = [rows.filter(certain).select(*final, F.col("base").alias("copies"))]
     most = rows.agg(F.max("source_rows")).first()[0] or 0
     level = 0
     todo = rows.filter(~certain).withColumn("key", F.xxhash64("doc_id", "size", F.lit(seed)))
-    of_source = ["source", "source_size", "target", "base"]
+    of_source = ["source", "source_size", "target"]
     while most > 0:
         leaves = max(1, math.ceil(most / leaf))
         # As many leaves for a source as its rows fill at this level.
         own = F.greatest(F.lit(1), F.ceil(F.col("source_rows") / float(leaf ** (level + 1)))).cast("long")
         dealt = todo.groupBy(*of_source, "source_rows", F.pmod(F.xxhash64("key", F.lit(level)), own).alias("bucket")).agg(
-            F.sort_array(F.collect_list(F.struct("size", "key", "p", "doc_id")), asc=False).alias("leaf"))
+            F.sort_array(F.collect_list(F.struct("size", "key", "p", "doc_id", "base", "same")), asc=False).alias("leaf"))
         folded = written(dealt.select(*of_source, "source_rows", _fold(seed, level).alias("f")), f"mix-level-{level}")
         out.append(folded.select(*of_source, F.explode("f.done").alias("d")).select(
-            "d.doc_id", "source", "d.size", "source_size", "target", (F.col("base") + F.col("d.up").cast("long")).alias("copies")))
+            "d.doc_id", "source", "d.size", "source_size", "target", "d.same", (F.col("d.base") + F.col("d.up").cast("long")).alias("copies")))
         todo = folded.select(*of_source, "source_rows", "f.rest.*")
         most, level = (leaves, level + 1) if leaves > 1 else (0, level)
     if level or len(out) > 1:
-        out.append(todo.select("doc_id", "source", "size", "source_size", "target", (F.col("base") + (F.col("p") >= 0.5).cast("long")).alias("copies")))
-    whole = reduce(DataFrame.unionByName, out)
+        out.append(todo.select(*final, (F.col("base") + (F.col("p") >= 0.5).cast("long")).alias("copies")))
+    whole = _spread(reduce(DataFrame.unionByName, out), rows.agg(F.max("same")).first()[0] or 0)
     return whole.withColumn("copies", F.col("copies").cast("int")).withColumn("taken", F.col("copies").cast("long") * F.col("size"))
 
 
