@@ -10,7 +10,9 @@ and each word beginning of 4 to 8 letters gets its smoothed log odds of the
 toxic class by document frequency (a Spark aggregate); entries that are frequent
 and one-sided enough stay.  A beginning that explains a family of words
 replaces them.  Exception phrases are word pairs around an entry that are found
-almost only in clean documents.  All documents are scored, whole.
+almost only in clean documents.  All entries and phrases above these marks
+stay; their number is bounded by the sample's rows.  All documents are scored,
+whole.
 
 Edge cases: null and empty texts and texts without an entry score as the model
 scores zero evidence (low); rows without an id are scored, and are not held out;
@@ -35,18 +37,18 @@ from pyspark.sql import types as T
 from textkiln.llm.common import bounded_sample, doc_remainder, slices
 
 MAX_TRAIN_ROWS = 20_000  # labelled rows used to learn lexicon and weights
-MAX_ENTRIES = 2_000
-MAX_EXCEPTIONS = 2_000
 MIN_DOCS = 8  # toxic documents that hold an entry
 MIN_ODDS = 3.0  # log odds of an entry
 STEM = range(4, 9)
 
 # Letters of other scripts and signs that look like a Latin letter, and digits used in a letter's place.
 HOMOGLYPHS = {
-    "a": "аɑα@4", "b": "ЬβвВ8", "c": "сϲ¢", "d": "ԁ", "e": "еε3€", "g": "ɡ9", "h": "һнН", "i": "іɩιı1!|", "j": "јϳ",
-    "k": "кκК", "l": "ӏⅼ", "m": "мМ", "n": "ո", "o": "оοσ0", "p": "рρ", "q": "ԛ", "r": "г", "s": "ѕ5$", "t": "тτТ7+", "u": "υս",
+    "a": "аɑα@4", "b": "ЬβвВ8", "c": "сϲ¢", "d": "ԁ", "e": "еε3€", "g": "ɡ9", "h": "һнН", "i": "іɩιı1", "j": "јϳ",
+    "k": "кκК", "l": "ӏⅼ", "m": "мМ", "n": "ո", "o": "оοσ0", "p": "рρ", "q": "ԛ", "r": "г", "s": "ѕ5$", "t": "тτТ7", "u": "υս",
     "v": "ѵν", "w": "ԝω", "x": "хχ", "y": "уγ", "z": "ʐ2",
 }
+# Punctuation that stands for a letter between letters or digits only; at a word's edge it ends the word.
+INNER_SIGNS = str.maketrans("!|+", "iit")
 
 
 def fold_table() -> dict[int, str | int | None]:
@@ -72,10 +74,11 @@ def fold_table() -> dict[int, str | int | None]:
 
 _FOLD = fold_table()
 _WORD = re.compile(r"[^\W_]+")
+_INNER = re.compile(r"(?<=[^\W_])[!|+]+(?=[^\W_])")
 
 
 def fold(text: str | None) -> str:
-    return (text or "").translate(_FOLD)
+    return _INNER.sub(lambda m: m[0].translate(INNER_SIGNS), (text or "").translate(_FOLD))
 
 
 @dataclass
@@ -213,7 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         in_toxic, in_clean = F.sum("label"), F.sum(1 - F.col("label"))
         odds = F.log((F.col("p") + 0.5) / (toxic + 1.0)) - F.log((F.col("n") + 0.5) / (clean + 1.0))
         entries = rows.mapInArrow(_terms, schema).groupBy("term", "whole").agg(in_toxic.alias("p"), in_clean.alias("n")).filter(
-            F.col("p") >= MIN_DOCS).withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS).orderBy(F.desc("p"), F.desc("odds"), "term", "whole").limit(MAX_ENTRIES).collect()
+            F.col("p") >= MIN_DOCS).withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS).orderBy(F.desc("p"), F.desc("odds"), "term", "whole").collect()
         weights: dict[str, float] = {}
         whole: set[str] = set()
         stems = {r["term"]: r for r in entries if not r["whole"]}
@@ -227,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 (whole.add if r["whole"] else whole.discard)(t)
         pair_schema = T.StructType([T.StructField("term", T.StringType()), T.StructField("label", T.IntegerType())])
         exceptions = rows.mapInArrow(_pairs(set(weights), 1), pair_schema).groupBy("term").agg(in_toxic.alias("p"), in_clean.alias("n")).filter(
-            (F.col("n") >= 3) & (F.col("p") * clean * 4 <= F.col("n") * toxic)).orderBy(F.desc("n"), "term").limit(MAX_EXCEPTIONS).collect()
+            (F.col("n") >= 3) & (F.col("p") * clean * 4 <= F.col("n") * toxic)).orderBy(F.desc("n"), "term").collect()
         lexicon = Lexicon(weights, frozenset(whole), frozenset(r["term"] for r in exceptions))
         automaton_of = lexicon
         schema = T.StructType([T.StructField("x", T.ArrayType(T.DoubleType())), T.StructField("label", T.IntegerType())])
