@@ -5,8 +5,9 @@ are scanned once in Arrow batches, every set hit is verified word by word, and
 hit spans or whole documents are removed.
 
 The broadcast is bounded: the benchmark is dealt by a hash of ``item_id`` into
-blocks of about ``block_words`` words, and the documents pass one block after
-another in the same stage; a normal benchmark is one block.
+blocks of about ``block_words`` words; a normal benchmark is one block and one
+scan.  With more, the rows are written after each block, so the driver and a
+task hold one block at a time.
 
 Words: maximal runs of bytes outside ``\\x00-\\x2F \\x3A-\\x60 \\x7B-\\x7F`` of
 the text with A-Z lower-cased, so letters and digits of any script.
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textkiln.llm.common import slices, utf8_parts
+from textkiln.llm.common import slices, utf8_parts, written
 
 NGRAM = 10
 BLOCK_WORDS = 1_000_000  # words of benchmark text in one broadcast, about 50 MB as Python objects
@@ -161,6 +162,8 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, doc_id: str
     out = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     for block, first, last in _blocks(benchmark, n, item_id, item_text, block_words):
         out = out.mapInArrow(_scan(block, first, last), T.StructType([f for f in _SCHEMA if not (last and f.name == "text")]))
+        if not last:  # one block at a time in the driver and in a task
+            out = written(out, "benchmark-block")
     return out
 
 
@@ -210,12 +213,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "document
                   item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with all its columns, without the documents that hold a
     benchmark window (``action='documents'``) or with the hit word ranges cut
-    out of their texts (``'spans'``).  Blocks are applied one after another in
-    the same pass over the rows; with ``'spans'`` a later block sees the text
+    out of their texts (``'spans'``).  Blocks are applied one after another, each
+    in a pass of its own with its rows written; with ``'spans'`` a later block sees the text
     that earlier blocks left."""
     if action not in ("documents", "spans"):
         raise ValueError(f"unknown action {action!r}")
     at = docs.columns.index(text)
-    for block, _, _ in _blocks(benchmark, n, item_id, item_text, block_words):
+    for block, _, last in _blocks(benchmark, n, item_id, item_text, block_words):
         docs = docs.mapInArrow(_cleaner(block, action, at), docs.schema)
+        if not last:
+            docs = written(docs, "benchmark-block")
     return docs

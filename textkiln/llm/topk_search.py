@@ -12,7 +12,8 @@ exactly in 64-bit integers.  Tasks' results (k rows a query) meet in a partial
 top-k before the shuffle.
 
 Queries go out in blocks of ``block`` rows, a broadcast of that many rows at
-most whatever their number, and each block is a pass over the sorted rows.
+most whatever their number, and each block is a pass over the sorted rows, whose
+results are written before the next block is read.
 
 Edge cases: a vector that is null, or has a null, NaN or infinite component,
 takes no part; shorter vectors count as padded with zeros, an empty one is the
@@ -142,6 +143,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE,
         held = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).select("vec_id", "x").toArrow()
         if held.num_rows:
             q = _matrix(held.column(1).combine_chunks(), dims).astype(np.int64)
-            found.append(narrow.mapInArrow(_search(held.column(0).to_numpy(), q, rotation, k, min(leading, dims)), _FOUND))
+            best = narrow.mapInArrow(_search(held.column(0).to_numpy(), q, rotation, k, min(leading, dims)), _FOUND)
+            # Several blocks: each one's rows are written before the next one is read, so that the driver holds one.
+            found.append(best if blocks == 1 else written(best, f"topk-{b}"))
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
