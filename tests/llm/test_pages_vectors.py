@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -40,6 +41,29 @@ def test_url_parts_rules_and_model(spark, url_model):
     assert url_filter.judge(df.limit(0), url_model).count() == 0
 
 
+def test_url_parts_and_rules_equal_sql(spark, url_model):
+    """Host, path, rule and the rules' verdicts of all pages against DuckDB; the method decides the rest."""
+    sf = "/root/testdata/sf0.01/pages.parquet"
+    rules = ", ".join(f"('{d}', '{r}')" for d, r in url_filter.RULES)
+    want = duckdb.sql(f"""
+        WITH parts AS (
+          SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM read_parquet('{sf}')),
+        cut AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS h, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+        named AS (SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM cut),
+        rules(decision, rule) AS (VALUES {rules}),
+        fits AS (
+          SELECT page_id, rule, decision, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC) AS place
+          FROM named JOIN rules ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+            AND starts_with(path, substr(rule, strpos(rule, '/'))))
+        SELECT n.page_id, host, path, rule, decision FROM named n LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (page_id)""").fetchall()
+    got = url_filter.judge(spark.read.parquet(sf), url_model).collect()
+    assert len(got) == len(want) and any(w[3] for w in want)
+    own = {r.page_id: r for r in got}
+    for page_id, host, path, rule, decision in want:
+        r = own[page_id]
+        assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict == (decision or ("block" if r.score >= 0.5 else "allow"))
+
+
 # --- 9 ---------------------------------------------------------------------
 
 

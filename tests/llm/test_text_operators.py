@@ -1,10 +1,12 @@
 """Deduplication, decontamination, join, mixing and the classifiers against brute force and on odd rows."""
 
 import hashlib
+import math
 import random
 import re
 
 import pytest
+import regex
 
 from textkiln.llm import decontaminate, jaccard_join, mixing, quality, substring_dedup, suffix_dedup, toxicity
 
@@ -240,6 +242,26 @@ def test_mix_meets_targets(spark, none):
     assert out.count() >= sum(r.copies for r in got)
 
 
+def test_mix_of_repeated_and_null_ids(spark):
+    """40,000 rows of null id and equal size are one class: no leaf grows with them."""
+    df = spark.range(41_000).selectExpr("if(id < 40000, null, id) AS doc_id", "'a b c' AS text", "if(id % 3 = 0, 'one', 'two') AS source")
+    got = mixing.mix(df, share=0.7, weights=(1,)).groupBy("source", "doc_id", "target", "copies").agg(mixing.F.count("*").alias("n"), mixing.F.sum("taken").alias("taken")).collect()
+    assert sum(r.n for r in got) == 41_000 and sum(r.n for r in got if r.doc_id is None) == 40_000
+    for source in ("one", "two"):
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 6
+        none_copies = {r.copies for r in own if r.doc_id is None}
+        assert max(none_copies) - min(none_copies) <= 1 and max(none_copies) <= 2
+
+
+def test_spread_in_pieces(spark):
+    classes = spark.createDataFrame([(1, "a", 5, 10, 23), (None, None, 5, 1, 2), (2, "a", 5, 4096, 1)], "doc_id long, source string, size long, same long, copies long")
+    for largest in (0, 1 << 40):
+        got = mixing._spread(classes, largest, piece=4).groupBy("doc_id").agg(
+            mixing.F.count("*").alias("n"), mixing.F.sum("copies").alias("c"), mixing.F.max("copies").alias("most"), mixing.F.min("copies").alias("least")).collect()
+        assert {(r.doc_id, r.n, r.c, r.most, r.least) for r in got} == {(1, 10, 23, 3, 2), (None, 1, 2, 2, 2), (2, 4096, 1, 1, 0)}
+
+
 def test_rounding_is_fair(spark):
     """Over seeds a document's copies average its probability."""
     df = spark.createDataFrame([(i, "w " * (i % 7 + 1), "en", "one" if i % 2 else "two", None) for i in range(40)], DOCS)
@@ -286,6 +308,85 @@ def test_toxicity_learns_and_folds(spark, none):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in judged)
 
 
+def test_signs_at_a_words_edge():
+    lexicon = toxicity.Lexicon({"bad": 2.0, "grob": 3.0}, frozenset(["bad"]), frozenset(["not bad"]))
+    automaton = lexicon.automaton()
+
+    def hits(text):
+        return toxicity.evidence(toxicity.fold(text), automaton)[1]
+
+    assert hits("you are bad") == hits("you are bad!") == hits("!bad") == hits("|bad|") == hits("bad+bad") + 1 == hits("BAD\u200b!!!") == 1
+    assert toxicity.fold("k!ll s|t bu+t !a+ 1+1") == "kill sit butt !a+ iti"
+    assert hits("not bad!") == 0 and hits("grobian! grob|") == 2 and hits("!" * 1_000_000 + "bad") == 1
+
+
+def plain_toxicity(text, lexicon):
+    """Every start of every word against every entry, without an automaton."""
+    folded, found, covered = toxicity.fold(text), {}, []
+
+    def ends(at):
+        return at >= len(folded) or not folded[at].isalnum()
+
+    entries = sorted(lexicon.weights, key=len)
+    for at in range(len(folded)):
+        if at == 0 or not folded[at - 1].isalnum():
+            for e in entries:
+                if folded.startswith(e, at) and (e not in lexicon.whole or ends(at + len(e))):
+                    found[at] = lexicon.weights[e]
+            covered += [(at, at + len(e)) for e in lexicon.exceptions if folded.startswith(e, at) and ends(at + len(e))]
+    kept = [w for at, w in found.items() if not any(b <= at < e for b, e in covered)]
+    total = sum(kept)
+    x = (math.log(1 + max(total, 0)), math.log(1 + 1000 * max(total, 0) / (len(folded) + 200)), float(bool(kept)))
+    return 1 / (1 + math.exp(-(lexicon.bias + sum(a * b for a, b in zip(lexicon.slopes, x, strict=True))))), len(kept)
+
+
+def test_toxicity_equals_plain_scorer(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    lexicon = toxicity.fit(docs, labels)
+    if not lexicon.weights:  # too few labelled rows for the marks of entries
+        lexicon = toxicity.Lexicon({"th": 1.5, "ion": 0.5, "the": 2.0}, frozenset(["the"]), frozenset(["and the"]), -1.0, (0.5, 0.25, 0.1))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = toxicity.score(docs, lexicon).collect()
+    assert len(got) == len(texts) and any(r.n_hits for r in got)
+    for r in got:
+        score, n = plain_toxicity(texts[r.doc_id], lexicon)
+        assert r.n_hits == n and r.score == pytest.approx(score, abs=1e-9)
+
+
+def plain_statistics(text):
+    """The statistics of a text in plain Python, blanks as the JVM's ``\\s``."""
+    blank = "[ \\t\\n\\x0b\\f\\r]"
+    t = text or ""
+    n, words = max(len(t), 1), [w for w in re.split(blank + "+", t) if w]
+    per = max(len(words), 1)
+    repeats = 0
+    for m in regex.finditer(r"(?<![^ \t\n\x0b\f\r])([^ \t\n\x0b\f\r]+)(?:[ \t\n\x0b\f\r]+\1(?![^ \t\n\x0b\f\r]))++", t):
+        repeats += len(m[0]) - len(m[1])
+
+    def share(chars):
+        return sum(t.count(c) for c in chars) / n
+
+    return {
+        "n_words": float(len(words)), "word_length": len(t) / per, "distinct_words": len(set(words)) / per, "signs": share("#$%&*@^~=_<>{}[]\\/+"),
+        "bars": share("|"), "shouts": share("!?"), "capitals": len(regex.findall(r"\p{Lu}", t)) / n, "digits": share("0123456789"), "stops": share(".,;:"),
+        "lines": share("\n"), "spaces": len(re.findall(blank, t)) / n, "repeats": repeats / n,
+    }
+
+
+def test_quality_equals_plain_scorer(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    names = list(quality.statistics(quality.F.lit("")))
+    # Every statistic takes part, also those that the fitted rules leave out.
+    rules = [*model.rules, *[(quality.Rule(((name, True, x),)), 0.01 * (i + 1)) for i, (name, x) in enumerate(zip(names, [50, 6, 0.7, 0.001, 0.0, 0.001, 0.03, 0.001, 0.01, 0.001, 0.15, 0.001], strict=True))]]
+    model = quality.Model(rules, model.bias)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in quality.score(docs, model).collect():
+        stats = plain_statistics(texts[r.doc_id])
+        z = model.bias + sum(w for rule, w in model.rules if all(stats[k] > x if above else stats[k] <= x for k, above, x in rule.parts))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+
+
 def test_quality_rules(spark, none):
     rows, labels = [], []
     for i in range(500):
