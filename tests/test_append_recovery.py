@@ -8,6 +8,7 @@ import pytest
 
 from conftest import SF001
 from textkiln.operators import html_text as H
+from textkiln.plans.corpus_queries import corpus_append_stream
 from textkiln.sources.tables import load
 from textkiln.streaming.append import append_pages, committed_batches, read_sink
 
@@ -80,3 +81,14 @@ def test_failure_between_sink_and_commit(spark, dirs):
     assert committed_batches(spark, ckpt) == 2
     assert append_pages(spark, land, sink, ckpt, max_files_per_trigger=2) == 1
     assert _rows(read_sink(spark, sink)) == whole
+
+
+@pytest.mark.parametrize("parts", [1, FILES])
+def test_query_reads_a_file_or_a_folder(spark, tmp_path, parts):
+    pages = load(spark, SF001, "pages")
+    table = str(tmp_path / "pages.parquet")
+    if parts == 1:
+        shutil.copy(f"{SF001}/pages.parquet", table)
+    else:
+        pages.repartitionByRange(parts, "page_id").write.parquet(table)
+    assert _rows(corpus_append_stream(spark, str(tmp_path))) == _rows(H.page_text(pages))

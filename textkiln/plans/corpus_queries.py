@@ -11,7 +11,7 @@ from textkiln.plans.catalog import query
 from textkiln.plans.sql_text import DOC_LINES, EXTRACT_ROWS, nonblank, ref_cut, strip
 from textkiln.sources import landed
 from textkiln.sources.seeds import text_seed_items
-from textkiln.sources.tables import load
+from textkiln.sources.tables import load, table_path
 
 
 @query("page_text")
@@ -241,13 +241,15 @@ def page_store(spark, sf_dir):
 
 @query("corpus_append_stream")
 def corpus_append_stream(spark, sf_dir):
-    """ST1: page texts appended by an available-now stream over the landing
-    folder; run twice with one checkpoint, the second run adds nothing."""
+    """ST1: page texts appended by an available-now stream over the landed
+    table, one file or a folder of them; run twice with one checkpoint, the
+    second run adds nothing."""
     from textkiln.session import scratch_path
-    from textkiln.streaming.append import append_pages, read_sink
+    from textkiln.streaming.append import append_pages, landed_files, read_sink
 
     base = scratch_path(spark, "append")
     sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
-    append_pages(spark, sf_dir, sink, ckpt, file_glob="pages.parquet")
-    append_pages(spark, sf_dir, sink, ckpt, file_glob="pages.parquet")
+    folder, glob = landed_files(spark, table_path(sf_dir, "pages"))
+    append_pages(spark, folder, sink, ckpt, file_glob=glob)
+    append_pages(spark, folder, sink, ckpt, file_glob=glob)
     return read_sink(spark, sink).select("page_id", "url", "text", F.col("n_blocks").cast("long"), F.col("n_chars").cast("long"))

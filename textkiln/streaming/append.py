@@ -20,6 +20,16 @@ from textkiln.operators import html_text as H
 from textkiln.sources.tables import SCHEMAS
 
 
+def landed_files(spark: SparkSession, path: str) -> tuple[str, str]:
+    """Landing folder and file glob of a landed table: a folder lands all its
+    files, a single file lies in its parent (a stream reads folders only)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getFileStatus(at).isDirectory():
+        return path, "*"
+    return at.getParent().toString(), at.getName()
+
+
 def page_text_stream(spark: SparkSession, landing_dir: str, file_glob: str = "*.parquet",
                      max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(SCHEMAS["pages"]).option("pathGlobFilter", file_glob)
