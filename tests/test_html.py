@@ -57,3 +57,18 @@ def test_page_text_matches_python(spark):
 
 def test_cdata_is_text():
     assert extract_blocks("<p>a<![CDATA[b]]>c</p>") == [("p", "a b c")]
+
+
+def test_large_batches_are_parsed_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(H, "PART_BYTES", 100)
+    html = ["<p>" + "x" * n + "</p>" for n in (10, 10, 300, 10, 70, 70)] + [None, ""]
+    n = len(html)
+    batch = pa.record_batch({"page_id": pa.array(range(n), pa.int64()), "url": pa.array(["u"] * n), "html": pa.array(html)})
+    out = list(H._parse_batches([batch]))
+    assert [len(b) for b in out] == [2, 1, 2, 3]
+    rows = pa.Table.from_batches(out).to_pylist()
+    assert [r["page_id"] for r in rows] == list(range(n))
+    assert [r["blocks"] and [b["text"] for b in r["blocks"]] for r in rows] == [["x" * k] for k in (10, 10, 300, 10, 70, 70)] + [None, []]
+    assert rows[6]["error"]

@@ -9,10 +9,12 @@ A page that fails to parse becomes a quarantine row instead of failing the job.
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textkiln.functions.arrow_parts import parts
 from textkiln.functions.html_blocks import extract_blocks
 
 # Fixed value: shortest block kept, in code points (inclusive).
@@ -34,7 +36,17 @@ _ARROW_BLOCK = pa.struct([("block_pos", pa.int32()), ("tag", pa.string()), ("tex
 _ARROW_OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("blocks", pa.list_(_ARROW_BLOCK)), ("error", pa.string())])
 
 
+# HTML that is parsed before its blocks go back to Spark.
+PART_BYTES = 1 << 20
+
+
 def _parse_batches(batches):
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("html")), 0).to_numpy(zero_copy_only=False)
+        yield from _parsed(parts(batch, sizes, PART_BYTES))
+
+
+def _parsed(batches):
     for batch in batches:
         ids = batch.column("page_id")
         urls = batch.column("url")
