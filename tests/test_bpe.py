@@ -232,3 +232,20 @@ def test_long_words_merge_like_the_library(spark):
     row = B.encode_texts(m, spark.createDataFrame([(0, long)], "k long, t string"), "k", F.col("t"), frame=False).first()
     assert time.time() - began < 60
     assert list(row["ids"]) == tk.encode(long).ids
+
+
+def test_large_batches_are_encoded_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(B, "PART_WORDS", 4)
+    docs = [[["ab", "c"]], None, [["ab"], ["c", "ab"]], [[]], [["c"] * 9], [["ab", "ab", "ab"]], [["c", "c"]]]
+    batch = pa.record_batch({"k": pa.array(range(7)), "segs": pa.array(docs, pa.list_(pa.list_(pa.string())))}).slice(1)
+    assert B._n_words(batch.column(1)).tolist() == [0, 3, 0, 9, 3, 2]
+
+    class Ranks:
+        value = {}
+
+    whole = B._encode_batch(batch, B._encoder({})).to_pylist()
+    cut = list(B._encode_batches_fn(Ranks)([batch]))
+    assert [len(b) for b in cut] == [3, 1, 1, 1]
+    assert pa.Table.from_batches(cut).to_pylist() == whole

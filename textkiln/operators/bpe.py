@@ -44,10 +44,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textkiln.functions.arrow_parts import parts
 from textkiln.functions.bytelevel import (
     BYTE_CHAR,
     BYTE_ID,
@@ -428,9 +430,6 @@ def _encode_batch(batch, encode_word):
     special token (more than one segment) take the plain loop."""
     import itertools
 
-    import numpy as np
-    import pyarrow.compute as pc
-
     keys, segs = batch.column(0), batch.column(1)
     seg_counts = pc.fill_null(pc.list_value_length(segs), 0).to_numpy(zero_copy_only=False)
     if len(seg_counts) and seg_counts.max() > 1:
@@ -471,11 +470,24 @@ def _encode_batch(batch, encode_word):
     return pa.RecordBatch.from_arrays([keys, ids], names=[batch.schema.names[0], "ids"])
 
 
+# Words whose ids are gathered at once (each takes some 100 bytes meanwhile).
+PART_WORDS = 250_000
+
+
+def _n_words(segs: pa.ListArray) -> np.ndarray:
+    """Words of each row, over all its segments."""
+    words = pc.fill_null(pc.list_value_length(segs.flatten()), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(segs), 0).to_numpy(zero_copy_only=False))
+    upto = np.concatenate([[0], np.cumsum(words)])[np.concatenate([[0], ends])]
+    return np.diff(upto)
+
+
 def _encode_batches_fn(bc_ranks):
     def run(batches):
         encode_word = _encoder(bc_ranks.value)
         for batch in batches:
-            yield _encode_batch(batch, encode_word)
+            for part in parts(batch, _n_words(batch.column(1)), PART_WORDS):
+                yield _encode_batch(part, encode_word)
 
     return run
 
