@@ -249,3 +249,22 @@ def test_large_batches_are_encoded_in_parts(monkeypatch):
     cut = list(B._encode_batches_fn(Ranks)([batch]))
     assert [len(b) for b in cut] == [3, 1, 1, 1]
     assert pa.Table.from_batches(cut).to_pylist() == whole
+
+
+def test_decode_is_one_pass_over_bytes(spark, monkeypatch):
+    """Null rows, empty rows, broken UTF-8, every byte, unknown ids, several parts; no per-token JVM lambda."""
+    import pyarrow as pa
+
+    m = B.BpeModel([(BYTE_ID[195], BYTE_ID[164], 257)])
+    rows = [(0, None), (1, []), (2, [257, BYTE_ID[98]]), (3, [BYTE_ID[195]]), (4, [0, 9999, BYTE_ID[0]]), (5, [BYTE_ID[b] for b in range(256)]),
+            (6, [BYTE_ID[237], BYTE_ID[160], BYTE_ID[128]])]
+    df = spark.createDataFrame(rows, "k long, ids array<int>")
+    out = df.select("k", B.decode_ids(m, F.col("ids")).alias("t"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "transform(" not in plan
+    got = {r["k"]: r["t"] for r in out.collect()}
+    assert got[0] is None and got[1] == "" and got[2] == "äb" and got[3] == "�" and got[4] == "<|endoftext|>\x00"
+    assert got[5] == bytes(range(256)).decode("utf-8", "replace")
+    tokens = pa.array(B._token_bytes(m), pa.large_binary())
+    ids = pa.array([r[1] for r in rows], pa.list_(pa.int32()))
+    assert B._joined(ids.slice(1, 4), tokens).to_pylist() == B._joined(ids, tokens).to_pylist()[1:5]

@@ -30,9 +30,9 @@ Encoding (``encode_documents``)
     by the vocabulary size.
 
 Decoding (``decode_ids``)
-    JVM-side: ids -> byte-level strings through a literal id map (bounded by
-    the vocabulary size), bytes -> UTF-8 with invalid
-    sequences replaced.
+    An Arrow pass takes the tokens' bytes by id (a table bounded by the
+    vocabulary size) and joins them per row; Spark makes them UTF-8 with
+    invalid sequences replaced.
 """
 
 from __future__ import annotations
@@ -53,6 +53,7 @@ from textkiln.functions.arrow_parts import parts
 from textkiln.functions.bytelevel import (
     BYTE_CHAR,
     BYTE_ID,
+    CHAR_BYTE,
     FIRST_MERGE_ID,
     ID_BYTE,
     SPECIAL_ID,
@@ -512,28 +513,44 @@ def encode_documents(model: BpeModel, docs: DataFrame, key: str = "doc_id", text
 
 
 # ----------------------------------------------------------------- decoding
-def _id_array(model: BpeModel) -> Column:
-    """Literal ``array<string>`` of byte-level tokens indexed by id (ids are
-    dense from 0).  An array lookup is O(1), a map lookup would scan the keys."""
+# Ids whose bytes are gathered at once.
+PART_IDS = 1_000_000
+
+
+def _token_bytes(model: BpeModel) -> list[bytes]:
+    """The bytes of each token by id (ids are dense from 0)."""
     tok = model.tokens()
     tok[SPECIAL_ID] = SPECIAL_TOKEN
-    return F.from_json(F.lit(json.dumps([tok[i] for i in range(model.vocab_size)])), "array<string>")
+    return [bytes(CHAR_BYTE[c] for c in tok[i]) for i in range(model.vocab_size)]
 
 
-def _bytelevel_to_utf8(s: Column) -> Column:
-    others = [b for b in range(256) if BYTE_CHAR[b] != chr(b)]
-    # Byte 0 by regexp (translate would delete a NUL replacement).
-    s = F.regexp_replace(s, BYTE_CHAR[0], "\u0000")
-    rest = [b for b in others if b != 0]
-    s = F.translate(s, "".join(BYTE_CHAR[b] for b in rest), "".join(chr(b) for b in rest))
-    return F.make_valid_utf8(F.encode(s, "ISO-8859-1").cast("string"))
+def _joined(ids: pa.ListArray, tokens: pa.Array) -> pa.Array:
+    """Each row's tokens joined: taken in order, their bytes lie one after the
+    other, so only the rows' offsets are new.  Null and unknown ids are empty."""
+    flat = ids.flatten()
+    known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(tokens)))
+    taken = tokens.take(pc.if_else(known, flat, None))
+    sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    _, offsets, data = taken.buffers()
+    starts = np.frombuffer(offsets, np.int64, len(taken) + 1 + taken.offset)[taken.offset:] if len(taken) else np.zeros(1, np.int64)
+    out = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(starts[ends]), data if data is not None else pa.py_buffer(b"")])
+    return pc.if_else(ids.is_valid(), out, None)
 
 
 def decode_ids(model: BpeModel, ids: Column) -> Column:
     """Ids -> text; id 0 is the text of the special token."""
-    arr = _id_array(model)
-    toks = F.transform(ids, lambda i: F.coalesce(F.try_element_at(arr, i + 1), F.lit("")))
-    return _bytelevel_to_utf8(F.array_join(toks, ""))
+    table = _token_bytes(model)
+
+    @F.arrow_udf("binary")
+    def joined(column: pa.Array) -> pa.Array:
+        tokens = pa.array(table, pa.large_binary())
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        batch = pa.record_batch([column], names=["ids"])
+        done = [_joined(p.column(0), tokens) for p in parts(batch, sizes, PART_IDS)]
+        return pa.concat_arrays(done).cast(pa.binary()) if done else pa.array([], pa.binary())
+
+    return F.make_valid_utf8(joined(ids).cast("string"))
 
 
 def check_vocabulary(model_vocab_size: int, data_vocab_size: int, max_id: int | None) -> None:
