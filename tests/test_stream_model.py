@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from textkiln.operators import next_token as N
+from textkiln.operators import pretokens as P
 from textkiln.operators import token_stream as S
 from textkiln.sources.tables import load
 
@@ -195,3 +196,40 @@ def test_documents_without_text_keep_their_row(spark):
     vocab = S.pretoken_vocab(docs)
     ids = {r["doc_id"]: list(r["ids"]) for r in S.pretoken_ids(docs, vocab).collect()}
     assert set(ids) == {1, 2, 3} and ids[2] == [] and len(ids[1]) == 4 and len(ids[3]) == 1
+
+
+def test_rare_words_join_back_to_their_rows(spark, monkeypatch):
+    """A head of three short words: the rest goes through the join; null and empty texts, equal ids and split lists."""
+    from textkiln.operators import token_stream as S
+
+    monkeypatch.setattr(S, "HEAD_WORDS", 3)
+    monkeypatch.setattr(S, "HEAD_BYTES", 4)
+    monkeypatch.setattr(S, "PART_WORDS", 5)
+    texts = ["a b a longest b", None, "", "rare a rarer a rarest", "a a a", "longest b rare"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stream, vocab = S.pretoken_stream(docs)
+    assert stream.rare is not None
+    ids = {r["token"]: r["token_id"] for r in vocab.collect()}
+    words = {r["doc_id"]: r["w"] for r in docs.where("text is not null").select("doc_id", P.pretokenize(F.concat("text", F.lit("\n\n"))).alias("w")).collect()}
+    flat, want, ends = [], {}, []
+    for i in range(len(texts)):
+        row = [ids[w] for w in words.get(i, [])]
+        want[i] = (len(row), len(flat), row)
+        flat += row
+    assert {r["doc_id"]: (r["n"], r["doc_start"], list(r["ids"])) for r in stream.docs.collect()} == want
+    assert {r["doc_id"]: (r["first_id"], r["last_id"]) for r in stream.offsets.collect()} == {
+        i: (row[0] if row else None, row[-1] if row else None) for i, (_, _, row) in want.items()}
+    assert stream.n_total == len(flat)
+    at = stream.split_at
+    assert sorted((r["pos"], r["x"], r["y"]) for r in stream.pairs().collect()) == [
+        (p, flat[p], flat[p + 1]) for p in range(len(flat) - 1) if p + 1 != at]
+
+
+def test_no_join_of_occurrences_and_no_lambda_for_pairs(spark):
+    from textkiln.operators import token_stream as S
+
+    docs = load(spark, SF001, "documents")
+    stream, _ = S.pretoken_stream(docs)
+    assert stream.rare is None  # the head holds every word of a small corpus
+    plan = stream.pairs()._jdf.queryExecution().executedPlan().toString()
+    assert "transform(" not in plan and "arrays_zip" in plan

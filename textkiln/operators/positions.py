@@ -13,7 +13,7 @@ whole table through one task.  ``ordered_offsets`` instead
 
 Range bounds are sampled per exchange (the sample seed depends on the RDD
 id), so two branches over the same input may cut differently.  The partition-
-local table is therefore materialised once with a reliable ``checkpoint()``
+local table is therefore written once to the shared folder
 (it is narrow: order keys, weight and the caller's payload) and both the
 totals and the final join read it.  The order keys must be a total order
 (unique), otherwise ties get an arbitrary order.
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textkiln.session import cut_lineage
+from textkiln.session import materialised
 
 _PID = "_tk_pid"
 _LOCAL = "_tk_local"
@@ -69,7 +69,7 @@ def ordered_offsets(
         T.StructField(_PID, T.IntegerType()),
         T.StructField(_LOCAL, T.LongType()),
     ])
-    local = cut_lineage(staged.mapInArrow(_local_cumsum, schema))
+    local = materialised(staged.mapInArrow(_local_cumsum, schema), "offsets")
     totals = local.groupBy(_PID).agg(F.sum(_W).alias("_tk_tot"))
     # Window over one row per partition: bounded by the partition count.
     starts = totals.select(

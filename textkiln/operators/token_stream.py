@@ -22,14 +22,20 @@ checkable in SQL) and BPE ids (``bpe.encode_documents``).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from textkiln.functions.arrow_parts import parts
 from textkiln.operators.positions import ordered_offsets, row_index
 from textkiln.functions.text import frame_document
 from textkiln.operators.pretokens import doc_pretokens, pretoken_counts, pretokenize
-from textkiln.session import cut_lineage, materialised
+from textkiln.session import materialised
 from textkiln.sources.seeds import require_nonempty
 
 # Reference sampling shape and split fraction (train = first 9/10).
@@ -55,12 +61,36 @@ def pretoken_vocab(docs: DataFrame, key: str = "doc_id", text_col: str = "text")
 
 @dataclass
 class IdStream:
-    docs: DataFrame  # (doc_id, n, doc_start, ids array<int>), checkpointed
-    offsets: DataFrame  # (doc_id, n, doc_start, first_id, last_id), checkpointed and narrow
+    rows: DataFrame  # (rid, doc_id, n, ids array<int>[, rare]), written, in any order
+    starts: DataFrame  # (rid, doc_start), written and narrow
     n_total: int
     vocab_size: int
+    rare: DataFrame | None = None  # (rid, rare array<int>): ids of a row's rare words in order
     _chunks: dict[int, DataFrame] = field(default_factory=dict)
 
+    @cached_property
+    def _table(self) -> DataFrame:
+        """Arrays, positions and ends of each document, written at first use."""
+        extra, ids = self.starts, F.col("ids")
+        if self.rare is not None:
+            extra = extra.join(self.rare, "rid", "left")
+        joined = self.rows.select("rid", "doc_id", "n", "ids").join(extra, "rid")
+        if self.rare is not None:
+            fields = [f for f in joined.schema.fields if f.name in ("doc_id", "n", "ids", "doc_start")]
+            joined = joined.select(*[f.name for f in fields], "rare").mapInArrow(_with_rare, T.StructType(fields))
+        ends = F.try_element_at(ids, F.lit(1)).alias("first_id"), F.try_element_at(ids, F.lit(-1)).alias("last_id")
+        return materialised(joined.select("doc_id", "n", "doc_start", "ids", *ends), "token-stream")
+
+    @property
+    def docs(self) -> DataFrame:
+        """``(doc_id, n, doc_start, ids array<int>)``."""
+        return self._table.select("doc_id", "n", "doc_start", "ids")
+
+    @property
+    def offsets(self) -> DataFrame:
+        """``(doc_id, n, doc_start, first_id, last_id)``, narrow columns of the same table."""
+        return self._table.select("doc_id", "n", "doc_start", "first_id", "last_id")
+
     @property
     def split_at(self) -> int:
         return (TRAIN_NUMERATOR * self.n_total) // TRAIN_DENOMINATOR
@@ -86,11 +116,10 @@ class IdStream:
     # ---------------------------------------------------------------- J6
     def pairs(self) -> DataFrame:
         """``(split, pos, x, y)``: consecutive tokens that lie in the same split."""
-        inner = self.docs.where(F.col("n") >= 2).select(
-            "doc_start",
-            F.posexplode(F.transform(F.sequence(F.lit(1), F.col("n").cast("int") - 1),
-                                     lambda i: F.struct(F.element_at("ids", i).alias("x"), F.element_at("ids", i + 1).alias("y")))).alias("i", "p"),
-        ).select((F.col("doc_start") + F.col("i")).alias("pos"), F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+        before_last = F.col("n").cast("int") - 1
+        shifted = F.arrays_zip(F.slice("ids", F.lit(1), before_last).alias("x"), F.slice("ids", F.lit(2), before_last).alias("y"))
+        inner = self.docs.where(F.col("n") >= 2).select("doc_start", F.posexplode(shifted).alias("i", "p")).select(
+            (F.col("doc_start") + F.col("i")).alias("pos"), F.col("p.x").alias("x"), F.col("p.y").alias("y"))
         held = self.offsets.where(F.col("n") >= 1)
         ends = held.select((F.col("doc_start") + F.col("n")).alias("next_start"), (F.col("doc_start") + F.col("n") - 1).alias("pos"), F.col("last_id").alias("x"))
         starts = held.select(F.col("doc_start").alias("next_start"), F.col("first_id").alias("y"))
@@ -166,37 +195,119 @@ class IdStream:
         )
 
 
-def _assemble(docs_ids: DataFrame, vocab_size: int) -> IdStream:
-    """Materialise the per-document id arrays once (reliable checkpoint), the
-    narrow offsets from the ``(doc_id, n)`` prefix sum, and the arrays with
-    their ``doc_start``, so that no later use joins them again."""
-    ids = cut_lineage(docs_ids.select("doc_id", "ids"))
-    narrow = ids.select("doc_id", F.size("ids").cast("long").alias("n"), F.try_element_at("ids", F.lit(1)).alias("first_id"), F.try_element_at("ids", F.lit(-1)).alias("last_id"))
-    offs = cut_lineage(ordered_offsets(narrow, ["doc_id"], "n", out="doc_start").select("doc_id", "n", "doc_start", "first_id", "last_id"))
-    n_total = offs.agg(F.sum("n")).first()[0] or 0
-    table = cut_lineage(ids.join(offs.select("doc_id", "n", "doc_start"), "doc_id").select("doc_id", "n", "doc_start", "ids"))
-    return IdStream(table, offs, int(n_total), vocab_size)
+def _assemble(rows: DataFrame, vocab_size: int, rare: DataFrame | None = None) -> IdStream:
+    """The stream over written ``rows(rid, doc_id, n, ids)``: positions from the
+    prefix sum over their narrow columns, the arrays themselves stay where they are."""
+    starts = ordered_offsets(rows.select("rid", "doc_id", "n"), ["doc_id", "rid"], "n", out="doc_start").select("rid", "doc_start", "n")
+    starts = materialised(starts, "token-starts")
+    n_total = starts.agg(F.sum("n")).first()[0] or 0
+    return IdStream(rows, starts.select("rid", "doc_start"), int(n_total), vocab_size, rare)
+
+
+# The most frequent words, whose ids are sent to the tasks, and the longest of them in bytes.
+HEAD_WORDS, HEAD_BYTES = 200_000, 64
+# Words that are looked up at once.
+PART_WORDS = 250_000
+
+
+def _is_head() -> Column:
+    return (F.col("token_id") < HEAD_WORDS) & (F.octet_length("token") <= HEAD_BYTES)
+
+
+def _lookup(bc):
+    """``(rid, doc_id, words)`` -> ``(rid, doc_id, n, ids, rare)``: head words by
+    their ids; the others null in ``ids`` and listed in ``rare`` in order."""
+
+    def run(batches):
+        words, ids = bc.value
+        for whole in batches:
+            sizes = pc.fill_null(pc.list_value_length(whole.column(2)), 0).to_numpy(zero_copy_only=False)
+            for part, counts in zip(parts(whole, sizes, PART_WORDS), _cut(sizes, PART_WORDS), strict=True):
+                flat = pc.dictionary_encode(part.column(2).flatten())
+                by_word = ids.take(pc.index_in(flat.dictionary, value_set=words))
+                found = by_word.take(flat.indices)
+                unknown = found.is_null()
+                missed = flat.filter(unknown).dictionary_decode().cast(pa.string())
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                lost = np.concatenate([[0], np.cumsum(unknown.to_numpy(zero_copy_only=False))])[ends]
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), part.column(1), pa.array(counts, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found),
+                    pa.ListArray.from_arrays(pa.array(lost, pa.int32()), missed),
+                ], names=["rid", "doc_id", "n", "ids", "rare"])
+
+    return run
+
+
+def _cut(sizes: np.ndarray, most: int):
+    """``sizes`` of the rows of each of ``parts``."""
+    index = pa.record_batch([pa.array(sizes, pa.int64())], names=["n"])
+    return (p.column(0).to_numpy() for p in parts(index, sizes, most))
+
+
+def _with_rare(batches):
+    """``ids`` with its nulls replaced, in order, by the row's ``rare`` ids (last column)."""
+    for batch in batches:
+        at = batch.schema.get_field_index("ids")
+        ids = batch.column(at)
+        flat = ids.flatten()
+        fill = batch.column(batch.num_columns - 1).flatten()
+        full = pc.replace_with_mask(flat, flat.is_null(), fill.cast(flat.type))
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))])
+        columns = list(batch.columns[:-1])
+        columns[at] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), full)
+        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+
+def _looked_up(words: DataFrame, vocab: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Written ``rows(rid, doc_id, n, ids, rare)`` of ``words(rid, doc_id, words)``
+    and ``(rid, rare ids)``, or None where the head holds every word.
+
+    Occurrences of head words are replaced where they lie.  Only those of rare
+    words go through a join, which no word makes hot, and back to their rows."""
+    spark = words.sparkSession
+    head = vocab.where(_is_head()).select("token", F.col("token_id").cast("int").alias("id")).toArrow().combine_chunks()
+    table = [pa.concat_arrays(head[c].chunks) if head.num_rows else pa.array([], t) for c, t in (("token", pa.string()), ("id", pa.int32()))]
+    bc = spark.sparkContext.broadcast((table[0].cast(pa.string()), table[1]))
+    schema = T.StructType([
+        T.StructField("rid", T.LongType()), words.schema["doc_id"], T.StructField("n", T.LongType()),
+        T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("rare", T.ArrayType(T.StringType())),
+    ])
+    rows = materialised(words.select("rid", "doc_id", "words").mapInArrow(_lookup(bc), schema), "token-ids")
+    tail = vocab.where(~_is_head()).select("token", F.col("token_id").cast("int").alias("token_id"))
+    if tail.isEmpty():
+        return rows, None
+    occ = rows.where(F.size("rare") > 0).select("rid", F.posexplode("rare").alias("i", "token"))
+    lists = occ.join(tail, "token").groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("i", "token_id"))).alias("t"))
+    return rows, lists.select("rid", F.col("t.token_id").alias("rare"))
+
+
+def _words(docs: DataFrame, key: str, text_col: str) -> DataFrame:
+    """``(rid, doc_id, words)``, written: the pattern runs once.  A document
+    without text has no words."""
+    words = F.coalesce(pretokenize(frame_document(text_col)), F.array().cast("array<string>"))
+    return materialised(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).alias("doc_id"), words.alias("words")), "words")
+
+
+def _stream(words: DataFrame, vocab: DataFrame, vocab_size: int) -> IdStream:
+    rows, rare = _looked_up(words, vocab)
+    return _assemble(rows, vocab_size, rare)
 
 
 def pretoken_ids(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, ids array<int>)``: pretokens replaced by vocabulary ids.
-
-    One distributed join of the occurrences with the vocabulary (a hot token's
-    partition is split by adaptive execution), regrouped per document.  Every
+    """``(doc_id, ids array<int>)``: pretokens replaced by vocabulary ids.  Every
     document stays: without text or pretokens its ids are empty."""
-    occ = docs.select(F.col(key).alias("doc_id"), F.posexplode_outer(pretokenize(frame_document(text_col))).alias("pos_in_doc", "token"))
-    ided = occ.join(vocab.select("token", F.col("token_id").cast("int").alias("token_id")), "token", "left")
-    held = F.when(F.col("token_id").isNotNull(), F.struct("pos_in_doc", "token_id"))
-    return ided.groupBy("doc_id").agg(F.sort_array(F.collect_list(held)).alias("t")).select("doc_id", F.transform("t", lambda s: s["token_id"]).alias("ids"))
+    return _stream(_words(docs, key, text_col), vocab, 0).docs.select("doc_id", "ids")
 
 
 def pretoken_stream(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> tuple[IdStream, DataFrame]:
     """J4 at pretoken level: every pretoken of ``text + "\\n\\n"`` replaced by its
     vocabulary id; returns the stream and the vocabulary."""
     require_nonempty(docs, "corpus")  # S3
-    vocab = cut_lineage(pretoken_vocab(docs, key, text_col))
-    per_doc = pretoken_ids(docs, vocab, key, text_col)
-    return _assemble(per_doc, vocab.count()), vocab
+    words = _words(docs, key, text_col)
+    counts = pretoken_counts(words.select(F.explode("words").alias("token")))
+    vocab = materialised(row_index(counts, [F.col("cnt").desc(), F.col("token").asc()], out="token_id"), "vocab")
+    return _stream(words, vocab, vocab.count()), vocab
 
 
 def bpe_stream(model, docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> IdStream:
@@ -204,4 +315,5 @@ def bpe_stream(model, docs: DataFrame, key: str = "doc_id", text_col: str = "tex
 
     require_nonempty(docs, "corpus")  # S3
     enc = encode_documents(model, docs, key, text_col).withColumnRenamed(key, "doc_id")
-    return _assemble(enc, model.vocab_size)
+    rows = enc.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.greatest(F.size("ids"), F.lit(0)).cast("long").alias("n"), "ids")
+    return _assemble(materialised(rows, "token-ids"), model.vocab_size)
