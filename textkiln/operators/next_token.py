@@ -57,6 +57,13 @@ def bigram_counts(pairs: DataFrame) -> DataFrame:
     return pairs.where(F.col("split") == "train").groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
 
 
+def _context_counts(pairs: DataFrame) -> DataFrame:
+    """``(x, cx)``: train pairs of every context of either split.  Counted from
+    the pairs, whose partial sums by context are small, not from the counts of
+    ``(x, y)``, which would be aggregated a second time."""
+    return pairs.groupBy("x").agg(F.count_if(F.col("split") == "train").alias("cx"))
+
+
 def split_loss(pairs: DataFrame, vocab_size: int) -> DataFrame:
     """A10: ``(split, n_pairs, loss)`` with add-one smoothing over ``V``.
 
@@ -67,8 +74,7 @@ def split_loss(pairs: DataFrame, vocab_size: int) -> DataFrame:
     g = pairs.groupBy("x", "y").agg(
         F.count_if(is_train).alias("c"), F.count_if(~is_train).alias("m_val"),
     )
-    ctx = g.groupBy("x").agg(F.sum("c").alias("cx"))
-    scored = g.join(ctx, "x")
+    scored = g.join(_context_counts(pairs), "x")
     nll = -F.log((F.col("c") + 1) / (F.col("cx") + F.lit(vocab_size)))
     t = scored.agg(
         F.sum("c").alias("n_train"), F.sum(nll * F.col("c")).alias("tot_train"),
@@ -88,9 +94,8 @@ def position_losses(pairs: DataFrame, vocab_size: int) -> DataFrame:
     smoothing, in whole millionths of a nat: sums over any range are exact, so
     they do not depend on the order of adding."""
     g = pairs.groupBy("x", "y").agg(F.count_if(F.col("split") == "train").alias("c"))
-    ctx = g.groupBy("x").agg(F.sum("c").alias("cx"))
     nll = F.round(-F.log((F.col("c") + 1) / (F.col("cx") + F.lit(vocab_size))) * LOSS_UNIT).cast("long")
-    scored = g.join(ctx, "x").select("x", "y", nll.alias("nll"))
+    scored = g.join(_context_counts(pairs), "x").select("x", "y", nll.alias("nll"))
     return pairs.select("pos", "x", "y").join(scored, ["x", "y"]).select("pos", "nll")
 
 
@@ -144,7 +149,8 @@ def probabilities(kept: DataFrame, temperature: float = TEMPERATURE) -> DataFram
     most ``k`` different counts per context, however many successors tie: the
     window holds at most ``k`` rows a context."""
     classes = kept.groupBy("x", "c").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("x")
+    # In order of count, so that every evaluation sums alike: ``p`` is a join key.
+    w = Window.partitionBy("x").orderBy("c").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     scaled = (F.log(F.col("c")) - F.log(F.max("c").over(w))) / F.lit(temperature)
     weighted = classes.withColumn("wt", F.exp(scaled))
     shares = weighted.select("x", "c", (F.col("wt") / F.sum(F.col("n") * F.col("wt")).over(w)).alias("p"))
