@@ -233,3 +233,9 @@ def test_no_join_of_occurrences_and_no_lambda_for_pairs(spark):
     assert stream.rare is None  # the head holds every word of a small corpus
     plan = stream.pairs()._jdf.queryExecution().executedPlan().toString()
     assert "transform(" not in plan and "arrays_zip" in plan
+
+
+def test_sampled_loss_lists_no_losses(spark, stream):
+    """Losses are summed as they meet the window ends; none are gathered in lists."""
+    plan = N.sampled_loss(stream, 2, iters=2, batch=4, block=16, seed=5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan

@@ -104,16 +104,15 @@ def sampled_loss(stream, evals: int, iters: int = EVAL_ITERS, interval: int = EV
     """A10: ``(split, step, n_windows, loss)``, the mean loss over ``iters`` batches
     of sampled windows per split at each of ``evals`` evaluation steps.
 
-    Losses are kept as running sums: per chunk of positions the sum before it
-    and the running sums inside (``chunk_size`` values).  A window's loss is the
-    difference of two of them, so each window meets two chunks whatever its length.
+    A window's loss is the difference of two running sums, whatever its length:
+    that of the whole chunks before either end, from one narrow row per chunk, and
+    the losses below the end in its own chunk, summed as they meet the ends.
     ``chunk_size`` is at least 2 (the last train position starts no pair)."""
     if chunk_size < 2:
         raise ValueError("chunk_size must be at least 2")
     k = F.lit(chunk_size)
-    held = position_losses(stream.pairs(), stream.vocab_size).groupBy(F.floor(F.col("pos") / k).cast("long").alias("chunk")).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "nll"))).alias("at"), F.sum("nll").alias("total"))
-    sums = ordered_offsets(held, ["chunk"], "total", out="before")
+    losses = position_losses(stream.pairs(), stream.vocab_size).withColumn("chunk", F.floor(F.col("pos") / k).cast("long"))
+    sums = ordered_offsets(losses.groupBy("chunk").agg(F.sum("nll").alias("total")), ["chunk"], "total", out="before")
     starts = stream.window_starts(evals * iters, batch, block, seed).select(
         "split", (F.floor(F.col("step") / iters) * interval).cast("long").alias("step"), "b", "g0")
     ends = starts.select("split", "step", F.explode(F.array(
@@ -122,9 +121,11 @@ def sampled_loss(stream, evals: int, iters: int = EVAL_ITERS, interval: int = EV
     )).alias("e")).select("split", "step", "e.*")
     # The last position of a pair below ``upto`` names the chunk; before the first one the sum is 0.
     need = ends.withColumn("chunk", F.floor((F.col("upto") - 1) / k).cast("long"))
-    inside = F.aggregate("at", F.lit(0).cast("long"), lambda s, p: s + F.when(p["pos"] < F.col("upto"), p["nll"]).otherwise(0))
-    met = need.join(sums, "chunk", "left").withColumn("part", F.coalesce(F.col("before") + inside, F.lit(0)) * F.col("sign"))
-    total = met.groupBy("split", "step").agg(F.sum("part").alias("units"), F.count_if(F.col("sign") == 1).alias("n_windows"))
+    below = need.join(sums.select("chunk", "before"), "chunk", "left").groupBy("split", "step").agg(
+        F.sum(F.coalesce("before", F.lit(0)) * F.col("sign")).alias("units"), F.count_if(F.col("sign") == 1).alias("n"))
+    inside = losses.join(need, "chunk").where(F.col("pos") < F.col("upto")).groupBy("split", "step").agg(
+        F.sum(F.col("nll") * F.col("sign")).alias("units"), F.lit(0).cast("long").alias("n"))
+    total = below.unionByName(inside).groupBy("split", "step").agg(F.sum("units").alias("units"), F.sum("n").alias("n_windows"))
     return total.select("split", "step", "n_windows", F.round(F.col("units") / (F.col("n_windows") * block * LOSS_UNIT), 6).alias("loss"))
 
 
