@@ -24,8 +24,9 @@ Training (``train_bpe``)
     is learned twice and every merge has a new id.
 
 Encoding (``encode_documents``)
-    Per document, never per line: ``text + "\\n\\n"`` pretokenized JVM-side, then merges by rank in an Arrow-batched
-    Python pass with a per-task word cache.  No shuffle and no join, so a hot
+    Per document, never per line: an Arrow pass cuts ``text + "\\n\\n"`` into words over
+    the bytes themselves and merges each part's distinct words by rank, all unknown
+    ones at once, with a per-task word cache.  No shuffle and no join, so a hot
     word costs a cache hit.  The merge table is broadcast; its size is bounded
     by the vocabulary size.
 
@@ -62,12 +63,12 @@ from textkiln.functions.bytelevel import (
 from textkiln.operators.pretokens import (
     MIN_FREQUENCY,
     PAIR_SHIFT,
-    line_pretokens,
+    char_classes,
+    cut_parts,
+    cuttable,
+    line_pretoken_counts,
     multi_symbol_words,
     pair_counts,
-    pretoken_counts,
-    pretokenize,
-    word_table,
 )
 from textkiln.functions.text import frame_document
 from textkiln.session import materialised
@@ -273,7 +274,7 @@ def _apply(merges: list[tuple[int, int, int]]):
     """The word table after the merges and the changes of pair counts.  Each
     merge makes a new symbol, so taking the lowest rank first is the
     sequential order.  Words that hold no learned pair pass as they are."""
-    ranks = {(l, r): (k, n) for k, (l, r, n) in enumerate(merges)}
+    table = _Merges({(l, r): (k, n) for k, (l, r, n) in enumerate(merges)})
     keys = np.sort(np.array([l * PAIR_SHIFT + r for l, r, _ in merges], np.int64))
 
     def run(batches):
@@ -293,7 +294,7 @@ def _apply(merges: list[tuple[int, int, int]]):
             if not len(touched):
                 continue
             freqs = touched.column(1).to_numpy(zero_copy_only=False)
-            merged = pa.array([_lowest_first(syms, ranks) for syms in touched.column(0).to_pylist()], pa.list_(pa.int32()))
+            merged = table.apply(touched.column(0))
             changed = [_pair_sums(touched.column(0), freqs, -1), _pair_sums(merged, freqs, 1)]
             found, which = np.unique(np.concatenate([c[0] for c in changed]), return_inverse=True)
             sums = np.zeros(len(found), np.int64)
@@ -308,7 +309,7 @@ def _apply(merges: list[tuple[int, int, int]]):
 def training_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Word table of the training corpus (lines mode), words of two or more
     bytes only (a single byte never takes part in a pair)."""
-    return multi_symbol_words(pretoken_counts(line_pretokens(docs, text_col)))
+    return multi_symbol_words(line_pretoken_counts(docs, text_col))
 
 
 def train_bpe(
@@ -358,9 +359,87 @@ def train_bpe(
     return model
 
 
-# ----------------------------------------------------------------- encoding
-# Longer words are merged with a queue; a scan for each rank is faster on short ones.
+# ----------------------------------------------------------------- merging words
+# Longer words are merged with a queue, one by one; all others at once, a merge of each in a step.
 SHORT_WORD = 48
+# Words that are merged at once.
+PART_ROWS = 16_384
+NO_RANK = np.iinfo(np.int32).max
+
+
+class _Merges:
+    """Merges by rank as sorted arrays, for many words at once."""
+
+    def __init__(self, ranks: dict[tuple[int, int], tuple[int, int]]):
+        rows = sorted((l * PAIR_SHIFT + r, k, n) for (l, r), (k, n) in ranks.items())
+        table = np.array(rows, np.int64).reshape(-1, 3)
+        # A key that no pair has, so that a search always ends inside.
+        self.keys = np.append(table[:, 0], np.iinfo(np.int64).max)
+        self.ranks = np.append(table[:, 1], NO_RANK).astype(np.int32)
+        self.by_rank = np.zeros(int(table[:, 1].max(initial=-1)) + 1, np.int64)
+        self.by_rank[table[:, 1]] = table[:, 2]
+        self.plain = ranks
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pairs = left * PAIR_SHIFT + right
+        at = np.searchsorted(self.keys, pairs)
+        return np.where(self.keys[at] == pairs, self.ranks[at], NO_RANK)
+
+    def apply(self, syms: pa.ListArray) -> pa.ListArray:
+        """``_lowest_first`` of every row."""
+        return pa.concat_arrays([self._part(syms.slice(i, PART_ROWS)) for i in range(0, max(1, len(syms)), PART_ROWS)])
+
+    def _part(self, syms: pa.ListArray) -> pa.ListArray:
+        sizes = syms.value_lengths().to_numpy(zero_copy_only=False)
+        long = sizes > SHORT_WORD
+        if long.any():
+            short = self._part(syms.filter(pa.array(~long)))
+            rest = pa.array([_queued(row, self.plain) for row in syms.filter(pa.array(long)).to_pylist()], pa.list_(pa.int32()))
+            order = np.empty(len(syms), np.int64)
+            order[np.concatenate([np.flatnonzero(~long), np.flatnonzero(long)])] = np.arange(len(syms))
+            return pa.concat_arrays([short, rest]).take(pa.array(order))
+        flat, _, inner = _flat(syms)
+        flat = flat.copy()
+        rows, sizes = np.flatnonzero(sizes > 0), sizes[sizes > 0].astype(np.int64)
+        # The rank of each symbol's pair with the next one.
+        rank = np.full(len(flat), NO_RANK, np.int32)
+        at = np.flatnonzero(inner[:-1])
+        rank[at] = self._ranks(flat[at], flat[at + 1])
+        kept = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        while len(rows):
+            ends = np.cumsum(sizes)
+            best = np.minimum.reduceat(rank, ends - sizes)
+            done = best == NO_RANK
+            if 4 * done.sum() >= len(rows):
+                of_done = np.repeat(done, sizes)
+                kept.append((rows[done], sizes[done], flat[of_done]))
+                flat, rank = flat[~of_done], rank[~of_done]
+                rows, sizes, best, done = rows[~done], sizes[~done], best[~done], done[~done]
+                ends = np.cumsum(sizes)
+            best[done] = -1
+            hits = np.flatnonzero(rank == np.repeat(best, sizes))
+            if not len(hits):
+                continue
+            # Of equal symbols in a row, every second pair from the left.
+            fresh = np.append(True, np.diff(hits) != 1)
+            place = np.arange(len(hits))
+            hits = hits[(place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0]
+            flat[hits] = self.by_rank[rank[hits]]
+            keep = np.ones(len(flat), bool)
+            keep[hits + 1] = False
+            flat, rank = flat[keep], rank[keep]
+            sizes = sizes - np.bincount(np.searchsorted(ends, hits, side="right"), minlength=len(rows))
+            merged = hits - np.arange(len(hits))  # their places once the others are gone
+            changed = np.concatenate([merged, np.maximum(merged - 1, 0)])
+            rank[changed] = self._ranks(flat[changed], flat[np.minimum(changed + 1, len(flat) - 1)])
+            rank[np.cumsum(sizes) - 1] = NO_RANK
+        rows, sizes, flat = (np.concatenate(c) for c in zip(*kept, strict=True))
+        lengths = np.zeros(len(syms), np.int64)
+        lengths[rows] = sizes
+        offsets = np.concatenate([[0], np.cumsum(lengths)])
+        out = np.empty(len(flat), np.int32)
+        out[np.arange(len(flat)) + np.repeat(offsets[rows] - (np.cumsum(sizes) - sizes), sizes)] = flat
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(out))
 
 
 def _lowest_first(syms: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
@@ -408,29 +487,62 @@ def _queued(syms: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> l
     return [s for s in syms if s >= 0]
 
 
-def _encoder(ranks: dict[tuple[int, int], tuple[int, int]]):
-    cache: dict[str, list[int]] = {}
-
-    def encode_word(word: str) -> list[int]:
-        hit = cache.get(word)
-        if hit is not None:
-            return hit
-        syms = _lowest_first([BYTE_ID[b] for b in word.encode("utf-8")], ranks)
-        if len(cache) < 200_000:
-            cache[word] = syms
-        return syms
-
-    return encode_word
+_ID_OF_BYTE = np.array([BYTE_ID[b] for b in range(256)], np.int32)
+
+
+def _byte_syms(words: pa.StringArray) -> pa.ListArray:
+    """Each word's UTF-8 bytes as ids."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int32)
+    held = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+    return pa.ListArray.from_arrays(pa.array(ends - ends[0]), pa.array(_ID_OF_BYTE[held]))
+
+
+class _encoder:
+    """Ids of words, with a cache for the task: its words and their ids as arrays."""
+
+    MOST = 200_000
+
+    def __init__(self, ranks: dict[tuple[int, int], tuple[int, int]]):
+        self.merges = _Merges(ranks)
+        self.words = pa.array([], pa.string())
+        self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def __call__(self, word: str) -> list[int]:
+        starts, sizes, ids = self.many(pa.array([word]), np.ones(1, np.int64))
+        return ids[starts[0] : starts[0] + sizes[0]].tolist()
+
+    def many(self, words: pa.StringArray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and number of each word's ids, and the ids they lie in.  Words
+        that occur again (``counts``) are kept, most others never come back."""
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False)
+        missed = at < 0
+        starts, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        starts[~missed], sizes[~missed] = self.starts[at[~missed]], self.sizes[at[~missed]]
+        if not missed.any():
+            return starts, sizes, self.ids
+        new = words.filter(pa.array(missed))
+        found, begins, _ = _flat(self.merges.apply(_byte_syms(new)))
+        lengths = np.diff(np.append(begins, len(found)))
+        ids = np.concatenate([self.ids, found.astype(np.int32)])
+        starts[missed], sizes[missed] = begins + len(self.ids), lengths
+        keep = np.flatnonzero(counts[missed] >= 2)[: max(0, self.MOST - len(self.words))]
+        if len(keep):
+            held = lengths[keep]
+            ends = np.cumsum(held)
+            self.words = pa.concat_arrays([self.words, new.take(pa.array(keep))])
+            self.starts = np.concatenate([self.starts, ends - held + len(self.ids)])
+            self.sizes = np.concatenate([self.sizes, held])
+            self.ids = np.concatenate([self.ids, found[np.arange(held.sum()) + np.repeat(begins[keep] - (ends - held), held)].astype(np.int32)])
+        return starts, sizes, ids
 
 
 def _encode_batch(batch, encode_word):
     """One Arrow batch ``(key, segs list<list<string>>)`` -> ``(key, ids)``.
 
-    Distinct words of the batch go through ``encode_word`` (cached across
+    Distinct words of the batch are encoded together (cached across
     batches); occurrences are gathered with numpy.  Documents that contain the
     special token (more than one segment) take the plain loop."""
-    import itertools
-
     keys, segs = batch.column(0), batch.column(1)
     seg_counts = pc.fill_null(pc.list_value_length(segs), 0).to_numpy(zero_copy_only=False)
     if len(seg_counts) and seg_counts.max() > 1:
@@ -449,11 +561,8 @@ def _encode_batch(batch, encode_word):
     words = inner.flatten()
     if len(words):
         d = pc.dictionary_encode(words)
-        enc = [encode_word(w) for w in d.dictionary.to_pylist()]
         idx = d.indices.to_numpy(zero_copy_only=False)
-        ulen = np.fromiter((len(e) for e in enc), dtype=np.int64, count=len(enc))
-        uflat = np.fromiter(itertools.chain.from_iterable(enc), dtype=np.int32, count=int(ulen.sum()))
-        ustart = np.cumsum(ulen) - ulen
+        ustart, ulen, uflat = encode_word.many(d.dictionary, np.bincount(idx, minlength=len(d.dictionary)))
         occ_len = ulen[idx]
         occ_start = ustart[idx]
         out_start = np.cumsum(occ_len) - occ_len
@@ -472,7 +581,7 @@ def _encode_batch(batch, encode_word):
 
 
 # Words whose ids are gathered at once (each takes some 100 bytes meanwhile).
-PART_WORDS = 250_000
+PART_WORDS = 500_000
 
 
 def _n_words(segs: pa.ListArray) -> np.ndarray:
@@ -493,19 +602,32 @@ def _encode_batches_fn(bc_ranks):
     return run
 
 
+def _segmented(batches, classes: np.ndarray):
+    """``(key, text)`` -> ``(key, segs list<list<string>>)``, one segment a text: a tokenizer
+    loaded from its two files registers no special token, which is ordinary text."""
+    for batch in batches:
+        for part, words in cut_parts(batch, classes, lines=False):
+            segs = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32)), words)
+            yield pa.RecordBatch.from_arrays([part.column(0), segs], names=[part.schema.names[0], "segs"])
+
+
 def encode_texts(model: BpeModel, df: DataFrame, key: str, text: Column, frame: bool = True) -> DataFrame:
     """``(key, ids array<int>)`` for every row; ``frame`` appends the
     document separator ``"\\n\\n"`` before encoding (corpus form)."""
     spark = df.sparkSession
     ranks = {(l, r): (k, n) for k, (l, r, n) in enumerate(model.merges)}
     bc = spark.sparkContext.broadcast(ranks)
+    table = char_classes(spark)
+    encode = _encode_batches_fn(bc)
+
+    def run(batches):
+        return encode(_segmented(batches, np.frombuffer(table.value, np.uint8)))
+
     body = frame_document(text) if frame else text
-    # A tokenizer loaded from its two files registers no special token: its text is ordinary.
-    segs = F.when(body.isNotNull(), F.array(pretokenize(body)))
-    staged = df.select(F.col(key), segs.alias("segs"))
+    staged = df.select(F.col(key), cuttable(body).alias("text"))
     key_type = df.schema[key].dataType
     schema = T.StructType([T.StructField(key, key_type), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return staged.mapInArrow(_encode_batches_fn(bc), schema)
+    return staged.mapInArrow(run, schema)
 
 
 def encode_documents(model: BpeModel, docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,15 +7,25 @@ Two modes (they differ on whitespace runs):
 * **documents** (encoding): each framed document ``text + "\\n\\n"`` is one
   sequence.
 
-Both are ``regexp_extract_all`` with the byte-level pattern, JVM-side.
+Both are ``regexp_extract_all`` with the byte-level pattern, JVM-side.  Training
+and BPE encoding take the same tokens from one Arrow pass over whole texts
+(``functions.pretoken_cuts``), which makes no row or string for an occurrence.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from functools import cache
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textkiln.functions.arrow_parts import parts
 from textkiln.functions.bytelevel import utf8_byte_ids
+from textkiln.functions.pretoken_cuts import BLANK, LETTER, NUMBER, OTHER, cut_texts
 from textkiln.functions.text import frame_document
 
 # Fixed value: the byte-level pre-tokenizer pattern (Java regex, Unicode classes).
@@ -42,6 +52,60 @@ def line_pretokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(F.explode(F.regexp_extract_all(frame_document(text_col), F.lit(LINE_PATTERN), F.lit(0))).alias("token"))
 
 
+# Bytes of text that are cut at once (each takes some 10 bytes meanwhile).
+PART_BYTES = 4_000_000
+
+
+@cache
+def _char_classes() -> bytes:
+    """The pattern's class of every code point, as the JVM's patterns see it."""
+    spark = SparkSession.getActiveSession()
+    points = spark.range(0x110000).where(~F.col("id").between(0xD800, 0xDFFF))
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    kind = F.lit(OTHER)
+    for name, pattern in ((BLANK, r"(?U)\s"), (NUMBER, r"(?U)\p{N}"), (LETTER, r"(?U)\p{L}")):
+        kind = F.when(char.rlike(pattern), name).otherwise(kind)
+    rows = points.select("id", kind.alias("kind")).toArrow()
+    classes = np.zeros(0x110000, np.uint8)
+    classes[rows["id"].to_numpy()] = rows["kind"].to_numpy()
+    return classes.tobytes()
+
+
+def char_classes(spark: SparkSession):
+    """Broadcast of the code points' classes, a byte for each."""
+    return spark.sparkContext.broadcast(_char_classes())
+
+
+def cuttable(text: Column) -> Column:
+    """``text`` as ``regexp_extract_all`` reads it: broken UTF-8 is replaced."""
+    read = F.array_join(F.regexp_extract_all(text, F.lit("(?s).+"), F.lit(0)), "")
+    return F.when(F.is_valid_utf8(text), text).otherwise(read)
+
+
+def cut_parts(batch: pa.RecordBatch, classes: np.ndarray, lines: bool) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
+    """Parts of ``batch`` and the tokens of the texts in its last column."""
+    at = batch.num_columns - 1
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    for part in parts(batch, sizes, PART_BYTES):
+        yield part, cut_texts(part.column(at), classes, lines)
+
+
+def line_pretoken_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(token, cnt)`` of ``line_pretokens``: tokens are counted where they
+    lie, and each part's distinct ones go to the aggregate."""
+    table = char_classes(docs.sparkSession)
+
+    def count(batches):
+        classes = np.frombuffer(table.value, np.uint8)
+        for batch in batches:
+            for _, tokens in cut_parts(batch, classes, lines=True):
+                found = pc.value_counts(tokens.flatten())
+                yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["token", "n"])
+
+    found = docs.select(cuttable(frame_document(text_col)).alias("text")).mapInArrow(count, "token string, n long")
+    return found.groupBy("token").agg(F.sum("n").alias("cnt"))
+
+
 def doc_pretokens(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(key, pos_in_doc, token)`` for encoding: pretokens of ``text + "\\n\\n"``."""
     return docs.select(key, F.posexplode(pretokenize(frame_document(text_col))).alias("pos_in_doc", "token"))

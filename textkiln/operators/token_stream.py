@@ -61,7 +61,7 @@ def pretoken_vocab(docs: DataFrame, key: str = "doc_id", text_col: str = "text")
 
 @dataclass
 class IdStream:
-    rows: DataFrame  # (rid, doc_id, n, ids array<int>[, rare]), written, in any order
+    rows: DataFrame  # (rid, doc_id, n, ids array<int>[, rare or first_id, last_id]), written, in any order
     starts: DataFrame  # (rid, doc_start), written and narrow
     n_total: int
     vocab_size: int
@@ -78,8 +78,7 @@ class IdStream:
         if self.rare is not None:
             fields = [f for f in joined.schema.fields if f.name in ("doc_id", "n", "ids", "doc_start")]
             joined = joined.select(*[f.name for f in fields], "rare").mapInArrow(_with_rare, T.StructType(fields))
-        ends = F.try_element_at(ids, F.lit(1)).alias("first_id"), F.try_element_at(ids, F.lit(-1)).alias("last_id")
-        return materialised(joined.select("doc_id", "n", "doc_start", "ids", *ends), "token-stream")
+        return materialised(joined.select("doc_id", "n", "doc_start", "ids", *_ends(ids)), "token-stream")
 
     @property
     def docs(self) -> DataFrame:
@@ -88,7 +87,10 @@ class IdStream:
 
     @property
     def offsets(self) -> DataFrame:
-        """``(doc_id, n, doc_start, first_id, last_id)``, narrow columns of the same table."""
+        """``(doc_id, n, doc_start, first_id, last_id)``, narrow columns of the same table,
+        or of the rows themselves where these hold their ends."""
+        if "first_id" in self.rows.columns:
+            return self.rows.select("rid", "doc_id", "n", "first_id", "last_id").join(self.starts, "rid").select("doc_id", "n", "doc_start", "first_id", "last_id")
         return self._table.select("doc_id", "n", "doc_start", "first_id", "last_id")
 
     @property
@@ -195,6 +197,10 @@ class IdStream:
         )
 
 
+def _ends(ids: Column) -> tuple[Column, Column]:
+    return F.try_element_at(ids, F.lit(1)).alias("first_id"), F.try_element_at(ids, F.lit(-1)).alias("last_id")
+
+
 def _assemble(rows: DataFrame, vocab_size: int, rare: DataFrame | None = None) -> IdStream:
     """The stream over written ``rows(rid, doc_id, n, ids)``: positions from the
     prefix sum over their narrow columns, the arrays themselves stay where they are."""
@@ -315,5 +321,5 @@ def bpe_stream(model, docs: DataFrame, key: str = "doc_id", text_col: str = "tex
 
     require_nonempty(docs, "corpus")  # S3
     enc = encode_documents(model, docs, key, text_col).withColumnRenamed(key, "doc_id")
-    rows = enc.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.greatest(F.size("ids"), F.lit(0)).cast("long").alias("n"), "ids")
+    rows = enc.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.greatest(F.size("ids"), F.lit(0)).cast("long").alias("n"), "ids", *_ends(F.col("ids")))
     return _assemble(materialised(rows, "token-ids"), model.vocab_size)
