@@ -84,3 +84,14 @@ def test_offsets_of_encoded_texts_write_no_arrays(spark):
     assert rows == [(1, 3, 0, 257, end), (2, 0, 3, None, None), (3, 5, 3, 257, end)]
     assert "_table" not in vars(stream)
     assert [tuple(r) for r in stream._table.select("doc_id", "n", "doc_start", "first_id", "last_id").orderBy("doc_id").collect()] == rows
+
+
+def test_packed_symbols_come_back():
+    rows = [[5], [], [1, 2, 70000], [], [3, 4]]
+    packed = B._packed(pa.array([[9, 9], *rows, [8]], pa.list_(pa.int32())).slice(1, 5))
+    assert B._unpacked(packed).to_pylist() == rows
+    assert B._unpacked(packed.slice(2, 3)).to_pylist() == rows[2:]
+    assert B._unpacked(packed.slice(0, 0)).to_pylist() == []
+    batch = pa.record_batch([packed, pa.array([7, 1, 2, 1, 3])], names=["syms", "freq"])
+    got = {(p // B.PAIR_SHIFT, p % B.PAIR_SHIFT): c for b in B._pairs([batch, batch.slice(1)]) for p, c in zip(*b.to_pydict().values(), strict=True)}
+    assert got == {(1, 2): 2, (2, 70000): 2, (3, 4): 3}

@@ -2,7 +2,7 @@
 
 Training (``train_bpe``)
     Corpus lines -> pretokens -> ``groupBy`` counts -> the word table
-    ``(syms, freq)`` and the pair table ``(pair, cnt)``, both kept as written
+    ``(syms, freq)``, symbols packed as 32-bit integers, and the pair table ``(pair, cnt)``, both kept as written
     tables across rounds.  Each round brings the ordered head of the pair table
     to the driver.
     Words are split wherever a pair is not in the head; equal segments are
@@ -68,7 +68,6 @@ from textkiln.operators.pretokens import (
     cuttable,
     line_pretoken_counts,
     multi_symbol_words,
-    pair_counts,
 )
 from textkiln.functions.text import frame_document
 from textkiln.session import materialised
@@ -157,12 +156,48 @@ def _flat(syms) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat, ends - sizes, inner
 
 
+def _packed(syms: pa.ListArray) -> pa.BinaryArray:
+    """Each row's symbols as the bytes of 32-bit integers, which Spark moves and writes as they are."""
+    flat = syms.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+    sizes = syms.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes)]) * 4
+    return pa.Array.from_buffers(pa.binary(), len(syms), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)])
+
+
+def _unpacked(rows: pa.BinaryArray) -> pa.ListArray:
+    rows = rows.cast(pa.binary())
+    _, offsets, data = rows.buffers()
+    ends = np.frombuffer(offsets, np.int32)[rows.offset : rows.offset + len(rows) + 1] if len(rows) else np.zeros(1, np.int32)
+    flat = np.frombuffer(data, np.int32, (ends[-1] - ends[0]) // 4, ends[0]) if ends[-1] > ends[0] else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array((ends - ends[0]) // 4), pa.array(flat))
+
+
+def _packed_words(batches):
+    """``(token, freq)`` -> ``(syms, freq)``."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([_packed(_byte_syms(batch.column(0).cast(pa.string()))), batch.column(1)], names=["syms", "freq"])
+
+
+def _summed(pairs: np.ndarray, freqs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found, which = np.unique(pairs, return_inverse=True)
+    sums = np.zeros(len(found), np.int64)
+    np.add.at(sums, which, freqs)
+    return found[sums != 0], sums[sums != 0]
+
+
+def _pairs(batches):
+    """``(syms, freq)`` -> ``(pair, cnt)``, summed for each batch."""
+    for batch in batches:
+        found = _summed(*_pair_sums(_unpacked(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False), 1))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["pair", "cnt"])
+
+
 def _segments(head: np.ndarray):
     """Segments of two or more symbols whose adjacent pairs are all in the head."""
 
     def run(batches):
         for batch in batches:
-            flat, starts, inner = _flat(batch.column(0))
+            flat, starts, inner = _flat(_unpacked(batch.column(0)))
             if not len(flat):
                 continue
             keys = flat[:-1] * PAIR_SHIFT + flat[1:]
@@ -177,7 +212,7 @@ def _segments(head: np.ndarray):
             offsets = np.concatenate([[0], np.cumsum(sizes)])
             values = flat[np.arange(offsets[-1]) + np.repeat(begins - offsets[:-1], sizes)]
             segs = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([segs, batch.column(1).take(pa.array(rows))], names=["syms", "freq"])
+            yield pa.RecordBatch.from_arrays([_packed(segs), batch.column(1).take(pa.array(rows))], names=["syms", "freq"])
 
     return run
 
@@ -244,7 +279,7 @@ def learn_merges(segments, last: tuple[int, int], budget: int, first_id: int) ->
 WORD, DELTA = 0, 1
 _APPLIED = T.StructType([
     T.StructField("kind", T.IntegerType()),
-    T.StructField("syms", T.ArrayType(T.IntegerType())),
+    T.StructField("syms", T.BinaryType()),
     T.StructField("pair", T.LongType()),
     T.StructField("freq", T.LongType()),
 ])
@@ -264,7 +299,7 @@ def _rows(kind: int, syms: pa.Array | None, pairs: np.ndarray | None, freqs) ->
     n = len(freqs)
     return pa.RecordBatch.from_arrays([
         pa.array(np.full(n, kind, np.int32)),
-        pa.nulls(n, pa.list_(pa.int32())) if syms is None else syms,
+        pa.nulls(n, pa.binary()) if syms is None else syms,
         pa.nulls(n, pa.int64()) if pairs is None else pa.array(pairs),
         pa.array(freqs, pa.int64()),
     ], names=_APPLIED.names)
@@ -279,7 +314,8 @@ def _apply(merges: list[tuple[int, int, int]]):
 
     def run(batches):
         for batch in batches:
-            flat, starts, inner = _flat(batch.column(0))
+            syms = _unpacked(batch.column(0))
+            flat, starts, inner = _flat(syms)
             if not len(flat):
                 continue
             pairs = flat[:-1] * PAIR_SHIFT + flat[1:]
@@ -290,18 +326,15 @@ def _apply(merges: list[tuple[int, int, int]]):
             same = batch.filter(pa.array(~held))
             if len(same):
                 yield _rows(WORD, same.column(0), None, same.column(1))
-            touched = batch.filter(pa.array(held))
-            if not len(touched):
+            if not held.any():
                 continue
-            freqs = touched.column(1).to_numpy(zero_copy_only=False)
-            merged = table.apply(touched.column(0))
-            changed = [_pair_sums(touched.column(0), freqs, -1), _pair_sums(merged, freqs, 1)]
-            found, which = np.unique(np.concatenate([c[0] for c in changed]), return_inverse=True)
-            sums = np.zeros(len(found), np.int64)
-            np.add.at(sums, which, np.concatenate([c[1] for c in changed]))
-            yield _rows(DELTA, None, found[sums != 0], sums[sums != 0])
+            touched, weights = syms.filter(pa.array(held)), batch.column(1).filter(pa.array(held))
+            freqs = weights.to_numpy(zero_copy_only=False)
+            merged = table.apply(touched)
+            changed = [_pair_sums(touched, freqs, -1), _pair_sums(merged, freqs, 1)]
+            yield _rows(DELTA, None, *_summed(*(np.concatenate(c) for c in zip(*changed, strict=True))))
             long = pa.array(merged.value_lengths().to_numpy(zero_copy_only=False) >= 2)
-            yield _rows(WORD, merged.filter(long), None, touched.column(1).filter(long))
+            yield _rows(WORD, _packed(merged.filter(long)), None, weights.filter(long))
 
     return run
 
@@ -324,8 +357,10 @@ def train_bpe(
     than ``min_frequency``."""
     require_nonempty(docs, "training corpus")  # S3
     model = BpeModel([])
-    words = materialised(training_words(docs, text_col).select("syms", F.col("freq").cast("long").alias("freq")), "bpe-words")
-    counts = materialised(pair_counts(words, min_frequency).select("pair", F.col("cnt").cast("long").alias("cnt")), "bpe-pairs")
+    tokens = line_pretoken_counts(docs, text_col).where(F.octet_length("token") >= 2)
+    words = materialised(tokens.mapInArrow(_packed_words, "syms binary, freq long"), "bpe-words")
+    pairs = words.mapInArrow(_pairs, "pair long, cnt long").groupBy("pair").agg(F.sum("cnt").alias("cnt"))
+    counts = materialised(pairs.where(F.col("cnt") >= min_frequency), "bpe-pairs")
     size = min(head_rows, FIRST_ROWS)
     while model.vocab_size < vocab_size:
         head = counts.orderBy(F.col("cnt").desc(), F.col("pair").asc()).limit(size).collect()
@@ -335,7 +370,7 @@ def train_bpe(
             taken = head[:size]
             known = np.sort(np.array([r["pair"] for r in taken], np.int64))
             found = words.mapInArrow(_segments(known), words.schema).groupBy("syms").agg(F.sum("freq").alias("freq")).persist()
-            symbols = found.agg(F.sum(F.size("syms"))).first()[0]
+            symbols = found.agg(F.sum(F.octet_length("syms"))).first()[0] // 4
             if symbols <= max_symbols or len(taken) == 1:
                 break
             found.unpersist()
@@ -343,7 +378,7 @@ def train_bpe(
         table = found.toArrow()
         found.unpersist()
         last = (-int(taken[-1]["cnt"]), int(taken[-1]["pair"]))
-        learned = learn_merges((table["syms"].to_pylist(), table["freq"].to_pylist()), last, vocab_size - model.vocab_size, model.vocab_size)
+        learned = learn_merges(([row for c in table["syms"].chunks for row in _unpacked(c).to_pylist()], table["freq"].to_pylist()), last, vocab_size - model.vocab_size, model.vocab_size)
         model.merges += learned
         model.rounds += 1
         # A longer head where there is room: fewer rounds, each a pass over the words.
