@@ -46,34 +46,36 @@ def token_starts(data: np.ndarray, text_starts: np.ndarray, classes: np.ndarray,
     if not len(data):
         return np.zeros(0, np.int64)
     kinds = _byte_classes(data, classes)
-    first = np.zeros(len(data), bool)
+    first = np.zeros(len(data) + 3, bool)
     first[text_starts] = True
-    cut = first.copy()
-    cut[1:] |= kinds[1:] != kinds[:-1]
-    begins = np.flatnonzero(cut)
-    ends = np.append(begins[1:], len(data))
-    kind, opens = kinds[begins], first[begins]
-    closes = np.append(opens[1:], True)  # the text ends with this run
-    joined = (kind != BLANK) & ~opens & (data[begins - 1] == SPACE)
-    cut[begins[joined]] = False
+    begins = first.copy()  # of runs, and behind the last one
+    begins[1 : len(data)] |= kinds[1:] != kinds[:-1]
+    begins[len(data) :] = first[len(data) :] = True
+    cut = begins[: len(data)].copy()
+    blank, inside = kinds == BLANK, ~first[1 : len(data)]
+    joined = np.zeros(len(data), bool)
+    joined[1:] = cut[1:] & ~blank[1:] & inside & (data[:-1] == SPACE)
+    cut &= ~joined
 
-    last = ends[(kind == BLANK) & ~closes] - 1
+    closes = blank[:-1] & ~blank[1:] & inside  # the last byte of blanks before something else
+    wide = np.flatnonzero(closes & (data[:-1] >= 0x80))
+    cut[:-1] |= closes & (data[:-1] < 0x80) & (data[:-1] != LINE_END) if lines else closes & (data[:-1] < 0x80)
     for _ in range(3):
-        last = last - ((data[last] & 0xC0) == 0x80)
-    cut[last[data[last] != LINE_END] if lines else last] = True
+        wide = wide - ((data[wide] & 0xC0) == 0x80)
+    cut[wide] = True
     if lines:
         behind = np.flatnonzero(data[:-1] == LINE_END) + 1
         cut[behind] = True
 
-    at = np.flatnonzero((data[begins] == APOSTROPHE) & ~joined & ~closes & (ends - begins == 1))
-    at = at[kind[at + 1] == LETTER]
-    start, end = begins[at + 1], ends[at + 1]
+    at = np.flatnonzero(data == APOSTROPHE)
+    start = at[begins[at] & ~joined[at] & begins[at + 1] & ~first[at + 1]] + 1
+    start = start[kinds[start] == LETTER]
     one, two = data[start], data[np.minimum(start + 1, len(data) - 1)]
-    long = (end - start >= 2) & (((two == ord("e")) & np.isin(one, list(b"rv"))) | ((one == ord("l")) & (two == ord("l"))))
+    long = ~begins[start + 1] & (((two == ord("e")) & np.isin(one, list(b"rv"))) | ((one == ord("l")) & (two == ord("l"))))
     short = np.isin(one, list(b"stmd"))
     cut[start[short | long]] = False
     behind = np.concatenate([start[short] + 1, start[long] + 2])
-    cut[behind[behind < np.concatenate([end[short], end[long]])]] = True
+    cut[behind[~begins[behind]]] = True
     return np.flatnonzero(cut)
 
 

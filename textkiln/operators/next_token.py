@@ -18,14 +18,17 @@ equal counts, of which a context keeps at most k.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textkiln.operators.positions import group_offsets, ordered_offsets
-from textkiln.operators.token_stream import BATCH_SIZE, BLOCK_SIZE, CHUNK_SIZE
+from textkiln.operators.positions import group_offsets
+from textkiln.operators.token_stream import BATCH_SIZE, BLOCK_SIZE, unpacked_array
 from textkiln.session import cut_lineage, materialised
 
 # Reference generation defaults.
@@ -42,6 +45,12 @@ EVAL_ITERS = 50
 EVAL_INTERVAL = 250
 # Losses are summed in whole units of this part of a nat.
 LOSS_UNIT = 1_000_000
+# Positions whose pairs are counted at once (each takes some 100 bytes meanwhile).
+PART_POSITIONS = 250_000
+# Keys and their counts that a task sums before it sends them.
+HELD_KEYS = 4_000_000
+# Size of the filter of the windows' pairs (16 MB), and Knuth's multiplier for 64 bits.
+FILTER_BITS, FILTER_MULT = 27, 0x9E3779B97F4A7C15
 
 
 def seeded_uniform(*keys: Column, seed: int = 0) -> Column:
@@ -89,44 +98,170 @@ def split_loss(pairs: DataFrame, vocab_size: int) -> DataFrame:
     )
 
 
-def position_losses(pairs: DataFrame, vocab_size: int) -> DataFrame:
-    """``(pos, nll)`` of every pair under the train counts with add-one
-    smoothing, in whole millionths of a nat: sums over any range are exact, so
-    they do not depend on the order of adding."""
-    g = pairs.groupBy("x", "y").agg(F.count_if(F.col("split") == "train").alias("c"))
-    nll = F.round(-F.log((F.col("c") + 1) / (F.col("cx") + F.lit(vocab_size))) * LOSS_UNIT).cast("long")
-    scored = g.join(_context_counts(pairs), "x").select("x", "y", nll.alias("nll"))
-    return pairs.select("pos", "x", "y").join(scored, ["x", "y"]).select("pos", "nll")
+def _key(x, y):
+    """A pair's key; ``-1 - x`` is its context's."""
+    return x * 2**32 + y
+
+
+def _bit(keys: np.ndarray) -> np.ndarray:
+    """The bit of each key in a filter of ``2**FILTER_BITS`` bits."""
+    return (keys.view(np.uint64) * np.uint64(FILTER_MULT)) >> np.uint64(64 - FILTER_BITS)
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of ``(pos, packed)``: positions and sizes of the runs, and all their ids."""
+    ids, sizes = unpacked_array(batch.column(1))
+    return batch.column(0).to_numpy(), sizes, ids
+
+
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys and how often each occurs, by sorting (faster here than a hash table)."""
+    keys = np.sort(keys)
+    starts = np.flatnonzero(np.append(np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]))
+    return keys[starts], np.diff(np.append(starts, len(keys)))
+
+
+def _in_windows(starts, block: int, most: int):
+    """``(pos, packed)`` -> ``(key, slot, m)``: how often the windows of a slot hold a pair,
+    counted over ``most`` positions of windows at once (or one window's)."""
+
+    def run(batches):
+        g0, slots = starts.value
+        for batch in batches:
+            pos, sizes, ids = _flat(batch)
+            last = pos + np.maximum(sizes - 1, 0)  # a run's pairs are at [pos, last)
+            low, high = np.searchsorted(g0, pos - block, "right"), np.searchsorted(g0, last)
+            met = np.maximum(high - low, 0)
+            offsets, reach = np.cumsum(sizes) - sizes, np.minimum(sizes, block)
+            for rows in _ranges(met * reach, most):
+                # A run that alone meets more windows than that is taken some windows at a time.
+                first, n = low[rows], met[rows]
+                step = max(most // max(block, 1), 1) if rows.stop - rows.start == 1 else max(int(n.max(initial=0)), 1)
+                for skip in range(0, int(n.max(initial=0)), step):
+                    taken = np.clip(n - skip, 0, step)
+                    run = np.repeat(np.arange(rows.start, rows.stop), taken)
+                    window = _spread(first + skip, taken)
+                    begin = np.maximum(g0[window], pos[run])
+                    length = np.minimum(g0[window] + block, last[run]) - begin
+                    at = _spread(offsets[run] + begin - pos[run], length)
+                    x, y = ids[at].astype(np.int64), ids[at + 1].astype(np.int64)
+                    found = pa.table({"key": _key(x, y), "slot": np.repeat(slots[window], length)}).group_by(["key", "slot"], use_threads=False).aggregate([([], "count_all")])
+                    yield from found.rename_columns(["key", "slot", "m"]).to_batches()
+
+    return run
+
+
+def _ranges(sizes: np.ndarray, most: int):
+    """Slices of rows whose ``sizes`` sum to ``most`` at most, or of one row."""
+    ends, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, "right")))
+        yield slice(start, stop)
+        start = stop
+
+
+def _spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``first, first + 1, ...`` of each, ``n`` values."""
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def _train_counts(bits, split_at: int, most: int):
+    """``(pos, packed)`` -> ``(key, n)``: pairs and contexts of the train split whose bits are
+    set, counted over ``most`` positions at once."""
+
+    def run(batches):
+        table = np.frombuffer(bits.value, np.uint8)
+
+        def wanted(keys):
+            bit = _bit(keys).view(np.int64)
+            return np.take(table, bit >> 3, mode="clip") >> (bit & 7).astype(np.uint8) & 1 != 0
+
+        for batch in batches:
+            pos, sizes, ids = _flat(batch)
+            # The last train position starts no pair.
+            inner = np.clip(split_at - 1 - pos, 0, np.maximum(sizes - 1, 0))
+            pair = np.repeat(np.tile([True, False], len(sizes)), np.stack([inner, sizes - inner], 1).ravel())
+            for start in range(0, len(ids), most):
+                at = np.flatnonzero(pair[start:start + most]) + start
+                x, y = ids[at].astype(np.int64), ids[at + 1].astype(np.int64)
+                keys = _key(x, y)
+                for keys, n in (_counted(keys[wanted(keys)]), _counted(-1 - x)):
+                    kept = wanted(keys)
+                    yield pa.table([pa.array(keys[kept]), pa.array(n[kept])], names=["key", "n"])
+
+    return lambda batches: _summed(run(batches))
+
+
+def _summed(tables):
+    """Batches of ``(key, n)``, a key's rows of several tables summed to one."""
+    held, size = [], 0
+    for table in chain(tables, [None]):
+        if table is not None:
+            held.append(table)
+            size += len(table)
+        if held and (table is None or size > HELD_KEYS):
+            whole = pa.concat_tables(held).group_by("key", use_threads=False).aggregate([("n", "sum")])
+            whole = whole.select(["key", "n_sum"]).rename_columns(["key", "n"])
+            held, size = [whole], len(whole)
+            if table is None or size > HELD_KEYS // 2:
+                yield from whole.to_batches()
+                held, size = [], 0
+
+
+def _filter_bits(keys: DataFrame):
+    """Broadcast of a filter with the bits of all ``keys`` set: one that is not
+    among them passes only where it shares another's bit."""
+
+    def hashed(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_bit(batch.column(0).to_numpy())).astype(np.int64))], names=["h"])
+
+    words = keys.mapInArrow(hashed, "h long").groupBy(F.shiftright("h", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, CAST(h & 63 AS INT)))").alias("bits"))
+    rows = words.toArrow()
+    table = np.zeros(2**FILTER_BITS // 64, np.int64)
+    table[rows["w"].to_numpy()] = rows["bits"].to_numpy()
+    return keys.sparkSession.sparkContext.broadcast(table.astype("<i8").tobytes())
+
+
+def window_losses(runs: DataFrame, starts: DataFrame, block: int, split_at: int, vocab_size: int, most: int) -> DataFrame:
+    """``(slot, units)``: the losses of all pairs in the windows ``starts(slot, g0)``, each as often
+    as windows hold it, under the train counts with add-one smoothing.  They are whole millionths
+    of a nat, so that sums are exact whatever the order of adding.
+
+    The windows' pairs, as many as the parameters ask for, are found first; of the train
+    split's pairs, all of which are read, only those that may be among them are then counted."""
+    spark = runs.sparkSession
+    rows = starts.orderBy("g0").toArrow()
+    windows = spark.sparkContext.broadcast((rows["g0"].to_numpy(), rows["slot"].to_numpy()))
+    found = runs.mapInArrow(_in_windows(windows, block, most), "key long, slot int, m long")
+    held = materialised(found.groupBy("key", "slot").agg(F.sum("m").alias("m")), "window-pairs")
+    context = (-1 - F.shiftright("key", 32)).alias("context")
+    bits = _filter_bits(held.select(F.explode(F.array("key", context)).alias("key")))
+    counted = runs.where(F.col("pos") < split_at - 1).mapInArrow(_train_counts(bits, split_at, most), "key long, n long")
+    counts = materialised(counted.groupBy("key").agg(F.sum("n").alias("n")), "window-counts")
+    pairs = counts.where("key >= 0").select("key", F.col("n").alias("c"))
+    contexts = counts.where("key < 0").select(F.col("key").alias("context"), F.col("n").alias("cx"))
+    c, cx = (F.coalesce(name, F.lit(0)) for name in ("c", "cx"))
+    nll = F.round(-F.log((c + 1) / (cx + F.lit(vocab_size))) * LOSS_UNIT).cast("long")
+    scored = held.select("*", context).join(pairs, "key", "left").join(contexts, "context", "left")
+    return scored.groupBy("slot").agg(F.sum(nll * F.col("m")).alias("units"))
 
 
 def sampled_loss(stream, evals: int, iters: int = EVAL_ITERS, interval: int = EVAL_INTERVAL, batch: int = BATCH_SIZE,
-                 block: int = BLOCK_SIZE, seed: int = 0, chunk_size: int = CHUNK_SIZE) -> DataFrame:
+                 block: int = BLOCK_SIZE, seed: int = 0, chunk_size: int = PART_POSITIONS) -> DataFrame:
     """A10: ``(split, step, n_windows, loss)``, the mean loss over ``iters`` batches
     of sampled windows per split at each of ``evals`` evaluation steps.
 
-    A window's loss is the difference of two running sums, whatever its length:
-    that of the whole chunks before either end, from one narrow row per chunk, and
-    the losses below the end in its own chunk, summed as they meet the ends.
-    ``chunk_size`` is at least 2 (the last train position starts no pair)."""
-    if chunk_size < 2:
-        raise ValueError("chunk_size must be at least 2")
-    k = F.lit(chunk_size)
-    losses = position_losses(stream.pairs(), stream.vocab_size).withColumn("chunk", F.floor(F.col("pos") / k).cast("long"))
-    sums = ordered_offsets(losses.groupBy("chunk").agg(F.sum("nll").alias("total")), ["chunk"], "total", out="before")
-    starts = stream.window_starts(evals * iters, batch, block, seed).select(
-        "split", (F.floor(F.col("step") / iters) * interval).cast("long").alias("step"), "b", "g0")
-    ends = starts.select("split", "step", F.explode(F.array(
-        F.struct(F.col("g0").alias("upto"), F.lit(-1).alias("sign")),
-        F.struct((F.col("g0") + block).alias("upto"), F.lit(1).alias("sign")),
-    )).alias("e")).select("split", "step", "e.*")
-    # The last position of a pair below ``upto`` names the chunk; before the first one the sum is 0.
-    need = ends.withColumn("chunk", F.floor((F.col("upto") - 1) / k).cast("long"))
-    below = need.join(sums.select("chunk", "before"), "chunk", "left").groupBy("split", "step").agg(
-        F.sum(F.coalesce("before", F.lit(0)) * F.col("sign")).alias("units"), F.count_if(F.col("sign") == 1).alias("n"))
-    inside = losses.join(need, "chunk").where(F.col("pos") < F.col("upto")).groupBy("split", "step").agg(
-        F.sum(F.col("nll") * F.col("sign")).alias("units"), F.lit(0).cast("long").alias("n"))
-    total = below.unionByName(inside).groupBy("split", "step").agg(F.sum("units").alias("units"), F.sum("n").alias("n_windows"))
-    return total.select("split", "step", "n_windows", F.round(F.col("units") / (F.col("n_windows") * block * LOSS_UNIT), 6).alias("loss"))
+    A batch's windows may overlap; a pair counts once for each that holds it.  Tasks
+    work on ``chunk_size`` positions at once."""
+    if chunk_size < 1:
+        raise ValueError("chunk_size must be at least 1")
+    at = F.floor(F.col("step") / iters)
+    slot = (at * 2 + F.when(F.col("split") == "val", 1).otherwise(0)).cast("int").alias("slot")
+    starts = stream.window_starts(evals * iters, batch, block, seed).select("split", (at * interval).cast("long").alias("step"), slot, "g0")
+    losses = window_losses(stream.runs(), starts.select("slot", "g0"), block, stream.split_at, stream.vocab_size, chunk_size)
+    groups = starts.groupBy("split", "step", "slot").agg(F.count(F.lit(1)).alias("n_windows"))
+    return groups.join(losses, "slot").select("split", "step", "n_windows", F.round(F.col("units") / (F.col("n_windows") * block * LOSS_UNIT), 6).alias("loss"))
 
 
 def top_k(counts: DataFrame, k: int = TOP_K, vocab_size: int | None = None) -> DataFrame:

@@ -7,9 +7,9 @@ Two modes (they differ on whitespace runs):
 * **documents** (encoding): each framed document ``text + "\\n\\n"`` is one
   sequence.
 
-Both are ``regexp_extract_all`` with the byte-level pattern, JVM-side.  Training
-and BPE encoding take the same tokens from one Arrow pass over whole texts
-(``functions.pretoken_cuts``), which makes no row or string for an occurrence.
+Both are ``regexp_extract_all`` with the byte-level pattern, JVM-side.  Training,
+BPE encoding and the token stream take the same tokens from one Arrow pass over
+whole texts (``functions.pretoken_cuts``), which makes no row or string for an occurrence.
 """
 
 from __future__ import annotations
@@ -52,8 +52,12 @@ def line_pretokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(F.explode(F.regexp_extract_all(frame_document(text_col), F.lit(LINE_PATTERN), F.lit(0))).alias("token"))
 
 
-# Bytes of text that are cut at once (each takes some 10 bytes meanwhile).
+# Bytes of text that are cut at once (each takes some 10 bytes meanwhile); where tokens
+# are only counted or looked up, so few that all stays in a processor's cache; and bytes
+# of distinct tokens and counts that are summed at once.
 PART_BYTES = 4_000_000
+CACHED_BYTES = 1_000_000
+HELD_BYTES = 64_000_000
 
 
 @cache
@@ -82,30 +86,51 @@ def cuttable(text: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text).otherwise(read)
 
 
-def cut_parts(batch: pa.RecordBatch, classes: np.ndarray, lines: bool) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
-    """Parts of ``batch`` and the tokens of the texts in its last column."""
+def cut_parts(batch: pa.RecordBatch, classes: np.ndarray, lines: bool, most: int | None = None) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
+    """Parts of ``batch``, of ``most`` bytes, and the tokens of the texts in its last column."""
     at = batch.num_columns - 1
     sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
-    for part in parts(batch, sizes, PART_BYTES):
+    for part in parts(batch, sizes, most or PART_BYTES):
         yield part, cut_texts(part.column(at), classes, lines)
 
 
-def line_pretoken_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(token, cnt)`` of ``line_pretokens``: tokens are counted where they
-    lie, and each part's distinct ones go to the aggregate."""
+def _cut_counts(docs: DataFrame, text_col: str, lines: bool) -> DataFrame:
+    """``(token, cnt)``: tokens are counted where they lie, and the distinct
+    ones of several parts go to the aggregate together."""
     table = char_classes(docs.sparkSession)
 
+    def summed(held):
+        whole = pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("n", "sum")])
+        return whole.select(["token", "n_sum"]).rename_columns(["token", "n"])
+
     def count(batches):
         classes = np.frombuffer(table.value, np.uint8)
+        held, size = [], 0
         for batch in batches:
-            for _, tokens in cut_parts(batch, classes, lines=True):
+            for _, tokens in cut_parts(batch, classes, lines, CACHED_BYTES):
                 found = pc.value_counts(tokens.flatten())
-                yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["token", "n"])
+                held.append(pa.table([found.field(0), found.field(1)], names=["token", "n"]))
+                size += found.nbytes
+                if size > HELD_BYTES:
+                    yield from summed(held).to_batches()
+                    held, size = [], 0
+        if held:
+            yield from summed(held).to_batches()
 
     found = docs.select(cuttable(frame_document(text_col)).alias("text")).mapInArrow(count, "token string, n long")
     return found.groupBy("token").agg(F.sum("n").alias("cnt"))
 
 
+def line_pretoken_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(token, cnt)`` of ``line_pretokens``."""
+    return _cut_counts(docs, text_col, lines=True)
+
+
+def doc_pretoken_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(token, cnt)`` of ``doc_pretokens``."""
+    return _cut_counts(docs, text_col, lines=False)
+
+
 def doc_pretokens(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(key, pos_in_doc, token)`` for encoding: pretokens of ``text + "\\n\\n"``."""
     return docs.select(key, F.posexplode(pretokenize(frame_document(text_col))).alias("pos_in_doc", "token"))

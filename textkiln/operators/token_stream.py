@@ -1,6 +1,8 @@
 """The token-id stream of a corpus.
 
-Canonical form: one row per document ``(doc_id, n, doc_start, ids array<int>)``
+Canonical form: one row per document ``(doc_id, n, doc_start, ids array<int>)``,
+written with its ids packed as binary (four bytes each: copied whole, where an
+array is written and read element by element),
 where ``doc_start`` is the global position of the document's first token in
 corpus order (``doc_id``).  Positions come from the two-level prefix sum in
 ``positions`` over the narrow ``(doc_id, n)`` table; the token arrays never go
@@ -34,7 +36,7 @@ from pyspark.sql import types as T
 from textkiln.functions.arrow_parts import parts
 from textkiln.operators.positions import ordered_offsets, row_index
 from textkiln.functions.text import frame_document
-from textkiln.operators.pretokens import doc_pretokens, pretoken_counts, pretokenize
+from textkiln.operators.pretokens import CACHED_BYTES, char_classes, cut_parts, cuttable, doc_pretoken_counts, doc_pretokens, pretoken_counts
 from textkiln.session import materialised
 from textkiln.sources.seeds import require_nonempty
 
@@ -61,29 +63,31 @@ def pretoken_vocab(docs: DataFrame, key: str = "doc_id", text_col: str = "text")
 
 @dataclass
 class IdStream:
-    rows: DataFrame  # (rid, doc_id, n, ids array<int>[, rare or first_id, last_id]), written, in any order
+    rows: DataFrame  # (rid, doc_id, n, ids array<int> or packed[, first_id, last_id]), written, in any order
     starts: DataFrame  # (rid, doc_start), written and narrow
     n_total: int
     vocab_size: int
-    rare: DataFrame | None = None  # (rid, rare array<int>): ids of a row's rare words in order
+    rare: DataFrame | None = None  # (rid, rare array<long>): a row's rare words, each as its place among them and id
     _chunks: dict[int, DataFrame] = field(default_factory=dict)
 
     @cached_property
     def _table(self) -> DataFrame:
-        """Arrays, positions and ends of each document, written at first use."""
-        extra, ids = self.starts, F.col("ids")
+        """Packed ids, positions and ends of each document, written at first use."""
+        extra = self.starts
         if self.rare is not None:
             extra = extra.join(self.rare, "rid", "left")
-        joined = self.rows.select("rid", "doc_id", "n", "ids").join(extra, "rid")
-        if self.rare is not None:
-            fields = [f for f in joined.schema.fields if f.name in ("doc_id", "n", "ids", "doc_start")]
-            joined = joined.select(*[f.name for f in fields], "rare").mapInArrow(_with_rare, T.StructType(fields))
-        return materialised(joined.select("doc_id", "n", "doc_start", "ids", *_ends(ids)), "token-stream")
+        joined = self.rows.select("rid", "doc_id", "n", "ids").join(extra, "rid").drop("rid")
+        fields = [joined.schema[name] for name in ("doc_id", "n", "doc_start")]
+        ends = [T.StructField(name, T.IntegerType()) for name in ("first_id", "last_id")]
+        schema = T.StructType([*fields, T.StructField("packed", T.BinaryType()), *ends])
+        columns = ["doc_id", "n", "doc_start", "ids", *(["rare"] if self.rare is not None else [])]
+        return materialised(joined.select(*columns).mapInArrow(_whole, schema), "token-stream")
 
     @property
     def docs(self) -> DataFrame:
         """``(doc_id, n, doc_start, ids array<int>)``."""
-        return self._table.select("doc_id", "n", "doc_start", "ids")
+        held = self._table.select("doc_id", "n", "doc_start", "packed")
+        return held.mapInArrow(_unpacked, T.StructType([*held.schema.fields[:3], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
     @property
     def offsets(self) -> DataFrame:
@@ -116,20 +120,29 @@ class IdStream:
         return n.select(F.explode(rows).alias("r")).select("r.*").where("n_tokens > 0")
 
     # ---------------------------------------------------------------- J6
+    def _crossings(self) -> DataFrame:
+        """``(pos, x, y)``: the pair from each document's last token to the next one's first."""
+        held = self.offsets.where(F.col("n") >= 1)
+        ends = held.select((F.col("doc_start") + F.col("n")).alias("next_start"), (F.col("doc_start") + F.col("n") - 1).alias("pos"), F.col("last_id").alias("x"))
+        starts = held.select(F.col("doc_start").alias("next_start"), F.col("first_id").alias("y"))
+        return ends.join(starts, "next_start").select("pos", "x", "y")
+
     def pairs(self) -> DataFrame:
         """``(split, pos, x, y)``: consecutive tokens that lie in the same split."""
         before_last = F.col("n").cast("int") - 1
         shifted = F.arrays_zip(F.slice("ids", F.lit(1), before_last).alias("x"), F.slice("ids", F.lit(2), before_last).alias("y"))
         inner = self.docs.where(F.col("n") >= 2).select("doc_start", F.posexplode(shifted).alias("i", "p")).select(
             (F.col("doc_start") + F.col("i")).alias("pos"), F.col("p.x").alias("x"), F.col("p.y").alias("y"))
-        held = self.offsets.where(F.col("n") >= 1)
-        ends = held.select((F.col("doc_start") + F.col("n")).alias("next_start"), (F.col("doc_start") + F.col("n") - 1).alias("pos"), F.col("last_id").alias("x"))
-        starts = held.select(F.col("doc_start").alias("next_start"), F.col("first_id").alias("y"))
-        boundary = ends.join(starts, "next_start").select("pos", "x", "y")
-        both = inner.unionByName(boundary)
+        both = inner.unionByName(self._crossings())
         same_split = (F.col("pos") + 1 < self.split_at) | (F.col("pos") >= self.split_at)
         return both.where(same_split).select(self.split_of(F.col("pos")).alias("split"), "pos", "x", "y")
 
+    def runs(self) -> DataFrame:
+        """``(pos, packed)``: the same consecutive tokens (and the pair over the split's
+        border) as runs from ``pos`` on: a document, or a pair between two documents."""
+        inner = self._table.where(F.col("n") >= 2).select(F.col("doc_start").alias("pos"), "packed")
+        return inner.unionByName(self._crossings().mapInArrow(_pair_runs, "pos long, packed binary"))
+
     # ---------------------------------------------------------------- W6 / J7
     def chunks(self, size: int = CHUNK_SIZE) -> DataFrame:
         """The stream as ``(chunk, ids)``, blocks of ``size`` tokens by
@@ -158,9 +171,8 @@ class IdStream:
         for name, (_, n) in sizes.items():
             if n <= block:
                 raise BlockTooLongError(f"{name} split has {n} tokens, needs more than block={block}")
-        specs = spark.createDataFrame(
-            [(name, base, n) for name, (base, n) in sizes.items()], "split string, base long, n long"
-        )
+        rows = [F.struct(F.lit(name).alias("split"), F.lit(base).cast("long").alias("base"), F.lit(n).cast("long").alias("n")) for name, (base, n) in sizes.items()]
+        specs = spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
         idx = F.explode(F.sequence(F.lit(0), F.lit(steps * batch - 1))).alias("k")
         start = (F.col("k") * F.lit(HASH_MULT) + F.lit(seed)) % (F.col("n") - F.lit(block))
         return specs.select("split", "base", "n", idx).select(
@@ -197,6 +209,43 @@ class IdStream:
         )
 
 
+def packed_array(flat: np.ndarray, ends: np.ndarray, missing: np.ndarray | None = None) -> pa.Array:
+    """Rows of ids as binary values, four bytes an id: row ``i`` ends before ``ends[i + 1]``."""
+    data = pa.py_buffer(np.ascontiguousarray(flat, "<i4"))
+    out = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int64) * 4), data])
+    return (out if missing is None else pc.if_else(pa.array(missing), None, out)).cast(pa.binary())
+
+
+def unpacked_array(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of ``packed_array``'s rows and how many each has."""
+    sizes = pc.fill_null(pc.binary_length(packed), 0).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+    _, offsets, data = packed.buffers()
+    first = int(np.frombuffer(offsets, np.int32)[packed.offset]) if len(packed) else 0
+    total = int(sizes.sum())
+    return (np.frombuffer(data, "<i4", total, first) if total else np.zeros(0, np.int32)), sizes
+
+
+def _unpacked(batches):
+    """``packed`` (last column) as ``ids``."""
+    for whole in batches:
+        sizes = pc.fill_null(pc.binary_length(whole.column(whole.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+        for batch in parts(whole, sizes, PART_PACKED):
+            packed = batch.column(batch.num_columns - 1)
+            flat, sizes = unpacked_array(packed)
+            ids = pa.ListArray.from_arrays(pa.array(_bounds(sizes), pa.int32()), pa.array(flat), mask=pc.is_null(packed) if packed.null_count else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=[*batch.schema.names[:-1], "ids"])
+
+
+def _pair_runs(batches):
+    for batch in batches:
+        pairs = np.stack([batch.column(i).to_numpy() for i in (1, 2)], 1)
+        yield pa.RecordBatch.from_arrays([batch.column(0), packed_array(pairs.ravel(), np.arange(len(batch) + 1) * 2)], names=["pos", "packed"])
+
+
+def _bounds(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
 def _ends(ids: Column) -> tuple[Column, Column]:
     return F.try_element_at(ids, F.lit(1)).alias("first_id"), F.try_element_at(ids, F.lit(-1)).alias("last_id")
 
@@ -212,108 +261,158 @@ def _assemble(rows: DataFrame, vocab_size: int, rare: DataFrame | None = None) -
 
 # The most frequent words, whose ids are sent to the tasks, and the longest of them in bytes.
 HEAD_WORDS, HEAD_BYTES = 200_000, 64
-# Words that are looked up at once.
-PART_WORDS = 250_000
+# Words that are looked up at once (for each time, the head is hashed anew), and bytes
+# of packed ids that are unpacked at once.
+PART_WORDS, PART_PACKED = 3_000_000, 4_000_000
+# Stands for the id of a rare word until it is looked up.
+RARE = -1
 
 
 def _is_head() -> Column:
     return (F.col("token_id") < HEAD_WORDS) & (F.octet_length("token") <= HEAD_BYTES)
 
 
-def _lookup(bc):
-    """``(rid, doc_id, words)`` -> ``(rid, doc_id, n, ids, rare)``: head words by
-    their ids; the others null in ``ids`` and listed in ``rare`` in order."""
+def _worded(batches, classes: np.ndarray):
+    """Each batch's texts (last column) as lists of words."""
+    for batch in batches:
+        for part, words in cut_parts(batch, classes, False, CACHED_BYTES):
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], words], names=[*part.schema.names[:-1], "words"])
 
-    def run(batches):
-        words, ids = bc.value
-        for whole in batches:
-            sizes = pc.fill_null(pc.list_value_length(whole.column(2)), 0).to_numpy(zero_copy_only=False)
-            for part, counts in zip(parts(whole, sizes, PART_WORDS), _cut(sizes, PART_WORDS), strict=True):
-                flat = pc.dictionary_encode(part.column(2).flatten())
-                by_word = ids.take(pc.index_in(flat.dictionary, value_set=words))
-                found = by_word.take(flat.indices)
-                unknown = found.is_null()
-                missed = flat.filter(unknown).dictionary_decode().cast(pa.string())
-                ends = np.concatenate([[0], np.cumsum(counts)])
-                lost = np.concatenate([[0], np.cumsum(unknown.to_numpy(zero_copy_only=False))])[ends]
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1), pa.array(counts, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found),
-                    pa.ListArray.from_arrays(pa.array(lost, pa.int32()), missed),
-                ], names=["rid", "doc_id", "n", "ids", "rare"])
 
-    return run
+def _lookup(bc, table):
+    """``(rid, doc_id, text)`` -> ``(rid, doc_id, n, ids, rare)``: head words by
+    their ids, packed; the others marked there and listed in ``rare`` in order."""
 
+    def run(batches):
+        held, size = [], 0
+        for part in _worded(batches, np.frombuffer(table.value, np.uint8)):
+            held.append((part, pc.dictionary_encode(part.column(2).flatten())))
+            size += len(held[-1][1])
+            if size >= PART_WORDS:
+                yield from _found(held, *bc.value)
+                held, size = [], 0
+        yield from _found(held, *bc.value)
 
-def _cut(sizes: np.ndarray, most: int):
-    """``sizes`` of the rows of each of ``parts``."""
-    index = pa.record_batch([pa.array(sizes, pa.int64())], names=["n"])
-    return (p.column(0).to_numpy() for p in parts(index, sizes, most))
+    return run
 
 
-def _with_rare(batches):
-    """``ids`` with its nulls replaced, in order, by the row's ``rare`` ids (last column)."""
+def _found(held: list, words: pa.Array, ids: pa.Array):
+    """The rows of ``_lookup`` of each part, whose different words are looked up together."""
+    if not held:
+        return
+    by_word = ids.take(pc.index_in(pa.concat_arrays([flat.dictionary for _, flat in held]), value_set=words))
+    start = 0
+    for part, flat in held:
+        found = by_word.slice(start, len(flat.dictionary)).take(flat.indices)
+        start += len(flat.dictionary)
+        unknown = found.is_null()
+        missed = flat.filter(unknown).dictionary_decode().cast(pa.string())
+        counts = pc.fill_null(pc.list_value_length(part.column(2)), 0).to_numpy(zero_copy_only=False)
+        ends = _bounds(counts)
+        lost = _bounds(unknown.to_numpy(zero_copy_only=False))[ends]
+        yield pa.RecordBatch.from_arrays([
+            part.column(0), part.column(1), pa.array(counts, pa.int64()),
+            packed_array(found.fill_null(RARE).to_numpy(), ends),
+            pa.ListArray.from_arrays(pa.array(lost, pa.int32()), missed),
+        ], names=["rid", "doc_id", "n", "ids", "rare"])
+
+
+def _whole(batches):
+    """``(doc_id, n, doc_start, ids[, rare])`` -> the written columns of a stream: ids
+    packed, their marks replaced, in order, by the row's ``rare`` ids, and the ends."""
     for batch in batches:
-        at = batch.schema.get_field_index("ids")
-        ids = batch.column(at)
-        flat = ids.flatten()
-        fill = batch.column(batch.num_columns - 1).flatten()
-        full = pc.replace_with_mask(flat, flat.is_null(), fill.cast(flat.type))
-        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))])
-        columns = list(batch.columns[:-1])
-        columns[at] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), full)
-        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
-
+        ids = batch.column(3)
+        if pa.types.is_list(ids.type):
+            flat, sizes = ids.flatten().to_numpy(), pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        else:
+            flat, sizes = unpacked_array(ids)
+        if batch.num_columns == 5:
+            flat = flat.copy()
+            flat[flat == RARE] = batch.column(4).flatten().to_numpy() & 0x7FFFFFFF
+        ends = _bounds(sizes)
+        held = sizes > 0
+        first, last = np.zeros(len(batch), np.int32), np.zeros(len(batch), np.int32)
+        first[held], last[held] = flat[ends[:-1][held]], flat[ends[1:][held] - 1]
+        packed = packed_array(flat, ends, pc.is_null(ids).to_numpy(zero_copy_only=False) if ids.null_count else None)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], packed, pa.array(first, mask=~held), pa.array(last, mask=~held)],
+            names=["doc_id", "n", "doc_start", "packed", "first_id", "last_id"])
+
+
+def _lists(batches):
+    """``(rid, place)`` in order -> ``(rid, rare)``, a row for each ``rid``."""
+    open_rid, open_places = None, []  # the last rid may go on in the next batch
+
+    def rows(rids, counts, places):
+        return pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.ListArray.from_arrays(pa.array(_bounds(counts), pa.int32()), pa.array(places, pa.int64()))], names=["rid", "rare"])
 
-def _looked_up(words: DataFrame, vocab: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Written ``rows(rid, doc_id, n, ids, rare)`` of ``words(rid, doc_id, words)``
-    and ``(rid, rare ids)``, or None where the head holds every word.
+    for batch in batches:
+        if not len(batch):
+            continue
+        rid, places = (batch.column(i).to_numpy() for i in (0, 1))
+        starts = np.flatnonzero(np.append(True, rid[1:] != rid[:-1]))
+        if open_rid is not None and open_rid != rid[0]:
+            whole = np.concatenate(open_places)
+            yield rows([open_rid], [len(whole)], whole)
+            open_places = []
+        if len(starts) > 1:
+            counts = np.diff(starts)
+            counts[0] += sum(map(len, open_places))
+            yield rows(rid[starts[:-1]], counts, np.concatenate([*open_places, places[: starts[-1]]]))
+            open_places = []
+        open_rid = rid[-1]
+        open_places.append(places[starts[-1] :].copy())
+    if open_rid is not None:
+        whole = np.concatenate(open_places)
+        yield rows([open_rid], [len(whole)], whole)
+
+
+def _looked_up(docs: DataFrame, vocab: DataFrame, key: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """Written ``rows(rid, doc_id, n, ids, rare)`` of the documents' words, and
+    ``(rid, rare ids)``, or None where the head holds every word.  A document
+    without text has no words.
 
     Occurrences of head words are replaced where they lie.  Only those of rare
     words go through a join, which no word makes hot, and back to their rows."""
-    spark = words.sparkSession
+    spark = docs.sparkSession
     head = vocab.where(_is_head()).select("token", F.col("token_id").cast("int").alias("id")).toArrow().combine_chunks()
     table = [pa.concat_arrays(head[c].chunks) if head.num_rows else pa.array([], t) for c, t in (("token", pa.string()), ("id", pa.int32()))]
     bc = spark.sparkContext.broadcast((table[0].cast(pa.string()), table[1]))
     schema = T.StructType([
-        T.StructField("rid", T.LongType()), words.schema["doc_id"], T.StructField("n", T.LongType()),
-        T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("rare", T.ArrayType(T.StringType())),
+        T.StructField("rid", T.LongType()), T.StructField("doc_id", docs.schema[key].dataType), T.StructField("n", T.LongType()),
+        T.StructField("ids", T.BinaryType()), T.StructField("rare", T.ArrayType(T.StringType())),
     ])
-    rows = materialised(words.select("rid", "doc_id", "words").mapInArrow(_lookup(bc), schema), "token-ids")
+    texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).alias("doc_id"), cuttable(frame_document(text_col)).alias("text"))
+    rows = materialised(texts.mapInArrow(_lookup(bc, char_classes(spark)), schema), "token-ids")
     tail = vocab.where(~_is_head()).select("token", F.col("token_id").cast("int").alias("token_id"))
     if tail.isEmpty():
         return rows, None
     occ = rows.where(F.size("rare") > 0).select("rid", F.posexplode("rare").alias("i", "token"))
-    lists = occ.join(tail, "token").groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("i", "token_id"))).alias("t"))
-    return rows, lists.select("rid", F.col("t.token_id").alias("rare"))
-
-
-def _words(docs: DataFrame, key: str, text_col: str) -> DataFrame:
-    """``(rid, doc_id, words)``, written: the pattern runs once.  A document
-    without text has no words."""
-    words = F.coalesce(pretokenize(frame_document(text_col)), F.array().cast("array<string>"))
-    return materialised(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).alias("doc_id"), words.alias("words")), "words")
+    place = F.shiftleft(F.col("i").cast("long"), 32).bitwiseOR(F.col("token_id").cast("long"))
+    # In lists by an Arrow pass over sorted rows: an aggregate that collects makes an object for each.
+    found = occ.join(tail, "token").select("rid", place.alias("place")).repartition("rid").sortWithinPartitions("rid", "place")
+    return rows, found.mapInArrow(_lists, "rid long, rare array<long>")
 
 
-def _stream(words: DataFrame, vocab: DataFrame, vocab_size: int) -> IdStream:
-    rows, rare = _looked_up(words, vocab)
+def _stream(docs: DataFrame, vocab: DataFrame, vocab_size: int, key: str, text_col: str) -> IdStream:
+    rows, rare = _looked_up(docs, vocab, key, text_col)
     return _assemble(rows, vocab_size, rare)
 
 
 def pretoken_ids(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, ids array<int>)``: pretokens replaced by vocabulary ids.  Every
     document stays: without text or pretokens its ids are empty."""
-    return _stream(_words(docs, key, text_col), vocab, 0).docs.select("doc_id", "ids")
+    return _stream(docs, vocab, 0, key, text_col).docs.select("doc_id", "ids")
 
 
 def pretoken_stream(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> tuple[IdStream, DataFrame]:
     """J4 at pretoken level: every pretoken of ``text + "\\n\\n"`` replaced by its
-    vocabulary id; returns the stream and the vocabulary."""
+    vocabulary id; returns the stream and the vocabulary.  Texts are cut twice, once to
+    count and once to look up, which takes less than to write and read their words."""
     require_nonempty(docs, "corpus")  # S3
-    words = _words(docs, key, text_col)
-    counts = pretoken_counts(words.select(F.explode("words").alias("token")))
+    counts = doc_pretoken_counts(docs, text_col)
     vocab = materialised(row_index(counts, [F.col("cnt").desc(), F.col("token").asc()], out="token_id"), "vocab")
-    return _stream(words, vocab, vocab.count()), vocab
+    return _stream(docs, vocab, vocab.count(), key, text_col), vocab
 
 
 def bpe_stream(model, docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> IdStream:
